@@ -2,6 +2,7 @@
 
 from ferry.operators.offsets import after_committed, max_offsets, merge_offsets, record_counts
 from ferry.operators.records import (
+    keep_where,
     parsed_fields,
     publish_envelope,
     records,
@@ -11,6 +12,7 @@ from ferry.operators.records import (
 )
 
 __all__ = [
+    "keep_where",
     "after_committed",
     "max_offsets",
     "merge_offsets",

@@ -9,7 +9,7 @@ not a hot reducer.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferry.functions.serialize import serialize
@@ -22,9 +22,27 @@ def _position(df: DataFrame) -> list[str]:
     return [c for c in _POSITION if c in df.columns]
 
 
+def keep_where(df: DataFrame, condition: Column, *cols: Column) -> DataFrame:
+    """``df.filter(condition).select(*cols)`` with the parse evaluated once.
+
+    A plain filter on ``status`` is pushed below the projection that
+    computes it, and Catalyst then inlines the whole classification - the
+    JSON parse included - into the filter, so every payload is parsed twice.
+    Emitting the kept rows through a generator (``inline`` of a one-element
+    array, or of null when the row is dropped) leaves no filter to push.
+    """
+    return df.select(F.inline(F.when(condition, F.array(F.struct(*cols)))))
+
+
 def records(classified: DataFrame, status: str = "status", record: str = "record") -> DataFrame:
     """The valid records only, as columns, with their message position."""
-    return classified.filter(F.col(status) == "ok").select(*_position(classified), f"{record}.*")
+    fields = [f.name for f in classified.schema[record].dataType.fields]
+    return keep_where(
+        classified,
+        F.col(status) == "ok",
+        *[F.col(c) for c in _position(classified)],
+        *[F.col(record)[n].alias(n) for n in fields],
+    )
 
 
 def parsed_fields(classified: DataFrame, status: str = "status", record: str = "record") -> DataFrame:
@@ -37,19 +55,20 @@ def parsed_fields(classified: DataFrame, status: str = "status", record: str = "
 
 def rejects(classified: DataFrame, status: str = "status", value: str = "value") -> DataFrame:
     """Invalid messages with the raw text and the reason."""
-    return classified.filter(F.col(status) != "ok").select(
-        *_position(classified), F.col(value).alias("value"), F.col(status).alias("reason")
+    return keep_where(
+        classified,
+        F.col(status) != "ok",
+        *[F.col(c) for c in _position(classified)],
+        F.col(value).alias("value"),
+        F.col(status).alias("reason"),
     )
 
 
 def reject_counts(classified: DataFrame, status: str = "status") -> DataFrame:
     """Number of rejected messages per topic and reason."""
     keys = [c for c in ("topic",) if c in classified.columns]
-    return (
-        classified.filter(F.col(status) != "ok")
-        .groupBy(*keys, F.col(status).alias("reason"))
-        .agg(F.count(F.lit(1)).alias("n_rejects"))
-    )
+    failed = keep_where(classified, F.col(status) != "ok", *[F.col(k) for k in keys], F.col(status).alias("reason"))
+    return failed.groupBy(*keys, "reason").agg(F.count(F.lit(1)).alias("n_rejects"))
 
 
 def serialized(
@@ -59,8 +78,11 @@ def serialized(
     timestamp_format: str = DEFAULT_TIMESTAMP_FORMAT,
 ) -> DataFrame:
     """JSON text of each valid record, with its message position."""
-    return classified.filter(F.col(status) == "ok").select(
-        *_position(classified), serialize(record, timestamp_format).alias("value")
+    return keep_where(
+        classified,
+        F.col(status) == "ok",
+        *[F.col(c) for c in _position(classified)],
+        serialize(record, timestamp_format).alias("value"),
     )
 
 
@@ -93,4 +115,4 @@ def publish_envelope(
                 header("src_offset", F.col("offset")),
             ).alias("headers")
         )
-    return classified.filter(F.col(status) == "ok").select(*cols)
+    return keep_where(classified, F.col(status) == "ok", *cols)
