@@ -10,7 +10,11 @@ and no Python on the data path:
   parsed once; trailing text, a second document, a scalar or an array
   break either the wrapper or the one-element array;
 * every record field is read as ``variant`` so its JSON type is known;
-* typed fields are converted from the variant afterwards.
+* typed fields are converted from the variant afterwards;
+* a corrupt-record column catches partial results: with
+  ``spark.sql.json.enablePartialResults`` (on by default) a syntax error
+  inside one field's value only nulls that field and parsing goes on, so
+  without it ``{"id":[1,{"a":null ],"name":"x"}`` would look valid.
 """
 
 from __future__ import annotations
@@ -45,6 +49,7 @@ DEFAULT_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ssZ"
 _MARKER = "ferry-eof-5b1c9e"
 _WRAP_OPEN = '{"r":['
 _WRAP_CLOSE = '],"end":"' + _MARKER + '"}'
+_CORRUPT = "_corrupt"
 
 
 def _wrapper_schema(record: T.StructType) -> T.StructType:
@@ -53,6 +58,7 @@ def _wrapper_schema(record: T.StructType) -> T.StructType:
         [
             T.StructField("r", T.ArrayType(as_variant, True), True),
             T.StructField("end", T.StringType(), True),
+            T.StructField(_CORRUPT, T.StringType(), True),
         ]
     )
 
@@ -113,7 +119,7 @@ def classify(
         F.from_json(
             F.concat(F.lit(_WRAP_OPEN), F.col(value), F.lit(_WRAP_CLOSE)),
             _wrapper_schema(schema),
-            dict(json_options or {}),
+            {**dict(json_options or {}), "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT},
         ),
     )
     raw_null = F.col("_raw_null") if is_binary else F.col(value).isNull()
@@ -135,7 +141,11 @@ def classify(
         F.when(~raw_null & txt.isNull(), "bad_utf8")
         .when(raw_null, "null_payload")
         .when(
-            p["end"].isNull() | (p["end"] != _MARKER) | p["r"].isNull() | (F.instr(txt, _MARKER) > 0),
+            p[_CORRUPT].isNotNull()
+            | p["end"].isNull()
+            | (p["end"] != _MARKER)
+            | p["r"].isNull()
+            | (F.instr(txt, _MARKER) > 0),
             "malformed",
         )
         .when(F.size(p["r"]) == 0, "empty")
