@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferry.schemas import POSITION
+from ferry.session import shared_dir
 
 # Largest committed-offsets table that is broadcast (one row per topic
 # partition). Kafka clusters hold far fewer partitions per topic; past this
@@ -62,11 +63,15 @@ def after_committed(
     Keeps ``offset > committed`` (or everything for a partition with no
     committed offset) as a left anti join on ``offset <= committed``, so the
     output has exactly ``df``'s columns. ``committed`` is first reduced to one
-    row per (topic, partition); it is broadcast only after counting that it
-    has at most ``max_broadcast_partitions`` rows. Otherwise the join shuffles
-    with a salt so that one hot partition is split over ``salt_buckets`` tasks.
+    row per (topic, partition) and materialized once with a reliable
+    checkpoint (in the session's checkpoint folder), so the size check and
+    the join do not both recompute it. It is broadcast only after counting
+    that it has at most ``max_broadcast_partitions`` rows. Otherwise the join
+    shuffles with a salt so that one hot partition is split over
+    ``salt_buckets`` tasks.
     """
-    marks = committed.groupBy(*POSITION).agg(F.max(committed_offset).alias("_committed"))
+    shared_dir(df.sparkSession)  # makes sure a checkpoint folder is set
+    marks = committed.groupBy(*POSITION).agg(F.max(committed_offset).alias("_committed")).checkpoint(eager=True)
     if _bounded(marks, max_broadcast_partitions):
         right = F.broadcast(marks)
         cond = [df[c] == right[c] for c in POSITION] + [df[offset] <= right["_committed"]]
