@@ -71,14 +71,21 @@ def after_committed(
     ``salt_buckets`` tasks.
     """
     shared_dir(df.sparkSession)  # makes sure a checkpoint folder is set
-    marks = committed.groupBy(*POSITION).agg(F.max(committed_offset).alias("_committed")).checkpoint(eager=True)
+    # Right-side names are unique, so the join needs no dataset-qualified
+    # columns (both sides often come from the same source).
+    marks = (
+        committed.groupBy(*POSITION)
+        .agg(F.max(committed_offset).alias("_committed"))
+        .select(*[F.col(c).alias(f"_c_{c}") for c in POSITION], "_committed")
+        .checkpoint(eager=True)
+    )
+    same_position = [F.col(c) == F.col(f"_c_{c}") for c in POSITION]
+    already_done = F.col(offset) <= F.col("_committed")
     if _bounded(marks, max_broadcast_partitions):
-        right = F.broadcast(marks)
-        cond = [df[c] == right[c] for c in POSITION] + [df[offset] <= right["_committed"]]
-        return df.join(right, cond, "left_anti")
+        return df.join(F.broadcast(marks), [*same_position, already_done], "left_anti")
 
     # Deterministic salt: a retried task recomputes the same bucket.
     left = df.withColumn("_salt", F.pmod(F.xxhash64(F.col(offset)), F.lit(salt_buckets)))
-    right = marks.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-    cond = [left[c] == right[c] for c in [*POSITION, "_salt"]] + [left[offset] <= right["_committed"]]
-    return left.join(right, cond, "left_anti").drop("_salt")
+    right = marks.withColumn("_c_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+    same_bucket = F.col("_salt") == F.col("_c_salt")
+    return left.join(right, [*same_position, same_bucket, already_done], "left_anti").drop("_salt")

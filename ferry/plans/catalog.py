@@ -3,7 +3,8 @@ tables, each with an equivalent DuckDB SQL string (the correctness oracle).
 
 Each query takes ``(spark, sf_dir)`` and returns a DataFrame. Message
 envelopes are derived from ``customer`` (employee-shaped JSON with every
-reject path) and ``events`` (3 partitions, offsets in event-time order).
+reject path), ``events`` (3 partitions, offsets in event-time order) and
+``documents`` (whole texts as large payloads).
 The ``stream_*`` queries run a Structured Streaming query to completion
 (``availableNow``) into a fresh folder under the shared checkpoint folder
 and return its output.
@@ -17,12 +18,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferry.functions.decode import decode
+from ferry.functions.serialize import serialize
 from ferry.functions.strict_json import classify
 from ferry.operators.offsets import after_committed, max_offsets, record_counts
-from ferry.operators.records import parsed_fields, publish_envelope, records, reject_counts, rejects, serialized
+from ferry.operators.records import (
+    keep_where,
+    parsed_fields,
+    publish_envelope,
+    records,
+    reject_counts,
+    rejects,
+    serialized,
+)
 from ferry.schemas import EMPLOYEE
 from ferry.session import fresh_dir
-from ferry.sources.derived import customer_envelope, events_envelope, events_time_envelope
+from ferry.sources.derived import customer_envelope, documents_envelope, events_envelope, events_time_envelope
 from ferry.sources.replay import read_replay, read_table, stream_table
 from ferry.streaming.pipeline import RelayTables, committed_offsets, start_publish, start_relay
 from ferry.streaming.sinks import FileSink
@@ -32,6 +42,7 @@ EMPLOYEE_TOPIC = "employees"
 EVENTS_OUT_TOPIC = "events_out"
 EVENT_RECORD = "k string"
 TIMED_RECORD = "id string, at timestamp"
+DOCUMENT_RECORD = "doc_id string, lang string, source string, text string"
 # Event time up to which a previous run has committed (resume queries), and
 # the boundary between the two arrivals of the resumed stream.
 COMMITTED_BEFORE = "2024-01-16 00:00:00"
@@ -108,6 +119,26 @@ def publish_envelope_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish_envelope(_classified_customers(spark, sf_dir), EMPLOYEE_TOPIC)
 
 
+def relay_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1-P6 on large payloads: each whole document is parsed and re-serialized;
+    the text and the outgoing message are summarized by length and MD5."""
+    classified = classify(documents_envelope(read_table(spark, sf_dir, "documents")), DOCUMENT_RECORD)
+    out = serialize("record")
+    return keep_where(
+        classified,
+        F.lit(True),
+        F.col("topic"),
+        F.col("partition"),
+        F.col("offset"),
+        F.col("status"),
+        F.col("record.doc_id").alias("doc_id"),
+        F.length("record.text").alias("n_chars"),
+        F.md5("record.text").alias("text_md5"),
+        F.octet_length(out).alias("out_bytes"),
+        F.md5(out).alias("out_md5"),
+    )
+
+
 def partition_max_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1: highest offset per partition."""
     return max_offsets(_events(spark, sf_dir))
@@ -200,6 +231,7 @@ QUERIES: dict[str, Query] = {
     "parse_timestamps": parse_timestamps,
     "serialize_records": serialize_records,
     "publish_envelope": publish_envelope_q,
+    "relay_documents": relay_documents,
     "partition_max_offset": partition_max_offset,
     "partition_record_count": partition_record_count,
     "read_after_committed": read_after_committed,
@@ -317,6 +349,35 @@ SELECT topic, "partition", "offset", status,
 FROM checked
 """
 
+_DOCUMENTS = """
+WITH doc_msg AS (
+  SELECT 'documents' AS topic,
+         CAST(doc_id % 8 AS INTEGER) AS "partition",
+         CAST(floor(doc_id / 8) AS BIGINT) AS "offset",
+         CAST(json_object('doc_id', CAST(doc_id AS VARCHAR), 'lang', lang, 'source', source, 'text', text)
+              AS VARCHAR) AS value
+  FROM documents
+),
+parsed AS (
+  SELECT topic, "partition", "offset",
+         CASE WHEN json_valid(value) AND json_type(value) = 'OBJECT' THEN 'ok' ELSE 'malformed' END AS status,
+         json_extract_string(value, '$.doc_id') AS doc_id,
+         json_extract_string(value, '$.lang') AS lang,
+         json_extract_string(value, '$.source') AS source,
+         json_extract_string(value, '$.text') AS text
+  FROM doc_msg
+),
+republished AS (
+  SELECT *, CAST(json_merge_patch('{}', json_object('doc_id', doc_id, 'lang', lang, 'source', source,
+                                                   'text', text)) AS VARCHAR) AS out
+  FROM parsed
+)
+SELECT topic, "partition", "offset", status, doc_id,
+       CAST(length(text) AS INTEGER) AS n_chars, md5(text) AS text_md5,
+       CAST(octet_length(encode(out)) AS INTEGER) AS out_bytes, md5(out) AS out_md5
+FROM republished
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "scan_envelope": "WITH"
     + _CUSTOMER_ENV
@@ -337,6 +398,7 @@ WHERE status <> 'ok' GROUP BY topic, status""",
     "parse_timestamps": _TIMED,
     "serialize_records": _CLASSIFIED + f"""SELECT topic, "partition", "offset", {_SERIALIZED} AS value FROM parsed""",
     "publish_envelope": _CLASSIFIED + _PUBLISHED,
+    "relay_documents": _DOCUMENTS,
     "partition_max_offset": _MAX_OFFSET,
     "partition_record_count": _EVENTS_ENV
     + """SELECT topic, "partition", count(*) AS n_records FROM events_env GROUP BY topic, "partition\"""",

@@ -16,6 +16,8 @@ CUSTOMER_TOPIC = "inputTopic"
 CUSTOMER_PARTITIONS = 4
 EVENTS_TOPIC = "events"
 EVENTS_PARTITIONS = 3
+DOCUMENTS_TOPIC = "documents"
+DOCUMENTS_PARTITIONS = 8
 
 
 def _envelope(df: DataFrame, topic: str, partition, offset, value, timestamp=None) -> DataFrame:
@@ -91,3 +93,17 @@ def events_time_envelope(events: DataFrame) -> DataFrame:
         F.concat(head, at, F.lit("}")),
         F.col("ts"),
     )
+
+
+def documents_envelope(documents: DataFrame) -> DataFrame:
+    """One message per document: the whole document (up to ~128K characters
+    of prose with newlines, quotes and non-ASCII text) as a JSON record."""
+    did = F.col("doc_id")
+    record = F.struct(did.cast("string").alias("doc_id"), "lang", "source", "text")
+    return _envelope(
+        documents,
+        DOCUMENTS_TOPIC,
+        did % DOCUMENTS_PARTITIONS,
+        F.floor(did / DOCUMENTS_PARTITIONS),
+        F.to_json(record),
+    )
