@@ -9,6 +9,7 @@ from ferry.operators.records import (
     reject_counts,
     rejects,
     serialized,
+    status_metrics,
 )
 
 __all__ = [
@@ -23,4 +24,5 @@ __all__ = [
     "reject_counts",
     "rejects",
     "serialized",
+    "status_metrics",
 ]

@@ -116,3 +116,14 @@ def publish_envelope(
             ).alias("headers")
         )
     return keep_where(classified, F.col(status) == "ok", *cols)
+
+
+def status_metrics(status: str = "status") -> list[Column]:
+    """Aggregates for ``DataFrame.observe``: messages, published and rejected
+    counts of one batch (the reference printed a size per partition)."""
+    ok = F.col(status) == "ok"
+    return [
+        F.count(F.lit(1)).alias("messages"),
+        F.count_if(ok).alias("published"),
+        F.count_if(~ok).alias("rejected"),
+    ]

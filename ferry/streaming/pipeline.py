@@ -19,16 +19,18 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ferry.functions.strict_json import DEFAULT_TIMESTAMP_FORMAT, classify
 from ferry.operators.offsets import max_offsets, merge_offsets
-from ferry.operators.records import publish_envelope, rejects
+from ferry.operators.records import publish_envelope, rejects, status_metrics
 
 # The reference's micro-batch interval, as the default trigger.
 DEFAULT_TRIGGER: Mapping[str, object] = {"processingTime": "2 seconds"}
+# Name of the observed per-batch counts (StreamingQueryProgress.observedMetrics).
+METRICS_NAME = "ferry_relay"
 
 
 def _with_trigger(writer: DataStreamWriter, trigger: Mapping[str, object] | None) -> DataStreamWriter:
@@ -67,10 +69,12 @@ def start_publish(
     """S6 + O2: stream valid records of ``source`` to ``sink`` as JSON messages.
 
     ``prepare`` is a user ``DataFrame -> DataFrame`` stage applied to the raw
-    messages first (U1).
+    messages first (U1). Each batch's message/published/rejected counts are
+    observed under ``METRICS_NAME`` in the query progress.
     """
     messages = prepare(source) if prepare is not None else source
     classified = classify(messages, schema, json_options=json_options, timestamp_format=timestamp_format)
+    classified = classified.observe(METRICS_NAME, *status_metrics())
     out = publish_envelope(
         classified, target_topic, source_headers=source_headers, timestamp_format=timestamp_format
     )
@@ -94,8 +98,13 @@ def start_relay(
     timestamp_format: str = DEFAULT_TIMESTAMP_FORMAT,
     source_headers: bool = False,
     query_name: str | None = None,
+    on_batch: Callable[[int, dict], None] | None = None,
 ) -> StreamingQuery:
-    """O1 + K1: publish, write rejects and the batch's max offsets per partition."""
+    """O1 + K1: publish, write rejects and the batch's max offsets per partition.
+
+    ``on_batch(batch_id, counts)`` receives the batch's observed
+    message/published/rejected counts after its writes succeed.
+    """
     from ferry.streaming.sinks import FileSink
 
     reject_sink = FileSink(tables.rejects)
@@ -103,9 +112,12 @@ def start_relay(
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         messages = prepare(batch) if prepare is not None else batch
-        classified = classify(
-            messages, schema, json_options=json_options, timestamp_format=timestamp_format
-        ).persist(StorageLevel.MEMORY_AND_DISK)
+        counts = Observation(METRICS_NAME)
+        classified = (
+            classify(messages, schema, json_options=json_options, timestamp_format=timestamp_format)
+            .observe(counts, *status_metrics())
+            .persist(StorageLevel.MEMORY_AND_DISK)
+        )
         try:
             sink.write_batch(
                 publish_envelope(
@@ -116,6 +128,8 @@ def start_relay(
             reject_sink.write_batch(rejects(classified), batch_id)
             # Offsets last: every message of the batch, valid or not, is processed.
             offset_sink.write_batch(max_offsets(classified), batch_id)
+            if on_batch is not None:
+                on_batch(batch_id, counts.get)
         finally:
             classified.unpersist()
 

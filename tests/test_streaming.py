@@ -120,3 +120,26 @@ def test_default_trigger_is_two_second_batches(spark, scratch):
     finally:
         q.stop()
     assert _ids(sink.read(spark)) == list(range(10))
+
+
+def test_observed_counts(spark, scratch):
+    landing = f"{scratch}/landing"
+    rows = [("in", 0, 0, '{"id":"0"}'), ("in", 0, 1, "bad"), ("in", 1, 0, '{"id":"2"}')]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(landing)
+    q = start_publish(_source(spark, landing), EMPLOYEE, "out", FileSink(f"{scratch}/out"), f"{scratch}/c1", trigger=ONCE)
+    q.awaitTermination()
+    metrics = q.lastProgress["observedMetrics"]["ferry_relay"]
+    assert (metrics["messages"], metrics["published"], metrics["rejected"]) == (3, 2, 1)
+
+    seen = {}
+    start_relay(
+        _source(spark, landing),
+        EMPLOYEE,
+        "out",
+        FileSink(f"{scratch}/out2"),
+        RelayTables(f"{scratch}/tables"),
+        f"{scratch}/c2",
+        trigger=ONCE,
+        on_batch=lambda batch_id, counts: seen.update({batch_id: counts}),
+    ).awaitTermination()
+    assert seen == {0: {"messages": 3, "published": 2, "rejected": 1}}
