@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -113,11 +114,19 @@ def start_relay(
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         messages = prepare(batch) if prepare is not None else batch
         counts = Observation(METRICS_NAME)
-        classified = (
-            classify(messages, schema, json_options=json_options, timestamp_format=timestamp_format)
-            .observe(counts, *status_metrics())
-            .persist(StorageLevel.MEMORY_AND_DISK)
-        )
+        observed = classify(
+            messages, schema, json_options=json_options, timestamp_format=timestamp_format
+        ).observe(counts, *status_metrics())
+        # Cache only what the three writes read: the raw text is kept for
+        # rejects alone (valid messages carry their parsed record instead).
+        classified = observed.select(
+            "topic",
+            "partition",
+            "offset",
+            "status",
+            "record",
+            F.when(F.col("status") != "ok", F.col("value")).alias("value"),
+        ).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             sink.write_batch(
                 publish_envelope(
