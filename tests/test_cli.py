@@ -1,0 +1,33 @@
+"""The command-line relay on the file twin: a second run resumes, a rerun adds nothing."""
+
+from __future__ import annotations
+
+import pytest
+
+from ferry.cli import parse_args, start
+from ferry.streaming import RelayTables, committed_offsets
+
+SCHEMA = "topic string, partition int, offset long, value string"
+
+
+def test_cli_resumes_from_checkpoint(spark, scratch):
+    landing, out, root = f"{scratch}/landing", f"{scratch}/out", f"{scratch}/root"
+    argv = ["--target-topic", "employees", "--consumer-id", "relay", "--once",
+            "--replay-path", landing, "--output-path", out, "--root", root]
+    rows = [("inputTopic", 0, o, '{"id":"%d"}' % o) for o in range(6)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(landing)
+    start(spark, parse_args(argv)).awaitTermination()
+    more = [("inputTopic", 0, o, '{"id":"%d"}' % o) for o in range(6, 9)] + [("inputTopic", 0, 9, "{")]
+    spark.createDataFrame(more, SCHEMA).write.mode("append").parquet(landing)
+    start(spark, parse_args(argv)).awaitTermination()
+    start(spark, parse_args(argv)).awaitTermination()
+    published = sorted(r.value for r in spark.read.parquet(out).collect())
+    assert published == sorted('{"id":"%d"}' % o for o in range(9))
+    assert [tuple(r) for r in committed_offsets(spark, RelayTables(f"{root}/tables")).collect()] == [
+        ("inputTopic", 0, 9)
+    ]
+
+
+def test_cli_requires_a_source():
+    with pytest.raises(SystemExit):
+        parse_args(["--target-topic", "t", "--consumer-id", "c", "--output-path", "/x"])
