@@ -71,6 +71,11 @@ def events_envelope(events: DataFrame) -> DataFrame:
     )
 
 
+def _wall_seconds(ts):
+    """``yyyy-MM-ddTHH:mm:ss`` of a ``timestamp_ntz`` without any time-zone conversion."""
+    return F.substring(F.replace(ts.cast("timestamp_ntz").cast("string"), F.lit(" "), F.lit("T")), 1, 19)
+
+
 def events_time_envelope(events: DataFrame) -> DataFrame:
     """One message per event with a timed record ``{"id", "at"}``.
 
@@ -83,7 +88,8 @@ def events_time_envelope(events: DataFrame) -> DataFrame:
     at = (
         F.when(F.col("event_type") == "error", F.col("user_id").cast("string"))
         .when(F.col("event_type") == "signup", F.concat(F.lit('"'), F.col("event_type"), F.lit('"')))
-        .otherwise(F.concat(F.lit('"'), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit('+0100"')))
+        # wall time of the (zone-less) event time: cast to text, never through the session zone
+        .otherwise(F.concat(F.lit('"'), _wall_seconds(F.col("ts")), F.lit('+0100"')))
     )
     return _envelope(
         events,

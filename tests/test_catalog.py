@@ -58,3 +58,15 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["topic", "key", "value"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["parse_timestamps", "read_after_committed", "stream_resume"])
+def test_time_queries_do_not_depend_on_session_zone(spark, duck, name):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = E.queries()[name](spark, SF_SMALL)
+        rel = duck.sql(E.oracle_sql()[name])
+        assert _bag(df.columns, df.collect()) == _bag(rel.columns, rel.fetchall())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
