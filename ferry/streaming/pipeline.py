@@ -27,6 +27,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from ferry.functions.strict_json import DEFAULT_TIMESTAMP_FORMAT, classify
 from ferry.operators.offsets import max_offsets, merge_offsets
 from ferry.operators.records import publish_envelope, rejects, status_metrics
+from ferry.schemas import OFFSETS
 
 # The reference's micro-batch interval, as the default trigger.
 DEFAULT_TRIGGER: Mapping[str, object] = {"processingTime": "2 seconds"}
@@ -40,7 +41,16 @@ def _with_trigger(writer: DataStreamWriter, trigger: Mapping[str, object] | None
 
 @dataclass(frozen=True)
 class RelayTables:
-    """Where ``start_relay`` keeps its side tables (one folder each)."""
+    """Where ``start_relay`` keeps its side tables.
+
+    ``rejects`` grows by one partition per batch (it is data). The committed
+    offsets are kept as two alternating snapshot slots: batch N reads the
+    cumulative snapshot of batch N-1 from slot (N-1) % 2, folds in its own
+    maxima and overwrites slot N % 2 with one small file. Storage stays at
+    two snapshots however long the job runs; a replayed batch rewrites the
+    same slot from the same input; a reader always finds at least one
+    complete snapshot and takes the newer.
+    """
 
     root: str
 
@@ -52,6 +62,37 @@ class RelayTables:
     def offsets(self) -> str:
         return f"{self.root}/offsets"
 
+    def offsets_slot(self, batch_id: int) -> str:
+        return f"{self.offsets}/slot{batch_id % 2}"
+
+
+_SNAPSHOT = T.StructType([*OFFSETS.fields, T.StructField("batch_id", T.LongType(), True)])
+
+
+def _init_offsets_slots(spark: SparkSession, tables: RelayTables) -> None:
+    """Create both snapshot slots empty unless they already exist (``ignore`` mode),
+    so a batch never has to probe for a missing path."""
+    for k in (0, 1):
+        spark.createDataFrame([], _SNAPSHOT).write.mode("ignore").parquet(tables.offsets_slot(k))
+
+
+def _write_offsets_snapshot(spark: SparkSession, tables: RelayTables, batch: DataFrame, batch_id: int) -> None:
+    """K1: committed offsets after ``batch_id`` = snapshot of ``batch_id - 1`` + this batch."""
+    previous = (
+        spark.read.schema(_SNAPSHOT)
+        .parquet(tables.offsets_slot(batch_id - 1))
+        .where(F.col("batch_id") == batch_id - 1)
+        .drop("batch_id")
+    )
+    current = merge_offsets(previous, max_offsets(batch))
+    # one row per topic partition: a single file, so the slot flips in one rename
+    (
+        current.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        .repartition(1)
+        .write.mode("overwrite")
+        .parquet(tables.offsets_slot(batch_id))
+    )
+
 
 def start_publish(
     source: DataFrame,
@@ -109,7 +150,7 @@ def start_relay(
     from ferry.streaming.sinks import FileSink
 
     reject_sink = FileSink(tables.rejects)
-    offset_sink = FileSink(tables.offsets)
+    _init_offsets_slots(source.sparkSession, tables)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         messages = prepare(batch) if prepare is not None else batch
@@ -136,7 +177,7 @@ def start_relay(
             )
             reject_sink.write_batch(rejects(classified), batch_id)
             # Offsets last: every message of the batch, valid or not, is processed.
-            offset_sink.write_batch(max_offsets(classified), batch_id)
+            _write_offsets_snapshot(batch.sparkSession, tables, classified, batch_id)
             if on_batch is not None:
                 on_batch(batch_id, counts.get)
         finally:
@@ -149,6 +190,8 @@ def start_relay(
 
 
 def committed_offsets(spark: SparkSession, tables: RelayTables) -> DataFrame:
-    """K1: highest processed offset per (topic, partition) over all batches."""
-    per_batch = spark.read.parquet(tables.offsets).drop("batch_id")
-    return merge_offsets(per_batch)
+    """K1: highest processed offset per (topic, partition): the newer snapshot."""
+    snapshots = spark.read.schema(_SNAPSHOT).parquet(tables.offsets_slot(0), tables.offsets_slot(1))
+    # a global aggregate has exactly one row: safe to broadcast
+    newest = F.broadcast(snapshots.agg(F.max("batch_id").alias("batch_id")))
+    return snapshots.join(newest, "batch_id").select("topic", "partition", "max_offset")

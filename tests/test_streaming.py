@@ -143,3 +143,16 @@ def test_observed_counts(spark, scratch):
         on_batch=lambda batch_id, counts: seen.update({batch_id: counts}),
     ).awaitTermination()
     assert seen == {0: {"messages": 3, "published": 2, "rejected": 1}}
+
+
+def test_offsets_snapshots_stay_two(spark, scratch):
+    landing, ckpt = f"{scratch}/landing", f"{scratch}/ckpt"
+    tables = RelayTables(f"{scratch}/tables")
+    sink = FileSink(f"{scratch}/out")
+    for start, stop in ((0, 10), (10, 30), (30, 36)):
+        _land(spark, landing, start, stop)
+        start_relay(_source(spark, landing), EMPLOYEE, "out", sink, tables, ckpt, trigger=ONCE).awaitTermination()
+    slot0 = {r.batch_id for r in spark.read.parquet(tables.offsets_slot(0)).collect()}
+    slot1 = {r.batch_id for r in spark.read.parquet(tables.offsets_slot(1)).collect()}
+    assert (slot0, slot1) == ({2}, {1})
+    assert sorted(tuple(r) for r in committed_offsets(spark, tables).collect()) == [("in", 0, 17), ("in", 1, 17)]
