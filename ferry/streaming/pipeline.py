@@ -7,7 +7,7 @@ inside a partition is kept.
 
 ``start_relay`` adds the side outputs through ``foreachBatch``: the
 classified batch is persisted once and written three times - published
-records, rejects, then the per-partition max offsets. Progress (the
+records, rejects, then the committed-offsets snapshot. Progress (the
 checkpoint's commit log) advances only after all three succeed; a failed
 batch is replayed under the same batch id and the per-batch-id writes
 overwrite instead of duplicating.
@@ -28,6 +28,7 @@ from ferry.functions.strict_json import DEFAULT_TIMESTAMP_FORMAT, classify
 from ferry.operators.offsets import max_offsets, merge_offsets
 from ferry.operators.records import publish_envelope, rejects, status_metrics
 from ferry.schemas import OFFSETS
+from ferry.streaming.sinks import FileSink
 
 # The reference's micro-batch interval, as the default trigger.
 DEFAULT_TRIGGER: Mapping[str, object] = {"processingTime": "2 seconds"}
@@ -147,8 +148,6 @@ def start_relay(
     ``on_batch(batch_id, counts)`` receives the batch's observed
     message/published/rejected counts after its writes succeed.
     """
-    from ferry.streaming.sinks import FileSink
-
     reject_sink = FileSink(tables.rejects)
     _init_offsets_slots(source.sparkSession, tables)
 
