@@ -66,8 +66,8 @@ def after_committed(
     row per (topic, partition) and materialized once with a reliable
     checkpoint (in the session's checkpoint folder), so the size check and
     the join do not both recompute it. It is broadcast only after counting
-    that it has at most ``max_broadcast_partitions`` rows. Otherwise the join
-    shuffles with a salt so that one hot partition is split over
+    that it has at most ``max_broadcast_partitions`` rows. Otherwise it is a
+    shuffled hash join with a salt, so that one hot partition is split over
     ``salt_buckets`` tasks.
     """
     shared_dir(df.sparkSession)  # makes sure a checkpoint folder is set
@@ -86,6 +86,10 @@ def after_committed(
 
     # Deterministic salt: a retried task recomputes the same bucket.
     left = df.withColumn("_salt", F.pmod(F.xxhash64(F.col(offset)), F.lit(salt_buckets)))
-    right = marks.withColumn("_c_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+    # Shuffled hash join: the salted committed side is hashed per shuffle
+    # partition, the big message side is neither sorted nor broadcast.
+    right = marks.withColumn("_c_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)))).hint(
+        "shuffle_hash"
+    )
     same_bucket = F.col("_salt") == F.col("_c_salt")
     return left.join(right, [*same_position, same_bucket, already_done], "left_anti").drop("_salt")
