@@ -31,7 +31,13 @@ from ferry.operators.records import (
 )
 from ferry.schemas import EMPLOYEE
 from ferry.session import fresh_dir
-from ferry.sources.derived import customer_envelope, documents_envelope, events_envelope, events_time_envelope
+from ferry.sources.derived import (
+    EVENTS_PARTITIONS,
+    customer_envelope,
+    documents_envelope,
+    events_envelope,
+    events_time_envelope,
+)
 from ferry.sources.replay import read_replay, read_table, stream_table
 from ferry.streaming.pipeline import RelayTables, committed_offsets, start_publish, start_relay
 from ferry.streaming.sinks import FileSink
@@ -174,10 +180,13 @@ def stream_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stage_arrival(spark: SparkSession, sf_dir: str, landing: str, first: bool) -> None:
-    """Land one arrival of event messages (before / from the boundary time)."""
+    """Land one arrival of event messages (before / from the boundary time),
+    one file per Kafka partition as a broker log would hold them, so the
+    stream reads it with one task per partition."""
     messages = _events(spark, sf_dir)
     early = F.col("timestamp") < F.lit(COMMITTED_BEFORE).cast("timestamp")
-    messages.filter(early if first else ~early).write.mode("append").parquet(landing)
+    arrival = messages.filter(early if first else ~early)
+    arrival.repartitionByRange(EVENTS_PARTITIONS, "partition").write.mode("append").parquet(landing)
 
 
 def _landing_stream(spark: SparkSession, landing: str) -> DataFrame:
