@@ -40,10 +40,18 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     p.add_argument("--from-start", action="store_true", help="first run starts at the earliest offsets")
     p.add_argument("--fetch-bytes", type=int, default=None)
     p.add_argument("--max-offsets-per-trigger", type=int, default=None)
-    p.add_argument("--min-partitions", type=int, default=None, help="split hot Kafka partitions over more tasks")
+    p.add_argument(
+        "--min-partitions",
+        type=int,
+        default=None,
+        help="Spark tasks per micro-batch at least; large (hot) Kafka partitions are split in proportion "
+        "to their offset ranges. Default: 3 x the cluster's default parallelism; 0 = one task per partition",
+    )
     p.add_argument("--trigger-seconds", type=float, default=2.0)
     p.add_argument("--once", action="store_true", help="process what is available, then stop")
     p.add_argument("--json-option", action="append", default=[], metavar="KEY=VALUE")
+    p.add_argument("--source-option", action="append", default=[], metavar="KEY=VALUE", help="extra Kafka source option")
+    p.add_argument("--sink-option", action="append", default=[], metavar="KEY=VALUE", help="extra Kafka sink option")
     p.add_argument("--source-headers", action="store_true", help="add src topic/partition/offset headers")
     p.add_argument("--root", default=None, help="checkpoint and side tables; default under spark.checkpoint.dir")
     p.add_argument("--replay-path", default=None, help="read parquet messages instead of Kafka")
@@ -56,6 +64,18 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     return args
 
 
+def _pairs(items: Sequence[str]) -> dict[str, str]:
+    return dict(kv.split("=", 1) for kv in items)
+
+
+def min_partitions(spark: SparkSession, requested: int | None) -> int | None:
+    """Tasks per micro-batch: by default 3 x default parallelism, so a Kafka
+    partition carrying a large share of the traffic is read by many tasks."""
+    if requested is None:
+        return 3 * spark.sparkContext.defaultParallelism
+    return requested or None
+
+
 def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
     root = args.root or f"{shared_dir(spark)}/ferry/{args.consumer_id}"
     if args.replay_path is not None:
@@ -70,14 +90,15 @@ def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
                 from_start=args.from_start,
                 fetch_bytes=args.fetch_bytes,
                 max_offsets_per_trigger=args.max_offsets_per_trigger,
-                min_partitions=args.min_partitions,
+                min_partitions=min_partitions(spark, args.min_partitions),
                 consumer_id=args.consumer_id,
+                extra=_pairs(args.source_option),
             ),
         )
     if args.output_path is not None:
         sink = FileSink(args.output_path)
     else:
-        sink = KafkaWriter(KafkaSink(args.bootstrap_servers, args.target_topic))
+        sink = KafkaWriter(KafkaSink(args.bootstrap_servers, args.target_topic, extra=_pairs(args.sink_option)))
     trigger = {"availableNow": True} if args.once else {"processingTime": f"{args.trigger_seconds} seconds"}
     return start_relay(
         source,
@@ -87,7 +108,7 @@ def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
         RelayTables(f"{root}/tables"),
         f"{root}/checkpoint",
         trigger=trigger,
-        json_options=dict(kv.split("=", 1) for kv in args.json_option),
+        json_options=_pairs(args.json_option),
         source_headers=args.source_headers,
         query_name=args.consumer_id,
     )

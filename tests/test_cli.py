@@ -31,3 +31,11 @@ def test_cli_resumes_from_checkpoint(spark, scratch):
 def test_cli_requires_a_source():
     with pytest.raises(SystemExit):
         parse_args(["--target-topic", "t", "--consumer-id", "c", "--output-path", "/x"])
+
+
+def test_cli_splits_hot_partitions_by_default(spark):
+    from ferry.cli import min_partitions
+
+    assert min_partitions(spark, None) == 3 * spark.sparkContext.defaultParallelism
+    assert min_partitions(spark, 0) is None
+    assert min_partitions(spark, 500) == 500
