@@ -13,6 +13,8 @@ from ferry import EMPLOYEE, classify, serialize
 from ferry.functions.strict_json import _MARKER
 from ferry.operators.records import parsed_fields, serialized
 
+# Fixed value: the one sample message of the relayed stream (68 bytes); parse
+# then serialize must give it back byte for byte.
 SAMPLE = '{"id":"1","name":"Mark","firstName":"Polosnikov","lastName":"Doyle"}'
 FIELDS = ["id", "name", "firstName", "lastName"]
 
