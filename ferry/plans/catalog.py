@@ -33,6 +33,7 @@ from ferry.schemas import EMPLOYEE
 from ferry.session import fresh_dir
 from ferry.sources.derived import (
     EVENTS_PARTITIONS,
+    customer_bytes_envelope,
     customer_envelope,
     documents_envelope,
     events_envelope,
@@ -92,6 +93,13 @@ def classify_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classified_customers(spark, sf_dir).select("topic", "partition", "offset", "status")
 
 
+def classify_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1+P3 on raw bytes: invalid UTF-8 and tombstones get their own reasons."""
+    messages = customer_bytes_envelope(read_table(spark, sf_dir, "customer"))
+    classified = classify(messages.withColumn("n_bytes", F.length("value")), EMPLOYEE)
+    return classified.select("topic", "partition", "offset", "status", "n_bytes")
+
+
 def parse_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid records as typed columns."""
     return records(_classified_customers(spark, sf_dir))
@@ -231,6 +239,7 @@ QUERIES: dict[str, Query] = {
     "scan_envelope": scan_envelope,
     "decode_payload": decode_payload,
     "classify_payloads": classify_payloads,
+    "classify_bytes": classify_bytes,
     "parse_records": parse_records,
     "reject_records": reject_records,
     "reject_counts": reject_counts_q,
@@ -265,13 +274,7 @@ customer_env AS (
         FROM customer) c
 )"""
 
-_CLASSIFIED = (
-    "WITH"
-    + _CUSTOMER_ENV
-    + """,
-classified AS (
-  SELECT *,
-    CASE
+_STATUS_CASE = """CASE
       WHEN value IS NULL THEN 'null_payload'
       WHEN trim(value) = '' THEN 'empty'
       WHEN NOT json_valid(value) THEN 'malformed'
@@ -281,7 +284,14 @@ classified AS (
         OR coalesce(json_type(value, '$.name') IN ('OBJECT', 'ARRAY'), false)
         OR coalesce(json_type(value, '$.firstName') IN ('OBJECT', 'ARRAY'), false)
         OR coalesce(json_type(value, '$.lastName') IN ('OBJECT', 'ARRAY'), false) THEN 'nested_field'
-      ELSE 'ok' END AS status
+      ELSE 'ok' END"""
+
+_CLASSIFIED = (
+    "WITH"
+    + _CUSTOMER_ENV
+    + f""",
+classified AS (
+  SELECT *, {_STATUS_CASE} AS status
   FROM customer_env
 ),
 parsed AS (
@@ -355,6 +365,24 @@ SELECT topic, "partition", "offset", status,
 FROM checked
 """
 
+_BYTES = (
+    "WITH"
+    + _CUSTOMER_ENV
+    + f""",
+raw_env AS (
+  SELECT topic, "partition", "offset",
+         CASE ("offset" * 4 + "partition") % 20
+           WHEN 1 THEN NULL WHEN 19 THEN unhex('FF') || encode(value) ELSE encode(value) END AS raw
+  FROM customer_env
+),
+decoded AS (SELECT *, try(decode(raw)) AS value FROM raw_env)
+SELECT topic, "partition", "offset",
+       CASE WHEN raw IS NOT NULL AND value IS NULL THEN 'bad_utf8' ELSE {_STATUS_CASE} END AS status,
+       CAST(octet_length(raw) AS INTEGER) AS n_bytes
+FROM decoded
+"""
+)
+
 _DOCUMENTS = """
 WITH doc_msg AS (
   SELECT 'documents' AS topic,
@@ -395,6 +423,7 @@ SELECT topic, "partition", "offset", CAST(NULL AS VARCHAR) AS key, value FROM cu
 SELECT topic, "partition", "offset", value, CAST(octet_length(encode(value)) AS BIGINT) AS n_bytes
 FROM customer_env""",
     "classify_payloads": _CLASSIFIED + """SELECT topic, "partition", "offset", status FROM classified""",
+    "classify_bytes": _BYTES,
     "parse_records": _CLASSIFIED + "SELECT * FROM parsed",
     "reject_records": _CLASSIFIED
     + """SELECT topic, "partition", "offset", value, status AS reason FROM classified WHERE status <> 'ok'""",

@@ -63,6 +63,20 @@ def customer_envelope(customer: DataFrame) -> DataFrame:
     )
 
 
+def customer_bytes_envelope(customer: DataFrame) -> DataFrame:
+    """The customer messages as raw bytes: some are tombstones (null value)
+    and some carry a stray invalid UTF-8 byte before the JSON."""
+    env = customer_envelope(customer)
+    key = F.col("offset") * CUSTOMER_PARTITIONS + F.col("partition")
+    case = key % 20
+    value = (
+        F.when(case == 1, F.lit(None).cast("binary"))
+        .when(case == 19, F.concat(F.unhex(F.lit("FF")), F.col("value")))
+        .otherwise(F.col("value"))
+    )
+    return env.withColumn("value", value)
+
+
 def events_envelope(events: DataFrame) -> DataFrame:
     """One message per event; the payload is the event's ``props`` JSON."""
     eid = F.col("event_id")
