@@ -156,3 +156,40 @@ def test_offsets_snapshots_stay_two(spark, scratch):
     slot1 = {r.batch_id for r in spark.read.parquet(tables.offsets_slot(1)).collect()}
     assert (slot0, slot1) == ({2}, {1})
     assert sorted(tuple(r) for r in committed_offsets(spark, tables).collect()) == [("in", 0, 17), ("in", 1, 17)]
+
+
+class _CrashAfterWrite(FileSink):
+    """Writes the batch, then fails once for the given batch id: a crash between
+    the records write and the rejects/offsets writes."""
+
+    crash_batches: set
+
+    def write_batch(self, df, batch_id):
+        super().write_batch(df, batch_id)
+        if batch_id in self.crash_batches:
+            self.crash_batches.discard(batch_id)
+            raise RuntimeError(f"crash after writing batch {batch_id}")
+
+
+def test_crash_between_writes_keeps_every_message_once(spark, scratch):
+    landing, ckpt = f"{scratch}/landing", f"{scratch}/ckpt"
+    tables = RelayTables(f"{scratch}/tables")
+    sink = _CrashAfterWrite(f"{scratch}/out")
+    object.__setattr__(sink, "crash_batches", {1})
+    bad = {7, 18, 25}
+    for start, stop in ((0, 10), (10, 20), (20, 30)):
+        rows = [("in", o % 2, o // 2, "oops" if o in bad else '{"id":"%d"}' % o) for o in range(start, stop)]
+        spark.createDataFrame(rows, SCHEMA).write.mode("append").parquet(landing)
+
+    def run():
+        src = read_replay(spark, landing, spark.read.parquet(landing).schema, max_files_per_trigger=1)
+        start_relay(src, EMPLOYEE, "out", sink, tables, ckpt, trigger=ONCE).awaitTermination()
+
+    with pytest.raises(StreamingQueryException):
+        run()
+    run()
+    published = _ids(sink.read(spark))
+    rejected = sorted(r.offset * 2 + r.partition for r in spark.read.parquet(tables.rejects).collect())
+    assert published == sorted(set(range(30)) - bad)
+    assert rejected == sorted(bad)
+    assert sorted(tuple(r) for r in committed_offsets(spark, tables).collect()) == [("in", 0, 14), ("in", 1, 14)]
