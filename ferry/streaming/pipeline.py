@@ -174,7 +174,9 @@ def start_relay(
                 ),
                 batch_id,
             )
-            reject_sink.write_batch(rejects(classified), batch_id)
+            # Rebalance: AQE sizes the reject files (few when rejects are rare)
+            # instead of one small file per source task and batch.
+            reject_sink.write_batch(rejects(classified).hint("rebalance"), batch_id)
             # Offsets last: every message of the batch, valid or not, is processed.
             _write_offsets_snapshot(batch.sparkSession, tables, classified, batch_id)
             if on_batch is not None:
