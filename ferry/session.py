@@ -31,12 +31,15 @@ def local_session(cores: int = 8, app: str = "ferry") -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
-    Only when the session has none (a local test run) is a fresh temporary
-    folder set as the checkpoint directory.
+    Only a local-mode session without one (a test run) gets a fresh
+    temporary folder; on a cluster a machine-local folder would not be
+    shared, so the setting is required there.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster (e.g. on HDFS or S3)")
     local = tempfile.mkdtemp(prefix="ferry-")
     spark.sparkContext.setCheckpointDir(local)
     return local
