@@ -26,7 +26,7 @@ from ferry.session import shared_dir
 from ferry.sources.kafka import read_kafka
 from ferry.sources.options import KafkaSink, KafkaSource
 from ferry.sources.replay import read_replay
-from ferry.streaming.pipeline import RelayTables, start_relay
+from ferry.streaming.jobs import RelayTables, start_relay
 from ferry.streaming.sinks import FileSink, KafkaWriter
 
 

@@ -40,7 +40,7 @@ from ferry.sources.derived import (
     events_time_envelope,
 )
 from ferry.sources.replay import read_replay, read_table, stream_table
-from ferry.streaming.pipeline import RelayTables, committed_offsets, start_publish, start_relay
+from ferry.streaming.jobs import RelayTables, committed_offsets, start_publish, start_relay
 from ferry.streaming.sinks import FileSink
 
 # Fixed values of the registered queries.

@@ -1,6 +1,6 @@
 """Structured Streaming: the relay as a streaming query."""
 
-from ferry.streaming.pipeline import (
+from ferry.streaming.jobs import (
     DEFAULT_TRIGGER,
     RelayTables,
     committed_offsets,

@@ -9,7 +9,7 @@ from ferry import EMPLOYEE, classify, publish_envelope
 from ferry.sources.derived import customer_envelope
 from ferry.sources.replay import read_replay, read_table, stream_table
 from ferry.streaming import FileSink, RelayTables, committed_offsets, start_publish, start_relay
-from ferry.streaming.pipeline import DEFAULT_TRIGGER
+from ferry.streaming.jobs import DEFAULT_TRIGGER
 
 from .conftest import SF_SMALL
 
