@@ -197,3 +197,18 @@ def test_fuzz_matches_strict_json(spark):
     )
     diffs = [(p, r["status"], _expected(p)) for p, r in zip(payloads, rows) if r["status"] != _expected(p)]
     assert not diffs, diffs[:5]
+
+
+def test_number_rendering_in_string_fields(spark):
+    cases = {
+        "1.50": "1.5",
+        "12.0": "12",
+        "1e3": "1000.0",
+        "3.14159265358979323846": "3.14159265358979323846",
+        "0.000001": "0.000001",
+        "12345678901234567890123": "12345678901234567890123",
+        "-7": "-7",
+        "true": "true",
+    }
+    rows = _run(spark, ['{"id":%s}' % k for k in cases])
+    assert [(r["status"], r["id"]) for r in rows] == [("ok", v) for v in cases.values()]
