@@ -65,3 +65,29 @@ def test_fallback_join_is_salted_not_broadcast(spark):
     assert "ShuffledHashJoin" in plan
     assert "_salt" in plan and "_c_salt" in plan
     assert df.count() == 0  # everything is committed
+
+
+def test_streaming_publish_plan_is_one_stage(spark, scratch):
+    import contextlib
+    import io
+
+    from ferry.sources.replay import stream_table
+    from ferry.streaming import FileSink, start_publish
+
+    q = start_publish(
+        stream_table(spark, SF_SMALL, "customer"),
+        EMPLOYEE,
+        "employees",
+        FileSink(f"{scratch}/out"),
+        f"{scratch}/ckpt",
+        trigger={"availableNow": True},
+        prepare=customer_envelope,
+    )
+    q.awaitTermination()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        q.explain()
+    plan = buf.getvalue()
+    assert plan.count("from_json") == 1
+    assert "Exchange" not in plan
+    assert "CollectMetrics" in plan
