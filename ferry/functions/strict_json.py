@@ -63,28 +63,29 @@ def _wrapper_schema(record: T.StructType) -> T.StructType:
     )
 
 
-def _is_container(v: Column) -> Column:
-    kind = F.schema_of_variant(v)
-    return F.coalesce(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.lit(False))
+def _q(name: str) -> str:
+    """A name as a quoted SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
 
 
-def _typed(v: Column, dtype: T.DataType, timestamp_format: str) -> tuple[Column, Column]:
-    """(value, is_bad) for one field read as variant."""
+def _typed_sql(v: str, dtype: T.DataType) -> tuple[str, str]:
+    """(value, is_bad) SQL for one field read as variant ``v``.
+
+    ``_fmt`` is a literal column holding the time format (no user text is
+    spliced into SQL)."""
     if isinstance(dtype, T.StringType):
         # Numbers and booleans are accepted into string fields, as text.
-        return v.cast("string"), F.lit(False)
-    kind = F.schema_of_variant(v)
+        return f"CAST({v} AS STRING)", "false"
+    kind = f"schema_of_variant({v})"
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        parsed = F.try_to_timestamp(v.cast("string"), F.lit(timestamp_format))
+        parsed = f"try_to_timestamp(CAST({v} AS STRING), _fmt)"
         if isinstance(dtype, T.TimestampNTZType):
-            parsed = parsed.cast("timestamp_ntz")
-        wrong_kind = ~kind.isin("STRING", "VOID")
-        unparsed = (kind == "STRING") & parsed.isNull()
-        return parsed, F.coalesce(wrong_kind | unparsed, F.lit(False))
+            parsed = f"CAST({parsed} AS TIMESTAMP_NTZ)"
+        bad = f"coalesce(NOT {kind} IN ('STRING', 'VOID') OR ({kind} = 'STRING' AND {parsed} IS NULL), false)"
+        return parsed, bad
     if isinstance(dtype, T.AtomicType):
-        got = F.try_variant_get(v, "$", dtype.simpleString())
-        bad = (kind != "VOID") & got.isNull()
-        return got, F.coalesce(bad, F.lit(False))
+        got = f"try_variant_get({v}, '$', '{dtype.simpleString()}')"
+        return got, f"coalesce({kind} <> 'VOID' AND {got} IS NULL, false)"
     raise TypeError(f"record fields must be atomic types, got {dtype.simpleString()}")
 
 
@@ -106,58 +107,56 @@ def classify(
     missing keys give null and the last duplicate key wins. Extra Jackson
     options (``allowUnquotedFieldNames``, ``allowComments``...) pass through
     ``json_options``; single quotes are accepted by default.
+
+    The status and field expressions are written as Spark SQL expression
+    text: the same Catalyst expressions, built by the JVM parser in a few
+    calls instead of about a thousand Python-to-JVM round trips - which
+    matters because a ``foreachBatch`` job builds this plan every batch.
     """
     schema = as_struct(schema)
-    raw = F.col(value)
-    text = payload_text(df, value)
     is_binary = isinstance(df.schema[value].dataType, T.BinaryType)
+    others = [F.col(_q(c)) for c in df.columns if c != value]
 
     # Null-ness of the raw bytes must be read before ``value`` becomes text.
-    base = df.withColumn("_raw_null", raw.isNull()) if is_binary else df
-    staged = base.withColumn(value, text).withColumn(
-        "_p",
+    staged = df.select(
+        *others,
+        payload_text(df, value).alias(value),
+        F.col(_q(value)).isNull().alias("_raw_null") if is_binary else F.lit(None).cast("boolean").alias("_raw_null"),
+    ).select(
+        "*",
         F.from_json(
-            F.concat(F.lit(_WRAP_OPEN), F.col(value), F.lit(_WRAP_CLOSE)),
+            F.concat(F.lit(_WRAP_OPEN), F.col(_q(value)), F.lit(_WRAP_CLOSE)),
             _wrapper_schema(schema),
             {**dict(json_options or {}), "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT},
-        ),
+        ).alias("_p"),
+        F.lit(timestamp_format).alias("_fmt"),
     )
-    raw_null = F.col("_raw_null") if is_binary else F.col(value).isNull()
-
-    p = F.col("_p")
-    doc = F.get(p["r"], 0)
-    fields = [(f.name, doc[f.name], f.dataType) for f in schema.fields]
-    typed = [(name, *_typed(v, dtype, timestamp_format)) for name, v, dtype in fields]
-
-    nested = F.lit(False)
-    for _, v, _dtype in fields:
-        nested = nested | _is_container(v)
-    bad = F.lit(False)
-    for _, _val, is_bad in typed:
-        bad = bad | is_bad
-
-    txt = F.col(value)
-    state = (
-        F.when(~raw_null & txt.isNull(), "bad_utf8")
-        .when(raw_null, "null_payload")
-        .when(
-            p[_CORRUPT].isNotNull()
-            | p["end"].isNull()
-            | (p["end"] != _MARKER)
-            | p["r"].isNull()
-            | (F.instr(txt, _MARKER) > 0),
-            "malformed",
-        )
-        .when(F.size(p["r"]) == 0, "empty")
-        .when(F.size(p["r"]) > 1, "malformed")
-        .when(doc.isNull(), "json_null")
-        .when(nested, "nested_field")
-        .when(bad, "bad_field")
-        .otherwise("ok")
-    )
-    out = staged.withColumn(status, state)
+
+    val = _q(value)
+    raw_null = "_raw_null" if is_binary else f"{val} IS NULL"
+    doc = "get(_p.r, 0)"
+    fields = [(f, f"{doc}.{_q(f.name)}") for f in schema.fields]
+    typed = [(f, *_typed_sql(v, f.dataType)) for f, v in fields]
+    nested = " OR ".join(
+        f"coalesce(startswith(schema_of_variant({v}), 'OBJECT') OR startswith(schema_of_variant({v}), 'ARRAY'), false)"
+        for _, v in fields
+    ) or "false"
+    bad = " OR ".join(b for _, _, b in typed if b != "false") or "false"
+    state = f"""CASE
+        WHEN NOT {raw_null} AND {val} IS NULL THEN 'bad_utf8'
+        WHEN {raw_null} THEN 'null_payload'
+        WHEN _p.{_CORRUPT} IS NOT NULL OR _p.end IS NULL OR _p.end <> '{_MARKER}' OR _p.r IS NULL
+             OR instr({val}, '{_MARKER}') > 0 THEN 'malformed'
+        WHEN size(_p.r) = 0 THEN 'empty'
+        WHEN size(_p.r) > 1 THEN 'malformed'
+        WHEN {doc} IS NULL THEN 'json_null'
+        WHEN {nested} THEN 'nested_field'
+        WHEN {bad} THEN 'bad_field'
+        ELSE 'ok' END"""
+    with_status = staged.select("*", F.expr(state).alias(status))
     rec = F.when(
-        F.col(status) == "ok",
-        F.struct(*[val.cast(f.dataType).alias(f.name) for (_, val, _b), f in zip(typed, schema.fields)]),
+        F.col(_q(status)) == "ok",
+        F.struct(*[F.expr(f"CAST({v} AS {f.dataType.simpleString()})").alias(f.name) for f, v, _b in typed]),
     )
-    return out.withColumn(record, rec).drop("_p", "_raw_null")
+    keep = [F.col(_q(c)) for c in df.columns] + [F.col(_q(status))]  # input order, value now text
+    return with_status.select(*keep, rec.alias(record))

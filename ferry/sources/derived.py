@@ -8,7 +8,6 @@ the Kafka source delivers it.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 # Topic names and the number of Kafka partitions of each
 # derived topic.
@@ -20,46 +19,41 @@ DOCUMENTS_TOPIC = "documents"
 DOCUMENTS_PARTITIONS = 8
 
 
-def _envelope(df: DataFrame, topic: str, partition, offset, value, timestamp=None) -> DataFrame:
-    ts = timestamp.cast("timestamp") if timestamp is not None else F.lit(None).cast("timestamp")
-    return df.select(
-        F.lit(None).cast("binary").alias("key"),
-        value.cast("binary").alias("value"),
-        F.lit(topic).alias("topic"),
-        partition.cast("int").alias("partition"),
-        offset.cast("long").alias("offset"),
-        ts.alias("timestamp"),
-        F.lit(0).alias("timestampType"),
+def _envelope(df: DataFrame, topic: str, partition: str, offset: str, value: str, timestamp: str | None = None) -> DataFrame:
+    """Kafka-source columns from SQL expression text over ``df``'s columns."""
+    return df.selectExpr(
+        "CAST(NULL AS BINARY) AS key",
+        f"CAST({value} AS BINARY) AS value",
+        f"'{topic}' AS topic",
+        f"CAST({partition} AS INT) AS `partition`",
+        f"CAST({offset} AS BIGINT) AS `offset`",
+        f"CAST({timestamp or 'NULL'} AS TIMESTAMP) AS `timestamp`",
+        "0 AS timestampType",
     )
 
 
+# Fixed value: the customer message payload (same SQL as the DuckDB oracle).
+_CUSTOMER_GOOD = """concat('{"id":"', CAST(c_custkey AS STRING), '","name":"', c_name,
+    '","firstName":"', c_mktsegment, '"',
+    CASE WHEN c_acctbal >= 0 THEN concat(',"lastName":"N', CAST(c_nationkey AS STRING), '"') ELSE '' END,
+    '}')"""
+_CUSTOMER_VALUE = f"""CASE c_custkey % 20
+    WHEN 3 THEN 'not json' WHEN 7 THEN '' WHEN 11 THEN 'null'
+    WHEN 13 THEN '{{"id":{{"a":1}}}}' WHEN 17 THEN concat({_CUSTOMER_GOOD}, ' x')
+    ELSE {_CUSTOMER_GOOD} END"""
+
+
 def customer_envelope(customer: DataFrame) -> DataFrame:
     """One message per customer: an employee-shaped JSON record, with a
     deterministic share of broken payloads (garbage, empty, JSON null,
     nested field, trailing text) so every reject path is exercised.
     ``lastName`` is absent when the balance is negative."""
-    key = F.col("c_custkey")
-    good = F.concat(
-        F.lit('{"id":"'), key.cast("string"),
-        F.lit('","name":"'), F.col("c_name"),
-        F.lit('","firstName":"'), F.col("c_mktsegment"), F.lit('"'),
-        F.when(
-            F.col("c_acctbal") >= 0,
-            F.concat(F.lit(',"lastName":"N'), F.col("c_nationkey").cast("string"), F.lit('"')),
-        ).otherwise(F.lit("")),
-        F.lit("}"),
-    )
-    case = key % 20
-    value = (
-        F.when(case == 3, F.lit("not json"))
-        .when(case == 7, F.lit(""))
-        .when(case == 11, F.lit("null"))
-        .when(case == 13, F.lit('{"id":{"a":1}}'))
-        .when(case == 17, F.concat(good, F.lit(" x")))
-        .otherwise(good)
-    )
     return _envelope(
-        customer, CUSTOMER_TOPIC, key % CUSTOMER_PARTITIONS, F.floor(key / CUSTOMER_PARTITIONS), value
+        customer,
+        CUSTOMER_TOPIC,
+        f"c_custkey % {CUSTOMER_PARTITIONS}",
+        f"floor(c_custkey / {CUSTOMER_PARTITIONS})",
+        _CUSTOMER_VALUE,
     )
 
 
@@ -67,27 +61,34 @@ def customer_bytes_envelope(customer: DataFrame) -> DataFrame:
     """The customer messages as raw bytes: some are tombstones (null value)
     and some carry a stray invalid UTF-8 byte before the JSON."""
     env = customer_envelope(customer)
-    key = F.col("offset") * CUSTOMER_PARTITIONS + F.col("partition")
-    case = key % 20
-    value = (
-        F.when(case == 1, F.lit(None).cast("binary"))
-        .when(case == 19, F.concat(F.unhex(F.lit("FF")), F.col("value")))
-        .otherwise(F.col("value"))
+    return env.selectExpr(
+        "key",
+        f"""CASE (`offset` * {CUSTOMER_PARTITIONS} + `partition`) % 20
+              WHEN 1 THEN CAST(NULL AS BINARY)
+              WHEN 19 THEN concat(unhex('FF'), value)
+              ELSE value END AS value""",
+        "topic",
+        "`partition`",
+        "`offset`",
+        "`timestamp`",
+        "timestampType",
     )
-    return env.withColumn("value", value)
 
 
 def events_envelope(events: DataFrame) -> DataFrame:
     """One message per event; the payload is the event's ``props`` JSON."""
-    eid = F.col("event_id")
     return _envelope(
-        events, EVENTS_TOPIC, eid % EVENTS_PARTITIONS, F.floor(eid / EVENTS_PARTITIONS), F.col("props"), F.col("ts")
+        events,
+        EVENTS_TOPIC,
+        f"event_id % {EVENTS_PARTITIONS}",
+        f"floor(event_id / {EVENTS_PARTITIONS})",
+        "props",
+        "ts",
     )
 
 
-def _wall_seconds(ts):
-    """``yyyy-MM-ddTHH:mm:ss`` of a ``timestamp_ntz`` without any time-zone conversion."""
-    return F.substring(F.replace(ts.cast("timestamp_ntz").cast("string"), F.lit(" "), F.lit("T")), 1, 19)
+# Wall time of the (zone-less) event time: cast to text, never through the session zone.
+_WALL_SECONDS = "substring(replace(CAST(CAST(ts AS TIMESTAMP_NTZ) AS STRING), ' ', 'T'), 1, 19)"
 
 
 def events_time_envelope(events: DataFrame) -> DataFrame:
@@ -97,33 +98,28 @@ def events_time_envelope(events: DataFrame) -> DataFrame:
     carry a number and signup events a word instead, which the parser must
     report as ``bad_field``.
     """
-    eid = F.col("event_id")
-    head = F.concat(F.lit('{"id":"'), eid.cast("string"), F.lit('","at":'))
-    at = (
-        F.when(F.col("event_type") == "error", F.col("user_id").cast("string"))
-        .when(F.col("event_type") == "signup", F.concat(F.lit('"'), F.col("event_type"), F.lit('"')))
-        # wall time of the (zone-less) event time: cast to text, never through the session zone
-        .otherwise(F.concat(F.lit('"'), _wall_seconds(F.col("ts")), F.lit('+0100"')))
-    )
+    value = f"""concat('{{"id":"', CAST(event_id AS STRING), '","at":',
+        CASE WHEN event_type = 'error' THEN CAST(user_id AS STRING)
+             WHEN event_type = 'signup' THEN concat('"', event_type, '"')
+             ELSE concat('"', {_WALL_SECONDS}, '+0100"') END,
+        '}}')"""
     return _envelope(
         events,
         EVENTS_TOPIC,
-        eid % EVENTS_PARTITIONS,
-        F.floor(eid / EVENTS_PARTITIONS),
-        F.concat(head, at, F.lit("}")),
-        F.col("ts"),
+        f"event_id % {EVENTS_PARTITIONS}",
+        f"floor(event_id / {EVENTS_PARTITIONS})",
+        value,
+        "ts",
     )
 
 
 def documents_envelope(documents: DataFrame) -> DataFrame:
     """One message per document: the whole document (up to ~128K characters
     of prose with newlines, quotes and non-ASCII text) as a JSON record."""
-    did = F.col("doc_id")
-    record = F.struct(did.cast("string").alias("doc_id"), "lang", "source", "text")
     return _envelope(
         documents,
         DOCUMENTS_TOPIC,
-        did % DOCUMENTS_PARTITIONS,
-        F.floor(did / DOCUMENTS_PARTITIONS),
-        F.to_json(record),
+        f"doc_id % {DOCUMENTS_PARTITIONS}",
+        f"floor(doc_id / {DOCUMENTS_PARTITIONS})",
+        "to_json(named_struct('doc_id', CAST(doc_id AS STRING), 'lang', lang, 'source', source, 'text', text))",
     )

@@ -151,40 +151,40 @@ def start_relay(
     reject_sink = FileSink(tables.rejects)
     _init_offsets_slots(source.sparkSession, tables)
 
+    # The plan is classified once on the stream, not rebuilt in every batch.
+    # Only what the three writes read is kept: the raw text for rejects
+    # alone (valid messages carry their parsed record instead).
+    messages = prepare(source) if prepare is not None else source
+    classified = classify(messages, schema, json_options=json_options, timestamp_format=timestamp_format).select(
+        "topic",
+        "partition",
+        "offset",
+        "status",
+        "record",
+        F.when(F.col("status") != "ok", F.col("value")).alias("value"),
+    )
+
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        messages = prepare(batch) if prepare is not None else batch
         counts = Observation(METRICS_NAME)
-        observed = classify(
-            messages, schema, json_options=json_options, timestamp_format=timestamp_format
-        ).observe(counts, *status_metrics())
-        # Cache only what the three writes read: the raw text is kept for
-        # rejects alone (valid messages carry their parsed record instead).
-        classified = observed.select(
-            "topic",
-            "partition",
-            "offset",
-            "status",
-            "record",
-            F.when(F.col("status") != "ok", F.col("value")).alias("value"),
-        ).persist(StorageLevel.MEMORY_AND_DISK)
+        cached = batch.observe(counts, *status_metrics()).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             sink.write_batch(
                 publish_envelope(
-                    classified, target_topic, source_headers=source_headers, timestamp_format=timestamp_format
+                    cached, target_topic, source_headers=source_headers, timestamp_format=timestamp_format
                 ),
                 batch_id,
             )
             # Rebalance: AQE sizes the reject files (few when rejects are rare)
             # instead of one small file per source task and batch.
-            reject_sink.write_batch(rejects(classified).hint("rebalance"), batch_id)
+            reject_sink.write_batch(rejects(cached).hint("rebalance"), batch_id)
             # Offsets last: every message of the batch, valid or not, is processed.
-            _write_offsets_snapshot(batch.sparkSession, tables, classified, batch_id)
+            _write_offsets_snapshot(batch.sparkSession, tables, cached, batch_id)
             if on_batch is not None:
                 on_batch(batch_id, counts.get)
         finally:
-            classified.unpersist()
+            cached.unpersist()
 
-    writer = source.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    writer = classified.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     if query_name:
         writer = writer.queryName(query_name)
     return _with_trigger(writer, trigger).start()
