@@ -193,3 +193,24 @@ def test_crash_between_writes_keeps_every_message_once(spark, scratch):
     assert published == sorted(set(range(30)) - bad)
     assert rejected == sorted(bad)
     assert sorted(tuple(r) for r in committed_offsets(spark, tables).collect()) == [("in", 0, 14), ("in", 1, 14)]
+
+
+def test_relay_prepare_stage(spark, scratch):
+    from pyspark.sql import functions as F
+
+    landing = f"{scratch}/landing"
+    _land(spark, landing, 0, 20)
+    tables = RelayTables(f"{scratch}/tables")
+    sink = FileSink(f"{scratch}/out")
+    start_relay(
+        _source(spark, landing),
+        EMPLOYEE,
+        "out",
+        sink,
+        tables,
+        f"{scratch}/ckpt",
+        trigger=ONCE,
+        prepare=lambda df: df.filter(F.col("partition") == 0),
+    ).awaitTermination()
+    assert _ids(sink.read(spark)) == list(range(0, 20, 2))
+    assert [tuple(r) for r in committed_offsets(spark, tables).collect()] == [("in", 0, 9)]
