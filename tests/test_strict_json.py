@@ -212,3 +212,19 @@ def test_number_rendering_in_string_fields(spark):
     }
     rows = _run(spark, ['{"id":%s}' % k for k in cases])
     assert [(r["status"], r["id"]) for r in rows] == [("ok", v) for v in cases.values()]
+
+
+@pytest.mark.parametrize(
+    "conf", [("spark.sql.ansi.enabled", "false"), ("spark.sql.json.enablePartialResults", "false")]
+)
+def test_golden_matrix_under_other_session_settings(spark, conf):
+    key, value = conf
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        rows = _run(spark, [p for p, _, _ in GOLDEN])
+    finally:
+        spark.conf.set(key, before)
+    for (payload, status, fields), row in zip(GOLDEN, rows):
+        assert row["status"] == status, payload
+        assert tuple(row[f] for f in FIELDS) == (fields or (None, None, None, None)), payload
