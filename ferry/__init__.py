@@ -13,8 +13,18 @@ built-ins, so the same code serves batch and Structured Streaming.
 from ferry.schemas import EMPLOYEE, ENVELOPE, OFFSETS, REJECTS
 from ferry.functions.strict_json import STATUSES, classify
 from ferry.functions.serialize import serialize
-from ferry.operators.records import publish_envelope, records, reject_counts, rejects
-from ferry.operators.offsets import after_committed, max_offsets, record_counts
+from ferry.operators.records import (
+    keep_where,
+    parsed_fields,
+    publish_envelope,
+    records,
+    reject_counts,
+    rejects,
+    serialized,
+    status_metrics,
+)
+from ferry.operators.offsets import after_committed, max_offsets, merge_offsets, record_counts
+from ferry.plans.relay import RelayOutput, relay
 
 __all__ = [
     "EMPLOYEE",
@@ -22,13 +32,20 @@ __all__ = [
     "OFFSETS",
     "REJECTS",
     "STATUSES",
+    "RelayOutput",
     "after_committed",
     "classify",
+    "keep_where",
     "max_offsets",
+    "merge_offsets",
+    "parsed_fields",
     "publish_envelope",
     "record_counts",
     "records",
     "reject_counts",
     "rejects",
+    "relay",
     "serialize",
+    "serialized",
+    "status_metrics",
 ]
