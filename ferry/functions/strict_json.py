@@ -78,7 +78,8 @@ def _typed_sql(v: str, dtype: T.DataType) -> tuple[str, str]:
         return f"CAST({v} AS STRING)", "false"
     kind = f"schema_of_variant({v})"
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        parsed = f"try_to_timestamp(CAST({v} AS STRING), _fmt)"
+        # only JSON strings can hold a time; skipping the others avoids a failed parse each
+        parsed = f"CASE WHEN {kind} = 'STRING' THEN try_to_timestamp(CAST({v} AS STRING), _fmt) END"
         if isinstance(dtype, T.TimestampNTZType):
             parsed = f"CAST({parsed} AS TIMESTAMP_NTZ)"
         bad = f"coalesce(NOT {kind} IN ('STRING', 'VOID') OR ({kind} = 'STRING' AND {parsed} IS NULL), false)"
