@@ -52,3 +52,23 @@ def test_sink_options():
 def test_kafka_connector_absent_here(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         read_kafka(spark, KafkaSource("localhost:9092", "inputTopic"), stream=False).schema  # noqa: B018
+
+
+def test_kafka_writer_targets_the_kafka_format(spark, scratch):
+    from ferry import EMPLOYEE, classify, publish_envelope
+    from ferry.sources.replay import read_replay
+    from ferry.streaming import KafkaWriter, start_publish
+
+    writer = KafkaWriter(KafkaSink("localhost:9092", "employees"))
+    df = spark.createDataFrame([("employees", None, '{"id":"1"}')], "topic string, key string, value string")
+    with pytest.raises(Exception, match="(?i)kafka"):
+        writer.write_batch(df, 0)
+
+    landing = f"{scratch}/landing"
+    spark.createDataFrame([("t", 0, 0, '{"id":"1"}')], "topic string, partition int, offset long, value string").write.parquet(
+        landing
+    )
+    source = read_replay(spark, landing, spark.read.parquet(landing).schema)
+    with pytest.raises(Exception, match="(?i)kafka"):
+        start_publish(source, EMPLOYEE, "employees", writer, f"{scratch}/ckpt", trigger={"availableNow": True})
+    assert publish_envelope(classify(df.select("value"), EMPLOYEE), "employees").columns == ["topic", "key", "value"]
