@@ -39,3 +39,11 @@ def test_cli_splits_hot_partitions_by_default(spark):
     assert min_partitions(spark, None) == 3 * spark.sparkContext.defaultParallelism
     assert min_partitions(spark, 0) is None
     assert min_partitions(spark, 500) == 500
+
+
+def test_cli_kafka_branch_reaches_the_kafka_source(spark, scratch):
+    argv = ["--bootstrap-servers", "localhost:9092", "--source-topic", "inputTopic", "--target-topic", "employees",
+            "--consumer-id", "relay", "--fetch-bytes", "102400", "--source-option", "kafka.client.id=x",
+            "--root", f"{scratch}/root"]
+    with pytest.raises(Exception, match="(?i)kafka"):
+        start(spark, parse_args(argv))
