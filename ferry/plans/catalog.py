@@ -235,6 +235,23 @@ def stream_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return committed_offsets(spark, tables)
 
 
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejects table written by the foreachBatch job over the customer stream."""
+    root = fresh_dir(spark, "stream_rejects")
+    tables = RelayTables(f"{root}/tables")
+    start_relay(
+        stream_table(spark, sf_dir, "customer"),
+        EMPLOYEE,
+        EMPLOYEE_TOPIC,
+        FileSink(f"{root}/out"),
+        tables,
+        f"{root}/checkpoint",
+        trigger=AVAILABLE_NOW,
+        prepare=customer_envelope,
+    ).awaitTermination()
+    return spark.read.parquet(tables.rejects).select("topic", "partition", "offset", "value", "reason")
+
+
 QUERIES: dict[str, Query] = {
     "scan_envelope": scan_envelope,
     "decode_payload": decode_payload,
@@ -253,6 +270,7 @@ QUERIES: dict[str, Query] = {
     "stream_publish": stream_publish,
     "stream_resume": stream_resume,
     "stream_offsets": stream_offsets,
+    "stream_rejects": stream_rejects,
 }
 
 
@@ -445,4 +463,6 @@ WHERE e."offset" > coalesce(c.committed, -1)""",
     "stream_publish": _CLASSIFIED + _PUBLISHED,
     "stream_resume": _EVENTS_PUBLISHED,
     "stream_offsets": _MAX_OFFSET,
+    "stream_rejects": _CLASSIFIED
+    + """SELECT topic, "partition", "offset", value, status AS reason FROM classified WHERE status <> 'ok'""",
 }
