@@ -53,8 +53,9 @@ def test_resume_filter_reaches_the_scan(spark):
     messages = events_envelope(read_table(spark, SF_SMALL, "events"))
     committed = max_offsets(messages.filter(F.col("timestamp") < F.lit("2024-01-16").cast("timestamp")))
     df = after_committed(messages, committed)
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
+    assert "BroadcastHashJoin" in _plan(df)
+    scan = _plan(committed)
+    assert "PushedFilters: [IsNotNull(ts), LessThan(ts," in scan
 
 
 def test_fallback_join_is_salted_not_broadcast(spark):
