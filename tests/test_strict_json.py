@@ -228,3 +228,25 @@ def test_golden_matrix_under_other_session_settings(spark, conf):
     for (payload, status, fields), row in zip(GOLDEN, rows):
         assert row["status"] == status, payload
         assert tuple(row[f] for f in FIELDS) == (fields or (None, None, None, None)), payload
+
+
+def test_other_atomic_fields(spark):
+    import datetime
+
+    schema = "d date, b boolean, x double"
+    rows = _run(
+        spark,
+        [
+            '{"d":"2024-01-02","b":true,"x":1.5}',
+            '{"b":"maybe"}',
+            '{"x":"abc"}',
+            '{"d":"not a date"}',
+            '{"d":null,"b":null,"x":null}',
+            '{"b":"yes","x":"7"}',
+        ],
+        schema=schema,
+    )
+    assert (rows[0]["status"], rows[0]["d"], rows[0]["b"], rows[0]["x"]) == ("ok", datetime.date(2024, 1, 2), True, 1.5)
+    assert [r["status"] for r in rows[1:5]] == ["bad_field", "bad_field", "bad_field", "ok"]
+    # conversion follows Spark's variant cast: "yes" is true, "7" is 7.0
+    assert (rows[5]["status"], rows[5]["b"], rows[5]["x"]) == ("ok", True, 7.0)
