@@ -250,3 +250,10 @@ def test_other_atomic_fields(spark):
     assert [r["status"] for r in rows[1:5]] == ["bad_field", "bad_field", "bad_field", "ok"]
     # conversion follows Spark's variant cast: "yes" is true, "7" is 7.0
     assert (rows[5]["status"], rows[5]["b"], rows[5]["x"]) == ("ok", True, 7.0)
+
+
+def test_timestamp_ntz_field_is_wall_time_in_session_zone(spark):
+    rows = _run(spark, ['{"at":"2016-12-22T18:16:00+0100"}', '{"at":5}'], schema="at timestamp_ntz")
+    assert rows[0]["status"] == "ok"
+    assert rows[0]["at"] == dt.datetime(2016, 12, 22, 17, 16, 0)  # the test session runs in UTC
+    assert rows[1]["status"] == "bad_field"
