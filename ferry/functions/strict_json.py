@@ -115,6 +115,9 @@ def classify(
     matters because a ``foreachBatch`` job builds this plan every batch.
     """
     schema = as_struct(schema)
+    taken = {status, record, "_p", "_fmt", "_raw_null"} & set(df.columns)
+    if taken:
+        raise ValueError(f"classify adds columns {sorted(taken)} that the input already has; rename them first")
     is_binary = isinstance(df.schema[value].dataType, T.BinaryType)
     others = [F.col(_q(c)) for c in df.columns if c != value]
 

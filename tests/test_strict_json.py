@@ -257,3 +257,9 @@ def test_timestamp_ntz_field_is_wall_time_in_session_zone(spark):
     assert rows[0]["status"] == "ok"
     assert rows[0]["at"] == dt.datetime(2016, 12, 22, 17, 16, 0)  # the test session runs in UTC
     assert rows[1]["status"] == "bad_field"
+
+
+def test_classify_refuses_column_clashes(spark):
+    df = spark.createDataFrame([("{}", "x")], "value string, status string")
+    with pytest.raises(ValueError, match="status"):
+        classify(df, EMPLOYEE)
