@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ferry.schemas import ENVELOPE
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Batch read of one driver table ``<sf_dir>/<name>.parquet``."""
@@ -30,11 +32,12 @@ def stream_table(
 def read_replay(
     spark: SparkSession,
     path: str,
-    schema: T.StructType,
+    schema: T.StructType = ENVELOPE,
     stream: bool = True,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Messages staged as parquet under ``path`` with envelope columns."""
+    """Messages staged as parquet under ``path`` with envelope columns
+    (by default exactly the Kafka source's columns)."""
     if not stream:
         return spark.read.schema(schema).parquet(path)
     reader = spark.readStream.schema(schema)
