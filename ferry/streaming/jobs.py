@@ -192,7 +192,9 @@ def start_relay(
 
 def committed_offsets(spark: SparkSession, tables: RelayTables) -> DataFrame:
     """K1: highest processed offset per (topic, partition): the newer snapshot."""
-    snapshots = spark.read.schema(_SNAPSHOT).parquet(tables.offsets_slot(0), tables.offsets_slot(1))
+    # A glob, not two paths: while a batch overwrites its slot that folder can be
+    # missing for a moment, and the other slot still holds a complete snapshot.
+    snapshots = spark.read.schema(_SNAPSHOT).parquet(f"{tables.offsets}/slot[01]")
     # a global aggregate has exactly one row: safe to broadcast
     newest = F.broadcast(snapshots.agg(F.max("batch_id").alias("batch_id")))
     return snapshots.join(newest, "batch_id").select("topic", "partition", "max_offset")

@@ -214,3 +214,12 @@ def test_relay_prepare_stage(spark, scratch):
     ).awaitTermination()
     assert _ids(sink.read(spark)) == list(range(0, 20, 2))
     assert [tuple(r) for r in committed_offsets(spark, tables).collect()] == [("in", 0, 9)]
+
+
+def test_committed_offsets_read_survives_a_missing_slot(spark, scratch):
+    tables = RelayTables(f"{scratch}/tables")
+    row = [("in", 0, 4, 3)]
+    spark.createDataFrame(row, "topic string, partition int, max_offset long, batch_id long").write.parquet(
+        tables.offsets_slot(3)
+    )  # only slot1 exists, as while slot0 is being rewritten
+    assert [tuple(r) for r in committed_offsets(spark, tables).collect()] == [("in", 0, 4)]
