@@ -223,3 +223,16 @@ def test_committed_offsets_read_survives_a_missing_slot(spark, scratch):
         tables.offsets_slot(3)
     )  # only slot1 exists, as while slot0 is being rewritten
     assert [tuple(r) for r in committed_offsets(spark, tables).collect()] == [("in", 0, 4)]
+
+
+def test_rejects_are_rebalanced_into_few_files(spark, scratch):
+    landing = f"{scratch}/landing"
+    rows = [("in", o % 8, o, "bad" if o % 50 == 0 else '{"id":"%d"}' % o) for o in range(4000)]
+    spark.createDataFrame(rows, SCHEMA).repartition(8).write.parquet(landing)
+    tables = RelayTables(f"{scratch}/tables")
+    sink = FileSink(f"{scratch}/out")
+    start_relay(_source(spark, landing), EMPLOYEE, "out", sink, tables, f"{scratch}/ckpt", trigger=ONCE).awaitTermination()
+    rejects = spark.read.parquet(tables.rejects)
+    assert rejects.count() == 80
+    assert len(rejects.inputFiles()) == 1  # not one per source task
+    assert len(sink.read(spark).inputFiles()) == 8  # the data path keeps one task per source split
