@@ -16,6 +16,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     session = local_session(8, "ferry-tests")
     yield session
+    for query in session.streams.active:  # a failed streaming test must not leave a query running
+        query.stop()
     session.stop()
 
 
