@@ -9,11 +9,15 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int = 8, app: str = "ferry") -> SparkSession:
+def local_session(cores: int = 8, app: str = "ferry", event_log_dir: str | None = None) -> SparkSession:
     """Session for tests and the bench. A cluster job gets its session from
-    ``spark-submit`` instead and only relies on ``spark.checkpoint.dir``."""
+    ``spark-submit`` instead and only relies on ``spark.checkpoint.dir``.
+    ``event_log_dir`` turns on Spark's event log there (stage and task times)."""
+    builder = SparkSession.builder
+    if event_log_dir:
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
