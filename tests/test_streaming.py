@@ -236,3 +236,17 @@ def test_rejects_are_rebalanced_into_few_files(spark, scratch):
     assert rejects.count() == 80
     assert len(rejects.inputFiles()) == 1  # not one per source task
     assert len(sink.read(spark).inputFiles()) == 8  # the data path keeps one task per source split
+
+
+def test_published_messages_carry_source_headers(spark, scratch):
+    landing = f"{scratch}/landing"
+    _land(spark, landing, 0, 6)
+    sink = FileSink(f"{scratch}/out")
+    start_publish(
+        _source(spark, landing), EMPLOYEE, "out", sink, f"{scratch}/ckpt", trigger=ONCE, source_headers=True
+    ).awaitTermination()
+    got = {}
+    for r in sink.read(spark).collect():
+        h = {x.key: bytes(x.value).decode() for x in r.headers}
+        got[int(r.value.split('"')[3])] = (h["src_topic"], int(h["src_partition"]), int(h["src_offset"]))
+    assert got == {o: ("in", o % 2, o // 2) for o in range(6)}
