@@ -197,6 +197,18 @@ def test_fuzz_matches_strict_json(spark):
     )
     diffs = [(p, r["status"], _expected(p)) for p, r in zip(payloads, rows) if r["status"] != _expected(p)]
     assert not diffs, diffs[:5]
+    # field values of valid rows: strings exactly as Python reads them, null/missing as null
+    checked = 0
+    for p, r in zip(payloads, rows):
+        if r["status"] != "ok":
+            continue
+        doc = json.loads(p)
+        for f in FIELDS:
+            v = doc.get(f)
+            if v is None or isinstance(v, str):
+                assert r[f] == v, (p, f)
+                checked += 1
+    assert checked > 0
 
 
 def test_number_rendering_in_string_fields(spark):
