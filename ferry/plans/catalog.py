@@ -235,23 +235,35 @@ def stream_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return committed_offsets(spark, tables)
 
 
-def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rejects table written by the foreachBatch job over the customer stream."""
-    root = fresh_dir(spark, "stream_rejects")
-    tables = RelayTables(f"{root}/tables")
+def _relay_customers(spark: SparkSession, sf_dir: str, name: str) -> tuple[RelayTables, FileSink]:
+    """Run the foreachBatch job over the customer stream; return its tables and sink."""
+    root = fresh_dir(spark, name)
+    tables, sink = RelayTables(f"{root}/tables"), FileSink(f"{root}/out")
     start_relay(
         stream_table(spark, sf_dir, "customer"),
         EMPLOYEE,
         EMPLOYEE_TOPIC,
-        FileSink(f"{root}/out"),
+        sink,
         tables,
         f"{root}/checkpoint",
         trigger=AVAILABLE_NOW,
         prepare=customer_envelope,
     ).awaitTermination()
+    return tables, sink
+
+
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejects table written by the foreachBatch job over the customer stream."""
+    tables, _sink = _relay_customers(spark, sf_dir, "stream_rejects")
     return spark.read.parquet(tables.rejects).select("topic", "partition", "offset", "value", "reason")
 
 
+def stream_relay_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1/O2: the messages the foreachBatch job published over the customer stream."""
+    _tables, sink = _relay_customers(spark, sf_dir, "stream_relay_publish")
+    return sink.read(spark).select("topic", "key", "value")
+
+
 QUERIES: dict[str, Query] = {
     "scan_envelope": scan_envelope,
     "decode_payload": decode_payload,
@@ -271,6 +283,7 @@ QUERIES: dict[str, Query] = {
     "stream_resume": stream_resume,
     "stream_offsets": stream_offsets,
     "stream_rejects": stream_rejects,
+    "stream_relay_publish": stream_relay_publish,
 }
 
 
@@ -465,4 +478,5 @@ WHERE e."offset" > coalesce(c.committed, -1)""",
     "stream_offsets": _MAX_OFFSET,
     "stream_rejects": _CLASSIFIED
     + """SELECT topic, "partition", "offset", value, status AS reason FROM classified WHERE status <> 'ok'""",
+    "stream_relay_publish": _CLASSIFIED + _PUBLISHED,
 }
