@@ -250,3 +250,24 @@ def test_published_messages_carry_source_headers(spark, scratch):
         h = {x.key: bytes(x.value).decode() for x in r.headers}
         got[int(r.value.split('"')[3])] = (h["src_topic"], int(h["src_partition"]), int(h["src_offset"]))
     assert got == {o: ("in", o % 2, o // 2) for o in range(6)}
+
+
+def test_relay_with_a_hot_partition(spark, scratch):
+    """Partition 0 carries a third of all messages, spread over several arrivals."""
+    landing = f"{scratch}/landing"
+    tables = RelayTables(f"{scratch}/tables")
+    sink = FileSink(f"{scratch}/out")
+    n, next_offset, rows = 3000, {}, []
+    for i in range(n):
+        part = 0 if i % 3 == 0 else 1 + i % 7
+        off = next_offset.get(part, 0)
+        next_offset[part] = off + 1
+        rows.append(("in", part, off, "x" if i % 11 == 0 else '{"id":"%d"}' % i))
+    for k in range(3):
+        spark.createDataFrame(rows[k * 1000 : (k + 1) * 1000], SCHEMA).write.mode("append").parquet(landing)
+    src = read_replay(spark, landing, spark.read.parquet(landing).schema, max_files_per_trigger=4)
+    start_relay(src, EMPLOYEE, "out", sink, tables, f"{scratch}/ckpt", trigger=ONCE).awaitTermination()
+    published, rejected = sink.read(spark).count(), spark.read.parquet(tables.rejects).count()
+    assert published + rejected == n and rejected == len(range(0, n, 11))
+    committed = {r.partition: r.max_offset for r in committed_offsets(spark, tables).collect()}
+    assert committed == {p: c - 1 for p, c in next_offset.items()}
