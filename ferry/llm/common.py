@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from ferry.session import shared_dir
 
 # Fixed value: the characters that separate words, [\x20\x09-\x0D].
-WORD_BREAK = "[\\x20\\x09-\\x0D]+"
+BREAK = "[\\x20\\x09-\\x0D]"
+WORD_BREAK = BREAK + "+"
 WORD = "[^\\x20\\x09-\\x0D]+"
 # Rows buffered by a task before it works on them: bounds its memory whatever
 # the size of an Arrow batch or of a partition. One text is never split.

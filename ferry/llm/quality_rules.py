@@ -14,10 +14,12 @@ row, so no key can be hot and any text length is one row's work.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferry.llm.common import WORD, let, table, words_of
+from ferry.llm.common import BREAK, WORD, let, table, words_of
 
 # Fixed values of the query's contract.
 SYMBOLS = "#*$%&|<>"
@@ -33,28 +35,42 @@ PUNCTUATION = "[.,;:!?\\u2026\\u3002\\u060c\\u061f\\u0964\\uff0c]"
 NAVIGATION = "[|\\u00bb\\u203a\\u2022\\u00b7]"
 NAV_MARKS = 3  # navigation marks, with at most NAV_WORDS words for each
 NAV_WORDS = 4
+# Lower-case phrases; a line that holds one fails.
 BOILERPLATE = (
-    "(?i)(accept (all )?cookies|cookie policy|privacy policy|terms of (use|service)|all rights reserved"
-    "|click here|read more|sign (in|up)|log ?in|subscribe to|newsletter|enable javascript|lorem ipsum"
-    "|skip to content|share on (facebook|twitter))"
-)
+    "accept cookies", "cookie policy", "privacy policy", "terms of use", "all rights reserved",
+    "click here", "read more", "subscribe to", "enable javascript", "lorem ipsum",
+)
 # Share of the characters of lines with words that may go before the document does.
 MAX_LOSS_PERCENT = 50
 
 
-def line_fails(line: Column) -> Column:
-    """The rules on one line; lines without a word never fail."""
+def has_boilerplate(text: Column) -> Column:
+    return let(
+        F.lower(text), lambda t: functools.reduce(lambda x, y: x | y, [t.contains(F.lit(b)) for b in BOILERPLATE])
+    )
+
+
+def n_symbols(text: Column) -> Column:
+    return F.regexp_count(text, F.lit("[" + SYMBOLS + "]")).cast("long")
+
+
+def line_fails(line: Column, symbols: Column, boilerplate: Column) -> Column:
+    """The rules on one line; lines without a word never fail.
+
+    ``symbols`` and ``boilerplate`` tell whether the whole text has any, so
+    most texts skip these two. In each rule the cheap test stands first and
+    decides alone on most lines; words are counted only where it holds.
+    """
     words = F.regexp_count(line, F.lit(WORD))
-    symbols = F.length(line) - F.length(F.translate(line, SYMBOLS, ""))
     shouts = (F.length(line) - F.length(F.replace(line, F.lit("!!"), F.lit("")))) / 2
     marks = F.regexp_count(line, F.lit(NAVIGATION))
     return (
-        (100 * symbols > MAX_SYMBOL_PERCENT * F.length(line))
-        | ((words > 0) & (100 * shouts >= SHOUT_PERCENT * words))
-        | ((words >= LONG_LINE) & ~line.rlike(PUNCTUATION))
-        | ((marks >= NAV_MARKS) & (words <= NAV_WORDS * marks))
-        | line.rlike(BOILERPLATE)
-    ) & (words > 0)
+        (symbols & (100 * n_symbols(line) > MAX_SYMBOL_PERCENT * F.length(line)))
+        | (line.contains("!!") & (100 * shouts >= SHOUT_PERCENT * words))
+        | (~line.rlike(PUNCTUATION) & (words >= LONG_LINE))
+        | (line.rlike(NAVIGATION) & (marks >= NAV_MARKS) & (words <= NAV_WORDS * marks))
+        | (boilerplate & has_boilerplate(line))
+    )
 
 
 def repeated_words(words: Column) -> Column:
@@ -88,10 +104,15 @@ def repeated_words(words: Column) -> Column:
         return F.when(F.size(F.array_distinct(wins)) < F.size(wins), covered(wins)).otherwise(zero)
 
     def from_words(w: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.size(w) - (WINDOW - 1))
-        wins = F.transform(starts, lambda i: F.xxhash64(F.slice(w, i, WINDOW)))
+        # hashes of 2, 4, then 8 words, each from two halves; the padded tail goes
+        wins = let(paired(paired(w, 1), 2), lambda h: F.slice(paired(h, 4), 1, F.size(w) - (WINDOW - 1)))
         return F.when(F.size(w) > WINDOW, let(wins, check)).otherwise(zero)
 
+    def paired(array: Column, shift: int) -> Column:
+        """Hash of each element with the one ``shift`` further on."""
+        rest = F.lit(1 << 30)
+        return let(array, lambda x: F.zip_with(x, F.slice(x, shift + 1, rest), lambda a, b: F.xxhash64(a, b)))
+
     return let(words, from_words)
 
 
@@ -101,7 +122,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     kept_columns = [c for c in docs.columns if c not in _ADDED]
 
-    def verdicts(lines: Column) -> Column:
+    def verdicts(lines: Column, symbols: Column, boilerplate: Column) -> Column:
         with_words = F.filter(lines, lambda x: x.rlike(WORD))
         return let(
             with_words,
@@ -109,7 +130,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
                 F.size(w).alias("n_lines"),
                 (F.size(w) - F.size(F.array_distinct(w))).cast("long").alias("n_dup_lines"),
                 _chars(w).alias("chars"),
-                F.filter(lines, lambda x: ~line_fails(x)).alias("rest"),
+                F.filter(lines, lambda x: ~line_fails(x, symbols, boilerplate)).alias("rest"),
             ),
         )
 
@@ -123,7 +144,11 @@ def quality_rules(docs: DataFrame) -> DataFrame:
             F.array_join(v["rest"], "\n").alias("cleaned"),
         )
 
-    lines = let(let(F.split(text, "\n", -1), verdicts), finish)
+    def judged(t: Column) -> Column:
+        lines = let(F.split(text, "\n", -1), lambda x: verdicts(x, t["symbols"] > 0, t["boilerplate"]))
+        return let(lines, lambda v: F.struct(t["symbols"].alias("n_symbols"), let(v, finish).alias("l")))
+
+    whole = F.struct(n_symbols(text).alias("symbols"), has_boilerplate(text).alias("boilerplate"))
     words = let(
         words_of(F.col("text")),
         lambda w: F.struct(F.size(w).cast("long").alias("n"), repeated_words(w).alias("rep")),
@@ -131,10 +156,9 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     wide = docs.select(
         *kept_columns,
         words.alias("_w"),
-        lines.alias("_l"),
-        F.length(F.translate(text, " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
-        (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
-    )
+        let(whole, judged).alias("_t"),
+        (F.length(text) - F.regexp_count(text, F.lit(BREAK))).cast("long").alias("word_chars"),
+    ).select("*", "_t.n_symbols", F.col("_t.l").alias("_l"))
     base_failed = (F.col("_w.n") < MIN_WORDS) | (100 * F.col("_w.rep") > MAX_REPEAT_PERCENT * F.col("_w.n"))
     kept = ~base_failed & (100 * F.col("_l.n_chars_removed") <= MAX_LOSS_PERCENT * F.col("_l.n_line_chars"))
     return wide.select(
@@ -177,7 +201,6 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(docs).drop("text", "cleaned")
 
 
-# RE2 has no \x0B-style range difference for these classes; the rules are the same.
 ORACLE_SQL = r"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS x FROM documents),
 w AS (SELECT doc_id, list_filter(regexp_split_to_array(x, '[\x20\x09-\x0D]+'), lambda s: s <> '') AS ws, x FROM t),
@@ -190,10 +213,10 @@ l AS (SELECT doc_id, l, len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS nw,
              (length(l) - length(replace(l, '!!', ''))) / 2.0 AS sh,
              len(regexp_extract_all(l, '[|\x{00bb}\x{203a}\x{2022}\x{00b7}]')) AS mk
       FROM (SELECT doc_id, unnest(string_split(x, chr(10))) AS l FROM t)),
-f AS (SELECT doc_id, l, (100 * sy > 5 * length(l)) OR (100 * sh >= 30 * nw)
+f AS (SELECT doc_id, l, (100 * sy > 5 * length(l)) OR (sh > 0 AND 100 * sh >= 30 * nw)
         OR (nw >= 5 AND NOT regexp_matches(l, '[.,;:!?\x{2026}\x{3002}\x{060c}\x{061f}\x{0964}\x{ff0c}]'))
         OR (mk >= 3 AND nw <= 4 * mk)
-        OR regexp_matches(l, '(?i)(accept (all )?cookies|cookie policy|privacy policy|terms of (use|service)|all rights reserved|click here|read more|sign (in|up)|log ?in|subscribe to|newsletter|enable javascript|lorem ipsum|skip to content|share on (facebook|twitter))') AS bad
+        OR list_bool_or([contains(lower(l), b) FOR b IN ['accept cookies', 'cookie policy', 'privacy policy', 'terms of use', 'all rights reserved', 'click here', 'read more', 'subscribe to', 'enable javascript', 'lorem ipsum']]) AS bad
       FROM l WHERE nw > 0),
 g AS (SELECT doc_id, count(*) - count(DISTINCT l) AS dup, sum(bad::INT) AS nbad,
              sum(CASE WHEN bad THEN length(l) ELSE 0 END) AS cbad, sum(length(l)) AS call FROM f GROUP BY 1),
