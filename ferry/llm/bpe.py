@@ -35,6 +35,10 @@ from ferry.llm.common import map_rows, table
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # Pre-tokens a worker remembers before it starts anew: bounds its memory.
 CACHE_ENTRIES = 500_000
+# Bytes of text worked on together: more pre-tokens share each bucket.
+TEXT_BYTES = 24 << 20
+# Above this many entries of a bucket a piece, the bucket is merged one by one.
+ENTRIES_A_PIECE = 4
 
 
 class RankQueue:
@@ -93,8 +97,8 @@ class Vocabulary:
         self.merged = np.array([pairs[k] for k in self.keys.tolist()], dtype=np.int64)
         self.keys = np.append(self.keys, np.iinfo(np.int64).max)
         self.merged = np.append(self.merged, -1)
-        # Tokens whose new neighbours may merge at a lower rank than their own:
-        # their bucket is worked one position at a time.
+        # Tokens whose new neighbours may merge at a lower rank than their own: of
+        # their bucket, one position of each piece is merged before looking again.
         left, right = self.keys[:-1] // self.size, self.keys[:-1] % self.size
         self.early = np.zeros(self.size, dtype=bool)
         self.early[left[self.merged[:-1] < left]] = True
@@ -118,6 +122,7 @@ class Vocabulary:
         preceding[ends[ends < n]] = -1
         preceding[:1] = -1
         alive = np.ones(n, dtype=bool)
+        piece = np.repeat(np.arange(len(pieces)), [len(p) for p in pieces])
         pair = np.full(n, -1, dtype=np.int64)  # rank that node and its follower merge to
         at = np.flatnonzero(following >= 0)
         pair[at] = self.pair_ranks(ids[at], ids[at + 1])
@@ -146,8 +151,16 @@ class Vocabulary:
                 continue
             right = following[entries]
             if self.early[rank] or (right[:-1] == entries[1:]).any():
-                self._one_by_one(rank, entries, ids, following, preceding, alive, pair, queue, buckets)
-                continue
+                # Order matters inside a piece: merge its leftmost entry, keep the rest.
+                of = piece[entries]
+                leftmost = np.append(True, of[1:] != of[:-1])
+                if len(entries) > ENTRIES_A_PIECE * leftmost.sum():
+                    self._one_by_one(rank, entries, ids, following, preceding, alive, pair, queue, buckets)
+                    continue
+                if not leftmost.all():
+                    buckets[rank] = entries[~leftmost].tolist()
+                    queue.add(rank)
+                    entries, right = entries[leftmost], right[leftmost]
             after = following[right]
             ids[entries] = rank
             following[entries] = after
@@ -272,6 +285,7 @@ def encode_digests(docs: DataFrame, path: str | None = None, pattern: str | None
     return map_rows(
         docs.select("doc_id", "text"), make,
         "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string",
+        TEXT_BYTES,
     )
 
 
@@ -295,7 +309,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | No
 
         return work
 
-    return map_rows(docs.select(*[f"`{c}`" for c in rest], "text"), make, schema)
+    return map_rows(docs.select(*[f"`{c}`" for c in rest], "text"), make, schema, TEXT_BYTES)
 
 
 def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:

@@ -43,8 +43,8 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def map_rows(df: DataFrame, make: Callable[[], Callable[[dict], dict]], schema: str) -> DataFrame:
-    """``mapInArrow`` in chunks of at most about CHUNK_BYTES of text.
+def map_rows(df: DataFrame, make: Callable[[], Callable[[dict], dict]], schema: str, limit: int = CHUNK_BYTES) -> DataFrame:
+    """``mapInArrow`` in chunks of at most about ``limit`` bytes, one row at least.
 
     ``make()`` runs once per task and returns a function from a dict of column
     lists to a dict of output column lists (in the order of ``schema``).
@@ -56,7 +56,7 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[dict], dict]], schema:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for chunk in chunks(batches):
+        for chunk in chunks(batches, limit):
             out = work(chunk.to_pydict())
             if out is not None:
                 yield pa.RecordBatch.from_arrays(
