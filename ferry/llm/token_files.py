@@ -40,8 +40,10 @@ END_ID = 2
 BLOCK_IDS = 65_536
 # Ids after which a chunk is closed at the end of its document.
 CHUNK_IDS = 4 * BLOCK_IDS
-# Words a worker remembers before it starts anew: bounds its memory.
-CACHE_ENTRIES = 500_000
+# Words a worker remembers in each of two generations: bounds its memory.
+CACHE_ENTRIES = 400_000
+# Characters that never join a letter before them in one pre-token.
+TAIL = ".,;:!?&$%*#|"
 
 MAGIC = b"PLN1"
 _HEAD = struct.Struct("<4sBIII")  # magic, bits of a plane row (1 or 8), ids, block size, blocks
@@ -100,8 +102,9 @@ class WordEncoder:
 
     The vocabulary's normaliser and pre-tokeniser treat white space as a
     break and never look across it, so the ids of a text are those of its
-    white-space-separated words in a row; words are encoded once and
-    remembered. ``check_separable`` refuses a vocabulary without that.
+    white-space-separated words in a row, and letters are cut from marks after
+    them; such parts are encoded once and remembered. ``check_separable``
+    refuses a vocabulary without that.
     """
 
     def __init__(self, path: str) -> None:
@@ -110,13 +113,18 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.check_separable()
 
     def check_separable(self) -> None:
-        for a, b in (("it's", "HE 12a!"), ("!x", "?'s"), ("é", "́e")):
+        for a, b in (("it's", "HE 12a!"), ("!x", "?'s"), ("é", "\u0301e")):
             parts = self._library([a, b])
             if self._library([f"{a} {b}", f"{a}\n\t{b}"]) != [parts[0] + parts[1]] * 2:
                 raise ValueError("this vocabulary does not treat white space as a plain break")
+        for a in ("Word", "\u00c9t\u00e9"):
+            parts = self._library([a, TAIL, a.lower()])
+            if self._library([a + TAIL]) != [parts[0] + parts[1]] or parts[2] != parts[0]:
+                raise ValueError("this vocabulary does not cut letters from marks, or heeds case")
 
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -124,16 +132,47 @@ class WordEncoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
+        rows = []
+        for t in texts:
+            raw = (t or "").encode()
+            # the vocabulary lower-cases; its special tokens are the exception
+            rows.append((raw if b"<|" in raw else raw.lower()).split())
         if len(self.words) > CACHE_ENTRIES:
-            self.words = {}
-        rows = [(t or "").encode().split() for t in texts]
-        unseen = list(set().union(*rows).difference(self.words)) if rows else []
-        for at in range(0, len(unseen), 20_000):
-            some = unseen[at : at + 20_000]
-            self.words.update(zip(some, self._library([w.decode() for w in some]), strict=True))
+            self.words, self.older = {}, self.words
+        self._learn(set().union(*rows))
         take = self.words.__getitem__
         return [b"".join(map(take, row)) for row in rows]
 
+    def _learn(self, needed: set[bytes]) -> None:
+        """Put the ids of these words into the younger generation."""
+        words, new, parts = self.words, [], []
+        for w in needed.difference(words):
+            ids = self.older.get(w)
+            if ids is not None:
+                words[w] = ids
+                continue
+            text = w.decode()
+            core = text.rstrip(TAIL)
+            if len(core) < len(text) and core.lower().isalpha():  # letters, then marks: two pre-tokens at least
+                parts.append((w, core.encode(), text[len(core) :].encode()))
+            else:
+                new.append(w)
+        known = set(new)
+        for _, *both in parts:
+            for x in both:
+                if x not in words and x not in known:
+                    ids = self.older.get(x)
+                    if ids is not None:
+                        words[x] = ids
+                    else:
+                        known.add(x)
+                        new.append(x)
+        for at in range(0, len(new), 20_000):
+            some = new[at : at + 20_000]
+            words.update(zip(some, self._library([w.decode() for w in some]), strict=True))
+        for w, core, tail in parts:
+            words[w] = words[core] + words[tail]
+
 
 @functools.lru_cache(maxsize=2)
 def word_encoder(path: str) -> WordEncoder:

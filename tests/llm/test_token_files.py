@@ -40,12 +40,19 @@ def test_words_against_the_library(spark, library):
     texts = [r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("text").collect()]
     points = [c for c in range(0x20000) if not 0xD800 <= c < 0xE000]
     texts += ["".join(f"a{chr(c)}b {chr(c)}c\t{chr(c)}" for c in points[k : k + 512]) for k in range(0, len(points), 512)]
-    texts += ["", " \n", "It's <|endoftext|>x <|startoftext|> ' s", "é ́e", "각 ᆨ", "Σας ΣΑΣ"]
+    texts += ["", " \n", "It's <|endoftext|>x <|startoftext|> ' s", "é ́e", "각 ᆨ", "Σας ΣΑΣ", "<|ENDOFTEXT|> The,. x", "İ, K.. ǅ! ²,"]
     got = tf.WordEncoder(PATH).encode(texts)
     for t, ids in zip(texts, got, strict=True):
         assert np.frombuffer(ids, dtype="<u4").tolist() == library.encode(t, add_special_tokens=False).ids, t[:60]
 
 
+def test_generations_of_the_cache(library, monkeypatch):
+    monkeypatch.setattr(tf, "CACHE_ENTRIES", 2)
+    e = tf.WordEncoder(PATH)
+    for t in ("one, two three.", "four two, three", "one, five. three", "Six one two, three."):
+        assert np.frombuffer(e.encode([t])[0], dtype="<u4").tolist() == library.encode(t, add_special_tokens=False).ids
+
+
 def expected(library, rows):
     out, start = [], 0
     for d, t in rows:
