@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ferry.llm import bpe, neardup, quality_rules, sharding, token_files
+from ferry.llm import bpe, decontaminate, neardup, quality_model, quality_rules, sharding, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_encode": bpe.op1_bpe_encode,
+    "op2_decontaminate": decontaminate.op2_decontaminate,
     "op4_sharding": sharding.op4_sharding,
     "op5_minhash_dedup": neardup.op5_minhash_dedup,
     "op8_token_files": token_files.op8_token_files,
     "op9_quality_rules": quality_rules.op9_quality_rules,
+    "op10_quality_model": quality_model.op10_quality_model,
 }
 ORACLE_SQL: dict[str, str] = {
     "op5_minhash_dedup": neardup.ORACLE_SQL,

@@ -242,13 +242,17 @@ def _confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs that are links, but for those inside what others join."""
     group = components(pairs)
     sizes = group.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
-    blocks = pairs.join(group.withColumnRenamed("node", "a"), "a").join(sizes, "component")
-    blocks = blocks.select(
-        "a", "b", "component",
-        F.when(F.col("n") <= GROUP, F.lit(0)).otherwise(
-            F.pmod(F.xxhash64("a"), F.ceil(F.col("n") / GROUP).cast("long"))
-        ).cast("long").alias("block"),
-    )
+    # A large component is cut by the end that has fewer partners, so that the
+    # many pairs of one node are spread, and a set goes to few blocks.
+    degree = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("d"))
+    node = group.join(sizes, "component").join(degree, "node")
+    left = node.select(F.col("node").alias("a"), "component", "n", F.col("d").alias("da"))
+    right = node.select(F.col("node").alias("b"), F.col("d").alias("db"))
+    end = F.when(F.col("da") < F.col("db"), F.col("a")).otherwise(F.col("b"))
+    cut = F.pmod(F.xxhash64(end), F.ceil(F.col("n") / GROUP).cast("long"))
+    blocks = pairs.join(left, "a").join(right, "b").select(
+        "a", "b", "component", F.when(F.col("n") <= GROUP, F.lit(0)).otherwise(cut).cast("long").alias("block")
+    )
     blocks = checkpointed(blocks)
     nodes = blocks.select("component", "block", F.explode(F.array("a", "b")).alias("node")).distinct()
     texts = docs.select(F.col("doc_id").alias("node"), "text").join(nodes, "node")

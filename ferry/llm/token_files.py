@@ -18,6 +18,7 @@ group meets in one task; a task holds one chunk, or one document if larger.
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import struct
 import zlib
@@ -114,6 +115,10 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.words: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
+        suffix = self.tokenizer.model.end_of_word_suffix or ""
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends_word[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
         self.check_separable()
 
     def check_separable(self) -> None:
@@ -130,6 +135,17 @@ class WordEncoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
+    def _letters(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words of letters, encoded as one text: each is one pre-token,
+        whose last id, and no other, has the vocabulary's end-of-word suffix."""
+        text = b" ".join(words).decode()
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(ends) != len(words):
+            return self._library([w.decode() for w in words])
+        raw, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+        return [raw[a:b] for a, b in itertools.pairwise(cuts)]
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         rows = []
@@ -167,8 +183,14 @@ class WordEncoder:
                     else:
                         known.add(x)
                         new.append(x)
-        for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
+        plain, other = [], []
+        for w in new:
+            (plain if w.isalpha() or w.decode().lower().isalpha() else other).append(w)
+        for at in range(0, len(plain), 500):
+            some = plain[at : at + 500]
+            words.update(zip(some, self._letters(some), strict=True))
+        for at in range(0, len(other), 20_000):
+            some = other[at : at + 20_000]
             words.update(zip(some, self._library([w.decode() for w in some]), strict=True))
         for w, core, tail in parts:
             words[w] = words[core] + words[tail]
