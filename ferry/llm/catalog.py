@@ -6,13 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ferry.llm import bpe, decontaminate, neardup, quality_model, quality_rules, sharding, token_files
+from ferry.llm import (
+    bpe,
+    decontaminate,
+    licenses,
+    neardup,
+    quality_model,
+    quality_rules,
+    sharding,
+    token_counts,
+    token_files,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_encode": bpe.op1_bpe_encode,
     "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op4_sharding": sharding.op4_sharding,
     "op5_minhash_dedup": neardup.op5_minhash_dedup,
+    "op6_license_scan": licenses.op6_license_scan,
+    "op7_token_counts": token_counts.op7_token_counts,
     "op8_token_files": token_files.op8_token_files,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_quality_model": quality_model.op10_quality_model,

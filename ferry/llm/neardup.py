@@ -324,10 +324,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One document of each group stays, in the columns of ``docs``: the one
-    with the smallest doc_id; of rows with that doc_id, one."""
+    with the smallest doc_id; of rows with that doc_id, one. Rows without a
+    doc_id are linked with nothing and stay."""
     kept = near_duplicates(docs.select("doc_id", "text")).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    out = docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi")
-    return out.dropDuplicates(["doc_id"])
+    out = docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"])
+    return out.unionByName(docs.where("doc_id is null"))
 
 
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
