@@ -16,6 +16,10 @@ A document is the set of its distinct 5-word shingles; two are linked when
   component (large components in blocks) so that each full set travels a few
   times at most; there the links are confirmed. Links inside one component
   are confirmed as long as they join something new.
+* Then the larger regions are gone through again, so that no link is lost in
+  them: classes outside a region's largest component are compared with all of
+  the region by signature, in blocks of BLOCK x BLOCK, and what passes is
+  confirmed likewise. What is connected by then needs no comparison.
 
 Two texts at exactly the bound agree on a tree's first 4 values with
 probability 0.75^4, so one of 24 trees finds them with 0.9999; closer ones
@@ -49,8 +53,11 @@ TREES = 24
 DEPTHS = (4, 6, 8, 12)  # prefix lengths of a tree, from wide to narrow regions
 REGION = 24  # classes up to which a region's pairs are all candidates
 # Screening: share of equal signature values below which a candidate is
-# dropped. For a true link it is 0.75 at least, with a deviation of 0.044.
-SCREEN = 0.5
+# dropped. A true link has 0.75 at least, with a deviation of 0.044: one in 20,000
+# of those at the very bound is lost, of closer ones next to none.
+SCREEN = 0.58
+# Classes on either side of a block of comparisons by signature.
+BLOCK = 2_000
 # Classes of a component whose sets are held by one task at a time.
 GROUP = 200
 CACHE_ENTRIES = 1_000_000
@@ -190,9 +197,11 @@ def _prefixes(classes: DataFrame) -> DataFrame:
     return map_rows(classes.select("node", "signature"), make, schema, 2 << 20)
 
 
-def candidates(classes: DataFrame) -> DataFrame:
-    """Pairs (a < b) of classes that are neighbours in some tree."""
+def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a < b) of classes that are neighbours in some tree, and the
+    members (region, node) of the regions whose pairs were not all listed."""
     found, rows = [], _prefixes(classes)
+    large = None
     for level, depth in enumerate(DEPTHS):
         key = f"p{depth}"
         sizes = rows.groupBy(key).agg(
@@ -211,12 +220,67 @@ def candidates(classes: DataFrame) -> DataFrame:
         )
         found.append(pairs.select("p.a", "p.b"))
         rows = rows.where(F.col("_n") > REGION)
+        if large is None:
+            large = rows.select(F.col(key).alias("region"), "node")
         for end in ("_lo", "_hi"):
             found.append(rows.select(F.least(end, "node").alias("a"), F.greatest(end, "node").alias("b")).where("a < b"))
         rows = rows.drop("_n", "_lo", "_hi")
         if level + 1 < len(DEPTHS):
             rows = rows.drop(key)
-    return functools.reduce(DataFrame.unionByName, found).distinct()
+    return functools.reduce(DataFrame.unionByName, found).distinct(), large
+
+
+def _rest(large: DataFrame, links: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs of the large regions that may be links and are not connected yet:
+    a, b and their components ca, cb."""
+    known = components(links).withColumnRenamed("component", "c")
+    rows = large.join(known, "node", "left").withColumn("c", F.coalesce("c", "node"))
+    sizes = rows.groupBy("region", "c").agg(F.count(F.lit(1)).alias("n"))
+    # a row for each component of a region; of the largest, one
+    regions = sizes.groupBy("region").agg(
+        F.sum("n").alias("n"), F.max(F.struct("n", "c")).alias("top"), F.count(F.lit(1)).alias("parts")
+    )
+    regions = regions.where("parts > 1").select(
+        "region",
+        F.col("top.c").alias("top"),
+        F.ceil(F.col("n") / BLOCK).alias("all_blocks"),
+        F.ceil((F.col("n") - F.col("top.n")) / BLOCK).alias("out_blocks"),
+    )
+    rows = checkpointed(rows.join(regions.hint("merge"), "region").join(classes.drop("set_hash"), "node"))
+    own = F.xxhash64(F.col("node"))
+
+    def blocks(own_blocks: str, other_blocks: str, mine: str, others: str) -> DataFrame:
+        return rows.select(
+            "region", "node", "c", "top", "n_shingles", "signature",
+            F.pmod(own, F.col(own_blocks)).alias(mine),
+            F.explode(F.sequence(F.lit(0).cast("long"), F.col(other_blocks) - 1)).alias(others),
+        )
+
+    outside = blocks("out_blocks", "all_blocks", "i", "j").where("c <> top")
+    everyone = blocks("all_blocks", "out_blocks", "j", "i")
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        def columns(t: pa.Table):
+            signed = np.frombuffer(b"".join(t["signature"].to_pylist()), dtype="<u4").reshape(-1, SIGNATURE)
+            return [t[c].to_numpy() for c in ("node", "c", "n_shingles")] + [signed]
+
+        out: dict[str, list] = {"a": [], "b": [], "ca": [], "cb": []}
+        if left.num_rows and right.num_rows:
+            node, comp, size, signed = columns(right)
+            for x, c, n, s in zip(*columns(left), strict=True):
+                at = np.flatnonzero((comp != c) & (100 * np.minimum(n, size) >= PERCENT * np.maximum(n, size)))
+                at = at[(signed[at] == s).mean(axis=1) >= SCREEN] if len(at) else at
+                for y, d in zip(node[at].tolist(), comp[at].tolist(), strict=True):
+                    a, b = ((int(x), int(c)), (y, d)) if x < y else ((y, d), (int(x), int(c)))
+                    for k, v in zip(out, (a[0], b[0], a[1], b[1]), strict=True):
+                        out[k].append(v)
+        return pa.table({k: pa.array(v, type=pa.int64()) for k, v in out.items()})
+
+    keys = ("region", "i", "j")
+    pairs = outside.groupBy(*keys).cogroup(everyone.groupBy(*keys)).applyInArrow(
+        compare, "a long, b long, ca long, cb long"
+    )
+    return pairs.distinct()
 
 
 def _screen(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -239,7 +303,8 @@ def _screen(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs that are links, but for those inside what others join."""
+    """The pairs that are links, but for those inside what others join. ca, cb:
+    components of a, b that are known."""
     group = components(pairs)
     sizes = group.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
     # A large component is cut by the end that has fewer partners, so that the
@@ -251,7 +316,7 @@ def _confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     end = F.when(F.col("da") < F.col("db"), F.col("a")).otherwise(F.col("b"))
     cut = F.pmod(F.xxhash64(end), F.ceil(F.col("n") / GROUP).cast("long"))
     blocks = pairs.join(left, "a").join(right, "b").select(
-        "a", "b", "component", F.when(F.col("n") <= GROUP, F.lit(0)).otherwise(cut).cast("long").alias("block")
+        "a", "b", "ca", "cb", "component", F.when(F.col("n") <= GROUP, F.lit(0)).otherwise(cut).cast("long").alias("block")
     )
     blocks = checkpointed(blocks)
     nodes = blocks.select("component", "block", F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -281,15 +346,15 @@ def _confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             return x
 
         out: dict[str, list] = {"a": [], "b": []}
-        for a, b in sorted(zip(left["a"].to_pylist(), left["b"].to_pylist(), strict=True)):
-            if find(a) == find(b):
+        for a, b, ca, cb in sorted(zip(*(left[c].to_pylist() for c in ("a", "b", "ca", "cb")), strict=True)):
+            if find(ca) == find(cb):
                 continue
             x, y = have[a], have[b]
             if 100 * min(len(x), len(y)) < PERCENT * max(len(x), len(y)):
                 continue
             both = len(np.intersect1d(x, y, assume_unique=True))
             if 100 * both >= PERCENT * (len(x) + len(y) - both):
-                root[find(a)] = find(b)
+                root[find(ca)] = find(cb)
                 out["a"].append(a)
                 out["b"].append(b)
         return pa.table({k: pa.array(v, type=pa.int64()) for k, v in out.items()})
@@ -307,8 +372,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = checkpointed(
         classes.select("set_hash", F.col("x.doc_id").alias("node"), "x.n_shingles", "x.signature")
     )
-    pairs = checkpointed(_screen(candidates(classes), classes))
+    pairs, large = candidates(classes)
+    pairs = checkpointed(_screen(pairs, classes).select("a", "b", F.col("a").alias("ca"), F.col("b").alias("cb")))
     links = checkpointed(_confirm(pairs, docs))
+    rest = checkpointed(_rest(large, links, classes))
+    if not rest.isEmpty():
+        links = checkpointed(links.unionByName(_confirm(rest, docs)))
     found = components(links).withColumnRenamed("node", "_node")
     named_class = classes.select("set_hash", F.col("node").alias("_node")).join(found, "_node", "left")
     named_class = named_class.select("set_hash", F.coalesce("component", "_node").alias("component"))

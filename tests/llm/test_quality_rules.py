@@ -1,0 +1,103 @@
+"""Measures against a plain version, line rules and odd rows."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from ferry.llm import quality_rules as qr
+from tests.conftest import SF_SMALL
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def measures(text):
+    text = text or ""
+    words = WORD.findall(text)
+    windows = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
+    covered = {k for i in range(len(words) - 7) if windows[tuple(words[i : i + 8])] > 1 for k in range(i, i + 8)}
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    n = len(words)
+    return (
+        n, sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered),
+        n < 20 or 100 * len(covered) > 30 * n,
+    )
+
+
+def got(df):
+    return {
+        r.doc_id: (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed)
+        for r in df.collect()
+    }
+
+
+def test_measures_against_a_plain_version(spark, make_docs):
+    rng = random.Random(8)
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    for d in range(300):
+        words = [rng.choice(["a", "b", "c", "é|", "💡", "#x"]) for _ in range(rng.randrange(60))]
+        words = words * rng.choice((1, 1, 2))
+        rows.append((10_000 + d, "".join(w + rng.choice([" ", "\n", "\t", "\x0b", " \n\n"]) for w in words)))
+    assert got(qr.quality_rules(make_docs(rows))) == {d: measures(t) for d, t in rows}
+
+
+@pytest.mark.parametrize(
+    ("line", "fails"),
+    [
+        ("A plain sentence with some words.", False),
+        ("no marks at all in this line here", True),
+        ("Title", False),
+        ("Home | Shop | News | Contact", True),
+        ("A long sentence, with a | mark, that says something about 5 | 6 and more words, and 7 | 8 too.", False),
+        ("buy### now### cheap###.", True),
+        ("CLICK!! NOW!! HERE!!", True),
+        ("Please accept cookies to go on.", True),
+        ("We think he said: click HERE to go on.", True),
+        ("", False),
+        ("   ", False),
+    ],
+)
+def test_line_rules(spark, line, fails):
+    df = spark.createDataFrame([(line,)], "x string")
+    true = F.lit(True)
+    assert df.select(F.coalesce(qr.line_fails(F.col("x"), true, true), F.lit(False))).first()[0] is fails
+
+
+def test_lines_go_and_documents_that_lose_too_much(spark, make_docs):
+    good = "This is a proper sentence, with enough words in it. " * 3
+    nav = "Home | Shop | News | Contact"
+    rows = [(1, f"{good}\n{nav}\n\nSome other words stand here, at last."), (2, f"Short but proper words, here.\n{nav}\n" + "\n".join(f"{k} Home{k} | Shop{k} | News{k}" for k in range(9))), (3, None)]
+    docs = make_docs([(1, rows[0][1].replace(good, " ".join(f"word{k}," for k in range(30)))), *rows[1:]])
+    out = {r.doc_id: r for r in qr.quality_rules(docs).collect()}
+    assert out[1].kept and out[1].n_lines_removed == 1 and nav not in out[1].cleaned and "\n\nSome other" in out[1].cleaned
+    assert not out[2].kept and not out[2].base_failed and out[2].n_lines_removed == 10
+    assert not out[3].kept and out[3].cleaned is None and out[3].n_words == 0
+    clean = qr.clean_documents(docs).collect()
+    assert [r.doc_id for r in clean] == [1] and clean[0].text == out[1].cleaned and clean[0].n_chars == len(clean[0].text)
+
+
+def test_held_out_like_labels(spark):
+    out = qr.op9_quality_rules(spark, "/root/testdata/sf0.01").join(
+        spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id"
+    )
+    n = {(r.quality, r.kept): r["count"] for r in out.where("n_words >= 20").groupBy("quality", "kept").count().collect()}
+    assert n.get((1, False), 0) == 0 and n[(0, False)] > 0.95 * (n[(0, False)] + n.get((0, True), 0))
+
+
+def test_cases(spark, make_docs):
+    rows = [(1, None), (1, None), (None, "x"), (2, ""), (3, "word, " * 50_000), (4, "# " * 30)]
+    docs = make_docs(rows).withColumn("kept", F.lit("mine")).withColumn("cleaned", F.lit("mine")).withColumn("_doc", F.lit(1))
+    out = qr.quality_rules(docs).collect()
+    assert len(out) == 6 and not any(r.kept for r in out)
+    assert got(qr.quality_rules(docs)) == {d: measures(t) for d, t in rows}
+    assert qr.clean_documents(docs).columns == docs.columns
+    assert qr.quality_rules(make_docs([]).limit(0)).collect() == []
+
+
+def test_plan_has_no_python_and_no_shuffle(spark):
+    plan = qr.op9_quality_rules(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "Exchange"))
