@@ -19,7 +19,6 @@ chunk of rows and a bounded cache of pre-tokens.
 from __future__ import annotations
 
 import base64
-import functools
 import hashlib
 import heapq
 import itertools
@@ -30,13 +29,13 @@ import public_tokenizers
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from ferry.llm.common import map_rows, table
+from ferry.llm.common import map_rows, table, worker_cache
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # Pre-tokens a worker remembers before it starts anew: bounds its memory.
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 300_000
 # Bytes of text worked on together: more pre-tokens share each bucket.
-TEXT_BYTES = 24 << 20
+TEXT_BYTES = 12 << 20
 # Above this many entries of a bucket a piece, the bucket is merged one by one.
 ENTRIES_A_PIECE = 4
 
@@ -206,7 +205,6 @@ class Vocabulary:
                 return
 
 
-@functools.lru_cache(maxsize=4)
 def load_vocabulary(path: str) -> Vocabulary:
     """Ranks of a file with one base64 token and its rank on each line."""
     with open(path, "rb") as file:
@@ -254,10 +252,9 @@ class Encoder:
         return b"".join(map(self.vocabulary.bytes.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
 
-@functools.lru_cache(maxsize=4)
 def encoder(path: str, pattern: str) -> Encoder:
     """One encoder for each worker process, so that its tasks share the cache."""
-    return Encoder(path, pattern)
+    return worker_cache(f"bpe {path} {pattern}", lambda: Encoder(path, pattern))
 
 
 def _paths(path: str | None, pattern: str | None) -> tuple[str, str]:

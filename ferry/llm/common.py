@@ -34,6 +34,18 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+_HELD: dict[str, object] = {}
+
+
+def worker_cache(name: str, make: Callable[[], object]):
+    """An object that a worker process keeps between tasks. It keeps one at a
+    time: an operator that comes after another finds the memory free."""
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = make()
+    return _HELD[name]
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the cluster's shared folder."""
     spark = df.sparkSession

@@ -32,13 +32,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferry.llm.common import map_rows, table
+from ferry.llm.common import map_rows, table, worker_cache
 
 MIN_MATCH = 5
 MIN_COVERAGE = 0.6
 # Words of the items that one pass over the documents looks for.
 BLOCK_WORDS = 2_000_000
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 500_000
 
 # Base of the rolling hash and its inverse modulo 2^64.
 _BASE = 0x9E3779B97F4A7C15
@@ -54,9 +54,8 @@ class _Words(dict):
         return h
 
 
-@functools.lru_cache(maxsize=1)
 def _words() -> _Words:
-    return _Words()
+    return worker_cache("item words", _Words)
 
 
 def word_hashes(texts: list[str | None]) -> list[np.ndarray]:
@@ -268,9 +267,8 @@ def _item_block(sent, least: int) -> ItemBlock:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that no item contaminates, in the columns of ``docs``. The
     verdict is made row by row; nothing is joined."""
-    blocks = list(itertools.chain.from_iterable([_blocks(benchmark, BLOCK_WORDS)]))
     out = docs
-    for items in blocks:
+    for items in _blocks(benchmark, BLOCK_WORDS):
         sent = docs.sparkSession.sparkContext.broadcast(items)
         names, schema = docs.columns, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
 

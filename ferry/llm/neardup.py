@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferry.llm.common import checkpointed, components, map_rows, table
+from ferry.llm.common import checkpointed, components, map_rows, table, worker_cache
 
 SHINGLE = 5
 PERCENT = 75
@@ -60,7 +60,7 @@ SCREEN = 0.58
 BLOCK = 2_000
 # Classes of a component whose sets are held by one task at a time.
 GROUP = 200
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 500_000
 
 _M = np.uint64(0x9E3779B97F4A7C15)
 
@@ -71,10 +71,9 @@ class _WordHashes(dict):
         return h
 
 
-@functools.lru_cache(maxsize=1)
 def _word_hashes() -> _WordHashes:
     """Hashes of words seen by this worker."""
-    return _WordHashes()
+    return worker_cache("shingle words", _WordHashes)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:

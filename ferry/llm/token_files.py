@@ -17,7 +17,6 @@ group meets in one task; a task holds one chunk, or one document if larger.
 
 from __future__ import annotations
 
-import functools
 import itertools
 import os
 import struct
@@ -32,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferry.llm.common import before, chunks, map_rows, table
+from ferry.llm.common import before, chunks, map_rows, table, worker_cache
 from ferry.session import fresh_dir
 
 VOCABULARY = "word_bpe_49k.json"
@@ -196,10 +195,9 @@ class WordEncoder:
             words[w] = words[core] + words[tail]
 
 
-@functools.lru_cache(maxsize=2)
 def word_encoder(path: str) -> WordEncoder:
     """One encoder for each worker process, so that its tasks share the cache."""
-    return WordEncoder(path)
+    return worker_cache(f"words {path}", lambda: WordEncoder(path))
 
 
 _CHUNK = pa.schema(

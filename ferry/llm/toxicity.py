@@ -26,7 +26,6 @@ gives an empty result.
 
 from __future__ import annotations
 
-import functools
 import itertools
 import re
 from dataclasses import dataclass
@@ -37,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferry.llm.common import checkpointed, chunks, map_rows, table
+from ferry.llm.common import checkpointed, chunks, map_rows, table, worker_cache
 
 TRAIN_DOCUMENTS = 40_000
 VOCABULARY = 8_192
@@ -52,7 +51,7 @@ SHRINK = 1e-5  # weight of the squared weights
 STEPS = 400
 # Sentence pairs that the fit sees, at most (in expectation, by a hash).
 PAIRS = 20_000
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 300_000
 
 # Names of groups; a term may be swapped for another of its row.
 IDENTITY_TERMS = (
@@ -86,9 +85,8 @@ class _Features(dict):
         return h
 
 
-@functools.lru_cache(maxsize=1)
 def _features() -> _Features:
-    return _Features()
+    return worker_cache("toxicity features", _Features)
 
 
 def features(text: str | None) -> np.ndarray:
