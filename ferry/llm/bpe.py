@@ -33,9 +33,9 @@ from ferry.llm.common import map_rows, table, worker_cache
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # Pre-tokens a worker remembers before it starts anew: bounds its memory.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 150_000
 # Bytes of text worked on together: more pre-tokens share each bucket.
-TEXT_BYTES = 12 << 20
+TEXT_BYTES = 8 << 20
 # Above this many entries of a bucket a piece, the bucket is merged one by one.
 ENTRIES_A_PIECE = 4
 

@@ -9,7 +9,7 @@ that tiles cover, so a passage is caught when its sentences come in another
 order. A document is contaminated by an item covered to MIN_COVERAGE or more.
 
 The join goes through the seeds of a block of items: blocks hold at most
-BLOCK_SEEDS words, are built one after another from the benchmark in item
+BLOCK_WORDS words, are built one after another from the benchmark in item
 order, and each is held by the tasks that pass over all documents, so its
 size is bounded whatever the benchmark's. A pair is tiled only if the item's
 words that lie in any shared seed reach the coverage, which tiles can't
@@ -38,7 +38,7 @@ MIN_MATCH = 5
 MIN_COVERAGE = 0.6
 # Words of the items that one pass over the documents looks for.
 BLOCK_WORDS = 2_000_000
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 250_000
 
 # Base of the rolling hash and its inverse modulo 2^64.
 _BASE = 0x9E3779B97F4A7C15

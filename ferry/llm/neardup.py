@@ -19,7 +19,10 @@ A document is the set of its distinct 5-word shingles; two are linked when
 * Then the larger regions are gone through again, so that no link is lost in
   them: classes outside a region's largest component are compared with all of
   the region by signature, in blocks of BLOCK x BLOCK, and what passes is
-  confirmed likewise. What is connected by then needs no comparison.
+  confirmed likewise. What is connected by then needs no comparison. This goes
+  in rounds: a class's likeliest candidates in a component come first, and as
+  long as it has more of them there and is not linked, a later round takes
+  more, until none is left over.
 
 Two texts at exactly the bound agree on a tree's first 4 values with
 probability 0.75^4, so one of 24 trees finds them with 0.9999; closer ones
@@ -58,9 +61,12 @@ REGION = 24  # classes up to which a region's pairs are all candidates
 SCREEN = 0.58
 # Classes on either side of a block of comparisons by signature.
 BLOCK = 2_000
+# Candidates of a class in another component that the first round confirms, and
+# the factor by which each round looks at more while some are left over.
+ROUND, ROUND_FACTOR = 16, 16
 # Classes of a component whose sets are held by one task at a time.
 GROUP = 200
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 300_000
 
 _M = np.uint64(0x9E3779B97F4A7C15)
 
@@ -229,9 +235,10 @@ def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return functools.reduce(DataFrame.unionByName, found).distinct(), large
 
 
-def _rest(large: DataFrame, links: DataFrame, classes: DataFrame) -> DataFrame:
+def _rest(large: DataFrame, links: DataFrame, classes: DataFrame, most: int) -> DataFrame:
     """Pairs of the large regions that may be links and are not connected yet:
-    a, b and their components ca, cb."""
+    a, b, their components ca, cb, and whether a block had more than the
+    ``most`` likeliest of the class outside with that component."""
     known = components(links).withColumnRenamed("component", "c")
     rows = large.join(known, "node", "left").withColumn("c", F.coalesce("c", "node"))
     sizes = rows.groupBy("region", "c").agg(F.count(F.lit(1)).alias("n"))
@@ -263,23 +270,29 @@ def _rest(large: DataFrame, links: DataFrame, classes: DataFrame) -> DataFrame:
             signed = np.frombuffer(b"".join(t["signature"].to_pylist()), dtype="<u4").reshape(-1, SIGNATURE)
             return [t[c].to_numpy() for c in ("node", "c", "n_shingles")] + [signed]
 
-        out: dict[str, list] = {"a": [], "b": [], "ca": [], "cb": []}
+        out: dict[str, list] = {"a": [], "b": [], "ca": [], "cb": [], "more": []}
         if left.num_rows and right.num_rows:
             node, comp, size, signed = columns(right)
             for x, c, n, s in zip(*columns(left), strict=True):
                 at = np.flatnonzero((comp != c) & (100 * np.minimum(n, size) >= PERCENT * np.maximum(n, size)))
-                at = at[(signed[at] == s).mean(axis=1) >= SCREEN] if len(at) else at
+                same = (signed[at] == s).mean(axis=1)
+                order = np.argsort(-same, kind="stable")
+                at = at[order[same[order] >= SCREEN]]
+                seen: dict[int, int] = {}
                 for y, d in zip(node[at].tolist(), comp[at].tolist(), strict=True):
+                    seen[d] = seen.get(d, 0) + 1
+                    if seen[d] > most:
+                        continue  # a later round's, unless the class is linked by then
                     a, b = ((int(x), int(c)), (y, d)) if x < y else ((y, d), (int(x), int(c)))
-                    for k, v in zip(out, (a[0], b[0], a[1], b[1]), strict=True):
+                    for k, v in zip(out, (a[0], b[0], a[1], b[1], int(seen[d] == most)), strict=True):
                         out[k].append(v)
         return pa.table({k: pa.array(v, type=pa.int64()) for k, v in out.items()})
 
     keys = ("region", "i", "j")
     pairs = outside.groupBy(*keys).cogroup(everyone.groupBy(*keys)).applyInArrow(
-        compare, "a long, b long, ca long, cb long"
+        compare, "a long, b long, ca long, cb long, more long"
     )
-    return pairs.distinct()
+    return pairs.groupBy("a", "b", "ca", "cb").agg(F.max("more").alias("more"))
 
 
 def _screen(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -374,9 +387,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     pairs, large = candidates(classes)
     pairs = checkpointed(_screen(pairs, classes).select("a", "b", F.col("a").alias("ca"), F.col("b").alias("cb")))
     links = checkpointed(_confirm(pairs, docs))
-    rest = checkpointed(_rest(large, links, classes))
-    if not rest.isEmpty():
-        links = checkpointed(links.unionByName(_confirm(rest, docs)))
+    most, more = ROUND, True
+    while more:
+        rest = checkpointed(_rest(large, links, classes, most))
+        # a class with as many candidates as the round takes may have more
+        more = not rest.where("more = 1").isEmpty()
+        if not rest.isEmpty():
+            links = checkpointed(links.unionByName(_confirm(rest.drop("more"), docs)))
+        most *= ROUND_FACTOR
     found = components(links).withColumnRenamed("node", "_node")
     named_class = classes.select("set_hash", F.col("node").alias("_node")).join(found, "_node", "left")
     named_class = named_class.select("set_hash", F.coalesce("component", "_node").alias("component"))
