@@ -3,6 +3,7 @@ checkpoints, a distributed global rank and connected components."""
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -55,6 +56,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished steps. Spark deletes them when the
+    driver has collected the plans that made them, which a job of many small
+    steps would not come to by itself before it ends."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def map_rows(df: DataFrame, make: Callable[[], Callable[[dict], dict]], schema: str, limit: int = CHUNK_BYTES) -> DataFrame:
     """``mapInArrow`` in chunks of at most about ``limit`` bytes, one row at least.
 
@@ -148,6 +157,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
         ).first()
         if now == last:
+            release(edges.sparkSession)
             leaves = e.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "node")
             roots = e.select("b").distinct().join(
                 e.select(F.col("a").alias("b")), "b", "left_anti"

@@ -19,7 +19,8 @@ A document is the set of its distinct 5-word shingles; two are linked when
 * Then the larger regions are gone through again, so that no link is lost in
   them: classes outside a region's largest component are compared with all of
   the region by signature, in blocks of BLOCK x BLOCK, and what passes is
-  confirmed likewise. What is connected by then needs no comparison. This goes
+  confirmed likewise. What is connected by then needs no comparison, and two
+  components need one link only, so these pairs are gathered by the two. This goes
   in rounds: a class's likeliest candidates in a component come first, and as
   long as it has more of them there and is not linked, a later round takes
   more, until none is left over.
@@ -47,7 +48,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferry.llm.common import checkpointed, components, map_rows, table, worker_cache
+from ferry.llm.common import checkpointed, components, map_rows, release, table, worker_cache
 
 SHINGLE = 5
 PERCENT = 75
@@ -57,7 +58,8 @@ DEPTHS = (4, 6, 8, 12)  # prefix lengths of a tree, from wide to narrow regions
 REGION = 24  # classes up to which a region's pairs are all candidates
 # Screening: share of equal signature values below which a candidate is
 # dropped. A true link has 0.75 at least, with a deviation of 0.044: one in 20,000
-# of those at the very bound is lost, of closer ones next to none.
+# of those at the very bound is lost, of closer ones next to none. Values are
+# compared by their lowest byte: equal ones stay equal, others agree once in 256.
 SCREEN = 0.58
 # Classes on either side of a block of comparisons by signature.
 BLOCK = 2_000
@@ -145,23 +147,26 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_hash (null: empty) and signature of each row."""
+    """doc_id, n_shingles, set_hash (null: empty), signature and low (the lowest
+    byte of each of its values) of each row."""
 
     def make():
         def work(rows: dict) -> dict:
             sets = shingle_sets(rows["text"])
             full = [s for s in sets if len(s)]
-            signed = iter(signatures(full)) if full else iter(())
+            signed = signatures(full) if full else np.empty((0, SIGNATURE), dtype="<u4")
+            low, signed = iter(signed.astype(np.uint8)), iter(signed)
             return {
                 "doc_id": rows["doc_id"],
                 "n_shingles": [len(s) for s in sets],
                 "set_hash": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
                 "signature": [next(signed).tobytes() if len(s) else None for s in sets],
+                "low": [next(low).tobytes() if len(s) else None for s in sets],
             }
 
         return work
 
-    schema = "doc_id long, n_shingles long, set_hash binary, signature binary"
+    schema = "doc_id long, n_shingles long, set_hash binary, signature binary, low binary"
     return map_rows(docs.select("doc_id", "text"), make, schema)
 
 
@@ -235,12 +240,19 @@ def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return functools.reduce(DataFrame.unionByName, found).distinct(), large
 
 
-def _rest(large: DataFrame, links: DataFrame, classes: DataFrame, most: int) -> DataFrame:
+def _joined(known: DataFrame, links: DataFrame) -> DataFrame:
+    """``known`` (node, component) after ``links`` between components ca and cb."""
+    step = components(links.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    step = step.select(F.col("node").alias("component"), F.col("component").alias("_to"))
+    out = known.join(step, "component", "left").select("node", F.coalesce("_to", "component").alias("component"))
+    return checkpointed(out)
+
+
+def _rest(large: DataFrame, known: DataFrame, classes: DataFrame, most: int) -> DataFrame:
     """Pairs of the large regions that may be links and are not connected yet:
     a, b, their components ca, cb, and whether a block had more than the
     ``most`` likeliest of the class outside with that component."""
-    known = components(links).withColumnRenamed("component", "c")
-    rows = large.join(known, "node", "left").withColumn("c", F.coalesce("c", "node"))
+    rows = large.join(known.withColumnRenamed("component", "c"), "node")
     sizes = rows.groupBy("region", "c").agg(F.count(F.lit(1)).alias("n"))
     # a row for each component of a region; of the largest, one
     regions = sizes.groupBy("region").agg(
@@ -252,12 +264,12 @@ def _rest(large: DataFrame, links: DataFrame, classes: DataFrame, most: int) ->
         F.ceil(F.col("n") / BLOCK).alias("all_blocks"),
         F.ceil((F.col("n") - F.col("top.n")) / BLOCK).alias("out_blocks"),
     )
-    rows = checkpointed(rows.join(regions.hint("merge"), "region").join(classes.drop("set_hash"), "node"))
+    rows = checkpointed(rows.join(regions.hint("merge"), "region").join(classes.select("node", "n_shingles", "low"), "node"))
     own = F.xxhash64(F.col("node"))
 
     def blocks(own_blocks: str, other_blocks: str, mine: str, others: str) -> DataFrame:
         return rows.select(
-            "region", "node", "c", "top", "n_shingles", "signature",
+            "region", "node", "c", "top", "n_shingles", "low",
             F.pmod(own, F.col(own_blocks)).alias(mine),
             F.explode(F.sequence(F.lit(0).cast("long"), F.col(other_blocks) - 1)).alias(others),
         )
@@ -267,7 +279,7 @@ def _rest(large: DataFrame, links: DataFrame, classes: DataFrame, most: int) ->
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         def columns(t: pa.Table):
-            signed = np.frombuffer(b"".join(t["signature"].to_pylist()), dtype="<u4").reshape(-1, SIGNATURE)
+            signed = np.frombuffer(b"".join(t["low"].to_pylist()), dtype=np.uint8).reshape(-1, SIGNATURE)
             return [t[c].to_numpy() for c in ("node", "c", "n_shingles")] + [signed]
 
         out: dict[str, list] = {"a": [], "b": [], "ca": [], "cb": [], "more": []}
@@ -297,15 +309,15 @@ def _rest(large: DataFrame, links: DataFrame, classes: DataFrame, most: int) ->
 
 def _screen(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs whose signatures and sizes allow a link."""
-    short = classes.select("node", "n_shingles", "signature")
-    left = short.select(F.col("node").alias("a"), F.col("n_shingles").alias("na"), F.col("signature").alias("sa"))
-    right = short.select(F.col("node").alias("b"), F.col("n_shingles").alias("nb"), F.col("signature").alias("sb"))
+    short = classes.select("node", "n_shingles", "low")
+    left = short.select(F.col("node").alias("a"), F.col("n_shingles").alias("na"), F.col("low").alias("sa"))
+    right = short.select(F.col("node").alias("b"), F.col("n_shingles").alias("nb"), F.col("low").alias("sb"))
     both = pairs.join(left, "a").join(right, "b")
     both = both.where(100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")).drop("na", "nb")
 
     def make():
         def work(rows: dict) -> dict:
-            x, y = (np.frombuffer(b"".join(rows[c]), dtype="<u4").reshape(-1, SIGNATURE) for c in ("sa", "sb"))
+            x, y = (np.frombuffer(b"".join(rows[c]), dtype=np.uint8).reshape(-1, SIGNATURE) for c in ("sa", "sb"))
             same = (x == y).mean(axis=1) >= SCREEN
             return {"a": np.array(rows["a"])[same], "b": np.array(rows["b"])[same]}
 
@@ -315,19 +327,19 @@ def _screen(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs that are links, but for those inside what others join. ca, cb:
-    components of a, b that are known."""
-    group = components(pairs)
-    sizes = group.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    """The pairs that are links, but for those inside what others join.
+    ``component`` gathers pairs that may join the same; ca, cb: components of
+    a, b that are known."""
     # A large component is cut by the end that has fewer partners, so that the
     # many pairs of one node are spread, and a set goes to few blocks.
-    degree = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("d"))
-    node = group.join(sizes, "component").join(degree, "node")
-    left = node.select(F.col("node").alias("a"), "component", "n", F.col("d").alias("da"))
-    right = node.select(F.col("node").alias("b"), F.col("d").alias("db"))
+    node = pairs.select("component", F.explode(F.array("a", "b")).alias("node"))
+    node = node.groupBy("component", "node").agg(F.count(F.lit(1)).alias("d"))
+    sizes = node.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    left = node.join(sizes, "component").select("component", F.col("node").alias("a"), F.col("d").alias("da"), "n")
+    right = node.select("component", F.col("node").alias("b"), F.col("d").alias("db"))
     end = F.when(F.col("da") < F.col("db"), F.col("a")).otherwise(F.col("b"))
     cut = F.pmod(F.xxhash64(end), F.ceil(F.col("n") / GROUP).cast("long"))
-    blocks = pairs.join(left, "a").join(right, "b").select(
+    blocks = pairs.join(left, ["component", "a"]).join(right, ["component", "b"]).select(
         "a", "b", "ca", "cb", "component", F.when(F.col("n") <= GROUP, F.lit(0)).otherwise(cut).cast("long").alias("block")
     )
     blocks = checkpointed(blocks)
@@ -357,7 +369,7 @@ def _confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                 x = root[x]
             return x
 
-        out: dict[str, list] = {"a": [], "b": []}
+        out: dict[str, list] = {"ca": [], "cb": []}
         for a, b, ca, cb in sorted(zip(*(left[c].to_pylist() for c in ("a", "b", "ca", "cb")), strict=True)):
             if find(ca) == find(cb):
                 continue
@@ -367,12 +379,12 @@ def _confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             both = len(np.intersect1d(x, y, assume_unique=True))
             if 100 * both >= PERCENT * (len(x) + len(y) - both):
                 root[find(ca)] = find(cb)
-                out["a"].append(a)
-                out["b"].append(b)
+                out["ca"].append(ca)
+                out["cb"].append(cb)
         return pa.table({k: pa.array(v, type=pa.int64()) for k, v in out.items()})
 
     keys = ("component", "block")
-    return blocks.groupBy(*keys).cogroup(sets.groupBy(*keys)).applyInArrow(links, "a long, b long")
+    return blocks.groupBy(*keys).cogroup(sets.groupBy(*keys)).applyInArrow(links, "ca long, cb long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -380,24 +392,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = checkpointed(sketch(docs))
     named = rows.where("doc_id is not null and set_hash is not null")
     # equal sets are one class; a hot class is reduced before the shuffle
-    classes = named.groupBy("set_hash").agg(F.min(F.struct("doc_id", "n_shingles", "signature")).alias("x"))
+    classes = named.groupBy("set_hash").agg(F.min(F.struct("doc_id", "n_shingles", "signature", "low")).alias("x"))
     classes = checkpointed(
-        classes.select("set_hash", F.col("x.doc_id").alias("node"), "x.n_shingles", "x.signature")
+        classes.select("set_hash", F.col("x.doc_id").alias("node"), "x.n_shingles", "x.signature", "x.low")
     )
     pairs, large = candidates(classes)
-    pairs = checkpointed(_screen(pairs, classes).select("a", "b", F.col("a").alias("ca"), F.col("b").alias("cb")))
-    links = checkpointed(_confirm(pairs, docs))
+    pairs = checkpointed(_screen(pairs, classes))
+    group = components(pairs).withColumnRenamed("node", "a")
+    pairs = pairs.join(group, "a").select("a", "b", F.col("a").alias("ca"), F.col("b").alias("cb"), "component")
+    known = _joined(classes.select("node", F.col("node").alias("component")), checkpointed(_confirm(pairs, docs)))
     most, more = ROUND, True
     while more:
-        rest = checkpointed(_rest(large, links, classes, most))
+        release(docs.sparkSession)
+        rest = checkpointed(_rest(large, known, classes, most))
         # a class with as many candidates as the round takes may have more
         more = not rest.where("more = 1").isEmpty()
         if not rest.isEmpty():
-            links = checkpointed(links.unionByName(_confirm(rest.drop("more"), docs)))
+            rest = rest.withColumn("component", F.xxhash64(F.least("ca", "cb"), F.greatest("ca", "cb")))
+            known = _joined(known, checkpointed(_confirm(rest, docs)))
         most *= ROUND_FACTOR
-    found = components(links).withColumnRenamed("node", "_node")
-    named_class = classes.select("set_hash", F.col("node").alias("_node")).join(found, "_node", "left")
-    named_class = named_class.select("set_hash", F.coalesce("component", "_node").alias("component"))
+    named_class = classes.select("set_hash", "node").join(known, "node").select("set_hash", "component")
     out = rows.select("doc_id", "n_shingles", "set_hash").join(named_class, "set_hash", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select(
