@@ -6,9 +6,10 @@ struct of nulls (not null) for garbage. The classifier below closes those
 gaps with built-ins only, so it stays a JVM-side projection with no shuffle
 and no Python on the data path:
 
-* the payload is wrapped as ``{"r":[<payload>],"end":"<marker>"}`` and
-  parsed once; trailing text, a second document, a scalar or an array
-  break either the wrapper or the one-element array;
+* the payload is wrapped as ``{"w":[[{"_n":K}],[<payload>\\n],[{"_n":K}]]}``,
+  with K a hash of the payload itself, and parsed once. A payload that closes
+  the wrapper and opens another would have to hold its own hash in front of
+  it, so trailing text, a second document, a scalar or an array always shows;
 * every record field is read as ``variant`` so its JSON type is known;
 * typed fields are converted from the variant afterwards;
 * a corrupt-record column catches partial results: with
@@ -32,6 +33,7 @@ from ferry.schemas import as_struct
 STATUSES = (
     "bad_utf8",
     "null_payload",
+    "too_large",
     "malformed",
     "empty",
     "json_null",
@@ -43,21 +45,25 @@ STATUSES = (
 # Fixed value: the time format the reference configures for date fields.
 DEFAULT_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ssZ"
 
-# Closing marker of the wrapper. A payload that contains it could close the
-# wrapper early and smuggle trailing text past the check, so such a payload
-# is reported as malformed.
-_MARKER = "ferry-eof-5b1c9e"
-_WRAP_OPEN = '{"r":['
-_WRAP_CLOSE = '],"end":"' + _MARKER + '"}'
+_NONCE = "_n"
 _CORRUPT = "_corrupt"
+# Spark's variant holds at most this many bytes; a longer payload that does not
+# parse is reported as too large, as it cannot be told from a malformed one.
+VARIANT_BYTES = 128 << 20
+# The JSON reader's limits on one string and one number are lifted: the payload
+# bounds both. Its limit on nesting (1,000) stays, as the reader recurses and a
+# deeper document can exhaust the stack of the executor's thread.
+_LIMITS = {"maxStringLen": str(2**31 - 1), "maxNumLen": str(2**31 - 1)}
 
 
 def _wrapper_schema(record: T.StructType) -> T.StructType:
-    as_variant = T.StructType([T.StructField(f.name, T.VariantType(), True) for f in record.fields])
+    cell = T.StructType(
+        [T.StructField(_NONCE, T.StringType(), True)]
+        + [T.StructField(f.name, T.VariantType(), True) for f in record.fields]
+    )
     return T.StructType(
         [
-            T.StructField("r", T.ArrayType(as_variant, True), True),
-            T.StructField("end", T.StringType(), True),
+            T.StructField("w", T.ArrayType(T.ArrayType(cell, True), True), True),
             T.StructField(_CORRUPT, T.StringType(), True),
         ]
     )
@@ -68,26 +74,47 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _typed_sql(v: str, dtype: T.DataType) -> tuple[str, str]:
-    """(value, is_bad) SQL for one field read as variant ``v``.
+def _plain(decimal: str) -> str:
+    """Decimal text without trailing zeros, as the variant writes it."""
+    return f"CASE WHEN instr({decimal}, '.') > 0 THEN rtrim('.', rtrim('0', {decimal})) ELSE {decimal} END"
+
+
+def _typed_sql(v: str, kind: str, text: str, dtype: T.DataType) -> tuple[str, str]:
+    """(value, lossless) SQL for one field read as variant ``v`` of JSON kind
+    ``kind``. The value is null where it does not convert; ``lossless`` tells
+    whether a value that converts still says the same. ``text`` is the field
+    as a string-typed parse gives it.
 
     ``_fmt`` is a literal column holding the time format (no user text is
     spliced into SQL)."""
     if isinstance(dtype, T.StringType):
-        # Numbers and booleans are accepted into string fields, as text.
-        return f"CAST({v} AS STRING)", "false"
-    kind = f"schema_of_variant({v})"
+        # Numbers and booleans are accepted into string fields, as text. Of the
+        # numbers that variant has as a double, long integers are read again as
+        # text; exponent forms are doubles, unless these cannot hold them; long
+        # decimals are not kept exactly by either.
+        number = f"""coalesce(nullif(regexp_extract({text}, '^-?[0-9]+$', 0), ''),
+            CASE WHEN NOT _long_decimal AND NOT CAST({v} AS DOUBLE) IN (0D, double('Infinity'), double('-Infinity'))
+            THEN CAST({v} AS STRING) END)"""
+        return f"CASE WHEN {kind} = 'DOUBLE' THEN {number} ELSE CAST({v} AS STRING) END", "true"
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         # only JSON strings can hold a time; skipping the others avoids a failed parse each
         parsed = f"CASE WHEN {kind} = 'STRING' THEN try_to_timestamp(CAST({v} AS STRING), _fmt) END"
         if isinstance(dtype, T.TimestampNTZType):
             parsed = f"CAST({parsed} AS TIMESTAMP_NTZ)"
-        bad = f"coalesce(NOT {kind} IN ('STRING', 'VOID') OR ({kind} = 'STRING' AND {parsed} IS NULL), false)"
-        return parsed, bad
-    if isinstance(dtype, T.AtomicType):
-        got = f"try_variant_get({v}, '$', '{dtype.simpleString()}')"
-        return got, f"coalesce({kind} <> 'VOID' AND {got} IS NULL, false)"
-    raise TypeError(f"record fields must be atomic types, got {dtype.simpleString()}")
+        return parsed, "true"
+    if not isinstance(dtype, T.AtomicType):
+        raise TypeError(f"record fields must be atomic types, got {dtype.simpleString()}")
+    got = f"try_variant_get({v}, '$', '{dtype.simpleString()}')"
+    if isinstance(dtype, T.BooleanType):
+        return f"CASE WHEN {kind} IN ('BOOLEAN', 'STRING') THEN {got} END", "true"
+    numeric = f"({kind} IN ('BIGINT', 'DOUBLE') OR startswith({kind}, 'DECIMAL'))"
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return f"CASE WHEN {numeric} OR {kind} = 'STRING' THEN {got} END", "{got} NOT IN ('Infinity', '-Infinity')"
+    if isinstance(dtype, T.NumericType):
+        same = f"""CASE WHEN startswith({kind}, 'DECIMAL') THEN CAST({v} AS STRING) = {_plain('CAST({got} AS STRING)')}
+            WHEN {kind} = 'DOUBLE' THEN try_variant_get({v}, '$', 'double') = CAST({{got}} AS DOUBLE) ELSE true END"""
+        return f"CASE WHEN {numeric} OR {kind} = 'STRING' THEN {got} END", same
+    return f"CASE WHEN {kind} = 'STRING' THEN {got} END", "true"
 
 
 def classify(
@@ -115,9 +142,13 @@ def classify(
     matters because a ``foreachBatch`` job builds this plan every batch.
     """
     schema = as_struct(schema)
-    taken = {status, record, "_p", "_fmt", "_raw_null"} & set(df.columns)
+    own = {status, record, "_p", "_fmt", "_raw_null", "_nonce"}
+    own |= {f"_{x}{i}" for i in range(len(schema.fields)) for x in "ktv"}
+    taken = own & set(df.columns)
     if taken:
         raise ValueError(f"classify adds columns {sorted(taken)} that the input already has; rename them first")
+    if _NONCE in schema.fieldNames():
+        raise ValueError(f"a record field cannot be named {_NONCE}: the parser's wrapper uses it")
     is_binary = isinstance(df.schema[value].dataType, T.BinaryType)
     others = [F.col(_q(c)) for c in df.columns if c != value]
 
@@ -126,41 +157,58 @@ def classify(
         *others,
         payload_text(df, value).alias(value),
         F.col(_q(value)).isNull().alias("_raw_null") if is_binary else F.lit(None).cast("boolean").alias("_raw_null"),
-    ).select(
+    ).select("*", F.sha2(F.col(_q(value)), 256).alias("_nonce"))
+    options = {**_LIMITS, **dict(json_options or {}), "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    guard = [F.lit('[{"_n":"'), F.col("_nonce"), F.lit('"}]')]
+    # the line break ends a comment, where the options allow one
+    wrapped = F.concat(F.lit('{"w":['), *guard, F.lit(",["), F.col(_q(value)), F.lit("\n],"), *guard, F.lit("]}"))
+    staged = staged.select(
         "*",
-        F.from_json(
-            F.concat(F.lit(_WRAP_OPEN), F.col(_q(value)), F.lit(_WRAP_CLOSE)),
-            _wrapper_schema(schema),
-            {**dict(json_options or {}), "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT},
-        ).alias("_p"),
+        F.from_json(wrapped, _wrapper_schema(schema), options).alias("_p"),
         F.lit(timestamp_format).alias("_fmt"),
     )
 
     val = _q(value)
     raw_null = "_raw_null" if is_binary else f"{val} IS NULL"
-    doc = "get(_p.r, 0)"
-    fields = [(f, f"{doc}.{_q(f.name)}") for f in schema.fields]
-    typed = [(f, *_typed_sql(v, f.dataType)) for f, v in fields]
+    doc = "get(get(_p.w, 1), 0)"
+    # Kinds and converted values are columns of their own, each used more than
+    # once after: Catalyst then computes them once.
+    fields = list(enumerate(schema.fields))
+    kinds = staged.select(
+        "*",
+        *[F.expr(f"{doc}.{_q(f.name)}").alias(f"_v{i}") for i, f in fields],
+    ).select("*", *[F.expr(f"schema_of_variant(_v{i})").alias(f"_k{i}") for i, f in fields])
+    # Only evaluated for a number that variant turned into a double.
+    text_options = ", ".join(f"'{k}', '{v}'" for k, v in options.items() if k not in ("mode", "columnNameOfCorruptRecord"))
+    text_schema = ", ".join(f"{_q(f.name)} STRING" for f in schema.fields)
+    text_of = f"from_json({val}, '{text_schema}', map({text_options}))"
+    long_decimal = f"({val} RLIKE '(?=[0-9.]{{40}})[0-9]+[.][0-9]')"
+    typed = []
+    for i, f in fields:
+        got, lossless = _typed_sql(f"_v{i}", f"_k{i}", f"{text_of}.{_q(f.name)}", f.dataType)
+        typed.append((i, f, got.replace("_long_decimal", long_decimal), lossless.replace("{got}", f"_t{i}")))
+    converted = kinds.select("*", *[F.expr(f"CAST({g} AS {f.dataType.simpleString()})").alias(f"_t{i}") for i, f, g, _ in typed])
     nested = " OR ".join(
-        f"coalesce(startswith(schema_of_variant({v}), 'OBJECT') OR startswith(schema_of_variant({v}), 'ARRAY'), false)"
-        for _, v in fields
+        f"coalesce(startswith(_k{i}, 'OBJECT') OR startswith(_k{i}, 'ARRAY'), false)" for i, _ in fields
+    ) or "false"
+    bad = " OR ".join(
+        f"coalesce(_k{i} <> 'VOID' AND (_t{i} IS NULL OR NOT ({lossless})), false)" for i, _, _, lossless in typed
     ) or "false"
-    bad = " OR ".join(b for _, _, b in typed if b != "false") or "false"
     state = f"""CASE
         WHEN NOT {raw_null} AND {val} IS NULL THEN 'bad_utf8'
         WHEN {raw_null} THEN 'null_payload'
-        WHEN _p.{_CORRUPT} IS NOT NULL OR _p.end IS NULL OR _p.end <> '{_MARKER}' OR _p.r IS NULL
-             OR instr({val}, '{_MARKER}') > 0 THEN 'malformed'
-        WHEN size(_p.r) = 0 THEN 'empty'
-        WHEN size(_p.r) > 1 THEN 'malformed'
+        WHEN _p.{_CORRUPT} IS NOT NULL AND octet_length({val}) > {VARIANT_BYTES} THEN 'too_large'
+        WHEN _p.{_CORRUPT} IS NOT NULL OR _p.w IS NULL OR size(_p.w) <> 3
+             OR NOT (size(_p.w[0]) <=> 1 AND size(_p.w[2]) <=> 1)
+             OR NOT (_p.w[0][0].{_NONCE} <=> _nonce AND _p.w[2][0].{_NONCE} <=> _nonce)
+             OR _p.w[1] IS NULL THEN 'malformed'
+        WHEN size(_p.w[1]) = 0 THEN 'empty'
+        WHEN size(_p.w[1]) > 1 THEN 'malformed'
         WHEN {doc} IS NULL THEN 'json_null'
         WHEN {nested} THEN 'nested_field'
         WHEN {bad} THEN 'bad_field'
         ELSE 'ok' END"""
-    with_status = staged.select("*", F.expr(state).alias(status))
-    rec = F.when(
-        F.col(_q(status)) == "ok",
-        F.struct(*[F.expr(f"CAST({v} AS {f.dataType.simpleString()})").alias(f.name) for f, v, _b in typed]),
-    )
+    with_status = converted.select("*", F.expr(state).alias(status))
+    rec = F.when(F.col(_q(status)) == "ok", F.struct(*[F.col(f"_t{i}").alias(f.name) for i, f in fields]))
     keep = [F.col(_q(c)) for c in df.columns] + [F.col(_q(status))]  # input order, value now text
     return with_status.select(*keep, rec.alias(record))

@@ -22,6 +22,15 @@ def _position(df: DataFrame) -> list[str]:
     return [c for c in _POSITION if c in df.columns]
 
 
+def _fields(classified: DataFrame, record: str, *others: str) -> list[str]:
+    """Names of the record's fields; refuses those of the columns beside them."""
+    names = [f.name for f in classified.schema[record].dataType.fields]
+    clash = {n.lower() for n in names} & {c.lower() for c in (*_position(classified), *others)}
+    if clash:
+        raise ValueError(f"record fields {sorted(clash)} clash with message columns; rename those first")
+    return names
+
+
 def keep_where(df: DataFrame, condition: Column, *cols: Column) -> DataFrame:
     """``df.filter(condition).select(*cols)`` with the parse evaluated once.
 
@@ -36,7 +45,7 @@ def keep_where(df: DataFrame, condition: Column, *cols: Column) -> DataFrame:
 
 def records(classified: DataFrame, status: str = "status", record: str = "record") -> DataFrame:
     """The valid records only, as columns, with their message position."""
-    fields = [f.name for f in classified.schema[record].dataType.fields]
+    fields = _fields(classified, record)
     return keep_where(
         classified,
         F.col(status) == "ok",
@@ -47,7 +56,7 @@ def records(classified: DataFrame, status: str = "status", record: str = "record
 
 def parsed_fields(classified: DataFrame, status: str = "status", record: str = "record") -> DataFrame:
     """Every message with its status and the parsed fields (null unless ok)."""
-    fields = [f.name for f in classified.schema[record].dataType.fields]
+    fields = _fields(classified, record, status)
     return classified.select(
         *_position(classified), status, *[F.col(record)[n].alias(n) for n in fields]
     )

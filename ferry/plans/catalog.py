@@ -32,12 +32,15 @@ from ferry.operators.records import (
 from ferry.schemas import EMPLOYEE
 from ferry.session import fresh_dir
 from ferry.sources.derived import (
-    EVENTS_PARTITIONS,
+    HOSTILE_PAYLOADS,
     customer_bytes_envelope,
     customer_envelope,
+    customer_hostile_envelope,
+    customer_long_number_envelope,
     documents_envelope,
     events_envelope,
     events_time_envelope,
+    orders_typed_envelope,
 )
 from ferry.sources.replay import read_replay, read_table, stream_table
 from ferry.streaming.jobs import RelayTables, committed_offsets, start_publish, start_relay
@@ -48,6 +51,7 @@ EMPLOYEE_TOPIC = "employees"
 EVENTS_OUT_TOPIC = "events_out"
 EVENT_RECORD = "k string"
 TIMED_RECORD = "id string, at timestamp"
+TYPED_RECORD = "k int, price decimal(12,2), flag boolean"
 DOCUMENT_RECORD = "doc_id string, lang string, source string, text string"
 # Event time up to which a previous run has committed (resume queries), and
 # the boundary between the two arrivals of the resumed stream.
@@ -100,6 +104,24 @@ def classify_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classified.select("topic", "partition", "offset", "status", "n_bytes")
 
 
+def classify_hostile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P2/P3 on payloads that try to escape the parser's wrapper."""
+    messages = customer_hostile_envelope(read_table(spark, sf_dir, "customer"))
+    classified = classify(messages, EMPLOYEE)
+    return classified.select("topic", "partition", "offset", "status", F.col("record.id").alias("id"))
+
+
+def parse_long_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of 39 to 60 digits in a string field."""
+    classified = classify(customer_long_number_envelope(read_table(spark, sf_dir, "customer")), EMPLOYEE)
+    return classified.select("topic", "partition", "offset", "status", F.col("record.id").alias("id"))
+
+
+def parse_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed fields take only what they hold without loss."""
+    return parsed_fields(classify(orders_typed_envelope(read_table(spark, sf_dir, "orders")), TYPED_RECORD))
+
+
 def parse_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid records as typed columns."""
     return records(_classified_customers(spark, sf_dir))
@@ -189,12 +211,11 @@ def stream_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stage_arrival(spark: SparkSession, sf_dir: str, landing: str, first: bool) -> None:
     """Land one arrival of event messages (before / from the boundary time),
-    one file per Kafka partition as a broker log would hold them, so the
-    stream reads it with one task per partition."""
+    in the splits of the scan."""
     messages = _events(spark, sf_dir)
     early = F.col("timestamp") < F.lit(COMMITTED_BEFORE).cast("timestamp")
     arrival = messages.filter(early if first else ~early)
-    arrival.repartitionByRange(EVENTS_PARTITIONS, "partition").write.mode("append").parquet(landing)
+    arrival.write.mode("append").parquet(landing)
 
 
 def _landing_stream(spark: SparkSession, landing: str) -> DataFrame:
@@ -269,6 +290,9 @@ QUERIES: dict[str, Query] = {
     "decode_payload": decode_payload,
     "classify_payloads": classify_payloads,
     "classify_bytes": classify_bytes,
+    "classify_hostile": classify_hostile,
+    "parse_long_numbers": parse_long_numbers,
+    "parse_typed": parse_typed,
     "parse_records": parse_records,
     "reject_records": reject_records,
     "reject_counts": reject_counts_q,
@@ -414,6 +438,37 @@ FROM decoded
 """
 )
 
+_GOOD = """concat('{"id":"', CAST(c_custkey AS VARCHAR), '","name":"', c_name, '","firstName":"', c_mktsegment, '"',
+    CASE WHEN c_acctbal >= 0 THEN concat(',"lastName":"N', CAST(c_nationkey AS VARCHAR), '"') ELSE '' END, '}')"""
+
+_HOSTILE = f"""WITH env AS (
+  SELECT 'inputTopic' AS topic, CAST(c_custkey % 4 AS INTEGER) AS "partition",
+         CAST(floor(c_custkey / 4) AS BIGINT) AS "offset",
+         CASE c_custkey % {len(HOSTILE_PAYLOADS) + 3}
+           {" ".join(f"WHEN {i} THEN '{p}'" for i, p in enumerate(HOSTILE_PAYLOADS))} ELSE {_GOOD} END AS value
+  FROM customer),
+classified AS (SELECT *, {_STATUS_CASE} AS status FROM env)
+SELECT topic, "partition", "offset", status,
+       CASE WHEN status = 'ok' THEN json_extract_string(value, '$.id') END AS id
+FROM classified"""
+
+_LONG_NUMBERS = """
+SELECT 'inputTopic' AS topic, CAST(c_custkey % 4 AS INTEGER) AS "partition",
+       CAST(floor(c_custkey / 4) AS BIGINT) AS "offset",
+       CASE WHEN c_custkey % 10 = 3 THEN 'bad_field' ELSE 'ok' END AS status,
+       CASE WHEN c_custkey % 10 <> 3
+            THEN concat('1', lpad(CAST(c_custkey AS VARCHAR), CAST(38 + c_custkey % 22 AS INTEGER), '7')) END AS id
+FROM customer"""
+
+_TYPED = """
+SELECT 'orders' AS topic, CAST(o_orderkey % 4 AS INTEGER) AS "partition",
+       CAST(floor(o_orderkey / 4) AS BIGINT) AS "offset",
+       CASE WHEN o_orderkey % 7 IN (1, 2, 3, 4, 5) THEN 'bad_field' ELSE 'ok' END AS status,
+       CASE WHEN o_orderkey % 7 IN (0, 6) THEN CAST(o_orderkey AS INTEGER) END AS k,
+       CASE WHEN o_orderkey % 7 IN (0, 6) THEN CAST(1.50 AS DECIMAL(12,2)) END AS price,
+       CASE WHEN o_orderkey % 7 IN (0, 6) THEN true END AS flag
+FROM orders"""
+
 _DOCUMENTS = """
 WITH doc_msg AS (
   SELECT 'documents' AS topic,
@@ -455,6 +510,9 @@ SELECT topic, "partition", "offset", value, CAST(octet_length(encode(value)) AS
 FROM customer_env""",
     "classify_payloads": _CLASSIFIED + """SELECT topic, "partition", "offset", status FROM classified""",
     "classify_bytes": _BYTES,
+    "classify_hostile": _HOSTILE,
+    "parse_long_numbers": _LONG_NUMBERS,
+    "parse_typed": _TYPED,
     "parse_records": _CLASSIFIED + "SELECT * FROM parsed",
     "reject_records": _CLASSIFIED
     + """SELECT topic, "partition", "offset", value, status AS reason FROM classified WHERE status <> 'ok'""",

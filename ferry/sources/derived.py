@@ -123,3 +123,49 @@ def documents_envelope(documents: DataFrame) -> DataFrame:
         f"floor(doc_id / {DOCUMENTS_PARTITIONS})",
         "to_json(named_struct('doc_id', CAST(doc_id AS STRING), 'lang', lang, 'source', source, 'text', text))",
     )
+
+
+# Payloads that try to close the parser's wrapper, and two valid
+# ones that look like it.
+HOSTILE_PAYLOADS = (
+    '{"id":"1"}],"r":[{"id":"2"}',
+    '{"id":"1"}],"end":"x","r":[{"id":"2"}',
+    '],"r":[{"id":"2"}',
+    '{"id":"1"}],"x":[1',
+    '{"id":"1"}],"_corrupt":["a"',
+    '{"id":"1"}],"_corrupt":null,"r":[{"id":"3"}',
+    '],"x":[{"id":"2"}',
+    '{"id":"1"}],"r":[',
+    '{"id":"1"}],"r":[null',
+    '{"id":"1"}],[{"_n":"x"}]],"w":[[{"_n":"x"}],[{"id":"2"}',
+    '{"id":"1"}],[{"_n":null}]],"w":[[{"_n":null}],[{"id":"2"}',
+    ']],"w":[[{"id":"2"}',
+    '{"id":"1"}]]}',
+    '{"id":"ferry-eof-5b1c9e"}',
+    '{"id":"],[","name":"]]}","w":[[1],[2]],"_n":"x","_corrupt":"y"}',
+)
+
+
+def customer_hostile_envelope(customer: DataFrame) -> DataFrame:
+    """The customer messages, most of them replaced by hostile payloads."""
+    cases = " ".join(f"WHEN {i} THEN '{p}'" for i, p in enumerate(HOSTILE_PAYLOADS))
+    value = f"CASE c_custkey % {len(HOSTILE_PAYLOADS) + 3} {cases} ELSE {_CUSTOMER_GOOD} END"
+    partition, offset = f"c_custkey % {CUSTOMER_PARTITIONS}", f"floor(c_custkey / {CUSTOMER_PARTITIONS})"
+    return _envelope(customer, CUSTOMER_TOPIC, partition, offset, value)
+
+
+def customer_long_number_envelope(customer: DataFrame) -> DataFrame:
+    """``{"id": N}`` with a number of 39 to 60 digits; every tenth is out of range."""
+    value = """CASE WHEN c_custkey % 10 = 3 THEN '{"id":1e400}' ELSE
+        concat('{"id":', '1', lpad(CAST(c_custkey AS STRING), CAST(38 + c_custkey % 22 AS INT), '7'), '}') END"""
+    partition, offset = f"c_custkey % {CUSTOMER_PARTITIONS}", f"floor(c_custkey / {CUSTOMER_PARTITIONS})"
+    return _envelope(customer, CUSTOMER_TOPIC, partition, offset, value)
+
+
+def orders_typed_envelope(orders: DataFrame) -> DataFrame:
+    """``{"k", "price", "flag"}`` of each order, with values that an int, a
+    decimal(12,2) or a boolean cannot hold without loss."""
+    value = """concat('{"k":', CASE o_orderkey % 7 WHEN 1 THEN '1.7' WHEN 2 THEN 'true' ELSE CAST(o_orderkey AS STRING) END,
+        ',"price":', CASE o_orderkey % 7 WHEN 3 THEN '1.239' ELSE '1.50' END,
+        ',"flag":', CASE o_orderkey % 7 WHEN 4 THEN '2' WHEN 5 THEN '1.5' ELSE 'true' END, '}')"""
+    return _envelope(orders, "orders", "o_orderkey % 4", "floor(o_orderkey / 4)", value)

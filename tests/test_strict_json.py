@@ -10,8 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ferry import EMPLOYEE, classify, serialize
-from ferry.functions.strict_json import _MARKER
-from ferry.operators.records import parsed_fields, serialized
+from ferry.operators.records import parsed_fields, records, serialized
+from ferry.sources.derived import HOSTILE_PAYLOADS
 
 # Fixed value: the one sample message of the relayed stream (68 bytes); parse
 # then serialize must give it back byte for byte.
@@ -103,7 +103,7 @@ def test_lenient_options_pass_through(spark):
 
 
 def test_marker_smuggling_is_malformed(spark):
-    smuggled = '{"id":"1"}],"end":"' + _MARKER + '"} junk'
+    smuggled = '{"id":"1"}],"end":"ferry-eof-5b1c9e"} junk'
     assert _run(spark, [smuggled])[0]["status"] == "malformed"
 
 
@@ -275,3 +275,74 @@ def test_classify_refuses_column_clashes(spark):
     df = spark.createDataFrame([("{}", "x")], "value string, status string")
     with pytest.raises(ValueError, match="status"):
         classify(df, EMPLOYEE)
+
+
+def _strict(text):
+    """Status and id that Python's parser gives a payload (for string ids)."""
+    try:
+        doc = json.loads(text)
+    except ValueError:
+        return ("malformed", None) if text.strip() else ("empty", None)
+    if doc is None:
+        return "json_null", None
+    if not isinstance(doc, dict):
+        return "malformed", None
+    if isinstance(doc.get("id"), (dict, list)):
+        return "nested_field", None
+    return "ok", doc.get("id")
+
+
+def test_payloads_cannot_escape_the_wrapper(spark):
+    rng = random.Random(5)
+    tokens = ["]", "]]", "[", "[[", "{", "}", ",", '"r":', '"w":', '"_n":', '"_corrupt":', '"id":', '"x"', "null", "1",
+              '{"id":"1"}', '{"id":"2"}', '{"_n":"x"}', "\n"]
+    fuzz = {"".join(rng.choices(tokens, k=rng.randrange(1, 9))) for _ in range(4000)}
+    fuzz |= {p + "".join(rng.choices(tokens, k=rng.randrange(3))) for p in HOSTILE_PAYLOADS for _ in range(60)}
+    # numbers as ids are another test's matter
+    payloads = [*HOSTILE_PAYLOADS, *sorted(p for p in fuzz if '"id":1' not in p)]
+    rows = _run(spark, payloads, schema="id string")
+    wrong = [(p, r["status"], r["id"]) for p, r in zip(payloads, rows, strict=True) if (r["status"], r["id"]) != _strict(p)]
+    assert wrong == []
+
+
+def test_long_strings_and_numbers(spark):
+    df = spark.range(1).selectExpr("0L AS offset", "concat('{\"id\":\"', repeat('x', 90 << 20), '\"}') AS value")
+    assert classify(df, "id string").selectExpr("status", "length(record.id)").first() == ("ok", 90 << 20)
+    digits = "7" * 1100
+    rows = _run(spark, ['{"id":"1","zzz":%s}' % digits, '{"id":%s}' % digits, '{"id":-%s}' % digits[:40]], "id string")
+    assert [(r["status"], r["id"]) for r in rows] == [("ok", "1"), ("ok", digits), ("ok", "-" + digits[:40])]
+    bad = ["1e400", "-1e400", "1e-400", "3." + "1" * 44]
+    rows = _run(spark, ['{"id":%s}' % x for x in bad], "id string")
+    assert [r["status"] for r in rows] == ["bad_field"] * 4
+    rows = _run(spark, ['{"a":%s,"b":1e3}' % digits, '{"b":%s,"b":5}' % digits], "a string, b string")
+    assert [(r["a"], r["b"]) for r in rows] == [(digits, "1000.0"), (None, "5")]
+
+
+def test_typed_fields_take_only_what_they_hold(spark):
+    def statuses(schema, *values):
+        return [r["status"] for r in _run(spark, ['{"x":%s}' % v for v in values], f"x {schema}")]
+
+    ok, bad = "ok", "bad_field"
+    assert statuses("int", "1", "1.0", "1e0", '"7"', "null", "1.7", "true", "3000000000") == [ok] * 5 + [bad] * 3
+    assert statuses("boolean", "true", '"yes"', "2", "1.5", "0") == [ok, ok, bad, bad, bad]
+    assert statuses("decimal(5,2)", "1.23", "1.5", "100", "1.239", "1000", "true") == [ok, ok, ok, bad, bad, bad]
+    assert statuses("double", "1.5", "2", "1e400", "true") == [ok, ok, bad, bad]
+
+
+def test_comment_after_the_document(spark):
+    rows = _run(spark, ['{"id":"1"} // c', '{"id":"1"} /* c */'], "id string", json_options={"allowComments": "true"})
+    assert [r["status"] for r in rows] == ["ok", "ok"]
+
+
+def test_clashing_names_are_refused(spark):
+    df = spark.createDataFrame([(0, "{}")], "offset long, value string")
+    with pytest.raises(ValueError, match="clash"):
+        records(classify(df, "id string, offset long"))
+    with pytest.raises(ValueError, match="_n"):
+        classify(df, "_n string")
+
+
+def test_a_time_is_parsed_once(spark):
+    df = spark.createDataFrame([(0, "{}")], "offset long, value string")
+    plan = parsed_fields(classify(df, "id string, at timestamp"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("gettimestamp") == 1
