@@ -21,6 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from ferry.functions.strict_json import DEFAULT_TIMESTAMP_FORMAT
 from ferry.schemas import EMPLOYEE
 from ferry.session import shared_dir
 from ferry.sources.kafka import read_kafka
@@ -39,7 +40,14 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     p.add_argument("--schema", default=None, help="record schema as DDL; default: the employee record")
     p.add_argument("--from-start", action="store_true", help="first run starts at the earliest offsets")
     p.add_argument("--fetch-bytes", type=int, default=None)
-    p.add_argument("--max-offsets-per-trigger", type=int, default=None)
+    p.add_argument(
+        "--max-offsets-per-trigger",
+        type=int,
+        default=None,
+        help="most messages of a micro-batch; default: what the cores read in one trigger interval; 0 = no bound",
+    )
+    p.add_argument("--max-files-per-trigger", type=int, default=1000, help="most replayed files of a micro-batch")
+    p.add_argument("--timestamp-format", default=DEFAULT_TIMESTAMP_FORMAT, help="format of timestamp fields")
     p.add_argument(
         "--min-partitions",
         type=int,
@@ -76,11 +84,22 @@ def min_partitions(spark: SparkSession, requested: int | None) -> int | None:
     return requested or None
 
 
+# Messages a core reads in a second, at the lower end of what was measured.
+MESSAGES_PER_CORE_SECOND = 35_000
+
+
+def max_offsets(spark: SparkSession, requested: int | None, seconds: float) -> int | None:
+    """Most messages of a micro-batch, which is cached: bounded by default."""
+    if requested is None:
+        return int(MESSAGES_PER_CORE_SECOND * spark.sparkContext.defaultParallelism * max(seconds, 1.0))
+    return requested or None
+
+
 def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
     root = args.root or f"{shared_dir(spark)}/ferry/{args.consumer_id}"
     if args.replay_path is not None:
         schema = spark.read.parquet(args.replay_path).schema
-        source = read_replay(spark, args.replay_path, schema)
+        source = read_replay(spark, args.replay_path, schema, max_files_per_trigger=args.max_files_per_trigger)
     else:
         source = read_kafka(
             spark,
@@ -89,7 +108,7 @@ def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
                 args.source_topic,
                 from_start=args.from_start,
                 fetch_bytes=args.fetch_bytes,
-                max_offsets_per_trigger=args.max_offsets_per_trigger,
+                max_offsets_per_trigger=max_offsets(spark, args.max_offsets_per_trigger, args.trigger_seconds),
                 min_partitions=min_partitions(spark, args.min_partitions),
                 consumer_id=args.consumer_id,
                 extra=_pairs(args.source_option),
@@ -109,6 +128,7 @@ def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
         f"{root}/checkpoint",
         trigger=trigger,
         json_options=_pairs(args.json_option),
+        timestamp_format=args.timestamp_format,
         source_headers=args.source_headers,
         query_name=args.consumer_id,
     )

@@ -43,7 +43,7 @@ from ferry.sources.derived import (
     orders_typed_envelope,
 )
 from ferry.sources.replay import read_replay, read_table, stream_table
-from ferry.streaming.jobs import RelayTables, committed_offsets, start_publish, start_relay
+from ferry.streaming.jobs import RelayTables, committed_offsets, read_rejects, start_publish, start_relay
 from ferry.streaming.sinks import FileSink
 
 # Fixed values of the registered queries.
@@ -268,7 +268,7 @@ def _relay_customers(spark: SparkSession, sf_dir: str, name: str) -> tuple[Relay
         tables,
         f"{root}/checkpoint",
         trigger=AVAILABLE_NOW,
-        prepare=customer_envelope,
+        envelope=customer_envelope,
     ).awaitTermination()
     return tables, sink
 
@@ -276,7 +276,7 @@ def _relay_customers(spark: SparkSession, sf_dir: str, name: str) -> tuple[Relay
 def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rejects table written by the foreachBatch job over the customer stream."""
     tables, _sink = _relay_customers(spark, sf_dir, "stream_rejects")
-    return spark.read.parquet(tables.rejects).select("topic", "partition", "offset", "value", "reason")
+    return read_rejects(spark, tables)
 
 
 def stream_relay_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -285,6 +285,25 @@ def stream_relay_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sink.read(spark).select("topic", "key", "value")
 
 
+def stream_prepare_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offsets after a user stage that drops most messages: those of the
+    whole stream."""
+    root = fresh_dir(spark, "stream_prepare_offsets")
+    tables = RelayTables(f"{root}/tables")
+    start_relay(
+        stream_table(spark, sf_dir, "events"),
+        EVENT_RECORD,
+        EVENTS_OUT_TOPIC,
+        FileSink(f"{root}/out"),
+        tables,
+        f"{root}/checkpoint",
+        trigger=AVAILABLE_NOW,
+        envelope=events_envelope,
+        prepare=lambda messages: messages.filter("`partition` = 0 AND `offset` % 2 = 0"),
+    ).awaitTermination()
+    return committed_offsets(spark, tables)
+
+
 QUERIES: dict[str, Query] = {
     "scan_envelope": scan_envelope,
     "decode_payload": decode_payload,
@@ -306,6 +325,7 @@ QUERIES: dict[str, Query] = {
     "stream_publish": stream_publish,
     "stream_resume": stream_resume,
     "stream_offsets": stream_offsets,
+    "stream_prepare_offsets": stream_prepare_offsets,
     "stream_rejects": stream_rejects,
     "stream_relay_publish": stream_relay_publish,
 }
@@ -534,6 +554,7 @@ WHERE e."offset" > coalesce(c.committed, -1)""",
     "stream_publish": _CLASSIFIED + _PUBLISHED,
     "stream_resume": _EVENTS_PUBLISHED,
     "stream_offsets": _MAX_OFFSET,
+    "stream_prepare_offsets": _MAX_OFFSET,
     "stream_rejects": _CLASSIFIED
     + """SELECT topic, "partition", "offset", value, status AS reason FROM classified WHERE status <> 'ok'""",
     "stream_relay_publish": _CLASSIFIED + _PUBLISHED,

@@ -60,6 +60,11 @@ PUBLISHED = T.StructType(
     ]
 )
 
+_HEADER = T.StructType([T.StructField("key", T.StringType(), True), T.StructField("value", T.BinaryType(), True)])
+PUBLISHED_WITH_HEADERS = T.StructType(
+    [*PUBLISHED.fields, T.StructField("headers", T.ArrayType(_HEADER, True), True)]
+)
+
 
 def as_struct(schema: T.StructType | str) -> T.StructType:
     """Accept a ``StructType`` or a DDL string such as ``"id string, at timestamp"``."""

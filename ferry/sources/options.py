@@ -6,10 +6,22 @@ size, start position) is a field here; nothing has a baked-in host.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import json
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
 
+def resume_offsets(committed: Iterable[tuple[str, int, int]], partitions: Mapping[str, int] | None = None) -> str:
+    """K2: ``startingOffsets`` that go on after committed (topic, partition,
+    offset) rows, one per topic partition: 5 is followed by 6. Spark wants every
+    partition named; those below ``partitions[topic]`` without a mark start at
+    the earliest offset (-2)."""
+    out: dict[str, dict[str, int]] = {t: {str(p): -2 for p in range(n)} for t, n in (partitions or {}).items()}
+    for topic, partition, offset in committed:
+        out.setdefault(topic, {})[str(partition)] = offset + 1
+    return json.dumps(out, sort_keys=True)
+
+
 @dataclass(frozen=True)
 class KafkaSource:
     """Options of Spark's Kafka source for one subscribed topic.
@@ -26,6 +38,7 @@ class KafkaSource:
     bootstrap_servers: str
     topic: str
     from_start: bool = False
+    starting_offsets: str | None = None  # e.g. of resume_offsets(); goes before from_start
     fetch_bytes: int | None = None
     max_offsets_per_trigger: int | None = None
     min_partitions: int | None = None
@@ -40,6 +53,8 @@ class KafkaSource:
             "startingOffsets": "earliest" if (self.from_start or not stream) else "latest",
             "failOnDataLoss": str(self.fail_on_data_loss).lower(),
         }
+        if self.starting_offsets is not None:
+            opts["startingOffsets"] = self.starting_offsets
         if not stream:
             opts["endingOffsets"] = "latest"
         if self.fetch_bytes is not None:

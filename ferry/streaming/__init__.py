@@ -3,7 +3,9 @@
 from ferry.streaming.jobs import (
     DEFAULT_TRIGGER,
     RelayTables,
+    batch_counts,
     committed_offsets,
+    read_rejects,
     start_publish,
     start_relay,
 )
@@ -14,7 +16,9 @@ __all__ = [
     "FileSink",
     "KafkaWriter",
     "RelayTables",
+    "batch_counts",
     "committed_offsets",
+    "read_rejects",
     "start_publish",
     "start_relay",
 ]

@@ -25,10 +25,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ferry.functions.strict_json import DEFAULT_TIMESTAMP_FORMAT, classify
-from ferry.operators.offsets import max_offsets, merge_offsets
+from ferry.operators.offsets import merge_offsets
 from ferry.operators.records import publish_envelope, rejects, status_metrics
-from ferry.schemas import OFFSETS
-from ferry.streaming.sinks import FileSink
+from ferry.schemas import OFFSETS, POSITION, REJECTS
+from ferry.streaming.sinks import FileSink, run_id
 
 # The reference's micro-batch interval, as the default trigger.
 DEFAULT_TRIGGER: Mapping[str, object] = {"processingTime": "2 seconds"}
@@ -45,12 +45,11 @@ class RelayTables:
     """Where ``start_relay`` keeps its side tables.
 
     ``rejects`` grows by one partition per batch (it is data). The committed
-    offsets are kept as two alternating snapshot slots: batch N reads the
-    cumulative snapshot of batch N-1 from slot (N-1) % 2, folds in its own
-    maxima and overwrites slot N % 2 with one small file. Storage stays at
-    two snapshots however long the job runs; a replayed batch rewrites the
-    same slot from the same input; a reader always finds at least one
-    complete snapshot and takes the newer.
+    offsets are snapshots, one folder with one small file per run and batch:
+    batch N folds its maxima into the snapshot of batch N-1 of its run, and
+    nothing but its own replay writes that folder again. A run keeps its last
+    ``KEEP_SNAPSHOTS``, so storage stays bounded however long the job goes on.
+    Offsets only grow, so readers take the maximum over all that is there.
     """
 
     root: str
@@ -63,36 +62,38 @@ class RelayTables:
     def offsets(self) -> str:
         return f"{self.root}/offsets"
 
-    def offsets_slot(self, batch_id: int) -> str:
-        return f"{self.offsets}/slot{batch_id % 2}"
+    def offsets_snapshot(self, run: str, batch_id: int) -> str:
+        return f"{self.offsets}/run_id={run}/batch_id={batch_id}"
 
 
-_SNAPSHOT = T.StructType([*OFFSETS.fields, T.StructField("batch_id", T.LongType(), True)])
+# Snapshots of a run that stay: a reader has that many batches' time to read
+# what it has listed.
+KEEP_SNAPSHOTS = 20
+# n_records: the messages of that batch (null: none from the partition).
+_SNAPSHOT = T.StructType([*OFFSETS.fields, T.StructField("n_records", T.LongType(), True)])
 
 
-def _init_offsets_slots(spark: SparkSession, tables: RelayTables) -> None:
-    """Create both snapshot slots empty unless they already exist (``ignore`` mode),
-    so a batch never has to probe for a missing path."""
-    for k in (0, 1):
-        spark.createDataFrame([], _SNAPSHOT).write.mode("ignore").parquet(tables.offsets_slot(k))
+def _init_offsets(spark: SparkSession, tables: RelayTables) -> None:
+    """An empty snapshot, unless it is there, so that readers find the table."""
+    spark.createDataFrame([], _SNAPSHOT).write.mode("ignore").parquet(tables.offsets_snapshot("none", -1))
 
 
 def _write_offsets_snapshot(spark: SparkSession, tables: RelayTables, batch: DataFrame, batch_id: int) -> None:
     """K1: committed offsets after ``batch_id`` = snapshot of ``batch_id - 1`` + this batch."""
-    previous = (
-        spark.read.schema(_SNAPSHOT)
-        .parquet(tables.offsets_slot(batch_id - 1))
-        .where(F.col("batch_id") == batch_id - 1)
-        .drop("batch_id")
-    )
-    current = merge_offsets(previous, max_offsets(batch))
-    # one row per topic partition: a single file, so the slot flips in one rename
-    (
-        current.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        .repartition(1)
-        .write.mode("overwrite")
-        .parquet(tables.offsets_slot(batch_id))
+    run = run_id(spark)
+    current = batch.groupBy(*POSITION).agg(
+        F.max("offset").alias("max_offset"), F.count(F.lit(1)).alias("n_records")
     )
+    if batch_id > 0:
+        previous = spark.read.schema(_SNAPSHOT).parquet(tables.offsets_snapshot(run, batch_id - 1))
+        both = current.unionByName(previous.withColumn("n_records", F.lit(None).cast("long")))
+        current = both.groupBy(*POSITION).agg(
+            F.max("max_offset").alias("max_offset"), F.max("n_records").alias("n_records")
+        )
+    # one row per topic partition: a single file
+    current.repartition(1).write.mode("overwrite").parquet(tables.offsets_snapshot(run, batch_id))
+    old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(tables.offsets_snapshot(run, batch_id - KEEP_SNAPSHOTS))
+    old.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(old, True)
 
 
 def start_publish(
@@ -136,6 +137,7 @@ def start_relay(
     checkpoint: str,
     *,
     trigger: Mapping[str, object] | None = None,
+    envelope: Callable[[DataFrame], DataFrame] | None = None,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     json_options: Mapping[str, str] | None = None,
     timestamp_format: str = DEFAULT_TIMESTAMP_FORMAT,
@@ -145,28 +147,37 @@ def start_relay(
 ) -> StreamingQuery:
     """O1 + K1: publish, write rejects and the batch's max offsets per partition.
 
+    ``envelope`` maps the source's rows to messages, one to one. ``prepare`` is
+    a user stage on the messages (U1) that may drop or add some: offsets are
+    taken from the messages before it, so what it drops counts as processed.
+    With it a batch's positions are read from the source a second time.
     ``on_batch(batch_id, counts)`` receives the batch's observed
     message/published/rejected counts after its writes succeed.
     """
     reject_sink = FileSink(tables.rejects)
-    _init_offsets_slots(source.sparkSession, tables)
+    _init_offsets(source.sparkSession, tables)
+    messages = envelope(source) if envelope is not None else source
 
-    # The plan is classified once on the stream, not rebuilt in every batch.
     # Only what the three writes read is kept: the raw text for rejects
     # alone (valid messages carry their parsed record instead).
-    messages = prepare(source) if prepare is not None else source
-    classified = classify(messages, schema, json_options=json_options, timestamp_format=timestamp_format).select(
-        "topic",
-        "partition",
-        "offset",
-        "status",
-        "record",
-        F.when(F.col("status") != "ok", F.col("value")).alias("value"),
-    )
+    def classified(df: DataFrame) -> DataFrame:
+        return classify(df, schema, json_options=json_options, timestamp_format=timestamp_format).select(
+            "topic",
+            "partition",
+            "offset",
+            "status",
+            "record",
+            F.when(F.col("status") != "ok", F.col("value")).alias("value"),
+        )
+
+    # Without a user stage the plan is classified once on the stream, not
+    # rebuilt in every batch.
+    stream = classified(messages) if prepare is None else messages
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         counts = Observation(METRICS_NAME)
-        cached = batch.observe(counts, *status_metrics()).persist(StorageLevel.MEMORY_AND_DISK)
+        parsed = batch if prepare is None else classified(prepare(batch))
+        cached = parsed.observe(counts, *status_metrics()).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             sink.write_batch(
                 publish_envelope(
@@ -178,23 +189,30 @@ def start_relay(
             # instead of one small file per source task and batch.
             reject_sink.write_batch(rejects(cached).hint("rebalance"), batch_id)
             # Offsets last: every message of the batch, valid or not, is processed.
-            _write_offsets_snapshot(batch.sparkSession, tables, cached, batch_id)
+            _write_offsets_snapshot(batch.sparkSession, tables, cached if prepare is None else batch, batch_id)
             if on_batch is not None:
                 on_batch(batch_id, counts.get)
         finally:
             cached.unpersist()
 
-    writer = classified.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    writer = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     if query_name:
         writer = writer.queryName(query_name)
     return _with_trigger(writer, trigger).start()
 
 
 def committed_offsets(spark: SparkSession, tables: RelayTables) -> DataFrame:
-    """K1: highest processed offset per (topic, partition): the newer snapshot."""
-    # A glob, not two paths: while a batch overwrites its slot that folder can be
-    # missing for a moment, and the other slot still holds a complete snapshot.
-    snapshots = spark.read.schema(_SNAPSHOT).parquet(f"{tables.offsets}/slot[01]")
-    # a global aggregate has exactly one row: safe to broadcast
-    newest = F.broadcast(snapshots.agg(F.max("batch_id").alias("batch_id")))
-    return snapshots.join(newest, "batch_id").select("topic", "partition", "max_offset")
+    """K1: highest processed offset per (topic, partition) over all runs."""
+    return merge_offsets(spark.read.schema(OFFSETS).parquet(tables.offsets).select(*OFFSETS.fieldNames()))
+
+
+def batch_counts(spark: SparkSession, tables: RelayTables) -> DataFrame:
+    """A2: messages of the latest micro-batches (those whose snapshot is kept)
+    per run, batch, topic and partition."""
+    rows = spark.read.schema(_SNAPSHOT).parquet(tables.offsets).where("n_records is not null")
+    return rows.select("run_id", "batch_id", *POSITION, "n_records")
+
+
+def read_rejects(spark: SparkSession, tables: RelayTables) -> DataFrame:
+    """The rejected messages, none where all were valid."""
+    return spark.read.schema(REJECTS).parquet(tables.rejects).select(*REJECTS.fieldNames())

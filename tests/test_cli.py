@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 from ferry.cli import parse_args, start
-from ferry.streaming import RelayTables, committed_offsets
+from ferry.streaming import RelayTables, batch_counts, committed_offsets
 
 SCHEMA = "topic string, partition int, offset long, value string"
 
@@ -47,3 +47,21 @@ def test_cli_kafka_branch_reaches_the_kafka_source(spark, scratch):
             "--root", f"{scratch}/root"]
     with pytest.raises(Exception, match="(?i)kafka"):
         start(spark, parse_args(argv))
+
+
+def test_cli_replay_takes_several_batches(spark, scratch):
+    landing, root = f"{scratch}/landing", f"{scratch}/root"
+    for o in range(4):
+        spark.createDataFrame([("t", 0, o, '{"id":"1"}')], SCHEMA).coalesce(1).write.mode("append").parquet(landing)
+    argv = ["--target-topic", "t2", "--consumer-id", "relay", "--once", "--replay-path", landing,
+            "--output-path", f"{scratch}/out", "--root", root, "--max-files-per-trigger", "2"]
+    start(spark, parse_args(argv)).awaitTermination()
+    assert batch_counts(spark, RelayTables(f"{root}/tables")).select("batch_id").distinct().count() == 2
+
+
+def test_cli_bounds_a_micro_batch_by_default(spark):
+    from ferry.cli import max_offsets
+
+    assert max_offsets(spark, None, 2.0) == 70_000 * spark.sparkContext.defaultParallelism
+    assert max_offsets(spark, 5, 2.0) == 5
+    assert max_offsets(spark, 0, 2.0) is None

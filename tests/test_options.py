@@ -72,3 +72,11 @@ def test_kafka_writer_targets_the_kafka_format(spark, scratch):
     with pytest.raises(Exception, match="(?i)kafka"):
         start_publish(source, EMPLOYEE, "employees", writer, f"{scratch}/ckpt", trigger={"availableNow": True})
     assert publish_envelope(classify(df.select("value"), EMPLOYEE), "employees").columns == ["topic", "key", "value"]
+
+
+def test_resume_by_offset():
+    from ferry.sources.options import KafkaSource, resume_offsets
+
+    marks = resume_offsets([("t", 0, 5)], {"t": 2})
+    assert marks == '{"t": {"0": 6, "1": -2}}'
+    assert KafkaSource("b:1", "t", starting_offsets=marks).options()["startingOffsets"] == marks

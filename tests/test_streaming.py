@@ -6,9 +6,10 @@ import pytest
 from pyspark.errors import StreamingQueryException
 
 from ferry import EMPLOYEE, classify, publish_envelope
+from ferry.schemas import PUBLISHED_WITH_HEADERS
 from ferry.sources.derived import customer_envelope
 from ferry.sources.replay import read_replay, read_table, stream_table
-from ferry.streaming import FileSink, RelayTables, committed_offsets, start_publish, start_relay
+from ferry.streaming import FileSink, RelayTables, batch_counts, committed_offsets, jobs, read_rejects, start_publish, start_relay
 from ferry.streaming.jobs import DEFAULT_TRIGGER
 
 from .conftest import SF_SMALL
@@ -145,16 +146,16 @@ def test_observed_counts(spark, scratch):
     assert seen == {0: {"messages": 3, "published": 2, "rejected": 1}}
 
 
-def test_offsets_snapshots_stay_two(spark, scratch):
+def test_offsets_snapshots_stay_bounded(spark, scratch, monkeypatch):
+    monkeypatch.setattr(jobs, "KEEP_SNAPSHOTS", 2)
     landing, ckpt = f"{scratch}/landing", f"{scratch}/ckpt"
     tables = RelayTables(f"{scratch}/tables")
     sink = FileSink(f"{scratch}/out")
     for start, stop in ((0, 10), (10, 30), (30, 36)):
         _land(spark, landing, start, stop)
         start_relay(_source(spark, landing), EMPLOYEE, "out", sink, tables, ckpt, trigger=ONCE).awaitTermination()
-    slot0 = {r.batch_id for r in spark.read.parquet(tables.offsets_slot(0)).collect()}
-    slot1 = {r.batch_id for r in spark.read.parquet(tables.offsets_slot(1)).collect()}
-    assert (slot0, slot1) == ({2}, {1})
+    kept = spark.read.parquet(tables.offsets).select("batch_id").distinct().collect()
+    assert {r.batch_id for r in kept} - {-1} == {1, 2}
     assert sorted(tuple(r) for r in committed_offsets(spark, tables).collect()) == [("in", 0, 17), ("in", 1, 17)]
 
 
@@ -213,16 +214,34 @@ def test_relay_prepare_stage(spark, scratch):
         prepare=lambda df: df.filter(F.col("partition") == 0),
     ).awaitTermination()
     assert _ids(sink.read(spark)) == list(range(0, 20, 2))
-    assert [tuple(r) for r in committed_offsets(spark, tables).collect()] == [("in", 0, 9)]
+    # what the stage drops is processed too
+    offsets = sorted(tuple(r) for r in committed_offsets(spark, tables).collect())
+    assert offsets == [("in", 0, 9), ("in", 1, 9)]
 
 
-def test_committed_offsets_read_survives_a_missing_slot(spark, scratch):
-    tables = RelayTables(f"{scratch}/tables")
-    row = [("in", 0, 4, 3)]
-    spark.createDataFrame(row, "topic string, partition int, max_offset long, batch_id long").write.parquet(
-        tables.offsets_slot(3)
-    )  # only slot1 exists, as while slot0 is being rewritten
-    assert [tuple(r) for r in committed_offsets(spark, tables).collect()] == [("in", 0, 4)]
+def test_new_checkpoint_on_old_tables(spark, scratch):
+    """Batch ids start again: offsets never fall and no output goes."""
+    landing, tables, sink = f"{scratch}/landing", RelayTables(f"{scratch}/tables"), FileSink(f"{scratch}/out")
+    for k in range(3):
+        _land(spark, landing, 10 * k, 10 * k + 10)
+        start_relay(_source(spark, landing), EMPLOYEE, "out", sink, tables, f"{scratch}/a", trigger=ONCE).awaitTermination()
+    late = f"{scratch}/late"
+    _land(spark, late, 10, 14)
+    start_relay(_source(spark, late), EMPLOYEE, "out", sink, tables, f"{scratch}/b", trigger=ONCE).awaitTermination()
+    assert sorted(tuple(r) for r in committed_offsets(spark, tables).collect()) == [("in", 0, 14), ("in", 1, 14)]
+    assert _ids(sink.read(spark)) == sorted([*range(30), *range(10, 14)])
+    counts = batch_counts(spark, tables).groupBy("run_id").sum("n_records").collect()
+    assert sorted(r[1] for r in counts) == [4, 30]
+
+
+def test_empty_outputs_can_be_read(spark, scratch):
+    rows = {"good": '{"id":"1"}', "bad": "{"}
+    for name, value in rows.items():
+        landing, tables, sink = f"{scratch}/{name}", RelayTables(f"{scratch}/{name}-t"), FileSink(f"{scratch}/{name}-o")
+        spark.createDataFrame([("in", 0, 0, value)], SCHEMA).write.parquet(landing)
+        start_relay(_source(spark, landing), EMPLOYEE, "out", sink, tables, f"{landing}-c", trigger=ONCE).awaitTermination()
+        counts = (sink.read(spark).count(), read_rejects(spark, tables).count())
+        assert counts == ((1, 0) if name == "good" else (0, 1))
 
 
 def test_rejects_are_rebalanced_into_few_files(spark, scratch):
@@ -246,7 +265,7 @@ def test_published_messages_carry_source_headers(spark, scratch):
         _source(spark, landing), EMPLOYEE, "out", sink, f"{scratch}/ckpt", trigger=ONCE, source_headers=True
     ).awaitTermination()
     got = {}
-    for r in sink.read(spark).collect():
+    for r in sink.read(spark, PUBLISHED_WITH_HEADERS).collect():
         h = {x.key: bytes(x.value).decode() for x in r.headers}
         got[int(r.value.split('"')[3])] = (h["src_topic"], int(h["src_partition"]), int(h["src_offset"]))
     assert got == {o: ("in", o % 2, o // 2) for o in range(6)}
