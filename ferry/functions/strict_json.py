@@ -92,7 +92,7 @@ def _typed_sql(v: str, kind: str, text: str, dtype: T.DataType) -> tuple[str, st
         # numbers that variant has as a double, long integers are read again as
         # text; exponent forms are doubles, unless these cannot hold them; long
         # decimals are not kept exactly by either.
-        number = f"""coalesce(nullif(regexp_extract({text}, '^-?[0-9]+$', 0), ''),
+        number = f"""coalesce(get(regexp_extract_all({text}, '^-?[0-9]+$', 0), 0),
             CASE WHEN NOT _long_decimal AND NOT CAST({v} AS DOUBLE) IN (0D, double('Infinity'), double('-Infinity'))
             THEN CAST({v} AS STRING) END)"""
         return f"CASE WHEN {kind} = 'DOUBLE' THEN {number} ELSE CAST({v} AS STRING) END", "true"
