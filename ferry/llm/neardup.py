@@ -18,12 +18,9 @@ A document is the set of its distinct 5-word shingles; two are linked when
   are confirmed as long as they join something new.
 * Then the larger regions are gone through again, so that no link is lost in
   them: classes outside a region's largest component are compared with all of
-  the region by signature, in blocks of BLOCK x BLOCK, and what passes is
-  confirmed likewise. What is connected by then needs no comparison, and two
-  components need one link only, so these pairs are gathered by the two. This goes
-  in rounds: a class's likeliest candidates in a component come first, and as
-  long as it has more of them there and is not linked, a later round takes
-  more, until none is left over.
+  the region, in blocks of bounded classes and shingles, by signature and then
+  on the full sets. A block returns only links that join components, never the
+  pairs it compared, so its rows grow with the classes.
 
 Two texts at exactly the bound agree on a tree's first 4 values with
 probability 0.75^4, so one of 24 trees finds them with 0.9999; closer ones
@@ -45,7 +42,7 @@ import itertools
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferry.llm.common import checkpointed, components, map_rows, release, table, worker_cache
@@ -61,11 +58,9 @@ REGION = 24  # classes up to which a region's pairs are all candidates
 # of those at the very bound is lost, of closer ones next to none. Values are
 # compared by their lowest byte: equal ones stay equal, others agree once in 256.
 SCREEN = 0.58
-# Classes on either side of a block of comparisons by signature.
-BLOCK = 2_000
-# Candidates of a class in another component that the first round confirms, and
-# the factor by which each round looks at more while some are left over.
-ROUND, ROUND_FACTOR = 16, 16
+# Classes of a block of comparisons in large regions, and of those outside the
+# largest component that they are compared with; shingles of either at most.
+BLOCK, OUTSIDE, BLOCK_SHINGLES = 250, 1_000, 1_000_000
 # Classes of a component whose sets are held by one task at a time.
 GROUP = 200
 CACHE_ENTRIES = 300_000
@@ -248,63 +243,92 @@ def _joined(known: DataFrame, links: DataFrame) -> DataFrame:
     return checkpointed(out)
 
 
-def _rest(large: DataFrame, known: DataFrame, classes: DataFrame, most: int) -> DataFrame:
-    """Pairs of the large regions that may be links and are not connected yet:
-    a, b, their components ca, cb, and whether a block had more than the
-    ``most`` likeliest of the class outside with that component."""
+def _rest(large: DataFrame, known: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (components ca, cb) of the classes of large regions that are outside
+    their region's largest component, but for those inside what a block's others
+    join."""
     rows = large.join(known.withColumnRenamed("component", "c"), "node")
     sizes = rows.groupBy("region", "c").agg(F.count(F.lit(1)).alias("n"))
     # a row for each component of a region; of the largest, one
     regions = sizes.groupBy("region").agg(
         F.sum("n").alias("n"), F.max(F.struct("n", "c")).alias("top"), F.count(F.lit(1)).alias("parts")
     )
+    # regions of several trees around one component are gone through together
+    around = F.when(F.col("n") < 2 * F.col("top.n"), F.lit(0)).otherwise(F.col("region"))
     regions = regions.where("parts > 1").select(
-        "region",
-        F.col("top.c").alias("top"),
-        F.ceil(F.col("n") / BLOCK).alias("all_blocks"),
-        F.ceil((F.col("n") - F.col("top.n")) / BLOCK).alias("out_blocks"),
+        "region", F.col("top.c").alias("top"), F.xxhash64(around, "top.c").alias("around")
     )
-    rows = checkpointed(rows.join(regions.hint("merge"), "region").join(classes.select("node", "n_shingles", "low"), "node"))
-    own = F.xxhash64(F.col("node"))
-
-    def blocks(own_blocks: str, other_blocks: str, mine: str, others: str) -> DataFrame:
-        return rows.select(
-            "region", "node", "c", "top", "n_shingles", "low",
-            F.pmod(own, F.col(own_blocks)).alias(mine),
-            F.explode(F.sequence(F.lit(0).cast("long"), F.col(other_blocks) - 1)).alias(others),
-        )
-
-    outside = blocks("out_blocks", "all_blocks", "i", "j").where("c <> top")
-    everyone = blocks("all_blocks", "out_blocks", "j", "i")
-
-    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        def columns(t: pa.Table):
-            signed = np.frombuffer(b"".join(t["low"].to_pylist()), dtype=np.uint8).reshape(-1, SIGNATURE)
-            return [t[c].to_numpy() for c in ("node", "c", "n_shingles")] + [signed]
-
-        out: dict[str, list] = {"a": [], "b": [], "ca": [], "cb": [], "more": []}
-        if left.num_rows and right.num_rows:
-            node, comp, size, signed = columns(right)
-            for x, c, n, s in zip(*columns(left), strict=True):
-                at = np.flatnonzero((comp != c) & (100 * np.minimum(n, size) >= PERCENT * np.maximum(n, size)))
-                same = (signed[at] == s).mean(axis=1)
-                order = np.argsort(-same, kind="stable")
-                at = at[order[same[order] >= SCREEN]]
-                seen: dict[int, int] = {}
-                for y, d in zip(node[at].tolist(), comp[at].tolist(), strict=True):
-                    seen[d] = seen.get(d, 0) + 1
-                    if seen[d] > most:
-                        continue  # a later round's, unless the class is linked by then
-                    a, b = ((int(x), int(c)), (y, d)) if x < y else ((y, d), (int(x), int(c)))
-                    for k, v in zip(out, (a[0], b[0], a[1], b[1], int(seen[d] == most)), strict=True):
-                        out[k].append(v)
-        return pa.table({k: pa.array(v, type=pa.int64()) for k, v in out.items()})
-
-    keys = ("region", "i", "j")
-    pairs = outside.groupBy(*keys).cogroup(everyone.groupBy(*keys)).applyInArrow(
-        compare, "a long, b long, ca long, cb long, more long"
+    rows = rows.join(regions.hint("merge"), "region").select("around", "node", "c", (F.col("c") != F.col("top")).alias("out"))
+    rows = rows.distinct().join(classes.select("node", "n_shingles", "low"), "node")
+    rows = checkpointed(rows)
+
+    def blocks(size: int, n: str, shingles: str) -> Column:
+        return F.greatest(F.ceil(F.col(n) / size), F.ceil(F.col(shingles) / BLOCK_SHINGLES), F.lit(1))
+
+    outside = F.when(F.col("out"), F.col("n_shingles"))
+    totals = rows.groupBy("around").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("n_shingles").alias("s"),
+        F.count(outside).alias("n_out"),
+        F.coalesce(F.sum(outside), F.lit(0)).alias("s_out"),
+    )
+    totals = totals.select(
+        "around", blocks(BLOCK, "n", "s").alias("blocks"), blocks(OUTSIDE, "n_out", "s_out").alias("out_blocks")
     )
-    return pairs.groupBy("a", "b", "ca", "cb").agg(F.max("more").alias("more"))
+    rows = rows.join(totals.hint("merge"), "around").drop("n_shingles")
+    texts = docs.select(F.col("doc_id").alias("node"), "text").join(rows, "node")
+    same = ("around", "node", "c", "out", "low", "blocks", "out_blocks")
+
+    def make():
+        def work(rows: dict) -> dict:
+            return {k: rows[k] for k in same} | {"hashes": [x.tobytes() for x in shingle_sets(rows["text"])]}
+
+        return work
+
+    schema = "around long, node long, c long, out boolean, low binary, blocks long, out_blocks long, hashes binary"
+    sets = map_rows(texts.select(*same, "text"), make, schema)
+    # every class meets all blocks of those outside, and each of those all blocks
+    at = """concat(
+        transform(sequence(0L, out_blocks - 1), i -> named_struct('i', i, 'j', pmod(xxhash64(node), blocks), 'left', false)),
+        if(out, transform(sequence(0L, blocks - 1), j -> named_struct('i', pmod(xxhash64(node, 1), out_blocks), 'j', j, 'left', true)),
+           array()))"""
+    dealt = sets.select("around", "node", "c", "low", "hashes", F.inline(F.expr(at)))
+    return dealt.groupBy("around", "i", "j").applyInArrow(_block_links, "ca long, cb long")
+
+
+def _block_links(rows: pa.Table) -> pa.Table:
+    """Links between the rows marked left and the others, confirmed on the full
+    sets, as long as they join components that are not joined in this block."""
+    left = rows["left"].to_numpy()
+    low = np.frombuffer(b"".join(rows["low"].to_pylist()), dtype=np.uint8).reshape(-1, SIGNATURE)
+    sets = [np.frombuffer(h, dtype=np.uint64) for h in rows["hashes"].to_pylist()]
+    size = np.array([len(s) for s in sets], dtype=np.int64)
+    ends = np.cumsum(size)
+    vocabulary, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    comp, label = np.unique(rows["c"].to_numpy(), return_inverse=True)
+    others = np.flatnonzero(~left)
+    low_others, size_others = low[others], size[others]
+    mark = np.zeros(len(vocabulary), dtype=bool)
+    out: dict[str, list] = {"ca": [], "cb": []}
+    for x in np.flatnonzero(left):
+        n = size[x]
+        at = (label[others] != label[x]) & (100 * np.minimum(n, size_others) >= PERCENT * np.maximum(n, size_others))
+        at = np.flatnonzero(at)
+        at = others[at[(low_others[at] == low[x]).mean(axis=1) >= SCREEN]]
+        if not len(at):
+            continue
+        own = ids[ends[x] - n : ends[x]]
+        mark[own] = True
+        for y in at:
+            if label[y] == label[x]:
+                continue
+            both = np.count_nonzero(mark[ids[ends[y] - size[y] : ends[y]]])
+            if 100 * both >= PERCENT * (n + size[y] - both):
+                out["ca"].append(int(rows["c"][int(x)].as_py()))
+                out["cb"].append(int(rows["c"][int(y)].as_py()))
+                label[label == label[y]] = label[x]
+        mark[own] = False
+    return pa.table({k: pa.array(v, type=pa.int64()) for k, v in out.items()})
 
 
 def _screen(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -401,16 +425,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     group = components(pairs).withColumnRenamed("node", "a")
     pairs = pairs.join(group, "a").select("a", "b", F.col("a").alias("ca"), F.col("b").alias("cb"), "component")
     known = _joined(classes.select("node", F.col("node").alias("component")), checkpointed(_confirm(pairs, docs)))
-    most, more = ROUND, True
-    while more:
-        release(docs.sparkSession)
-        rest = checkpointed(_rest(large, known, classes, most))
-        # a class with as many candidates as the round takes may have more
-        more = not rest.where("more = 1").isEmpty()
-        if not rest.isEmpty():
-            rest = rest.withColumn("component", F.xxhash64(F.least("ca", "cb"), F.greatest("ca", "cb")))
-            known = _joined(known, checkpointed(_confirm(rest, docs)))
-        most *= ROUND_FACTOR
+    release(docs.sparkSession)
+    known = _joined(known, checkpointed(_rest(large, known, classes, docs)))
     named_class = classes.select("set_hash", "node").join(known, "node").select("set_hash", "component")
     out = rows.select("doc_id", "n_shingles", "set_hash").join(named_class, "set_hash", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))

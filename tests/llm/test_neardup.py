@@ -92,7 +92,9 @@ def test_small_regions_and_groups(spark, make_docs, corpus, monkeypatch):
     """Adaptive depth and blocks on small data: every region is dense."""
     monkeypatch.setattr(nd, "REGION", 3)
     monkeypatch.setattr(nd, "GROUP", 10)
-    monkeypatch.setattr(nd, "ROUND", 2)
+    monkeypatch.setattr(nd, "BLOCK", 20)
+    monkeypatch.setattr(nd, "OUTSIDE", 30)
+    monkeypatch.setattr(nd, "BLOCK_SHINGLES", 2_000)
     assert got(nd.near_duplicates(make_docs(corpus))) == by_hand(corpus)
 
 
