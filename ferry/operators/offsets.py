@@ -9,7 +9,7 @@ lands as a hot group on one reducer.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferry.schemas import POSITION
@@ -19,6 +19,8 @@ from ferry.session import shared_dir
 # partition). Kafka clusters hold far fewer partitions per topic; past this
 # bound the join falls back to a salted shuffle join.
 MAX_BROADCAST_PARTITIONS = 200_000
+# Marks that the driver looks through for a filter on the scan; with more, there is none.
+MAX_PUSHED_MARKS = 10_000
 # Salt buckets of the fallback join: a hot partition is spread over this many tasks.
 SALT_BUCKETS = 64
 
@@ -49,6 +51,22 @@ def _bounded(small: DataFrame, max_rows: int) -> bool:
     return small.limit(max_rows + 1).count() <= max_rows
 
 
+def _lowest_mark(marks: DataFrame, offset: str) -> Column | None:
+    """A filter that the scan can apply before the join: what it drops lies at or
+    below the lowest mark, in a partition that has one. None unless the marks cover
+    every topic's same unbroken range of partitions: an unmarked one keeps all."""
+    rows = marks.limit(MAX_PUSHED_MARKS + 1).collect()
+    if not rows or len(rows) > MAX_PUSHED_MARKS:
+        return None
+    topics, partitions = ({r[f"_c_{c}"] for r in rows} for c in POSITION)
+    first, last = min(partitions), max(partitions)
+    if len(rows) != len(topics) * (last - first + 1):
+        return None
+    topic, partition = (F.col(c) for c in POSITION)
+    unmarked = topic.isNull() | ~topic.isin(sorted(topics)) | partition.isNull() | ~partition.between(first, last)
+    return (F.col(offset) > min(r["_committed"] for r in rows)) | F.col(offset).isNull() | unmarked
+
+
 def after_committed(
     df: DataFrame,
     committed: DataFrame,
@@ -68,7 +86,8 @@ def after_committed(
     the join do not both recompute it. It is broadcast only after counting
     that it has at most ``max_broadcast_partitions`` rows. Otherwise it is a
     shuffled hash join with a salt, so that one hot partition is split over
-    ``salt_buckets`` tasks.
+    ``salt_buckets`` tasks. Where the marks leave no partition out, the lowest
+    of them is also a filter on the scan.
     """
     shared_dir(df.sparkSession)  # makes sure a checkpoint folder is set
     # Right-side names are unique, so the join needs no dataset-qualified
@@ -77,10 +96,14 @@ def after_committed(
         committed.groupBy(*POSITION)
         .agg(F.max(committed_offset).alias("_committed"))
         .select(*[F.col(c).alias(f"_c_{c}") for c in POSITION], "_committed")
+        .where(F.col("_committed").isNotNull() & F.col("_c_topic").isNotNull() & F.col("_c_partition").isNotNull())
         .checkpoint(eager=True)
     )
     same_position = [F.col(c) == F.col(f"_c_{c}") for c in POSITION]
     already_done = F.col(offset) <= F.col("_committed")
+    above = _lowest_mark(marks, offset)
+    if above is not None:
+        df = df.where(above)
     if _bounded(marks, max_broadcast_partitions):
         return df.join(F.broadcast(marks), [*same_position, already_done], "left_anti")
 

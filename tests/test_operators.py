@@ -115,3 +115,44 @@ def test_publish_plan_parses_once(spark):
     classified = classify(_skewed(spark), EMPLOYEE)
     plan = publish_envelope(classified, "employees")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json(StructField(w,") == 1
+
+
+def _filtered(spark, tmp_path, rows, marks):
+    path = str(tmp_path / "messages")
+    _messages(spark, rows).write.parquet(path)
+    committed = spark.createDataFrame(marks, "topic string, partition int, max_offset long")
+    out = after_committed(spark.read.parquet(path), committed)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    return sorted((str(r.topic), str(r.partition), str(r.offset)) for r in out.collect()), plan
+
+
+_LOG = [(t, p, o, "x") for t in ("a", "b", None) for p in (0, 1, 2, None) for o in (1, 4, 5, 6, 9, None)]
+
+
+def _left_after(marks):
+    last = {(t, p): o for t, p, o in marks if o is not None}
+    done = [r for r in _LOG if r[2] is not None and r[2] <= last.get(r[:2], -1)]
+    return sorted((str(t), str(p), str(o)) for t, p, o, _ in _LOG if (t, p, o, "x") not in done)
+
+
+def test_after_committed_pushes_the_lowest_mark(spark, tmp_path):
+    marks = [("a", 0, 5), ("a", 1, 4), ("a", 2, 6)]
+    got, plan = _filtered(spark, tmp_path, _LOG, marks)
+    assert got == _left_after(marks)
+    assert "GreaterThan(offset,4)" in plan
+
+
+def test_after_committed_with_unmarked_partitions(spark, tmp_path):
+    """Unmarked partitions, topics and null marks keep all their messages."""
+    for k, marks in enumerate(
+        [
+            [("a", 0, 5), ("a", 2, 6)],  # a gap
+            [("a", 0, 5), ("a", 1, 5), ("b", 1, 4)],  # not every topic's partitions
+            [("a", 1, 5)],
+            [("a", 0, 5), ("a", 1, None)],
+            [("b", 0, None)],
+            [],
+        ]
+    ):
+        got, _ = _filtered(spark, tmp_path / str(k), _LOG, marks)
+        assert got == _left_after(marks), marks
