@@ -9,12 +9,14 @@ words that the alignment matches.
 A template may stand anywhere in a long text, more than once, so alignments
 are made on windows: words next to each other in a template are looked up in
 the whole text, and wherever enough of a template's pairs stand in a stretch
-of about its length, that stretch is aligned. A hit needs MIN_COVERAGE of the
-template, and hits of one template do not overlap; of templates that match
-the same stretch the one with most matched words wins.
+of about its length, each start that one of them gives is tried, first with a
+window of the template's length and then with wider ones. A hit needs
+MIN_COVERAGE of the template, and hits do not overlap; of those that match the
+same stretch the one with most matched words wins, less what words put in between
+count.
 
 Defined cases: null or empty texts have no hits and are not listed. A license
-that stands twice has two hits. Repeated rows are scanned alike. Doc ids may
+that stands twice has two hits, also where the copies follow each other. Repeated rows are scanned alike. Doc ids may
 be null. Extra columns are not read; an empty table has no hits. There is no
 shuffle; the templates are a parameter of a few words and travel with the
 tasks.
@@ -37,6 +39,8 @@ MIN_COVERAGE = 0.75
 # Share of a template's word pairs that a stretch must hold to be aligned. A
 # changed word breaks two pairs, so a covered template has at least about half.
 MIN_PAIRS = 0.4
+# What a word put between matched ones takes from a run of them.
+LOOSE = 0.25
 
 # Notices and permission texts of common public licenses.
 TEMPLATES = {
@@ -156,6 +160,10 @@ class Hit:
     matched: int
     coverage: float
 
+    @property
+    def score(self) -> float:
+        return self.matched - LOOSE * max(0, self.end - self.start + 1 - self.matched / self.coverage)
+
 
 class Scanner:
     """Templates and the index of their word pairs."""
@@ -169,6 +177,14 @@ class Scanner:
             for pair in dict.fromkeys(self._pairs(w)):
                 self.pairs.setdefault(pair, []).append(n)
         self.firsts = {p[0] for p in self.pairs}
+        # places of each pair in its template, and the template's words by count
+        self.places: list[dict[tuple[str, str], list[int]]] = []
+        for _, _, w in self.templates:
+            at: dict[tuple[str, str], list[int]] = {}
+            for j, pair in enumerate(self._pairs(w)):
+                at.setdefault(pair, []).append(j)
+            self.places.append(at)
+        self.bags = [Counter(w) for _, _, w in self.templates]
 
     @staticmethod
     def _pairs(w: list[str]) -> list[tuple[str, str]]:
@@ -184,39 +200,77 @@ class Scanner:
         found: list[Hit] = []
         for n, seen in at.items():
             found += self._hits(n, w, seen)
-        # of hits that share words, the one with most matched words stays
-        found.sort(key=lambda h: (-h.matched, -h.coverage, h.start, h.license, h.template))
+        # of hits that share words, the one with most matched words stays, less
+        # what the words put between them count
+        found.sort(key=lambda h: (-h.score, -h.coverage, h.end - h.start, h.start, h.license, h.template))
         kept: list[Hit] = []
+        starts: list[int] = []
         for h in found:
-            if all(h.end < k.start or h.start > k.end for k in kept):
-                kept.append(h)
-        return sorted(kept, key=lambda h: h.start)
+            at_start = bisect_left(starts, h.start)
+            before, after = kept[max(0, at_start - 1) : at_start], kept[at_start : at_start + 1]
+            if all(k.end < h.start for k in before) and all(h.end < k.start for k in after):
+                kept.insert(at_start, h)
+                starts.insert(at_start, h.start)
+        return kept
 
     def _hits(self, n: int, w: list[str], seen: list[tuple[int, tuple[str, str]]]) -> list[Hit]:
+        """A hit for each likely start that covers the template; they may overlap."""
+        size, places = len(self.templates[n][2]), self.places[n]
+        need = max(1, int(self.min_pairs * len(places)))
+        hits, tried, counts, hi = [], set(), Counter(), 0
+        for i, pair in seen:
+            while hi < len(seen) and seen[hi][0] <= i + size + size // 2:
+                counts[seen[hi][1]] += 1
+                hi += 1
+            if len(counts) >= need:
+                # pairs of one copy mostly give the same start
+                for start in (i - j for j in places[pair] if j <= size // 2):
+                    if start not in tried:
+                        tried.add(start)
+                        hit = self._place(n, w, start)
+                        hits += [hit] if hit else []
+            counts[pair] -= 1
+            if not counts[pair]:
+                del counts[pair]
+        return hits
+
+    def _place(self, n: int, w: list[str], start: int) -> Hit | None:
+        """The template aligned with the text from about ``start`` on. Windows of
+        its own length come first: a second copy close by would leave it few
+        unique words."""
         name, k, template = self.templates[n]
-        need = max(1, int(self.min_pairs * len(set(self._pairs(template)))))
         size = len(template)
-        hits, lo, counts, done = [], 0, Counter(), -1
-        for hi, (i, pair) in enumerate(seen):
-            counts[pair] += 1
-            while seen[lo][0] < i - size - size // 2:  # the stretch is half as long again as the template
-                counts[seen[lo][1]] -= 1
-                if not counts[seen[lo][1]]:
-                    del counts[seen[lo][1]]
-                lo += 1
-            if len(counts) < need or seen[lo][0] <= done:
-                continue
-            # let the stretch fill up before it is aligned
-            if hi + 1 < len(seen) and seen[hi + 1][0] <= seen[lo][0] + size:
-                continue
-            first = max(done + 1, seen[lo][0] - size // 2)
-            last = min(len(w), i + 1 + size)
-            pairs = align(template, w[first:last])
-            if len(pairs) >= self.min_coverage * size:
-                start, end = first + pairs[0][1], first + pairs[-1][1]
-                hits.append(Hit(name, k, start, end, len(pairs), len(pairs) / size))
-                done = end
-        return hits
+        enough = self.min_coverage * size
+        left, right = max(0, start - size // 2), start + 2 * size
+        if (self.bags[n] & Counter(w[left:right])).total() < enough:
+            return None
+        best: list[tuple[int, int]] = []
+        for before, after in ((0, 0), (size // 4, size // 4), (size // 2, size)):
+            first = max(0, start - before)
+            pairs = [(i, first + j) for i, j in align(template, w[first : max(0, start + size + after)])]
+            dense = _dense(pairs)
+            pairs = dense if len(dense) >= enough else pairs
+            if len(pairs) > len(best):
+                best = pairs
+            if len(best) == size or (before and len(best) >= enough):
+                break
+        if len(best) < enough:
+            return None
+        return Hit(name, k, best[0][1], best[-1][1], len(best), len(best) / size)
+
+
+def _dense(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The run of matched places that is best when words put in between count LOOSE."""
+    best, total, lo, run = 0.0, 0.0, 0, (0, 0)
+    for k, (i, j) in enumerate(pairs):
+        if k:
+            total -= LOOSE * max(0, (j - pairs[k - 1][1]) - (i - pairs[k - 1][0]))
+        if total < 0:
+            total, lo = 0.0, k
+        total += 1
+        if total > best:
+            best, run = total, (lo, k + 1)
+    return pairs[slice(*run)]
 
 
 @functools.lru_cache(maxsize=4)
@@ -244,8 +298,10 @@ def license_hits(
         def work(rows: dict) -> dict | None:
             out: dict[str, list] = {c.split()[0]: [] for c in schema.split(", ")}
             for doc, text in zip(rows["doc_id"], rows["text"], strict=True):
-                for h in scan(text):
-                    whole = h.start == 0 and h.end == len(words(text)) - 1
+                hits = scan(text)
+                last = len(words(text)) - 1 if hits else 0
+                for h in hits:
+                    whole = h.start == 0 and h.end == last
                     values = (doc, h.license, h.template, h.start, h.end, h.matched, h.coverage, whole)
                     for c, v in zip(out, values, strict=True):
                         out[c].append(v)

@@ -69,6 +69,26 @@ def test_two_notices_and_none():
     assert scan("the license of this version under the general public") == [] and scan("") == [] and scan(None) == []
 
 
+def test_adjacent_copies_are_all_found():
+    """2 to 5 copies next to each other, inside prose and at its end, whole and with a word changed."""
+    scan = lic.Scanner(lic.TEMPLATES, lic.MIN_COVERAGE, lic.MIN_PAIRS).scan
+    prose = [f"word{k}" for k in range(12)]
+    for name, some in lic.TEMPLATES.items():
+        for k, template in enumerate(some):
+            w = template.split()
+            size = len(lic.words(template))
+            spoilt = [*w[: len(w) // 3], "zzz", *w[len(w) // 3 + 1 :]] if size > 20 else w
+            for copies in range(2, 6):
+                for one in (w, spoilt):
+                    for before, gap, after in ((4, 0, 8), (0, 0, 0), (5, 1, 0), (0, 2, 9)):
+                        text = " ".join(prose[:before] + (one + prose[:gap]) * copies + prose[:after])
+                        hits = scan(text)
+                        assert [(h.license, h.template) for h in hits] == [(name, k)] * copies, (text, hits)
+                        step = size + gap
+                        assert [h.start for h in hits] == [before + c * step for c in range(copies)]
+                        assert [h.end for h in hits] == [before + c * step + size - 1 for c in range(copies)]
+
+
 def test_query_against_brute_force(spark):
     """Every template against every window of its length, at sf0.01."""
     sf = "/root/testdata/sf0.01"
