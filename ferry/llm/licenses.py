@@ -13,13 +13,18 @@ of about its length, each start that one of them gives is tried, first with a
 window of the template's length and then with wider ones. A hit needs
 MIN_COVERAGE of the template, and hits do not overlap; of those that match the
 same stretch the one with most matched words wins, less what words put in between
-count.
+count. Templates of fewer than SHORT words may lack one word, and every hit
+needs its license's telling words (name, version, variant; TELLING and
+WHOLE_TELLING; a longer notice without any is open, OPEN). Licenses that match
+a stretch equally well, and a notice that leaves it open, are named together:
+BSD-2-Clause|BSD-3-Clause.
 
 Defined cases: null or empty texts have no hits and are not listed. A license
 that stands twice has two hits, also where the copies follow each other. Repeated rows are scanned alike. Doc ids may
 be null. Extra columns are not read; an empty table has no hits. There is no
-shuffle; the templates are a parameter of a few words and travel with the
-tasks.
+shuffle; the templates (notices, and the whole texts of ``license_texts``, 20,000
+words) are read on the driver and travel with the tasks. The whole text of
+AGPL-3.0 is not among them: it is found by its title and notice.
 """
 
 from __future__ import annotations
@@ -29,7 +34,9 @@ import itertools
 import re
 from bisect import bisect_left
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from pathlib import Path
+from zlib import crc32
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,7 +49,15 @@ MIN_PAIRS = 0.4
 # What a word put between matched ones takes from a run of them.
 LOOSE = 0.25
 
-# Notices and permission texts of common public licenses.
+# Templates of fewer words than this may lack one of them.
+SHORT = 10
+# Templates of at least so many words are whole texts. Of those of at least
+# LONG, one in SAMPLE of the word pairs that stand once is looked up.
+WHOLE = 90
+LONG, SAMPLE = 1_000, 8
+
+# Notices and permission texts of common public licenses. A name
+# with | is what the notice leaves open.
 TEMPLATES = {
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
@@ -71,7 +86,8 @@ TEMPLATES = {
     "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.",),
     "CC-BY-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.",),
-    "BSD-3-Clause": (
+    # the opening that both have; their whole texts tell them apart
+    "BSD-2-Clause|BSD-3-Clause": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided"
         " that the following conditions are met:",
     ),
@@ -85,6 +101,99 @@ TEMPLATES = {
     ),
 }
 
+# Notices that differ from those above by a name, a version or a variant.
+NEIGHBOURS = {
+    "Apache-1.1": ("Licensed under the Apache License, Version 1.1.",),
+    "GPL-2.0": (
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU"
+        " General Public License as published by the Free Software Foundation; either version 2 of the License,"
+        " or (at your option) any later version.",
+    ),
+    "LGPL-2.1": (
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU"
+        " Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License,"
+        " or (at your option) any later version.",
+    ),
+    "LGPL-3.0": (
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU"
+        " Lesser General Public License as published by the Free Software Foundation, either version 3 of the License,"
+        " or (at your option) any later version.",
+    ),
+    "AGPL-3.0": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU"
+        " Affero General Public License as published by the Free Software Foundation, either version 3 of the License,"
+        " or (at your option) any later version.",
+        "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",
+    ),
+    "CC-BY-NC-4.0": ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",),
+    "CC-BY-SA-4.0": ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",),
+    "CC-BY-ND-4.0": (
+        "Licensed under CC BY-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    ),
+    "CC-BY-NC-SA-4.0": (
+        "Licensed under CC BY-NC-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    ),
+    "CC-BY-NC-ND-4.0": (
+        "Licensed under CC BY-NC-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    ),
+}
+
+_GNU, _CC = r"\b(lesser|library general|affero)\b", r"\b(nc|nd|sa|non-?commercial|no-?deriv\w*|share-?alike|share|non)\b"
+# What the matched stretch of a notice (its bare words, one space between) must
+# hold, and what it must not: name, version and variant.
+TELLING = {
+    "Apache-2.0": (r"\bapache license (version |v )?v?2\.0|licenses/license-2\.0\b", ""),
+    "Apache-1.1": (r"\bapache (software )?license (version |v )?v?1\.1", ""),
+    "MIT": (r"\bmit license|\bfree of charge\b|\bpublish distribute sublicense\b", r"\bmit license v?\d"),
+    "GPL-2.0": (r"\bv?2(\.0)?\b(?!\.)", _GNU),
+    "GPL-3.0": (r"\bv?3(\.0)?\b(?!\.)", _GNU),
+    "LGPL-2.1": (r"\blesser\b.*\bv?2\.1\b", r"\baffero\b"),
+    "LGPL-3.0": (r"\blesser\b.*\bv?3(\.0)?\b(?!\.)", r"\baffero\b"),
+    "AGPL-3.0": (r"\baffero\b.*\bv?3(\.0)?\b(?!\.)", r"\blesser\b"),
+    "CC-BY-4.0": (r"\bcc by 4\.0\b|\battribution\b.*\b4\.0\b", _CC),
+    "CC-BY-NC-4.0": (r"\bcc by-nc 4\.0\b|\battribution-noncommercial 4\.0\b", ""),
+    "CC-BY-SA-4.0": (r"\bcc by-sa 4\.0\b|\battribution-sharealike 4\.0\b", ""),
+    "CC-BY-ND-4.0": (r"\bcc by-nd 4\.0\b|\battribution-noderivatives 4\.0\b", ""),
+    "CC-BY-NC-SA-4.0": (r"\bcc by-nc-sa 4\.0\b|\battribution-noncommercial-sharealike 4\.0\b", ""),
+    "CC-BY-NC-ND-4.0": (r"\bcc by-nc-nd 4\.0\b|\battribution-noncommercial-noderivatives 4\.0\b", ""),
+    "MPL-2.0": (r"\bmozilla public license (version |v )?v?2\.0|mozilla.org/mpl/2\.0", ""),
+}
+# A longer notice of these whose telling word is gone, with none of these in its
+# place, is taken for each of the licenses it then matches alike.
+_CC_OPEN = r"\battribution|\b(?!4\.0\b)\d\.\d\b"
+OPEN = dict.fromkeys(("GPL-2.0", "GPL-3.0"), r"\bversion v?\d|\blicense v?\d") | {
+    f"CC-BY{x}-4.0": _CC_OPEN for x in ("", "-NC", "-SA", "-ND", "-NC-SA", "-NC-ND")
+}
+# As TELLING, for whole texts: clauses that the neighbouring licenses have or lack.
+WHOLE_TELLING = {
+    "GPL-3.0": ("", r"\bremote network interaction\b"),
+    "BSD-2-Clause": ("", r"\bendorse or promote\b"),
+    "BSD-3-Clause": (r"\bendorse or promote\b", r"\badvertising materials\b"),
+    "BSD-4-Clause": (r"\badvertising materials\b", ""),
+    "MIT": (r"\bthis permission notice\b", ""),
+    "MIT-0": ("", r"\bthis permission notice\b"),
+    "ISC": (r"\bthis permission notice\b", ""),
+    "0BSD": ("", r"\bthis permission notice\b"),
+}
+
+
+def all_templates() -> dict[str, tuple[str, ...]]:
+    """TEMPLATES, after them the NEIGHBOURS, then the whole texts of ``license_texts``."""
+    out = dict(TEMPLATES)
+    for name, some in NEIGHBOURS.items():
+        out[name] = out.get(name, ()) + some
+    for path in sorted((Path(__file__).parent / "license_texts").glob("*.txt")):
+        out[path.stem] = (*out.get(path.stem, ()), path.read_text(encoding="utf-8"))
+    return out
+
+
 _EDGE = re.compile(r"^\W+|\W+$")
 
 
@@ -173,17 +282,24 @@ class Scanner:
         self.templates = [(name, k, words(t)) for name, some in templates.items() for k, t in enumerate(some)]
         self.templates = [t for t in self.templates if t[2]]
         self.pairs: dict[tuple[str, str], list[int]] = {}
-        for n, (_, _, w) in enumerate(self.templates):
-            for pair in dict.fromkeys(self._pairs(w)):
-                self.pairs.setdefault(pair, []).append(n)
-        self.firsts = {p[0] for p in self.pairs}
         # places of each pair in its template, and the template's words by count
         self.places: list[dict[tuple[str, str], list[int]]] = []
         for _, _, w in self.templates:
             at: dict[tuple[str, str], list[int]] = {}
             for j, pair in enumerate(self._pairs(w)):
                 at.setdefault(pair, []).append(j)
+            if len(w) >= LONG:
+                at = {p: x for p, x in at.items() if len(x) == 1 and crc32(" ".join(p).encode()) % SAMPLE == 0}
             self.places.append(at)
+        for n, at in enumerate(self.places):
+            for pair in at:
+                self.pairs.setdefault(pair, []).append(n)
+        self.firsts = {p[0] for p in self.pairs}
+        self.telling = []
+        for name, _, w in self.templates:
+            some = (WHOLE_TELLING if len(w) >= WHOLE else TELLING).get(name, ("", ""))
+            self.telling.append(tuple(re.compile(x) if x else None for x in some))
+        self.enough = [max(min_coverage * len(w), len(w) - 1 if len(w) < SHORT else 0) for _, _, w in self.templates]
         self.bags = [Counter(w) for _, _, w in self.templates]
 
     @staticmethod
@@ -211,24 +327,35 @@ class Scanner:
             if all(k.end < h.start for k in before) and all(h.end < k.start for k in after):
                 kept.insert(at_start, h)
                 starts.insert(at_start, h.start)
+            else:
+                # the same stretch matched as well by another license is a tie
+                for x in range(max(0, at_start - 1), min(len(kept), at_start + 1)):
+                    k = kept[x]
+                    if (k.start, k.end, k.matched, k.coverage) == (h.start, h.end, h.matched, h.coverage):
+                        both = {*k.license.split("|"), *h.license.split("|")}
+                        kept[x] = replace(k, license="|".join(sorted(both)))
         return kept
 
     def _hits(self, n: int, w: list[str], seen: list[tuple[int, tuple[str, str]]]) -> list[Hit]:
         """A hit for each likely start that covers the template; they may overlap."""
         size, places = len(self.templates[n][2]), self.places[n]
         need = max(1, int(self.min_pairs * len(places)))
-        hits, tried, counts, hi = [], set(), Counter(), 0
+        hits, tried, counts, hi, done = [], set(), Counter(), 0, -1
+        step = size // 64 if size >= LONG else 1
         for i, pair in seen:
             while hi < len(seen) and seen[hi][0] <= i + size + size // 2:
                 counts[seen[hi][1]] += 1
                 hi += 1
-            if len(counts) >= need:
+            if len(counts) >= need and i > done:
                 # pairs of one copy mostly give the same start
                 for start in (i - j for j in places[pair] if j <= size // 2):
-                    if start not in tried:
-                        tried.add(start)
-                        hit = self._place(n, w, start)
-                        hits += [hit] if hit else []
+                    if start // step in tried:
+                        continue
+                    tried.add(start // step)
+                    hit = self._place(n, w, start)
+                    hits += [hit] if hit else []
+                    if hit and size >= LONG and hit.end - hit.start < size + size // 4:
+                        done = hit.end
             counts[pair] -= 1
             if not counts[pair]:
                 del counts[pair]
@@ -240,7 +367,7 @@ class Scanner:
         unique words."""
         name, k, template = self.templates[n]
         size = len(template)
-        enough = self.min_coverage * size
+        enough = self.enough[n]
         left, right = max(0, start - size // 2), start + 2 * size
         if (self.bags[n] & Counter(w[left:right])).total() < enough:
             return None
@@ -256,6 +383,13 @@ class Scanner:
                 break
         if len(best) < enough:
             return None
+        stretch, (must, must_not) = " ".join(w[best[0][1] : best[-1][1] + 1]), self.telling[n]
+        if must_not and must_not.search(stretch):
+            return None
+        if must and not must.search(stretch):
+            on = " ".join(w[best[0][1] : best[-1][1] + 3])  # a version may end the notice
+            if size < SHORT or name not in OPEN or re.search(OPEN[name], on):
+                return None
         return Hit(name, k, best[0][1], best[-1][1], len(best), len(best) / size)
 
 
@@ -286,7 +420,7 @@ def license_hits(
 ) -> DataFrame:
     """A row for each hit: doc_id, license, template, start_word, end_word,
     n_matched, coverage, whole_text (whether it covers the text's words)."""
-    chosen = tuple((templates or TEMPLATES).items())
+    chosen = tuple((templates or all_templates()).items())
     schema = (
         "doc_id long, license string, template int, start_word long, end_word long, n_matched long,"
         " coverage double, whole_text boolean"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -89,6 +90,60 @@ def test_adjacent_copies_are_all_found():
                         assert [h.end for h in hits] == [before + c * step + size - 1 for c in range(copies)]
 
 
+def test_near_misses_are_not_the_license():
+    gpl = lic.TEMPLATES["GPL-3.0"][1]
+    cc = "This work is licensed under a Creative Commons {} 4.0 International License."
+    scan = lic.Scanner(lic.all_templates(), lic.MIN_COVERAGE, lic.MIN_PAIRS).scan
+    for text, want in (
+        ("Released under the BSD License.", []),
+        ("Released under the GPL License.", []),
+        ("Licensed under CC BY 3.0.", []),
+        ("Licensed under CC BY ND 4.0.", []),
+        ("Licensed under CC BY-ND 4.0.", ["CC-BY-ND-4.0"]),
+        ("Licensed under CC BY-NC-ND 4.0.", ["CC-BY-NC-ND-4.0"]),
+        ("Licensed under the Apache License, Version 1.1.", ["Apache-1.1"]),
+        ("This work is licensed under the GNU General Public License, version 2.", ["GPL-2.0"]),
+        ("This work is licensed under the GNU Lesser General Public License, version 3.", ["LGPL-3.0"]),
+        ("This work is licensed under the GNU General Public License, version 1.", []),
+        ("This work is licensed under the GNU General Public License.", ["GPL-2.0|GPL-3.0"]),
+        (gpl.replace("version 3", "version 1"), []),
+        (cc.format("Attribution"), ["CC-BY-4.0"]),
+        (cc.format("Attribution-NonCommercial"), ["CC-BY-NC-4.0"]),
+        (cc.format("Attribution Share Alike"), []),
+        (cc.format("Attribution").replace("4.0", "3.0"), []),
+        (gpl, ["GPL-3.0"]),
+        (gpl.replace("version 3", "version 2"), ["GPL-2.0"]),
+        (gpl.replace("GNU General", "GNU Lesser General"), ["LGPL-3.0"]),
+        (gpl.replace("GNU General", "GNU Lesser General").replace("version 3", "version 2.1"), ["LGPL-2.1"]),
+        (gpl.replace("GNU General", "GNU Affero General"), ["AGPL-3.0"]),
+    ):
+        assert [h.license for h in scan(f"some words before {text} and after it")] == want, text
+
+
+def test_whole_texts_are_told_apart():
+    folder = Path(lic.__file__).parent / "license_texts"
+    texts = {p.stem: p.read_text(encoding="utf-8") for p in folder.glob("*.txt")}
+    assert all(len(lic.words(t)) >= lic.WHOLE for t in texts.values())
+    scan = lic.Scanner(lic.all_templates(), lic.MIN_COVERAGE, lic.MIN_PAIRS).scan
+    assert len(texts) == 13
+    for name, text in texts.items():
+        for copies in (1, 2):
+            hits = scan("some words before " + f"{text} " * copies + "and after it")
+            assert [h.license for h in hits] == [name] * copies, (name, [h.license for h in hits])
+            assert all(h.coverage == 1.0 for h in hits)
+    agpl = texts["GPL-3.0"].replace("GNU GENERAL PUBLIC LICENSE\n", "GNU AFFERO GENERAL PUBLIC LICENSE\n")
+    agpl = agpl.replace("13. Use with the GNU Affero", "13. Remote Network Interaction; Use with the GNU")
+    assert agpl.count("Remote Network Interaction") == 1
+    assert not any(h.license == "GPL-3.0" and h.matched > 1000 for h in scan(agpl))
+
+
+def test_a_tie_names_both():
+    two = {"X-1": ("one two three four five six",), "X-2": ("one two three four five seven",)}
+    scan = lic.Scanner(two, lic.MIN_COVERAGE, lic.MIN_PAIRS).scan
+    assert [h.license for h in scan("a one two three four five b")] == ["X-1|X-2"]
+    assert [h.license for h in scan("a one two three four five seven b")] == ["X-2"]
+
+
 def test_query_against_brute_force(spark):
     """Every template against every window of its length, at sf0.01."""
     sf = "/root/testdata/sf0.01"
