@@ -29,7 +29,8 @@ more surely. No number of partners or candidates is capped.
 Defined cases: no words (or a null text) is an empty set, linked with nothing
 and kept; fewer than five words are one shingle. Rows with a null doc_id
 cannot be named: they are counted, not linked, and not kept. Rows with one
-doc_id count as one document. Repeated rows are all returned. Extra columns
+doc_id count as one document: what any of its texts is linked with, it is, and
+each row has its own count. Repeated rows are all returned. Extra columns
 are not read. An empty table gives an empty result.
 """
 
@@ -142,8 +143,8 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_hash (null: empty), signature and low (the lowest
-    byte of each of its values) of each row."""
+    """doc_id, text_key, n_shingles, set_hash (null: empty), signature and low
+    (the lowest byte of each of its values) of each row."""
 
     def make():
         def work(rows: dict) -> dict:
@@ -153,6 +154,7 @@ def sketch(docs: DataFrame) -> DataFrame:
             low, signed = iter(signed.astype(np.uint8)), iter(signed)
             return {
                 "doc_id": rows["doc_id"],
+                "text_key": rows["text_key"],
                 "n_shingles": [len(s) for s in sets],
                 "set_hash": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
                 "signature": [next(signed).tobytes() if len(s) else None for s in sets],
@@ -161,8 +163,25 @@ def sketch(docs: DataFrame) -> DataFrame:
 
         return work
 
-    schema = "doc_id long, n_shingles long, set_hash binary, signature binary, low binary"
-    return map_rows(docs.select("doc_id", "text"), make, schema)
+    schema = "doc_id long, text_key long, n_shingles long, set_hash binary, signature binary, low binary"
+    return map_rows(docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")), make, schema)
+
+
+def _texts(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``nodes`` with the text of each one's chosen row (doc_id and text_key)."""
+    chosen = classes.select("node", F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
+    texts = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_key"), "text")
+    return texts.join(nodes.join(chosen, "node"), ["_id", "_key"]).drop("_id", "_key")
+
+
+def _first_of_each(rows: dict, names: tuple[str, ...], seen: set) -> dict:
+    """Repeats of a row that the task has seen go."""
+    new = []
+    for k, key in enumerate(zip(*(rows[n] for n in names), strict=True)):
+        if key not in seen:
+            seen.add(key)
+            new.append(k)
+    return rows if len(new) == len(rows["node"]) else {n: [v[k] for k in new] for n, v in rows.items()}
 
 
 @functools.lru_cache(maxsize=1)
@@ -276,11 +295,14 @@ def _rest(large: DataFrame, known: DataFrame, classes: DataFrame, docs: DataFram
         "around", blocks(BLOCK, "n", "s").alias("blocks"), blocks(OUTSIDE, "n_out", "s_out").alias("out_blocks")
     )
     rows = rows.join(totals.hint("merge"), "around").drop("n_shingles")
-    texts = docs.select(F.col("doc_id").alias("node"), "text").join(rows, "node")
+    texts = _texts(docs, classes, rows)
     same = ("around", "node", "c", "out", "low", "blocks", "out_blocks")
 
     def make():
+        seen: set = set()
+
         def work(rows: dict) -> dict:
+            rows = _first_of_each(rows, ("around", "node"), seen)
             return {k: rows[k] for k in same} | {"hashes": [x.tobytes() for x in shingle_sets(rows["text"])]}
 
         return work
@@ -350,7 +372,7 @@ def _screen(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return map_rows(both.select("a", "b", "sa", "sb"), make, "a long, b long")
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs that are links, but for those inside what others join.
     ``component`` gathers pairs that may join the same; ca, cb: components of
     a, b that are known."""
@@ -368,10 +390,13 @@ def _confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     )
     blocks = checkpointed(blocks)
     nodes = blocks.select("component", "block", F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = docs.select(F.col("doc_id").alias("node"), "text").join(nodes, "node")
+    texts = _texts(docs, classes, nodes)
 
     def make():
+        seen: set = set()
+
         def work(rows: dict) -> dict:
+            rows = _first_of_each(rows, ("component", "block", "node"), seen)
             sets = shingle_sets(rows["text"])
             out = {c: rows[c] for c in ("component", "block", "node")}
             return out | {"hashes": [s.tobytes() for s in sets]}
@@ -415,21 +440,35 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of each row of ``docs``."""
     rows = checkpointed(sketch(docs))
     named = rows.where("doc_id is not null and set_hash is not null")
-    # equal sets are one class; a hot class is reduced before the shuffle
-    classes = named.groupBy("set_hash").agg(F.min(F.struct("doc_id", "n_shingles", "signature", "low")).alias("x"))
-    classes = checkpointed(
-        classes.select("set_hash", F.col("x.doc_id").alias("node"), "x.n_shingles", "x.signature", "x.low")
-    )
+    # equal sets are one class, named by a number made from the set's hash, with
+    # one chosen row; a hot class is reduced before the shuffle
+    chosen = F.min(F.struct("doc_id", "text_key", "n_shingles", "signature", "low")).alias("x")
+    classes = named.groupBy("set_hash").agg(chosen).select("set_hash", F.xxhash64("set_hash").alias("node"), "x.*")
+    classes = checkpointed(classes)
     pairs, large = candidates(classes)
     pairs = checkpointed(_screen(pairs, classes))
     group = components(pairs).withColumnRenamed("node", "a")
     pairs = pairs.join(group, "a").select("a", "b", F.col("a").alias("ca"), F.col("b").alias("cb"), "component")
-    known = _joined(classes.select("node", F.col("node").alias("component")), checkpointed(_confirm(pairs, docs)))
+    known = _joined(classes.select("node", F.col("node").alias("component")), checkpointed(_confirm(pairs, classes, docs)))
     release(docs.sparkSession)
     known = _joined(known, checkpointed(_rest(large, known, classes, docs)))
-    named_class = classes.select("set_hash", "node").join(known, "node").select("set_hash", "component")
-    out = rows.select("doc_id", "n_shingles", "set_hash").join(named_class, "set_hash", "left")
+    links = checkpointed(_shared_ids(named))
+    if not links.isEmpty():
+        for end in ("a", "b"):
+            links = links.join(known.select(F.col("node").alias(end), F.col("component").alias(f"c{end}")), end)
+        known = _joined(known, links.select("ca", "cb"))
+    # a component is named by its smallest doc_id
+    both = classes.select("set_hash", "node", "doc_id").join(known, "node")
+    names = both.groupBy("component").agg(F.min("doc_id").alias("name"))
+    named_class = checkpointed(both.join(names, "component").select("set_hash", F.col("name").alias("component")))
+    full = rows.where("set_hash is not null").select("doc_id", "n_shingles", "set_hash").join(named_class, "set_hash", "left")
+    # an empty text belongs with the other texts of its doc_id
+    empty = rows.where("set_hash is null").select("doc_id", "n_shingles")
+    ids = empty.where("doc_id is not null").select("doc_id").distinct()
+    others = named.select("doc_id", "set_hash").join(ids, "doc_id", "left_semi").join(named_class, "set_hash")
+    empty = empty.join(others.groupBy("doc_id").agg(F.min("component").alias("component")), "doc_id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    out = full.select("doc_id", "n_shingles", "component").unionByName(empty.select("doc_id", "n_shingles", "component"))
     return out.select(
         "doc_id",
         "n_shingles",
@@ -438,6 +477,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
+def _shared_ids(named: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of the texts of one doc_id."""
+    rows = named.select("doc_id", F.xxhash64("set_hash").alias("b"))
+    ends = rows.groupBy("doc_id").agg(F.min("b").alias("a"), F.max("b").alias("_last")).where("a < _last")
+    return rows.join(ends.drop("_last").hint("merge"), "doc_id").where("a < b").select("a", "b").distinct()
+
+
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One document of each group stays, in the columns of ``docs``: the one
     with the smallest doc_id; of rows with that doc_id, one. Rows without a

@@ -134,3 +134,15 @@ def test_components_against_union_find(spark):
     real = [(a, b) for a, b in edges if a != b]
     assert out == reach({n for e in real for n in e}, real)
     assert components(df.limit(0)).collect() == []
+
+
+def test_one_doc_id_with_several_texts(spark, make_docs):
+    """Each row comes out once, and a doc_id's texts are linked by it."""
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices([f"w{k}" for k in range(500)], k=60)) for _ in range(12)]
+    rows = [(7, t) for t in texts[:6]] + [(7, texts[0]), (7, None), (7, "")]
+    rows += [(3, texts[2]), (9, texts[4] + " and more"), (4, texts[6]), (4, texts[7]), (8, texts[7]), (5, ""), (None, texts[1]), (None, texts[11])]
+    rows += [(20 + k, texts[9] + f" end {k}") for k in range(40)] + [(20, texts[10]), (60, texts[10])]
+    assert got(nd.near_duplicates(make_docs(rows))) == by_hand(rows)
+    kept = [r.doc_id for r in nd.drop_near_duplicates(make_docs(rows)).collect() if r.doc_id is not None]
+    assert sorted(kept, key=str) == sorted({d for d, _, c, k in by_hand(rows) if k}, key=str)
