@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ferry.llm import (
+    alignment,
     bpe,
     decontaminate,
+    hard_negatives,
     licenses,
     neardup,
+    packing,
     quality_model,
     quality_rules,
     sharding,
@@ -30,8 +33,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": token_files.op8_token_files,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_quality_model": quality_model.op10_quality_model,
+    "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+    "op12_token_alignment": alignment.op12_token_alignment,
+    "op13_mixture_packing": packing.op13_mixture_packing,
 }
 ORACLE_SQL: dict[str, str] = {
     "op5_minhash_dedup": neardup.ORACLE_SQL,
     "op9_quality_rules": quality_rules.ORACLE_SQL,
+    "op11_hard_negatives": hard_negatives.ORACLE_SQL,
 }
