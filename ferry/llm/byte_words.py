@@ -41,6 +41,8 @@ _ASCII = re.compile(
 _PLAIN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _CHARACTER = {b: b for b in _PLAIN} | {b: 0x100 + k for k, b in enumerate(sorted({*range(256)} - {*_PLAIN}))}
 
+_SPACE = chr(_CHARACTER[0x20])
+
 
 class _Words(dict):
     """Ids of a space and the key, as little-endian unsigned 32-bit integers."""
@@ -109,15 +111,16 @@ class ByteWords:
         return self._one(part) if part.isascii() or _LATIN.fullmatch(part) else self.library(part)
 
     def _word(self, word: str) -> bytes:
+        plain = word.isascii()
+        if plain and word.isalpha():
+            return array("I", [t.id for t in self.model(_SPACE + word)]).tobytes()
+        core = word.rstrip(TAIL)
+        if core != word and (core.isalpha() if plain else _LATIN.fullmatch(core)):
+            return self.words[core] + self.atoms[word[len(core) :]]
         part = " " + word
-        if part.isascii():
-            atoms = _ASCII.findall(part)
-        else:
-            core = part.rstrip(TAIL)
-            atoms = [core, part[len(core) :]] if core != part and _LATIN.fullmatch(core) else [part]
-        if len(atoms) == 1:
+        if not plain:
             return self._atom(part)
-        return b"".join(map(self.atoms.__getitem__, atoms))
+        return b"".join(map(self.atoms.__getitem__, _ASCII.findall(part)))
 
     def encode(self, text: str) -> bytes:
         """Ids of the text as little-endian unsigned 32-bit integers."""
