@@ -1,18 +1,21 @@
 """Alignment of two tokenizers' ids over the same bytes.
 
 Both id lists of a text have cumulative byte ends. Two dictionaries map each
-list's ends to places; the ends in both key sets, sorted, slice the lists into
-groups that cover the same bytes. Every id of a slice's one list is linked with
-every id of its other.
+list's ends to places; the ends in both key sets, in order, slice the lists
+into groups that cover the same bytes. Every id of a slice's one list is linked
+with every id of its other.
 
-* ``write_alignments`` encodes texts chunk by chunk and writes a row for each
-  chunk: its documents, both id lists and the groups' sizes, compressed.
+* ``alignments`` encodes texts chunk by chunk, to a row for each chunk: its
+  documents, both id lists and the groups' sizes, compressed.
   ``read_alignments`` gives a row for each document back.
+* ``write_links`` does so too and writes what the counts need: a row for each
+  chunk and pair of ids linked in it, and a row for each chunk with its
+  documents' digests and pairs, as places in the chunk's sorted pairs.
 * ``link_counts`` counts, for each pair of ids, the documents that hold it
-  linked. A chunk is reduced to its distinct pairs first, so a pair that is in
-  every document is one row for each chunk.
-* ``op12`` sends the counts back to the chunks that hold the pairs, again a row
-  for each chunk and pair, never one for each document.
+  linked. A chunk has been reduced to its distinct pairs by then, so a pair that
+  is in every document is one row for each chunk.
+* ``alignment_digests`` sends the counts back to the chunks that hold the
+  pairs, again a row for each chunk and pair, never one for each document.
 
 Defined cases: a null or empty text, or one whose joined token bytes differ
 from a space and the text in either vocabulary, has no tokens. Each row counts
@@ -25,7 +28,6 @@ are not read.
 from __future__ import annotations
 
 import hashlib
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,7 +45,7 @@ from ferry.session import fresh_dir
 BYTE_VOCABULARY = "byte_bpe_50k.json"
 PIECE_VOCABULARY = "piece_bpe_32k.model"
 # Text of a chunk. Larger chunks repeat fewer pairs; a task holds one.
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 4 << 20
 # Texts given to a library at a time, in bytes.
 BATCH_BYTES = 1 << 20
 # Linked pairs worked out at a time; a group with more is counted by distinct ids.
@@ -67,6 +69,7 @@ class Aligner:
 
         self.a = byte_words(a_path)
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
+        self.lossless = self.a.tokenizer.normalizer is None
         self.a_bytes = token_bytes(self.a.tokenizer)
         self.b_bytes = [self._piece(i) for i in range(self.b.get_piece_size())]
         self.a_len, self.b_len = (np.array([len(x) for x in t], dtype=np.int64) for t in (self.a_bytes, self.b_bytes))
@@ -86,19 +89,19 @@ class Aligner:
                 continue
             want, b = f" {t}".encode(), next(pieces)
             a = np.frombuffer(self.a.encode(f" {t}"), dtype="<u4")
-            same = b"".join(map(self.a_bytes.__getitem__, a.tolist())) == want
+            # byte-level ids lose nothing: their bytes are the text's if they are as many
+            same = self.a_len[a].sum() == len(want) if self.lossless else b"".join(map(self.a_bytes.__getitem__, a.tolist())) == want
             same = same and b"".join(map(self.b_bytes.__getitem__, b)) == want
             yield (a, np.array(b, dtype=np.uint32)) if same else (none, none)
 
 
-def slices(a_len: np.ndarray, b_len: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """How many tokens of either list each group has, from the tokens' lengths."""
+def slices(a_len: np.ndarray, b_len: np.ndarray) -> tuple[list[int], list[int]]:
+    """Where the groups end in either list, from the tokens' lengths."""
     a_at = dict(zip(np.cumsum(a_len).tolist(), range(1, len(a_len) + 1), strict=True))
     b_at = dict(zip(np.cumsum(b_len).tolist(), range(1, len(b_len) + 1), strict=True))
-    common = sorted(a_at.keys() & b_at.keys())
-    ends = ([at[e] for e in common] for at in (a_at, b_at))
-    a, b = (np.diff(np.array([0, *x], dtype=np.int64)) for x in ends)
-    return a, b
+    # the keys of a dictionary are in the order of its ends
+    common = list(filter(b_at.__contains__, a_at))
+    return list(map(a_at.__getitem__, common)), list(map(b_at.__getitem__, common))
 
 
 def _pack(arrays: list[np.ndarray]) -> bytes:
@@ -114,35 +117,43 @@ def _unpack(blob: bytes) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob[1:]), dtype=kind).astype(np.int64)
 
 
-def write_alignments(docs: DataFrame, folder: str, a_path: str | None = None, b_path: str | None = None) -> DataFrame:
-    """Write the texts' alignments to ``folder``, a row for each chunk; the table."""
-    a_path = a_path or public_tokenizers.path(BYTE_VOCABULARY)
-    b_path = b_path or public_tokenizers.path(PIECE_VOCABULARY)
+def _aligned(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str) -> Iterator[tuple[int, list[tuple]]]:
+    """The task's chunks: number and (doc_id, ids of a, ids of b, ends of a, ends of b)."""
+    number = TaskContext.get().partitionId() << 32
+    tool = worker_cache(f"align {a_path} {b_path}", lambda: Aligner(a_path, b_path))
+    held: list[tuple] = []
+    size = 0
+    for doc_ids, texts in _texts(batches):
+        for doc, text, (a, b) in zip(doc_ids, texts, tool.encode(texts), strict=True):
+            held.append((doc, a, b, *slices(tool.a_len[a], tool.b_len[b])))
+            size += len(text or "") + 16
+            if size >= CHUNK_BYTES:
+                yield number, held
+                held, size, number = [], 0, number + 1
+    if held:
+        yield number, held
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, number = TaskContext.get().partitionId(), 0
-        tool = worker_cache(f"align {a_path} {b_path}", lambda: Aligner(a_path, b_path))
-        held: list[tuple] = []
-        size = 0
 
-        def chunk() -> pa.RecordBatch:
-            docs, a, b, ga, gb = zip(*held, strict=True)
-            row = [(part << 32) + number, list(docs), *([len(x) for x in col] for col in (a, b, ga)), *map(_pack, (a, b, ga, gb))]
-            return pa.RecordBatch.from_arrays([pa.array([v], type=f.type) for v, f in zip(row, _CHUNK, strict=True)], schema=_CHUNK)
+def _paths(a_path: str | None, b_path: str | None) -> tuple[str, str]:
+    return a_path or public_tokenizers.path(BYTE_VOCABULARY), b_path or public_tokenizers.path(PIECE_VOCABULARY)
+
+
+def _sizes(ends: list[int]) -> np.ndarray:
+    return np.diff(np.array([0, *ends], dtype=np.int64))
 
-        for doc_ids, texts in _texts(batches):
-            for doc, text, (a, b) in zip(doc_ids, texts, tool.encode(texts), strict=True):
-                held.append((doc, a, b, *slices(tool.a_len[a], tool.b_len[b])))
-                size += len(text or "") + 16
-                if size >= CHUNK_BYTES:
-                    yield chunk()
-                    held, size, number = [], 0, number + 1
-        if held:
-            yield chunk()
 
-    rows = docs.select("doc_id", "text").mapInArrow(run, _CHUNK_DDL)
-    rows.write.option("compression", "none").parquet(folder)  # the ids are compressed already
-    return docs.sparkSession.read.schema(_CHUNK_DDL).parquet(folder)
+def alignments(docs: DataFrame, a_path: str | None = None, b_path: str | None = None) -> DataFrame:
+    """The texts' alignments, a row for each chunk of documents."""
+    paths = _paths(a_path, b_path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, held in _aligned(batches, *paths):
+            docs, a, b, ga, gb = zip(*held, strict=True)
+            sizes = ([_sizes(x) for x in g] for g in (ga, gb))
+            row = [number, list(docs), *([len(x) for x in col] for col in (a, b, ga)), *map(_pack, (a, b, *sizes))]
+            yield pa.RecordBatch.from_arrays([pa.array([v], type=f.type) for v, f in zip(row, _CHUNK, strict=True)], schema=_CHUNK)
+
+    return docs.select("doc_id", "text").mapInArrow(run, _CHUNK_DDL)
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
@@ -213,37 +224,76 @@ def _links(doc: np.ndarray, a: np.ndarray, b: np.ndarray, ga: np.ndarray, gb: np
 SHIFT = 20
 
 
-def _chunk_links(n_groups: list[int], a: np.ndarray, b: np.ndarray, ga: np.ndarray, gb: np.ndarray):
-    """document (its place in the chunk), pair and links, by document."""
-    doc = np.repeat(np.arange(len(n_groups)), n_groups)
-    key, times = _links(doc, a, b, ga, gb, SHIFT)
-    return key >> (2 * SHIFT), key & ((1 << (2 * SHIFT)) - 1), times
+_LINKS = pa.schema(
+    [("chunk", pa.int64()), ("pair", pa.int64()), ("documents", pa.int64()), ("doc_ids", pa.list_(pa.int64()))]
+    + [(n, pa.list_(pa.int64())) for n in ("n_a", "n_b", "n_groups", "n_links", "n_pairs")]
+    + [("groups_sha256", pa.list_(pa.string())), ("slots", pa.binary()), ("times", pa.binary())]
+)
+_LINKS_DDL = (
+    "chunk long, pair long, documents long, doc_ids array<long>, n_a array<long>, n_b array<long>, n_groups array<long>,"
+    " n_links array<long>, n_pairs array<long>, groups_sha256 array<string>, slots binary, times binary"
+)
 
 
-def chunk_pairs(chunks: DataFrame) -> DataFrame:
-    """chunk, pair, documents: a row for each chunk and pair of ids linked in it."""
-    schema = pa.schema([("chunk", pa.int64()), ("pair", pa.int64()), ("documents", pa.int64())])
+def write_links(docs: DataFrame, folder: str, a_path: str | None = None, b_path: str | None = None) -> DataFrame:
+    """Write the chunks' pairs and documents to ``folder``: rows with a pair are
+    (chunk, pair, documents in the chunk), a row without one has the chunk's
+    documents. Returns the table."""
+    paths = _paths(a_path, b_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                row = batch.slice(k, 1).to_pylist()[0]
-                blobs = (_unpack(row[n]) for n in ("a_ids", "b_ids", "a_sizes", "b_sizes"))
-                _, pair, _ = _chunk_links(row["n_groups"], *blobs)
-                pair, documents = np.unique(pair, return_counts=True)
-                for at in range(0, len(pair), 100_000):
-                    some = pair[at : at + 100_000]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(some), row["chunk"])), pa.array(some), pa.array(documents[at : at + 100_000])],
-                        schema=schema,
-                    )
-
-    return chunks.drop("doc_ids").mapInArrow(run, "chunk long, pair long, documents long")
-
-
-def link_counts(pairs: DataFrame) -> DataFrame:
-    """pair, documents and is_best (no pair of its A id is in more) from chunk_pairs."""
-    counts = checkpointed(pairs.groupBy("pair").agg(F.sum("documents").alias("documents")))
+        for number, held in _aligned(batches, *paths):
+            yield from _linked(number, held)
+
+    rows = docs.select("doc_id", "text").mapInArrow(run, _LINKS_DDL)
+    rows.write.option("compression", "zstd").parquet(folder)
+    return docs.sparkSession.read.schema(_LINKS_DDL).parquet(folder)
+
+
+def _linked(number: int, held: list[tuple]) -> Iterator[pa.RecordBatch]:
+    docs, a, b, ga, gb = zip(*held, strict=True)
+    n = np.array([len(g) for g in ga], dtype=np.int64)
+    key, times = _links(
+        np.repeat(np.arange(len(held)), n), *(np.concatenate(x).astype(np.int64) for x in (a, b)),
+        *(np.concatenate([_sizes(x) for x in g]) for g in (ga, gb)), SHIFT,
+    )
+    doc = key >> (2 * SHIFT)
+    pair, slot, documents = np.unique(key & ((1 << (2 * SHIFT)) - 1), return_inverse=True, return_counts=True)
+    first = np.append(True, doc[1:] != doc[:-1])[: len(doc)]
+    step = np.where(first, slot, slot - np.append(0, slot[:-1])[: len(slot)])
+    n_links = np.zeros(len(held), dtype=np.int64)
+    np.add.at(n_links, doc, times)
+    for at in range(0, len(pair), 100_000):
+        some = pair[at : at + 100_000]
+        empty = [pa.nulls(len(some), f.type) for f in list(_LINKS)[3:]]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(some), number)), pa.array(some), pa.array(documents[at : at + 100_000]), *empty], schema=_LINKS
+        )
+    row = [
+        number, None, None, list(docs), [len(x) for x in a], [len(x) for x in b], n, n_links,
+        np.bincount(doc, minlength=len(held)), [_digest(*x) for x in zip(a, b, ga, gb, strict=True)], _pack([step]), _pack([times]),
+    ]
+    yield pa.RecordBatch.from_arrays([pa.array([v], type=f.type) for v, f in zip(row, _LINKS, strict=True)], schema=_LINKS)
+
+
+def _digest(a: np.ndarray, b: np.ndarray, ends_a: list[int], ends_b: list[int]) -> str:
+    """Digest of ``a1,a2|b1;a3|b2,b3``; of no tokens, ''."""
+    if not ends_a:
+        return ""
+    left, right = list(map(str, a.tolist())), list(map(str, b.tolist()))
+    groups, i, j = [], 0, 0
+    for k, m in zip(ends_a, ends_b, strict=True):
+        if k == i + 1 and m == j + 1:
+            groups.append(f"{left[i]}|{right[j]}")
+        else:
+            groups.append(f"{','.join(left[i:k])}|{','.join(right[j:m])}")
+        i, j = k, m
+    return hashlib.sha256(";".join(groups).encode()).hexdigest()
+
+
+def link_counts(links: DataFrame) -> DataFrame:
+    """a_id, pair, documents and is_best (no pair of its A id is in more)."""
+    counts = checkpointed(links.where("pair is not null").groupBy("pair").agg(F.sum("documents").alias("documents")))
     a = F.shiftright("pair", SHIFT).alias("a_id")
     best = counts.groupBy(a).agg(F.max("documents").alias("_most"))
     return counts.select("*", a).join(best, "a_id").select("a_id", "pair", "documents", (F.col("documents") == F.col("_most")).alias("is_best"))
@@ -258,49 +308,30 @@ _DIGEST_DDL = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_b
 
 def _digests(left: pa.Table, right: pa.Table) -> pa.Table:
     """A chunk's documents with the counts of the pairs linked in them."""
+    # one row for each of the chunk's pairs, so that their order gives the slots
     order = np.argsort(right["pair"].to_numpy())
-    known, counts, best = (right[c].to_numpy()[order] for c in ("pair", "documents", "is_best"))
+    counts, best = (right[c].to_numpy()[order].astype(np.int64) for c in ("documents", "is_best"))
     out = []
     for row in left.to_pylist():
-        a, b, ga, gb = (_unpack(row[n]) for n in ("a_ids", "b_ids", "a_sizes", "b_sizes"))
-        doc, pair, times = _chunk_links(row["n_groups"], a, b, ga, gb)
-        slot = np.searchsorted(known, pair)
+        n, step, times = np.array(row["n_pairs"], dtype=np.int64), _unpack(row["slots"]), _unpack(row["times"])
+        doc, run = np.repeat(np.arange(len(n)), n), np.append(0, np.cumsum(step))
+        slot = run[1:] - run[np.repeat(np.cumsum(n) - n, n)]
         sums = {}
-        for name, value in (("n_links", times), ("n_best", times * best[slot]), ("count_sum", times * counts[slot])):
-            sums[name] = np.zeros(len(row["doc_ids"]), dtype=np.int64)
+        for name, value in (("n_best", times * best[slot]), ("count_sum", times * counts[slot])):
+            sums[name] = np.zeros(len(n), dtype=np.int64)
             np.add.at(sums[name], doc, value)
-        sizes = {n: np.array(row[n], dtype=np.int64) for n in ("n_a", "n_b", "n_groups")}
-        out.append(pa.table({"doc_id": pa.array(row["doc_ids"], type=pa.int64()), **sizes, **sums, "groups_sha256": _groups(row, a, b, ga, gb)}, schema=_DIGEST))
-    return pa.concat_tables(out)
-
-
-def _groups(row: dict, a: np.ndarray, b: np.ndarray, ga: np.ndarray, gb: np.ndarray) -> list[str]:
-    """Each document's digest of ``a1,a2|b1;a3|b2,b3``."""
-    out, at_a, at_b, at = [], 0, 0, 0
-    for n_a, n_b, n in zip(row["n_a"], row["n_b"], row["n_groups"], strict=True):
-        if not n:
-            out.append("")
-            continue
-        left, right = (list(map(str, x.tolist())) for x in (a[at_a : at_a + n_a], b[at_b : at_b + n_b]))
-        ends_a, ends_b = (np.cumsum(g[at : at + n]).tolist() for g in (ga, gb))
-        groups, i, j = [], 0, 0
-        for ea, eb in zip(ends_a, ends_b, strict=True):
-            groups.append(f"{','.join(left[i:ea])}|{','.join(right[j:eb])}")
-            i, j = ea, eb
-        out.append(hashlib.sha256(";".join(groups).encode()).hexdigest())
-        at_a, at_b, at = at_a + n_a, at_b + n_b, at + n
-    return out
-
-
-def alignment_digests(chunks: DataFrame) -> DataFrame:
-    """A row for each document of the chunks, with its links' counts."""
-    pairs = chunk_pairs(chunks)
-    held = checkpointed(pairs)
-    counts = link_counts(held)
-    known = held.select("chunk", "pair").join(counts.drop("a_id"), "pair")
+        out.append(pa.table([sums[f.name] if f.name in sums else pa.array(row["doc_ids" if f.name == "doc_id" else f.name], type=f.type) for f in _DIGEST], schema=_DIGEST))
+    return pa.concat_tables(out) if out else _DIGEST.empty_table()
+
+
+def alignment_digests(links: DataFrame) -> DataFrame:
+    """A row for each document of ``write_links``'s table, with its links' counts."""
+    pairs = links.where("pair is not null").select("chunk", "pair")
+    known = pairs.join(link_counts(links).drop("a_id"), "pair")
+    chunks = links.where("pair is null").drop("pair", "documents")
+    chunks = chunks.toDF(*chunks.columns)  # columns of its own beside those of known
     return chunks.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(_digests, _DIGEST_DDL)
 
 
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chunks = write_alignments(table(spark, sf_dir, "documents"), fresh_dir(spark, "alignment"))
-    return alignment_digests(chunks)
+    return alignment_digests(write_links(table(spark, sf_dir, "documents"), fresh_dir(spark, "alignment")))

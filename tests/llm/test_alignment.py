@@ -64,7 +64,7 @@ def plain(texts):
 
 
 def run(spark, scratch, docs):
-    return A.alignment_digests(A.write_alignments(docs, f"{scratch}/alignment"))
+    return A.alignment_digests(A.write_links(docs, f"{scratch}/alignment"))
 
 
 @pytest.mark.parametrize("chunk", [A.CHUNK_BYTES, 200])
@@ -98,8 +98,8 @@ def test_empty(spark, scratch, make_docs):
     assert run(spark, scratch, make_docs([])).collect() == []
 
 
-def test_read_alignments(spark, scratch, make_docs):
-    chunks = A.write_alignments(make_docs([(0, "café au lait"), (1, None)]), f"{scratch}/alignment")
+def test_read_alignments(spark, make_docs):
+    chunks = A.alignments(make_docs([(0, "café au lait"), (1, None)]))
     rows = {r.doc_id: r for r in A.read_alignments(chunks).collect()}
     tool = A.Aligner(*map(public_tokenizers.path, (A.BYTE_VOCABULARY, A.PIECE_VOCABULARY)))
     assert b"".join(tool.a_bytes[i] for i in rows[0].a_ids) == " café au lait".encode()
