@@ -7,11 +7,14 @@ A document is the set of its distinct 5-word shingles; two are linked when
 * A class has SIGNATURE minimum hashes. Each of TREES trees reads them in an
   order of its own; classes that agree on the first values of a tree's order
   are one region of it, the longest common prefixes are the neighbours.
-* The depth adapts to the region: a region of at most REGION classes has all
-  its pairs as candidates at once; a larger one is cut by deeper prefixes, and
-  at every depth each of its classes is also a candidate with the region's
-  smallest and largest, so that a mass of near copies hangs together without
-  its pairs being listed.
+* The depth adapts to the region: in a region of at most REGION classes all
+  pairs are candidates; a larger one is cut by deeper prefixes, and at every
+  depth each of its classes is also a candidate with the region's smallest and
+  largest.
+* First each class is compared with the smallest and the largest of all its
+  neighbours, two pairs a class, so that a mass of near copies hangs together
+  before its pairs are listed. Then the candidates that are still in different
+  components are listed and compared.
 * Candidates are screened by their signatures, and gathered by connected
   component (large components in blocks) so that each full set travels a few
   times at most; there the links are confirmed. Links inside one component
@@ -221,11 +224,11 @@ def _prefixes(classes: DataFrame) -> DataFrame:
     return map_rows(classes.select("node", "signature"), make, schema, 2 << 20)
 
 
-def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a < b) of classes that are neighbours in some tree, and the
-    members (region, node) of the regions whose pairs were not all listed."""
-    found, rows = [], _prefixes(classes)
-    large = None
+def regions(classes: DataFrame) -> list[DataFrame]:
+    """For each depth a row for each class in a region of two and more: node,
+    the region, its size _n and its smallest and largest class _lo and _hi.
+    Only regions too large to list their pairs are cut at the next depth."""
+    rows, out = _prefixes(classes), []
     for level, depth in enumerate(DEPTHS):
         key = f"p{depth}"
         sizes = rows.groupBy(key).agg(
@@ -233,25 +236,47 @@ def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
         )
         # the join alone, then a checkpoint: adaptive execution can split a hot region
         rows = checkpointed(rows.join(sizes.where("_n > 1").hint("merge"), key))
-        small = rows.where(F.col("_n") <= REGION).groupBy(key).agg(F.array_sort(F.collect_set("node")).alias("nodes"))
-        pairs = small.select(
+        out.append(rows.select("node", F.col(key).alias("region"), "_n", "_lo", "_hi"))
+        rows = rows.where(F.col("_n") > REGION).drop("_n", "_lo", "_hi")
+        if level + 1 < len(DEPTHS):
+            rows = rows.drop(key)
+    return out
+
+
+def stars(levels: list[DataFrame]) -> DataFrame:
+    """Pairs (a < b) of each class with the smallest and the largest of all its
+    neighbours: two rows a class, with which most of a mass of copies hangs
+    together before any other pair is listed."""
+    rows = functools.reduce(DataFrame.unionByName, [x.select("node", "_lo", "_hi") for x in levels])
+    ends = rows.groupBy("node").agg(F.min("_lo").alias("lo"), F.max("_hi").alias("hi"))
+    ends = ends.select(F.inline(F.array(F.struct(F.col("lo").alias("a"), F.col("node").alias("b")), F.struct(F.col("node").alias("a"), F.col("hi").alias("b")))))
+    return ends.where("a < b").distinct()
+
+
+def apart(levels: list[DataFrame], known: DataFrame) -> DataFrame:
+    """Pairs (a < b) of neighbours in different components of ``known``: all of
+    a small region, those with the smallest and largest class of a larger one."""
+    found = []
+    ends = known.select(F.col("node").alias("end"), F.col("component").alias("ce"))
+    for rows in levels:
+        rows = rows.join(known.withColumnRenamed("component", "c"), "node")
+        small = rows.where(F.col("_n") <= REGION).groupBy("region").agg(
+            F.array_sort(F.collect_set(F.struct("node", "c"))).alias("nodes"), F.min("c").alias("least"), F.max("c").alias("most")
+        )
+        pairs = small.where("least < most").select(
             F.explode(
                 F.expr(
-                    "flatten(transform(nodes, (x, i) -> transform(slice(nodes, i + 2, size(nodes)),"
-                    " y -> named_struct('a', x, 'b', y))))"
+                    "flatten(transform(nodes, (x, i) -> transform(filter(slice(nodes, i + 2, size(nodes)),"
+                    " y -> y.c <> x.c), y -> named_struct('a', x.node, 'b', y.node))))"
                 )
             ).alias("p")
         )
         found.append(pairs.select("p.a", "p.b"))
-        rows = rows.where(F.col("_n") > REGION)
-        if large is None:
-            large = rows.select(F.col(key).alias("region"), "node")
+        large = rows.where(F.col("_n") > REGION)
         for end in ("_lo", "_hi"):
-            found.append(rows.select(F.least(end, "node").alias("a"), F.greatest(end, "node").alias("b")).where("a < b"))
-        rows = rows.drop("_n", "_lo", "_hi")
-        if level + 1 < len(DEPTHS):
-            rows = rows.drop(key)
-    return functools.reduce(DataFrame.unionByName, found).distinct(), large
+            pairs = large.select("node", "c", F.col(end).alias("end")).distinct().join(ends, "end").where("c <> ce")
+            found.append(pairs.select(F.least("end", "node").alias("a"), F.greatest("end", "node").alias("b")))
+    return functools.reduce(DataFrame.unionByName, found).distinct()
 
 
 def _joined(known: DataFrame, links: DataFrame) -> DataFrame:
@@ -445,11 +470,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     chosen = F.min(F.struct("doc_id", "text_key", "n_shingles", "signature", "low")).alias("x")
     classes = named.groupBy("set_hash").agg(chosen).select("set_hash", F.xxhash64("set_hash").alias("node"), "x.*")
     classes = checkpointed(classes)
-    pairs, large = candidates(classes)
-    pairs = checkpointed(_screen(pairs, classes))
-    group = components(pairs).withColumnRenamed("node", "a")
-    pairs = pairs.join(group, "a").select("a", "b", F.col("a").alias("ca"), F.col("b").alias("cb"), "component")
-    known = _joined(classes.select("node", F.col("node").alias("component")), checkpointed(_confirm(pairs, classes, docs)))
+    levels = regions(classes)
+    large = levels[0].where(F.col("_n") > REGION).select("region", "node")
+    known = checkpointed(classes.select("node", F.col("node").alias("component")))
+    for search in (stars, lambda x: apart(x, known)):
+        pairs = checkpointed(_screen(search(levels), classes))
+        group = components(pairs).withColumnRenamed("node", "a")
+        pairs = pairs.join(group, "a")
+        for end in ("a", "b"):
+            pairs = pairs.join(known.select(F.col("node").alias(end), F.col("component").alias(f"c{end}")), end)
+        known = _joined(known, checkpointed(_confirm(pairs, classes, docs)))
     release(docs.sparkSession)
     known = _joined(known, checkpointed(_rest(large, known, classes, docs)))
     links = checkpointed(_shared_ids(named))
