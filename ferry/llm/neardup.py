@@ -15,10 +15,10 @@ A document is the set of its distinct 5-word shingles; two are linked when
   neighbours, two pairs a class, so that a mass of near copies hangs together
   before its pairs are listed. Then the candidates that are still in different
   components are listed and compared.
-* Candidates are screened by their signatures, and gathered by connected
-  component (large components in blocks) so that each full set travels a few
-  times at most; there the links are confirmed. Links inside one component
-  are confirmed as long as they join something new.
+* Candidates are screened by their signatures, and gathered by the neighbour or
+  component that they share (large ones in blocks) so that each full set travels
+  a few times at most; there the links are confirmed, as long as they join
+  something new.
 * Then the larger regions are gone through again, so that no link is lost in
   them: classes outside a region's largest component are compared with all of
   the region, in blocks of bounded classes and shingles, by signature and then
@@ -245,38 +245,37 @@ def regions(classes: DataFrame) -> list[DataFrame]:
 
 def stars(levels: list[DataFrame]) -> DataFrame:
     """Pairs (a < b) of each class with the smallest and the largest of all its
-    neighbours: two rows a class, with which most of a mass of copies hangs
-    together before any other pair is listed."""
+    neighbours, the ``hub``: two rows a class, with which most of a mass of
+    copies hangs together before any other pair is listed."""
     rows = functools.reduce(DataFrame.unionByName, [x.select("node", "_lo", "_hi") for x in levels])
     ends = rows.groupBy("node").agg(F.min("_lo").alias("lo"), F.max("_hi").alias("hi"))
-    ends = ends.select(F.inline(F.array(F.struct(F.col("lo").alias("a"), F.col("node").alias("b")), F.struct(F.col("node").alias("a"), F.col("hi").alias("b")))))
-    return ends.where("a < b").distinct()
+    low = ends.where("lo < node").select(F.col("lo").alias("a"), F.col("node").alias("b"), F.col("lo").alias("hub"))
+    high = ends.where("node < hi").select(F.col("node").alias("a"), F.col("hi").alias("b"), F.col("hi").alias("hub"))
+    return low.unionByName(high)
 
 
 def apart(levels: list[DataFrame], known: DataFrame) -> DataFrame:
     """Pairs (a < b) of neighbours in different components of ``known``: all of
-    a small region, those with the smallest and largest class of a larger one."""
-    found = []
-    ends = known.select(F.col("node").alias("end"), F.col("component").alias("ce"))
-    for rows in levels:
-        rows = rows.join(known.withColumnRenamed("component", "c"), "node")
-        small = rows.where(F.col("_n") <= REGION).groupBy("region").agg(
-            F.array_sort(F.collect_set(F.struct("node", "c"))).alias("nodes"), F.min("c").alias("least"), F.max("c").alias("most")
-        )
-        pairs = small.where("least < most").select(
-            F.explode(
-                F.expr(
-                    "flatten(transform(nodes, (x, i) -> transform(filter(slice(nodes, i + 2, size(nodes)),"
-                    " y -> y.c <> x.c), y -> named_struct('a', x.node, 'b', y.node))))"
-                )
-            ).alias("p")
-        )
-        found.append(pairs.select("p.a", "p.b"))
-        large = rows.where(F.col("_n") > REGION)
-        for end in ("_lo", "_hi"):
-            pairs = large.select("node", "c", F.col(end).alias("end")).distinct().join(ends, "end").where("c <> ce")
-            found.append(pairs.select(F.least("end", "node").alias("a"), F.greatest("end", "node").alias("b")))
-    return functools.reduce(DataFrame.unionByName, found).distinct()
+    a small region, those with the smallest and largest class of a larger one.
+    ``hub`` is the smaller of their components."""
+    rows = functools.reduce(DataFrame.unionByName, levels)
+    rows = checkpointed(rows.join(known.withColumnRenamed("component", "c"), "node"))
+    small = rows.where(F.col("_n") <= REGION).groupBy("region").agg(
+        F.array_sort(F.collect_set(F.struct("node", "c"))).alias("nodes"), F.min("c").alias("least"), F.max("c").alias("most")
+    )
+    pairs = small.where("least < most").select(
+        F.explode(
+            F.expr(
+                "flatten(transform(nodes, (x, i) -> transform(filter(slice(nodes, i + 2, size(nodes)), y -> y.c <> x.c),"
+                " y -> named_struct('a', x.node, 'b', y.node, 'hub', least(x.c, y.c)))))"
+            )
+        ).alias("p")
+    )
+    large = rows.where(F.col("_n") > REGION)
+    ends = large.select("node", "c", F.col("_lo").alias("end")).unionByName(large.select("node", "c", F.col("_hi").alias("end")))
+    ends = ends.distinct().join(known.select(F.col("node").alias("end"), F.col("component").alias("ce")), "end").where("c <> ce")
+    ends = ends.select(F.least("end", "node").alias("a"), F.greatest("end", "node").alias("b"), F.least("c", "ce").alias("hub"))
+    return pairs.select("p.*").unionByName(ends).distinct()
 
 
 def _joined(known: DataFrame, links: DataFrame) -> DataFrame:
@@ -379,7 +378,7 @@ def _block_links(rows: pa.Table) -> pa.Table:
 
 
 def _screen(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs whose signatures and sizes allow a link."""
+    """Pairs whose signatures and sizes allow a link, with their hub as component."""
     short = classes.select("node", "n_shingles", "low")
     left = short.select(F.col("node").alias("a"), F.col("n_shingles").alias("na"), F.col("low").alias("sa"))
     right = short.select(F.col("node").alias("b"), F.col("n_shingles").alias("nb"), F.col("low").alias("sb"))
@@ -390,17 +389,17 @@ def _screen(pairs: DataFrame, classes: DataFrame) -> DataFrame:
         def work(rows: dict) -> dict:
             x, y = (np.frombuffer(b"".join(rows[c]), dtype=np.uint8).reshape(-1, SIGNATURE) for c in ("sa", "sb"))
             same = (x == y).mean(axis=1) >= SCREEN
-            return {"a": np.array(rows["a"])[same], "b": np.array(rows["b"])[same]}
+            return {c: np.array(rows[n])[same] for c, n in (("a", "a"), ("b", "b"), ("component", "hub"))}
 
         return work
 
-    return map_rows(both.select("a", "b", "sa", "sb"), make, "a long, b long")
+    return map_rows(both.select("a", "b", "hub", "sa", "sb"), make, "a long, b long, component long")
 
 
 def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs that are links, but for those inside what others join.
-    ``component`` gathers pairs that may join the same; ca, cb: components of
-    a, b that are known."""
+    ``component`` gathers pairs with an end in common or in one component; ca,
+    cb: components of a, b that are known."""
     # A large component is cut by the end that has fewer partners, so that the
     # many pairs of one node are spread, and a set goes to few blocks.
     node = pairs.select("component", F.explode(F.array("a", "b")).alias("node"))
@@ -473,13 +472,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     levels = regions(classes)
     large = levels[0].where(F.col("_n") > REGION).select("region", "node")
     known = checkpointed(classes.select("node", F.col("node").alias("component")))
-    for search in (stars, lambda x: apart(x, known)):
-        pairs = checkpointed(_screen(search(levels), classes))
-        group = components(pairs).withColumnRenamed("node", "a")
-        pairs = pairs.join(group, "a")
-        for end in ("a", "b"):
-            pairs = pairs.join(known.select(F.col("node").alias(end), F.col("component").alias(f"c{end}")), end)
-        known = _joined(known, checkpointed(_confirm(pairs, classes, docs)))
+    pairs = checkpointed(_screen(stars(levels), classes)).withColumns({"ca": F.col("a"), "cb": F.col("b")})
+    known = _joined(known, checkpointed(_confirm(pairs, classes, docs)))
+    pairs = checkpointed(_screen(apart(levels, known), classes))
+    for end in ("a", "b"):
+        pairs = pairs.join(known.select(F.col("node").alias(end), F.col("component").alias(f"c{end}")), end)
+    known = _joined(known, checkpointed(_confirm(pairs, classes, docs)))
     release(docs.sparkSession)
     known = _joined(known, checkpointed(_rest(large, known, classes, docs)))
     links = checkpointed(_shared_ids(named))

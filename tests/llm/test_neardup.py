@@ -146,3 +146,29 @@ def test_one_doc_id_with_several_texts(spark, make_docs):
     assert got(nd.near_duplicates(make_docs(rows))) == by_hand(rows)
     kept = [r.doc_id for r in nd.drop_near_duplicates(make_docs(rows)).collect() if r.doc_id is not None]
     assert sorted(kept, key=str) == sorted({d for d, _, c, k in by_hand(rows) if k}, key=str)
+
+
+def test_a_mass_of_near_copies_lists_few_pairs(spark, make_docs):
+    """2,000 near copies: at most two pairs a class before the first
+    confirmation, and next to none that are still apart after it."""
+
+    random.seed(11)
+    base = [f"w{k}" for k in range(200)]
+    rows = []
+    for i in range(2_000):
+        words = list(base)
+        words[random.randrange(200)] = f"x{i}"
+        rows.append((i, " ".join(words)))
+    docs = make_docs(rows, 8).select("doc_id", "text")
+    sketched = nd.sketch(docs)
+    classes = nd.checkpointed(
+        sketched.select(F.xxhash64("set_hash").alias("node"), "set_hash", "doc_id", "text_key", "n_shingles", "signature", "low")
+    )
+    levels = nd.regions(classes)
+    first = nd._screen(nd.stars(levels), classes).withColumns({"ca": F.col("a"), "cb": F.col("b")})
+    first = nd.checkpointed(first)
+    assert first.count() <= 2 * 2_000
+    known = classes.select("node", F.col("node").alias("component"))
+    known = nd._joined(known, nd.checkpointed(nd._confirm(first, classes, docs)))
+    assert known.select("component").distinct().count() <= 20
+    assert nd.apart(levels, known).count() <= 2_000
