@@ -27,7 +27,8 @@ from ferry.session import shared_dir
 from ferry.sources.kafka import read_kafka
 from ferry.sources.options import KafkaSink, KafkaSource
 from ferry.sources.replay import read_replay
-from ferry.streaming.jobs import RelayTables, start_relay
+from ferry.streaming.jobs import RelayTables, committed_offsets, start_publish, start_relay
+from ferry.streaming.resume import frozen_marks, plan_starting_offsets, resume_replay
 from ferry.streaming.sinks import FileSink, KafkaWriter
 
 
@@ -46,7 +47,18 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
         default=None,
         help="most messages of a micro-batch; default: what the cores read in one trigger interval; 0 = no bound",
     )
-    p.add_argument("--max-files-per-trigger", type=int, default=1000, help="most replayed files of a micro-batch")
+    p.add_argument("--max-files-per-trigger", type=int, default=None, help="most replayed files of a micro-batch")
+    p.add_argument(
+        "--max-bytes-per-trigger", type=int, default=None, help="most bytes of replayed files of a micro-batch; default 4 GiB"
+    )
+    p.add_argument(
+        "--resume-from",
+        default=None,
+        metavar="TABLES",
+        help="side tables of an earlier run: a new checkpoint starts after their committed offsets",
+    )
+    p.add_argument("--partitions", type=int, default=None, help="partitions of the source topic, for --resume-from")
+    p.add_argument("--dead-letter-topic", default=None, help="publish only, invalid messages to this topic; no side tables")
     p.add_argument("--timestamp-format", default=DEFAULT_TIMESTAMP_FORMAT, help="format of timestamp fields")
     p.add_argument(
         "--min-partitions",
@@ -69,6 +81,8 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
         p.error("--bootstrap-servers and --source-topic are required unless --replay-path is given")
     if args.output_path is None and args.bootstrap_servers is None:
         p.error("--bootstrap-servers is required unless --output-path is given")
+    if args.resume_from is not None and args.replay_path is None and args.partitions is None:
+        p.error("--resume-from needs --partitions, the number of partitions of the source topic")
     return args
 
 
@@ -97,9 +111,21 @@ def max_offsets(spark: SparkSession, requested: int | None, seconds: float) -> i
 
 def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
     root = args.root or f"{shared_dir(spark)}/ferry/{args.consumer_id}"
+    marks = None
+    if args.resume_from is not None:
+        committed = committed_offsets(spark, RelayTables(args.resume_from))
+        marks = frozen_marks(spark, committed, f"{root}/resume_marks")
     if args.replay_path is not None:
         schema = spark.read.parquet(args.replay_path).schema
-        source = read_replay(spark, args.replay_path, schema, max_files_per_trigger=args.max_files_per_trigger)
+        source = read_replay(
+            spark,
+            args.replay_path,
+            schema,
+            max_files_per_trigger=args.max_files_per_trigger,
+            max_bytes_per_trigger=args.max_bytes_per_trigger,
+        )
+        if marks is not None:
+            source = resume_replay(source, marks)
     else:
         source = read_kafka(
             spark,
@@ -107,6 +133,7 @@ def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
                 args.bootstrap_servers,
                 args.source_topic,
                 from_start=args.from_start,
+                starting_offsets=None if marks is None else plan_starting_offsets(marks, {args.source_topic: args.partitions}),
                 fetch_bytes=args.fetch_bytes,
                 max_offsets_per_trigger=max_offsets(spark, args.max_offsets_per_trigger, args.trigger_seconds),
                 min_partitions=min_partitions(spark, args.min_partitions),
@@ -115,10 +142,26 @@ def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
             ),
         )
     if args.output_path is not None:
-        sink = FileSink(args.output_path)
+        sink = FileSink(args.output_path, routed=args.dead_letter_topic is not None)
     else:
-        sink = KafkaWriter(KafkaSink(args.bootstrap_servers, args.target_topic, extra=_pairs(args.sink_option)))
+        sink = KafkaWriter(
+            KafkaSink(args.bootstrap_servers, args.target_topic, extra=_pairs(args.sink_option)),
+            routed=args.dead_letter_topic is not None,
+        )
     trigger = {"availableNow": True} if args.once else {"processingTime": f"{args.trigger_seconds} seconds"}
+    if args.dead_letter_topic is not None:
+        return start_publish(
+            source,
+            args.schema or EMPLOYEE,
+            args.target_topic,
+            sink,
+            f"{root}/checkpoint",
+            trigger=trigger,
+            json_options=_pairs(args.json_option),
+            timestamp_format=args.timestamp_format,
+            dead_letter_topic=args.dead_letter_topic,
+            query_name=args.consumer_id,
+        )
     return start_relay(
         source,
         args.schema or EMPLOYEE,

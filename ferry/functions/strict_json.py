@@ -69,6 +69,9 @@ def _wrapper_schema(record: T.StructType) -> T.StructType:
     )
 
 
+_NO_NUMBERS = "double('NaN'), double('Infinity'), double('-Infinity')"
+
+
 def _q(name: str) -> str:
     """A name as a quoted SQL identifier."""
     return "`" + name.replace("`", "``") + "`"
@@ -92,8 +95,10 @@ def _typed_sql(v: str, kind: str, text: str, dtype: T.DataType) -> tuple[str, st
         # numbers that variant has as a double, long integers are read again as
         # text; exponent forms are doubles, unless these cannot hold them; long
         # decimals are not kept exactly by either.
+        # The literals NaN, Infinity and -Infinity are no JSON numbers, nor can
+        # they be told from numbers out of range: none is kept.
         number = f"""coalesce(get(regexp_extract_all({text}, '^-?[0-9]+$', 0), 0),
-            CASE WHEN NOT _long_decimal AND NOT CAST({v} AS DOUBLE) IN (0D, double('Infinity'), double('-Infinity'))
+            CASE WHEN NOT _long_decimal AND NOT CAST({v} AS DOUBLE) IN (0D, {_NO_NUMBERS})
             THEN CAST({v} AS STRING) END)"""
         return f"CASE WHEN {kind} = 'DOUBLE' THEN {number} ELSE CAST({v} AS STRING) END", "true"
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
@@ -109,10 +114,23 @@ def _typed_sql(v: str, kind: str, text: str, dtype: T.DataType) -> tuple[str, st
         return f"CASE WHEN {kind} IN ('BOOLEAN', 'STRING') THEN {got} END", "true"
     numeric = f"({kind} IN ('BIGINT', 'DOUBLE') OR startswith({kind}, 'DECIMAL'))"
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return f"CASE WHEN {numeric} OR {kind} = 'STRING' THEN {got} END", "{got} NOT IN ('Infinity', '-Infinity')"
+        # an integer must come back; a fraction is the nearest double by nature
+        same = f"""CASE WHEN {kind} <> 'STRING' AND CAST({{got}} AS DOUBLE) IN ({_NO_NUMBERS}) OR {{got}} IN ('Infinity', '-Infinity') THEN false
+            WHEN {kind} = 'BIGINT' THEN coalesce({{got}} < double('9223372036854775807')
+            AND TRY_CAST({{got}} AS BIGINT) = try_variant_get({v}, '$', 'bigint'), false)
+            WHEN {kind} RLIKE '^DECIMAL[(][0-9]+,0[)]$'
+            THEN coalesce(TRY_CAST({{got}} AS DECIMAL(38,0)) = try_variant_get({v}, '$', 'decimal(38,0)'), false) ELSE true END"""
+        return f"CASE WHEN {numeric} OR {kind} = 'STRING' THEN {got} END", same
     if isinstance(dtype, T.NumericType):
+        # text keeps its value: nothing but zeros may be beyond the decimal's digits
+        said = "true"
+        if isinstance(dtype, T.DecimalType):
+            wide = f"DECIMAL(38,{38 - (dtype.precision - dtype.scale)})"
+            said = f"""coalesce(TRY_CAST(CAST({v} AS STRING) AS {wide}) = {{got}}, false)
+                AND NOT CAST({v} AS STRING) RLIKE '[.][0-9]{{{dtype.scale}}}[0-9]*[1-9][0-9]*[ ]*$'"""
         same = f"""CASE WHEN startswith({kind}, 'DECIMAL') THEN CAST({v} AS STRING) = {_plain('CAST({got} AS STRING)')}
-            WHEN {kind} = 'DOUBLE' THEN try_variant_get({v}, '$', 'double') = CAST({{got}} AS DOUBLE) ELSE true END"""
+            WHEN {kind} = 'DOUBLE' THEN try_variant_get({v}, '$', 'double') = CAST({{got}} AS DOUBLE)
+            WHEN {kind} = 'STRING' THEN {said} ELSE true END"""
         return f"CASE WHEN {numeric} OR {kind} = 'STRING' THEN {got} END", same
     return f"CASE WHEN {kind} = 'STRING' THEN {got} END", "true"
 

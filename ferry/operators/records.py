@@ -116,17 +116,51 @@ def publish_envelope(
         serialize(record, timestamp_format).alias("value"),
     ]
     if source_headers:
-        header = lambda k, v: F.struct(F.lit(k).alias("key"), v.cast("string").cast("binary").alias("value"))
-        cols.append(
-            F.array(
-                header("src_topic", F.col("topic")),
-                header("src_partition", F.col("partition")),
-                header("src_offset", F.col("offset")),
-            ).alias("headers")
-        )
+        cols.append(F.array(*[_header(f"src_{c}", F.col(c)) for c in _POSITION]).alias("headers"))
     return keep_where(classified, F.col(status) == "ok", *cols)
 
 
+def _header(name: str, value: Column) -> Column:
+    return F.struct(F.lit(name).alias("key"), value.cast("string").cast("binary").alias("value"))
+
+
+def routed(
+    classified: DataFrame,
+    target_topic: str,
+    dead_letter_topic: str,
+    status: str = "status",
+    record: str = "record",
+    value: str = "value",
+    *,
+    timestamp_format: str = DEFAULT_TIMESTAMP_FORMAT,
+) -> DataFrame:
+    """P4 + P7: every message with its destination in ``topic``: valid ones as
+    the output message, the others as they came, for the dead-letter topic.
+
+    The headers hold the source topic, partition and offset, and for a dead
+    letter the ``reason``. One projection, so a single streaming write sends
+    both and the payload is parsed once; a sink routes by the column.
+    """
+    if target_topic == dead_letter_topic:
+        raise ValueError("the dead-letter topic is the target topic")
+    ok = F.col(status) == "ok"
+    source = [_header(f"src_{c}", F.col(c)) for c in _position(classified)]
+    row = F.struct(
+        F.when(ok, F.lit(target_topic)).otherwise(F.lit(dead_letter_topic)).alias("topic"),
+        F.lit(None).cast("string").alias("key"),
+        F.when(ok, serialize(record, timestamp_format)).otherwise(F.col(value)).alias("value"),
+        F.when(ok, F.array(*source)).otherwise(F.array(*source, _header("reason", F.col(status)))).alias("headers"),
+    )
+    # a generator, as in keep_where: nothing above is pushed into the parse
+    return classified.select(F.inline(F.array(row)))
+
+
+def header(name: str, headers: str = "headers") -> Column:
+    """The text of a message's header; null where it has none of that name."""
+    found = F.filter(F.col(headers), lambda h: h["key"] == F.lit(name))
+    return F.get(found, F.lit(0))["value"].cast("string")
+
+
 def status_metrics(status: str = "status") -> list[Column]:
     """Aggregates for ``DataFrame.observe``: messages, published and rejected
     counts of one batch (the reference printed a size per partition)."""

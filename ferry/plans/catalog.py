@@ -22,6 +22,7 @@ from ferry.functions.serialize import serialize
 from ferry.functions.strict_json import classify
 from ferry.operators.offsets import after_committed, max_offsets, record_counts
 from ferry.operators.records import (
+    header,
     parsed_fields,
     publish_envelope,
     records,
@@ -29,7 +30,7 @@ from ferry.operators.records import (
     rejects,
     serialized,
 )
-from ferry.schemas import EMPLOYEE
+from ferry.schemas import EMPLOYEE, PUBLISHED_WITH_HEADERS
 from ferry.session import fresh_dir
 from ferry.sources.derived import (
     HOSTILE_PAYLOADS,
@@ -43,15 +44,24 @@ from ferry.sources.derived import (
     orders_typed_envelope,
 )
 from ferry.sources.replay import read_replay, read_table, stream_table
-from ferry.streaming.jobs import RelayTables, committed_offsets, read_rejects, start_publish, start_relay
+from ferry.streaming.jobs import (
+    RelayTables,
+    committed_offsets,
+    read_published,
+    read_rejects,
+    start_publish,
+    start_relay,
+)
+from ferry.streaming.resume import frozen_marks, resume_replay
 from ferry.streaming.sinks import FileSink
 
 # Fixed values of the registered queries.
 EMPLOYEE_TOPIC = "employees"
 EVENTS_OUT_TOPIC = "events_out"
+DEAD_LETTER_TOPIC = "employees_dead_letter"
 EVENT_RECORD = "k string"
 TIMED_RECORD = "id string, at timestamp"
-TYPED_RECORD = "k int, price decimal(12,2), flag boolean"
+TYPED_RECORD = "k int, price decimal(12,2), flag boolean, ratio double, exact decimal(12,2)"
 DOCUMENT_RECORD = "doc_id string, lang string, source string, text string"
 # Event time up to which a previous run has committed (resume queries), and
 # the boundary between the two arrivals of the resumed stream.
@@ -256,6 +266,44 @@ def stream_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return committed_offsets(spark, tables)
 
 
+def stream_resume_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3/K2: a run over the first arrival, then another with a new checkpoint
+    over both, which goes on after the first run's committed-offsets table; what
+    the two published."""
+    root = fresh_dir(spark, "stream_resume_table")
+    landing, tables, sink = f"{root}/landing", RelayTables(f"{root}/tables"), FileSink(f"{root}/out")
+    for first in (True, False):
+        _stage_arrival(spark, sf_dir, landing, first)
+        source, run = _landing_stream(spark, landing), f"{root}/run{1 if first else 2}"
+        if not first:
+            marks = frozen_marks(spark, committed_offsets(spark, tables), f"{run}/resume_marks")
+            source = resume_replay(source, marks)
+        start_relay(
+            source, EVENT_RECORD, EVENTS_OUT_TOPIC, sink, tables, f"{run}/checkpoint", trigger=AVAILABLE_NOW
+        ).awaitTermination()
+    return read_published(spark, tables, sink)
+
+
+def stream_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer stream in one routed write: valid messages to the
+    target topic, the others with their reason to the dead-letter topic."""
+    root = fresh_dir(spark, "stream_dead_letter")
+    sink = FileSink(f"{root}/out", routed=True)
+    start_publish(
+        stream_table(spark, sf_dir, "customer"),
+        EMPLOYEE,
+        EMPLOYEE_TOPIC,
+        sink,
+        f"{root}/checkpoint",
+        trigger=AVAILABLE_NOW,
+        prepare=customer_envelope,
+        dead_letter_topic=DEAD_LETTER_TOPIC,
+    ).awaitTermination()
+    out = sink.read(spark, PUBLISHED_WITH_HEADERS)
+    source = [header(f"src_{c}").alias(f"src_{c}") for c in ("topic", "partition", "offset")]
+    return out.select("topic", "key", "value", header("reason").alias("reason"), *source)
+
+
 def _relay_customers(spark: SparkSession, sf_dir: str, name: str) -> tuple[RelayTables, FileSink]:
     """Run the foreachBatch job over the customer stream; return its tables and sink."""
     root = fresh_dir(spark, name)
@@ -281,8 +329,8 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_relay_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O1/O2: the messages the foreachBatch job published over the customer stream."""
-    _tables, sink = _relay_customers(spark, sf_dir, "stream_relay_publish")
-    return sink.read(spark).select("topic", "key", "value")
+    tables, sink = _relay_customers(spark, sf_dir, "stream_relay_publish")
+    return read_published(spark, tables, sink)
 
 
 def stream_prepare_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -328,6 +376,8 @@ QUERIES: dict[str, Query] = {
     "stream_prepare_offsets": stream_prepare_offsets,
     "stream_rejects": stream_rejects,
     "stream_relay_publish": stream_relay_publish,
+    "stream_resume_table": stream_resume_table,
+    "stream_dead_letter": stream_dead_letter,
 }
 
 
@@ -481,13 +531,18 @@ SELECT 'inputTopic' AS topic, CAST(c_custkey % 4 AS INTEGER) AS "partition",
 FROM customer"""
 
 _TYPED = """
+WITH typed AS (
+  SELECT *, o_orderkey % 7 NOT IN (1, 2, 3, 4, 5) AND o_orderkey % 11 NOT IN (1, 2, 4, 5) AND o_orderkey % 13 NOT IN (1, 2) AS good
+  FROM orders)
 SELECT 'orders' AS topic, CAST(o_orderkey % 4 AS INTEGER) AS "partition",
        CAST(floor(o_orderkey / 4) AS BIGINT) AS "offset",
-       CASE WHEN o_orderkey % 7 IN (1, 2, 3, 4, 5) THEN 'bad_field' ELSE 'ok' END AS status,
-       CASE WHEN o_orderkey % 7 IN (0, 6) THEN CAST(o_orderkey AS INTEGER) END AS k,
-       CASE WHEN o_orderkey % 7 IN (0, 6) THEN CAST(1.50 AS DECIMAL(12,2)) END AS price,
-       CASE WHEN o_orderkey % 7 IN (0, 6) THEN true END AS flag
-FROM orders"""
+       CASE WHEN good THEN 'ok' ELSE 'bad_field' END AS status,
+       CASE WHEN good THEN CAST(o_orderkey AS INTEGER) END AS k,
+       CASE WHEN good THEN CAST(1.50 AS DECIMAL(12,2)) END AS price,
+       CASE WHEN good THEN true END AS flag,
+       CASE WHEN good THEN CASE o_orderkey % 11 WHEN 3 THEN 9007199254740992::DOUBLE ELSE 0.5::DOUBLE END END AS ratio,
+       CASE WHEN good THEN CASE o_orderkey % 13 WHEN 3 THEN 7.00::DECIMAL(12,2) ELSE 2.50::DECIMAL(12,2) END END AS exact
+FROM typed"""
 
 _DOCUMENTS = """
 WITH doc_msg AS (
@@ -558,4 +613,11 @@ WHERE e."offset" > coalesce(c.committed, -1)""",
     "stream_rejects": _CLASSIFIED
     + """SELECT topic, "partition", "offset", value, status AS reason FROM classified WHERE status <> 'ok'""",
     "stream_relay_publish": _CLASSIFIED + _PUBLISHED,
+    "stream_resume_table": _EVENTS_PUBLISHED,
+    "stream_dead_letter": _CLASSIFIED
+    + f"""SELECT '{EMPLOYEE_TOPIC}' AS topic, CAST(NULL AS VARCHAR) AS key, {_SERIALIZED} AS value, CAST(NULL AS VARCHAR) AS reason,
+       topic AS src_topic, CAST("partition" AS VARCHAR) AS src_partition, CAST("offset" AS VARCHAR) AS src_offset FROM parsed
+UNION ALL
+SELECT '{DEAD_LETTER_TOPIC}', NULL, value, status, topic, CAST("partition" AS VARCHAR), CAST("offset" AS VARCHAR)
+FROM classified WHERE status <> 'ok'""",
 }

@@ -163,9 +163,12 @@ def customer_long_number_envelope(customer: DataFrame) -> DataFrame:
 
 
 def orders_typed_envelope(orders: DataFrame) -> DataFrame:
-    """``{"k", "price", "flag"}`` of each order, with values that an int, a
-    decimal(12,2) or a boolean cannot hold without loss."""
+    """``{"k", "price", "flag", "ratio", "exact"}`` of each order, with values that
+    an int, a decimal(12,2), a boolean or a double cannot hold without loss."""
     value = """concat('{"k":', CASE o_orderkey % 7 WHEN 1 THEN '1.7' WHEN 2 THEN 'true' ELSE CAST(o_orderkey AS STRING) END,
         ',"price":', CASE o_orderkey % 7 WHEN 3 THEN '1.239' ELSE '1.50' END,
-        ',"flag":', CASE o_orderkey % 7 WHEN 4 THEN '2' WHEN 5 THEN '1.5' ELSE 'true' END, '}')"""
+        ',"flag":', CASE o_orderkey % 7 WHEN 4 THEN '2' WHEN 5 THEN '1.5' ELSE 'true' END,
+        ',"ratio":', CASE o_orderkey % 11 WHEN 1 THEN '9007199254740993' WHEN 2 THEN '9223372036854775807' WHEN 3 THEN '9007199254740992'
+                     WHEN 4 THEN 'NaN' WHEN 5 THEN '-Infinity' ELSE '0.5' END,
+        ',"exact":"', CASE o_orderkey % 13 WHEN 1 THEN '1.239' WHEN 2 THEN '7.0000001' WHEN 3 THEN '7.0000' ELSE '2.5' END, '"}')"""
     return _envelope(orders, "orders", "o_orderkey % 4", "floor(o_orderkey / 4)", value)

@@ -5,10 +5,12 @@ from ferry.streaming.jobs import (
     RelayTables,
     batch_counts,
     committed_offsets,
+    read_published,
     read_rejects,
     start_publish,
     start_relay,
 )
+from ferry.streaming.resume import frozen_marks, plan_starting_offsets, resume_replay
 from ferry.streaming.sinks import FileSink, KafkaWriter
 
 __all__ = [
@@ -18,7 +20,11 @@ __all__ = [
     "RelayTables",
     "batch_counts",
     "committed_offsets",
+    "frozen_marks",
+    "plan_starting_offsets",
+    "read_published",
     "read_rejects",
+    "resume_replay",
     "start_publish",
     "start_relay",
 ]

@@ -28,14 +28,17 @@ def run_id(spark: SparkSession) -> str:
 
 @dataclass(frozen=True)
 class FileSink:
-    """Files under ``path`` (parquet by default)."""
+    """Files under ``path`` (parquet by default). With ``routed`` a streaming
+    write has a folder for each topic, as messages go to each topic of a broker."""
 
     path: str
     fmt: str = "parquet"
+    routed: bool = False
 
     def write_stream(self, df: DataFrame) -> DataStreamWriter:
         # The file sink commits each batch in its metadata log: exactly once.
-        return df.writeStream.format(self.fmt).option("path", self.path)
+        writer = df.writeStream.format(self.fmt).option("path", self.path)
+        return writer.partitionBy("topic") if self.routed else writer
 
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
         (
@@ -55,12 +58,20 @@ class FileSink:
 
 @dataclass(frozen=True)
 class KafkaWriter:
-    """Spark's Kafka sink (at-least-once: a replayed batch is sent again)."""
+    """Spark's Kafka sink (at-least-once: a replayed batch is sent again). With
+    ``routed`` each row goes to the topic that its column names."""
 
     sink: KafkaSink
+    routed: bool = False
+
+    def _options(self) -> dict[str, str]:
+        options = self.sink.options()
+        if self.routed:
+            del options["topic"]  # the option would go before the column
+        return options
 
     def write_stream(self, df: DataFrame) -> DataStreamWriter:
-        return df.writeStream.format("kafka").options(**self.sink.options())
+        return df.writeStream.format("kafka").options(**self._options())
 
     def write_batch(self, df: DataFrame, batch_id: int) -> None:  # noqa: ARG002
-        df.write.format("kafka").options(**self.sink.options()).save()
+        df.write.format("kafka").options(**self._options()).save()

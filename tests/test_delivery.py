@@ -1,0 +1,244 @@
+"""Resume from the table, dead letters, one commit for three tables, byte-bounded batches."""
+
+from __future__ import annotations
+
+import json
+
+import pytest
+from pyspark.errors import StreamingQueryException
+
+from ferry import EMPLOYEE
+from ferry.cli import parse_args, start
+from ferry.functions.strict_json import classify
+from ferry.operators.records import header, publish_envelope, rejects, routed
+from ferry.schemas import OFFSETS, PUBLISHED_WITH_HEADERS
+from ferry.sources.options import KafkaSink
+from ferry.sources.replay import read_replay
+from ferry.streaming import (
+    FileSink,
+    KafkaWriter,
+    RelayTables,
+    batch_counts,
+    committed_offsets,
+    frozen_marks,
+    jobs,
+    plan_starting_offsets,
+    read_published,
+    read_rejects,
+    resume_replay,
+    start_publish,
+    start_relay,
+)
+
+ONCE = {"availableNow": True}
+SCHEMA = "topic string, partition int, offset long, value string"
+
+
+def _land(spark, landing, start_at, stop, files=1):
+    rows = [("in", o % 2, o // 2, '{"id":"%d"}' % o if o % 5 else "broken %d" % o) for o in range(start_at, stop)]
+    spark.createDataFrame(rows, SCHEMA).repartition(files).write.mode("append").parquet(landing)
+
+
+def _source(spark, landing, **bound):
+    return read_replay(spark, landing, spark.read.parquet(landing).schema, **bound)
+
+
+def _ids(df):
+    return sorted(int(r.value.split('"')[3]) for r in df.select("value").collect())
+
+
+def _valid(start_at, stop):
+    return [o for o in range(start_at, stop) if o % 5]
+
+
+# --- resume from the committed table ---
+
+
+def test_plan_starting_offsets(spark):
+    marks = spark.createDataFrame([("in", 0, 5), ("in", 2, 0), ("other", 9, 9)], OFFSETS)
+    plan = json.loads(plan_starting_offsets(marks, {"in": 4}))
+    assert plan == {"in": {"0": 6, "1": -2, "2": 1, "3": -2}}  # after 5 comes 6, unknown ones at the earliest
+    with pytest.raises(ValueError, match="has not"):
+        plan_starting_offsets(marks, {"in": 2})
+
+
+def test_marks_stay_as_first_planned(spark, scratch):
+    first = spark.createDataFrame([("in", 0, 5), ("in", None, 7), ("in", 0, 3)], OFFSETS)
+    assert [tuple(r) for r in frozen_marks(spark, first, f"{scratch}/marks").collect()] == [("in", 0, 5)]
+    later = spark.createDataFrame([("in", 0, 50)], OFFSETS)
+    assert [tuple(r) for r in frozen_marks(spark, later, f"{scratch}/marks").collect()] == [("in", 0, 5)]
+
+
+def test_new_checkpoint_goes_on_after_the_table(spark, scratch):
+    landing, tables, sink = f"{scratch}/landing", RelayTables(f"{scratch}/tables"), FileSink(f"{scratch}/out")
+    _land(spark, landing, 0, 60)
+    start_relay(_source(spark, landing), EMPLOYEE, "out", sink, tables, f"{scratch}/c1", trigger=ONCE).awaitTermination()
+    _land(spark, landing, 60, 100)
+
+    def second():
+        marks = frozen_marks(spark, committed_offsets(spark, tables), f"{scratch}/c2-marks")
+        source = resume_replay(_source(spark, landing), marks)
+        return start_relay(source, EMPLOYEE, "out", sink, tables, f"{scratch}/c2", trigger=ONCE)
+
+    second().awaitTermination()
+    assert _ids(read_published(spark, tables, sink)) == _valid(0, 100)
+    # a restart filters by the same marks, not by those its own batches have moved
+    _land(spark, landing, 100, 120)
+    second().awaitTermination()
+    assert _ids(read_published(spark, tables, sink)) == _valid(0, 120)
+    assert read_rejects(spark, tables).count() == 24
+
+
+def test_cli_resume_from(spark, scratch):
+    landing = f"{scratch}/landing"
+    _land(spark, landing, 0, 30)
+    common = ["--target-topic", "out", "--replay-path", landing, "--once"]
+    one = [*common, "--consumer-id", "one", "--root", f"{scratch}/one", "--output-path", f"{scratch}/out1"]
+    start(spark, parse_args(one)).awaitTermination()
+    _land(spark, landing, 30, 50)
+    two = [*common, "--consumer-id", "two", "--root", f"{scratch}/two", "--output-path", f"{scratch}/out2"]
+    start(spark, parse_args([*two, "--resume-from", f"{scratch}/one/tables"])).awaitTermination()
+    assert _ids(FileSink(f"{scratch}/out2").read(spark)) == _valid(30, 50)
+    with pytest.raises(SystemExit):
+        parse_args(["--target-topic", "o", "--consumer-id", "c", "--bootstrap-servers", "b", "--source-topic", "t", "--resume-from", "x"])
+
+
+# --- dead letters ---
+
+
+def _messages(spark):
+    rows = [("in", 0, 0, '{"id":"1"}'), ("in", 0, 1, "nope"), ("in", 1, 0, None), ("in", 1, 1, '{"id":{"a":1}}'), ("in", 1, 2, "{}")]
+    return classify(spark.createDataFrame(rows, SCHEMA), EMPLOYEE)
+
+
+def test_routed_is_published_and_rejects(spark):
+    classified = _messages(spark)
+    out = routed(classified, "out", "dead")
+    got = out.select("topic", "value", header("reason"), header("src_partition"), header("src_offset")).collect()
+    want = [("out", r.value, None) for r in publish_envelope(classified, "out").collect()]
+    want += [("dead", r.value, r.reason) for r in rejects(classified).collect()]
+    assert sorted((tuple(r)[:3] for r in got), key=str) == sorted(want, key=str)
+    assert {(r[3], r[4]) for r in got} == {("0", "0"), ("0", "1"), ("1", "0"), ("1", "1"), ("1", "2")}
+    with pytest.raises(ValueError, match="target topic"):
+        routed(classified, "out", "out")
+
+
+def test_routed_parses_once(spark):
+    plan = routed(_messages(spark), "out", "dead")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count('{"w":[') == 1  # the wrapper that every payload is parsed in
+
+
+def test_stream_dead_letter_is_one_write(spark, scratch):
+    landing, sink = f"{scratch}/landing", FileSink(f"{scratch}/out", routed=True)
+    _land(spark, landing, 0, 50)
+    query = start_publish(
+        _source(spark, landing), EMPLOYEE, "out", sink, f"{scratch}/ckpt", trigger=ONCE, dead_letter_topic="dead"
+    )
+    query.awaitTermination()
+    out = sink.read(spark, PUBLISHED_WITH_HEADERS)
+    assert _ids(out.where("topic = 'out'")) == _valid(0, 50)
+    dead = out.where("topic = 'dead'").select("value", header("reason")).collect()
+    assert sorted(tuple(r) for r in dead) == sorted((f"broken {o}", "malformed") for o in range(0, 50, 5))
+    with pytest.raises(ValueError, match="routed"):
+        start_publish(_source(spark, landing), EMPLOYEE, "o", FileSink(scratch), f"{scratch}/c", dead_letter_topic="d")
+
+
+def test_routed_kafka_writer_leaves_the_topic_to_the_rows():
+    sink = KafkaSink("b:9092", "out")
+    assert KafkaWriter(sink)._options()["topic"] == "out"
+    assert "topic" not in KafkaWriter(sink, routed=True)._options()
+
+
+# --- one commit for published messages, rejects and offsets ---
+
+
+@pytest.mark.parametrize("crash", ["publish", "rejects", "offsets", "commit"])
+def test_readers_see_all_of_a_batch_or_nothing(spark, scratch, monkeypatch, crash):
+    landing, tables, sink = f"{scratch}/landing", RelayTables(f"{scratch}/tables"), FileSink(f"{scratch}/out")
+    _land(spark, landing, 0, 40)
+
+    def run():
+        start_relay(_source(spark, landing), EMPLOYEE, "out", sink, tables, f"{scratch}/ckpt", trigger=ONCE).awaitTermination()
+
+    def state():
+        marks = {(r.partition, r.max_offset) for r in committed_offsets(spark, tables).collect()}
+        return _ids(read_published(spark, tables, sink)), read_rejects(spark, tables).count(), marks
+
+    run()
+    before = state()
+    assert before == (_valid(0, 40), 8, {(0, 19), (1, 19)})
+    _land(spark, landing, 40, 70)
+    with monkeypatch.context() as m:
+        if crash in ("publish", "rejects"):
+            write = FileSink.write_batch
+
+            def broken(self, df, batch_id):
+                write(self, df, batch_id)
+                if ("rejects" in self.path) == (crash == "rejects"):
+                    raise RuntimeError("crash after the write")
+
+            m.setattr(FileSink, "write_batch", broken)
+        else:
+            name = "_write_offsets_snapshot" if crash == "offsets" else "_write_commit"
+            step = getattr(jobs, name)
+
+            def broken_step(*args):
+                if crash == "offsets":
+                    step(*args)
+                raise RuntimeError("crash")
+
+            m.setattr(jobs, name, broken_step)
+        with pytest.raises(StreamingQueryException):
+            run()
+    assert state() == before
+    run()
+    assert state() == (_valid(0, 70), 14, {(0, 34), (1, 34)})
+    assert batch_counts(spark, tables).groupBy().sum("n_records").first()[0] == 70
+
+
+def test_markers_stay_bounded(spark, scratch, monkeypatch):
+    monkeypatch.setattr(jobs, "KEEP_SNAPSHOTS", 2)
+    landing, tables = f"{scratch}/landing", RelayTables(f"{scratch}/tables")
+    sink = FileSink(f"{scratch}/out")
+    _land(spark, landing, 0, 40, files=6)
+    start_relay(
+        _source(spark, landing, max_files_per_trigger=1), EMPLOYEE, "out", sink, tables, f"{scratch}/ckpt", trigger=ONCE
+    ).awaitTermination()
+    assert _ids(read_published(spark, tables, sink)) == _valid(0, 40)  # also batches whose marker is gone
+    assert spark.read.parquet(tables.commits).where("batch_id >= 0").select("batch_id").distinct().count() == 2
+
+
+def test_tables_lost_checkpoint_kept(spark, scratch, caplog):
+    landing, sink = f"{scratch}/landing", FileSink(f"{scratch}/out")
+    _land(spark, landing, 0, 20)
+    start_relay(_source(spark, landing), EMPLOYEE, "o", sink, RelayTables(f"{scratch}/t1"), f"{scratch}/c", trigger=ONCE).awaitTermination()
+    _land(spark, landing, 20, 30)
+    tables = RelayTables(f"{scratch}/t2")
+    start_relay(_source(spark, landing), EMPLOYEE, "o", sink, tables, f"{scratch}/c", trigger=ONCE).awaitTermination()
+    assert {(r.partition, r.max_offset) for r in committed_offsets(spark, tables).collect()} == {(0, 14), (1, 14)}
+    assert "no offsets snapshot" in caplog.text
+
+
+# --- batches bounded by bytes ---
+
+
+def test_batches_are_bounded_by_bytes(spark, scratch):
+    landing, tables, seen = f"{scratch}/landing", RelayTables(f"{scratch}/tables"), []
+    _land(spark, landing, 0, 4_000, files=1)
+    _land(spark, landing, 4_000, 4_200, files=10)
+    source = _source(spark, landing, max_bytes_per_trigger=6_000)
+    start_relay(
+        source, EMPLOYEE, "out", FileSink(f"{scratch}/out"), tables, f"{scratch}/c", trigger=ONCE,
+        on_batch=lambda _, n: seen.append(n["messages"]),
+    ).awaitTermination()
+    assert sum(seen) == 4_200 and max(seen) >= 4_000  # the large file is a batch of its own
+    assert len(seen) >= 3
+
+
+def test_replay_is_bounded_by_default(spark, scratch, monkeypatch):
+    from ferry.sources import replay
+
+    assert replay._admission(None, None) == {"maxBytesPerTrigger": str(replay.MAX_BYTES_PER_TRIGGER)}
+    assert replay._admission(7, None) == {"maxFilesPerTrigger": "7"}
+    with pytest.raises(ValueError, match="both"):
+        replay._admission(1, 1)
