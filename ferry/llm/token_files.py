@@ -6,13 +6,15 @@ chunks of whole documents. A chunk holds fixed-size blocks of ids; the bytes
 constant parts of the ids lie together, and each plane is compressed with
 zstandard. The chunks are rows of a parquet table (Spark's writer gives the
 commit protocol and works on any store); beside them lie the number and order
-of their documents and the index of where each part starts.
+of their documents and the chunk index: for each chunk its first and last
+document and where its ids start.
 
 Defined cases: a null text encodes as an empty one; every document gets the
-end id. Null doc ids come first; equal ones are ordered by their text. An
-empty table writes an empty folder and gives an empty result. Extra columns
-are not written. Rows go to parts by a range of doc ids, so no source or copy
-group meets in one task; a task holds one chunk, or one document if larger.
+end id. Null doc ids come first; equal ones are ordered by the head of
+their text, then by its hash, equal texts by their place in the input. An empty table writes an empty
+folder and gives an empty result. Extra columns are not written. Rows go to
+parts by ranges of (doc_id, hash, place), so no source, copy group or doc_id
+meets in one task; a task holds one chunk, or one document if larger.
 """
 
 from __future__ import annotations
@@ -42,6 +44,8 @@ BLOCK_IDS = 65_536
 CHUNK_IDS = 4 * BLOCK_IDS
 # Words a worker remembers in each of two generations: bounds its memory.
 CACHE_ENTRIES = 400_000
+# Characters of a text that order rows of one doc_id: bounds what the driver samples.
+HEAD = 256
 # Characters that never join a letter before them in one pre-token.
 TAIL = ".,;:!?&$%*#|"
 
@@ -208,6 +212,8 @@ _CHUNK = pa.schema(
 )
 _CHUNK_DDL = "part long, first_id long, n_ids long, doc_ids array<long>, doc_sizes array<long>, planes binary"
 
+_INDEX_DDL = "part long, first_id long, first_doc long, last_doc long, start long, n_ids long, n_docs long"
+
 
 def write_token_files(
     docs: DataFrame, folder: str, path: str | None = None, end_id: int = END_ID, plane_bits: int = 8
@@ -243,22 +249,64 @@ def write_token_files(
         if held:
             yield chunk()
 
-    rows = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # a doc_id with many rows, also equal ones, is split like any others
+    order = ("doc_id", "_head", "_text", "_row")
+    rows = docs.select(
+        "doc_id", "text", F.substring("text", 1, HEAD).alias("_head"), F.xxhash64("text").alias("_text"),
+        F.monotonically_increasing_id().alias("_row"),
+    )
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     # the planes are compressed already
     rows.mapInArrow(run, _CHUNK_DDL).write.option("compression", "none").parquet(f"{folder}/chunks")
-    written = read_chunks(spark, folder).select("part", "n_ids")
-    before(written, "part", F.col("n_ids")).withColumnRenamed("_before", "start").write.parquet(f"{folder}/index")
+    written = read_chunks(spark, folder).select("part", "first_id", "n_ids", "doc_ids")
+    # one row for each part that was written: at most the number of shuffle partitions
+    starts = F.broadcast(before(written, "part", F.col("n_ids")))
+    written.join(starts, "part").select(
+        "part", "first_id", F.col("doc_ids")[0].alias("first_doc"), F.element_at("doc_ids", -1).alias("last_doc"),
+        (F.col("_before") + F.col("first_id")).alias("start"), "n_ids", F.size("doc_ids").cast("long").alias("n_docs"),
+    ).write.parquet(f"{folder}/index")
 
 
 def read_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(_CHUNK_DDL).parquet(f"{folder}/chunks")
 
 
+def read_index(spark: SparkSession, folder: str) -> DataFrame:
+    """A row for each chunk: its part and place in it, its first and last doc_id,
+    the ids of all documents before it, its ids and documents."""
+    return spark.read.schema(_INDEX_DDL).parquet(f"{folder}/index")
+
+
+def read_document(spark: SparkSession, folder: str, doc_id: int) -> DataFrame:
+    """start, n_tokens and ids of the document (of each, of a repeated doc_id):
+    the index names the chunks that can hold it, and only those are unpacked."""
+    # a chunk that starts without a doc_id starts before all others
+    found = read_index(spark, folder).where(f"(first_doc is null or first_doc <= {int(doc_id)}) and last_doc >= {int(doc_id)}")
+    found = read_chunks(spark, folder).join(found.select("part", "first_id", "start"), ["part", "first_id"])
+
+    def make():
+        def work(rows: dict) -> dict:
+            out: dict[str, list] = {"start": [], "n_tokens": [], "ids": []}
+            for base, docs, sizes, planes in zip(rows["start"], rows["doc_ids"], rows["doc_sizes"], rows["planes"], strict=True):
+                ids, at = unpack(planes), 0
+                for doc, size in zip(docs, sizes, strict=True):
+                    if doc == doc_id:
+                        out["start"].append(base + at)
+                        out["n_tokens"].append(size)
+                        out["ids"].append(ids[at : at + size].tobytes())
+                    at += size
+            return out
+
+        return work
+
+    return map_rows(found, make, "start long, n_tokens long, ids binary")
+
+
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """A row for each document in the files: doc_id, start, n_tokens, ids_crc32."""
     # one row for each part that was written: at most the number of shuffle partitions
-    index = F.broadcast(spark.read.schema("part long, start long").parquet(f"{folder}/index"))
-    found = read_chunks(spark, folder).join(index, "part")
+    index = read_index(spark, folder).groupBy("part").agg(F.min(F.col("start") - F.col("first_id")).alias("start"))
+    found = read_chunks(spark, folder).join(F.broadcast(index), "part")
 
     def make():
         def work(rows: dict) -> dict:

@@ -81,3 +81,25 @@ def test_empty_table(spark, make_docs):
     folder = fresh_dir(spark, "tests")
     tf.write_token_files(make_docs([]).limit(0), folder)
     assert tf.read_token_files(spark, folder).collect() == []
+
+
+def test_a_hot_doc_id_is_spread_and_one_document_is_read(spark, scratch, make_docs, monkeypatch):
+    monkeypatch.setattr(tf, "CHUNK_IDS", 50)
+    rows = [(7, "the same words" if k % 2 else f"words {k}") for k in range(1_000)] + [(100 + k, f"text {k}") for k in range(1_000)]
+    rows += [(None, "no id")] * 30
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # it would join the small parts
+    try:
+        tf.write_token_files(make_docs(rows, 6), f"{scratch}/files")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = tf.read_chunks(spark, f"{scratch}/files").selectExpr("part", "size(doc_ids) n").groupBy("part").sum("n").collect()
+    sizes = sorted(r[1] for r in parts)
+    assert sum(sizes) == 2_030 and sizes[-1] < 2 * 2_030 / 8 + 50
+    want = {r.doc_id: r for r in tf.read_token_files(spark, f"{scratch}/files").where("doc_id >= 100").collect()}
+    index = tf.read_index(spark, f"{scratch}/files")
+    assert index.count() > 20 and index.groupBy().sum("n_docs").first()[0] == 2_030
+    assert index.where("555 between first_doc and last_doc").count() == 1
+    (one,) = tf.read_document(spark, f"{scratch}/files", 555).collect()
+    assert (one.start, one.n_tokens) == (want[555].start, want[555].n_tokens)
+    assert zlib.crc32(one.ids) == want[555].ids_crc32
+    assert tf.read_document(spark, f"{scratch}/files", 7).count() == 1_000
