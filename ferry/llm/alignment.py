@@ -27,6 +27,7 @@ are not read.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -49,7 +50,7 @@ CHUNK_BYTES = 4 << 20
 # Texts given to a library at a time, in bytes.
 BATCH_BYTES = 1 << 20
 # Linked pairs worked out at a time; a group with more is counted by distinct ids.
-LINKS = 1 << 20
+LINKS = 1 << 21
 _CHUNK_DDL = (
     "chunk long, doc_ids array<long>, n_a array<int>, n_b array<int>, n_groups array<int>,"
     " a_ids binary, b_ids binary, a_sizes binary, b_sizes binary"
@@ -95,13 +96,14 @@ class Aligner:
             yield (a, np.array(b, dtype=np.uint32)) if same else (none, none)
 
 
-def slices(a_len: np.ndarray, b_len: np.ndarray) -> tuple[list[int], list[int]]:
+def slices(a_len: np.ndarray, b_len: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where the groups end in either list, from the tokens' lengths."""
     a_at = dict(zip(np.cumsum(a_len).tolist(), range(1, len(a_len) + 1), strict=True))
     b_at = dict(zip(np.cumsum(b_len).tolist(), range(1, len(b_len) + 1), strict=True))
     # the keys of a dictionary are in the order of its ends
     common = list(filter(b_at.__contains__, a_at))
-    return list(map(a_at.__getitem__, common)), list(map(b_at.__getitem__, common))
+    a, b = (np.fromiter(map(at.__getitem__, common), dtype=np.int64, count=len(common)) for at in (a_at, b_at))
+    return a, b
 
 
 def _pack(arrays: list[np.ndarray]) -> bytes:
@@ -138,8 +140,8 @@ def _paths(a_path: str | None, b_path: str | None) -> tuple[str, str]:
     return a_path or public_tokenizers.path(BYTE_VOCABULARY), b_path or public_tokenizers.path(PIECE_VOCABULARY)
 
 
-def _sizes(ends: list[int]) -> np.ndarray:
-    return np.diff(np.array([0, *ends], dtype=np.int64))
+def _sizes(ends: np.ndarray) -> np.ndarray:
+    return np.diff(ends, prepend=0)
 
 
 def alignments(docs: DataFrame, a_path: str | None = None, b_path: str | None = None) -> DataFrame:
@@ -214,6 +216,8 @@ def _links(doc: np.ndarray, a: np.ndarray, b: np.ndarray, ga: np.ndarray, gb: np
         at = end
     if not keys:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    if len(keys) == 1:
+        return keys[0], times[0].astype(np.int64)
     key, slot = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.zeros(len(key), dtype=np.int64)
     np.add.at(total, slot, np.concatenate(times))
@@ -276,19 +280,31 @@ def _linked(number: int, held: list[tuple]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array([v], type=f.type) for v, f in zip(row, _LINKS, strict=True)], schema=_LINKS)
 
 
-def _digest(a: np.ndarray, b: np.ndarray, ends_a: list[int], ends_b: list[int]) -> str:
+@functools.lru_cache(maxsize=1)
+def _decimals(n: int) -> list[str]:
+    """Each id's decimal followed by ',', '|' or ';'."""
+    return [f"{i}{mark}" for i in range(n) for mark in ",|;"]
+
+
+def _digest(a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> str:
     """Digest of ``a1,a2|b1;a3|b2,b3``; of no tokens, ''."""
-    if not ends_a:
+    if not len(ends_a):
         return ""
-    left, right = list(map(str, a.tolist())), list(map(str, b.tolist()))
-    groups, i, j = [], 0, 0
-    for k, m in zip(ends_a, ends_b, strict=True):
-        if k == i + 1 and m == j + 1:
-            groups.append(f"{left[i]}|{right[j]}")
-        else:
-            groups.append(f"{','.join(left[i:k])}|{','.join(right[j:m])}")
-        i, j = k, m
-    return hashlib.sha256(";".join(groups).encode()).hexdigest()
+    ga, gb = _sizes(ends_a), _sizes(ends_b)
+    # a group's ids of a stand after earlier groups' ids of b, its ids of b after its own of a
+    shifts = (np.repeat(np.cumsum(gb) - gb, ga), np.repeat(np.cumsum(ga), gb))
+    codes = np.empty(len(a) + len(b), dtype=np.int64)
+    for ids, ends, shift, mark in ((a, ends_a, shifts[0], 1), (b, ends_b, shifts[1], 2)):
+        code = 3 * ids.astype(np.int64)
+        code[ends - 1] += mark
+        codes[np.arange(len(ids)) + shift] = code
+    known = _decimals(1 << 16)
+    top = int(codes.max())
+    if top >= len(known):  # a vocabulary of more ids
+        text = "".join(f"{c // 3}{',|;'[c % 3]}" for c in codes.tolist())
+    else:
+        text = "".join(map(known.__getitem__, codes.tolist()))
+    return hashlib.sha256(text[:-1].encode()).hexdigest()
 
 
 def link_counts(links: DataFrame) -> DataFrame:
