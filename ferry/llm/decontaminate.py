@@ -107,43 +107,56 @@ def tiles(item: np.ndarray, text: np.ndarray, least: int = MIN_MATCH) -> list[tu
     while size >= least:
         # the largest size with a common window of free words, by bisection:
         # a common run of free words contains one of every smaller size
-        lo, hi, best = least, size, []
+        lo, hi, best = least, size, None
         while lo <= hi:
             mid = (lo + hi) // 2
-            pairs = _common(a, b, free_a, free_b, mid)
-            if len(pairs):
-                best, lo = pairs, mid + 1
+            common = _common(a, b, free_a, free_b, mid)
+            if common is not None:
+                best, lo = common, mid + 1
             else:
                 hi = mid - 1
-        if not len(best):
+        if best is None:
             break
         size = lo - 1
-        for i, j in best:
-            i, j = int(i), int(j)
-            if free_a[i : i + size].all() and free_b[j : j + size].all():
-                if (item[i : i + size] == text[j : j + size]).all():
+        starts, places, first, last = best
+        # Marks only grow, so a place of a hash that is no longer free is passed for good.
+        at = dict(zip(first.tolist(), first.tolist(), strict=True))
+        for i, p, q in zip(starts.tolist(), first.tolist(), last.tolist(), strict=True):
+            if not free_a[i : i + size].all():
+                continue
+            while at[p] < q and not free_b[places[at[p]] : places[at[p]] + size].all():
+                at[p] += 1
+            for j in map(int, places[at[p] : q]):
+                if free_b[j : j + size].all() and (item[i : i + size] == text[j : j + size]).all():
                     free_a[i : i + size] = False
                     free_b[j : j + size] = False
                     found.append((i, j, size))
+                    break
     return found
 
 
-def _common(a: Rolling, b: Rolling, free_a: np.ndarray, free_b: np.ndarray, size: int) -> np.ndarray:
-    """Starts (i, j) of equal windows of free words, ordered by i, then j."""
+def _common(
+    a: Rolling, b: Rolling, free_a: np.ndarray, free_b: np.ndarray, size: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+    """Equal windows of free words: their starts in the item, the places in the
+    text ordered by hash and place, and where each start's places begin and end
+    among those. No pair is listed, so this grows with the two lengths' sum."""
     x, y = a.windows(size), b.windows(size)
     x_at = np.flatnonzero(_all_free(free_a, size))
     y_at = np.flatnonzero(_all_free(free_b, size))
-    x_at = x_at[np.isin(x[x_at], y[y_at])]
-    y_at = y_at[np.isin(y[y_at], x[x_at])]
-    if not len(x_at):
-        return np.zeros((0, 2), dtype=np.int64)
-    order = np.argsort(y[y_at], kind="stable")
-    y_at = y_at[order]
+    if not len(x_at) or not len(y_at):
+        return None
+    known = np.unique(x[x_at])
+    near = np.searchsorted(known, y[y_at])
+    near[near == len(known)] = 0
+    y_at = y_at[known[near] == y[y_at]]
+    if not len(y_at):
+        return None
+    y_at = y_at[np.argsort(y[y_at], kind="stable")]
     keys = y[y_at]
     lo, hi = np.searchsorted(keys, x[x_at], "left"), np.searchsorted(keys, x[x_at], "right")
-    return np.array(
-        [(i, j) for i, p, q in zip(x_at.tolist(), lo.tolist(), hi.tolist(), strict=True) for j in y_at[p:q].tolist()]
-    )
+    some = lo < hi
+    return x_at[some], y_at, lo[some], hi[some]
 
 
 def _all_free(free: np.ndarray, size: int) -> np.ndarray:

@@ -123,3 +123,15 @@ def test_query_reads_its_tables(spark, sf_dir):
     folder = sf_dir([(5, "so one two three four five six it is")], benchmark=spark.createDataFrame([(9, "one two three four five six")], ITEMS))
     assert [(r.doc_id, r.item_id) for r in dc.op2_decontaminate(spark, folder).collect()] == [(5, 9)]
     assert fresh_dir(spark, "tests") != folder
+
+
+def test_repeated_word_in_a_very_long_text_is_linear():
+    """One word 100 times, against a text of it: no list of place pairs."""
+    import tracemalloc
+
+    item, text = np.full(100, 7, dtype=np.uint64), np.full(400_000, 7, dtype=np.uint64)
+    tracemalloc.start()
+    found = dc.tiles(item, text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == [(0, 0, 100)] and peak < 60e6, peak
