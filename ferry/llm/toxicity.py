@@ -2,11 +2,18 @@
 
 A logistic model over the words and word beginnings present in a text. It is
 trained on labelled documents, and on pairs of sentences that differ by an
-identity term only (women / men, muslims / christians, ...): each labelled
-sentence that names a group, with the name swapped for the others of its kind,
-and each term set into labelled sentences that name none. The difference of
-the two logits is penalised, so that a neutral mention of a group does not
-raise the score because the group is often named in toxic texts.
+identity term only (women / men, muslims / christians, ...). Every sentence of
+a training text gives pairs: one that names a group, with each name swapped for
+each other of its kind; one that names none, with a term chosen by the
+sentence's hash set behind it, against the others of its kind and against the
+sentence alone. The squared difference of the two logits is penalised, so that
+a neutral mention of a group does not raise the score because the group is
+often named in toxic texts.
+
+A pair's logits differ by the features that only one sentence has, which are
+features of the two terms. So a pair is kept as these two short lists, equal
+ones are added up in tasks and by key, and the fit weighs each by the number of
+its sentences: it sees all pairs of the training texts, in few rows.
 
 How: labels of a bounded sample (TRAIN_DOCUMENTS in expectation, by a hash of
 the doc_id; its ids are broadcast) choose the training texts. Their features
@@ -27,7 +34,10 @@ gives an empty result.
 from __future__ import annotations
 
 import itertools
+import math
 import re
+from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -49,9 +59,8 @@ BEGINNINGS = (3, 4, 5, 6)  # lengths of the word beginnings that are features
 FAIRNESS = 1.0  # weight of the penalty on counterfactual pairs
 SHRINK = 1e-5  # weight of the squared weights
 STEPS = 400
-# Sentence pairs that the fit sees, at most (in expectation, by a hash).
-PAIRS = 20_000
 CACHE_ENTRIES = 300_000
+CACHED_LETTERS = 64  # longer words are not remembered, so entries bound a cache's bytes
 
 # Names of groups; a term may be swapped for another of its row.
 IDENTITY_TERMS = (
@@ -75,39 +84,76 @@ def bare(word: str) -> str:
     return _EDGE.sub("", word.lower())
 
 
-class _Features(dict):
+def word_features(word: str) -> tuple[int, ...]:
     """Hashes of a word and of its beginnings."""
+    w = bare(word)
+    names = [f"w:{w}"] + [f"b:{w[:n]}" for n in BEGINNINGS if len(w) >= n] if w else []
+    return tuple(xxhash.xxh3_64_intdigest(n.encode()) - (1 << 63) for n in names)
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        w = bare(word)
-        names = [f"w:{w}"] + [f"b:{w[:n]}" for n in BEGINNINGS if len(w) >= n] if w else []
-        self[word] = h = tuple(xxhash.xxh3_64_intdigest(n.encode()) - (1 << 63) for n in names)
-        return h
 
+class _Known(dict):
+    """What a function gives for each word, remembered for short words."""
+
+    def __init__(self, of: Callable[[str], tuple[int, ...]]) -> None:
+        self.of = of
 
-def _features() -> _Features:
-    return worker_cache("toxicity features", _Features)
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        out = self.of(word)
+        if len(word) <= CACHED_LETTERS:
+            if len(self) >= CACHE_ENTRIES:
+                self.clear()
+            self[word] = out
+        return out
 
 
 def features(text: str | None) -> np.ndarray:
     """Distinct hashed features of a text."""
-    seen = _features()
-    if len(seen) > CACHE_ENTRIES:
-        seen.clear()
+    seen = worker_cache("toxicity features", lambda: _Known(word_features))
     words = set((text or "").split())
     return np.unique(np.fromiter(itertools.chain.from_iterable(map(seen.__getitem__, words)), dtype=np.int64))
 
 
-def counterfactuals(text: str | None) -> list[tuple[str, str]]:
-    """(sentence, the sentence with an identity term swapped) for each term and
-    each other term of its row."""
-    out = []
-    for sentence in _SENTENCE.split(text or ""):
-        words = sentence.split()
-        for i, word in enumerate(words):
-            for other in _SWAPS.get(bare(word), ()):
-                out.append((sentence, " ".join([*words[:i], other, *words[i + 1 :]])))
-    return out
+class Counterfactuals:
+    """Pairs of a text's sentences, as features that only one side has, in a
+    vocabulary's places."""
+
+    def __init__(self, places: Callable[[str], tuple[int, ...]]) -> None:
+        self.terms = {t: frozenset(places(t)) for t in _SWAPS}
+        shared = frozenset().union(*self.terms.values())
+        self.names = list(_SWAPS)
+        # of a sentence's other words only the features that terms have too count
+        self.of = _Known(lambda w: (bare(w), *(f for f in set(places(w)) if f in shared)))
+
+    def count(self, text: str | None) -> Counter:
+        """How many pairs have each difference (left, right), both sorted."""
+        out: Counter = Counter()
+        for sentence in _SENTENCE.split(text or ""):
+            words = Counter(sentence.split())
+            if not words:
+                continue
+            named, holders = Counter(), Counter()
+            for word, n in words.items():
+                name, *found = self.of[word]
+                if name in _SWAPS:
+                    named[name] += n
+                for f in found:
+                    holders[f] += n
+            for name, n in named.items():
+                term = self.terms[name]
+                # what the sentence has without this one occurrence
+                rest = {f for f, m in holders.items() if m > (f in term)}
+                for other in _SWAPS[name]:
+                    self._add(out, term, self.terms[other], rest, n)
+            if not named:
+                name = self.names[xxhash.xxh3_64_intdigest(sentence.encode()) % len(self.names)]
+                for other in (*(self.terms[o] for o in _SWAPS[name]), frozenset()):
+                    self._add(out, self.terms[name], other, holders.keys(), 1)
+        return out
+
+    @staticmethod
+    def _add(out: Counter, a: frozenset, b: frozenset, rest, n: int) -> None:
+        left, right = tuple(sorted((a - b).difference(rest))), tuple(sorted((b - a).difference(rest)))
+        out[left, right] += n
 
 
 @dataclass(frozen=True)
@@ -118,51 +164,63 @@ class Model:
     weights: np.ndarray
     bias: float
 
-    def places(self, found: np.ndarray) -> np.ndarray:
-        """Places of those of the features that the model knows."""
-        if not len(self.keys):
-            return np.zeros(0, dtype=np.int64)
-        at = np.searchsorted(self.keys, found)
-        at[at == len(self.keys)] = 0
-        return at[self.keys[at] == found]
+    def scorer(self) -> Callable[[str | None], float]:
+        """The logit of a text. A word is looked up once, as the places of its
+        features that the model knows; most words have none."""
+        at = dict(zip(self.keys.tolist(), range(len(self.keys)), strict=True))
+        known = _Known(lambda w: tuple(at[h] for h in word_features(w) if h in at))
+        weights = self.weights.tolist()
+
+        def logit(text: str | None) -> float:
+            found = set(itertools.chain.from_iterable(map(known.__getitem__, set((text or "").split()))))
+            # an exact sum: the order of a set's elements does not show
+            return math.fsum([self.bias, *map(weights.__getitem__, found)])
+
+        return logit
 
     def logit(self, text: str | None) -> float:
-        return float(self.weights[self.places(features(text))].sum() + self.bias)
+        return self.scorer()(text)
 
     def score(self, text: str | None) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.logit(text), -500, 500))))
+        return probability(self.logit(text))
+
+
+def probability(logit: float) -> float:
+    return 1 / (1 + math.exp(-min(max(logit, -500.0), 500.0)))
 
 
 def fit(
     rows: list[np.ndarray],
     toxic: np.ndarray,
-    pairs: list[tuple[np.ndarray, np.ndarray]],
+    pairs: list[tuple[np.ndarray, np.ndarray, int]],
     size: int,
     fairness: float = FAIRNESS,
 ) -> tuple[np.ndarray, float]:
     """Weights and bias that minimise the weighted mean log loss, plus ``fairness`` times
-    the mean squared difference of the pairs' logits, plus the shrinkage."""
+    the mean squared difference of the pairs' logits, plus the shrinkage. A pair is
+    the features that only its left and only its right side has, and its number."""
+    if not len(toxic):
+        return np.zeros(size), -30.0
     y = toxic.astype(float)
     w, bias = np.zeros(size), float(np.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6)))
-    if not len(y) or y.min() == y.max():
-        return w, bias if len(y) else -30.0
+    if y.min() == y.max():
+        return w, bias
     n = len(rows)
     at, row = np.concatenate(rows), np.repeat(np.arange(n), [len(r) for r in rows])
-    # a pair's shared features cancel out
-    left = [np.setdiff1d(a, b) for a, b in pairs]
-    right = [np.setdiff1d(b, a) for a, b in pairs]
-    pair = np.repeat(np.arange(len(pairs)), [len(a) + len(b) for a, b in zip(left, right, strict=True)])
-    mixed = [x for ab in zip(left, right, strict=True) for x in ab]
+    pair = np.repeat(np.arange(len(pairs)), [len(a) + len(b) for a, b, _ in pairs])
+    mixed = [x for a, b, _ in pairs for x in (a, b)]
     pair_at = np.concatenate(mixed) if mixed else np.zeros(0, dtype=np.int64)
     sign = np.concatenate([np.full(len(x), 1.0 if k % 2 == 0 else -1.0) for k, x in enumerate(mixed)]) if mixed else np.zeros(0)
+    share = np.array([k for _, _, k in pairs], dtype=float)
+    share /= max(1.0, share.sum())
     m, v = np.zeros(size + 1), np.zeros(size + 1)
     for step in range(1, STEPS + 1):
         p = 1 / (1 + np.exp(-np.clip(np.bincount(row, w[at], n) + bias, -500, 500)))
         g = np.where(toxic, TOXIC_WEIGHT, 1.0) * (p - y) / n
         grad = np.append(np.bincount(at, g[row], size) + 2 * SHRINK * w, g.sum())
         if len(pairs) and fairness:
-            gap = np.bincount(pair, sign * w[pair_at], len(pairs))
-            grad[:-1] += 2 * fairness / len(pairs) * np.bincount(pair_at, sign * gap[pair], size)
+            gap = share * np.bincount(pair, sign * w[pair_at], len(pairs))
+            grad[:-1] += 2 * fairness * np.bincount(pair_at, sign * gap[pair], size)
         m = 0.9 * m + 0.1 * grad
         v = 0.999 * v + 0.001 * grad**2
         move = 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
@@ -231,46 +289,39 @@ def train_model(docs: DataFrame, labels: DataFrame, fairness: float = FAIRNESS)
     train = _training(docs, labels)
     keys = _vocabulary(train)
     sent = docs.sparkSession.sparkContext.broadcast(keys)
-    terms = list(_SWAPS)
 
     def make():
-        known = Model(sent.value, np.zeros(len(sent.value)), 0.0)
-
-        def places(text: str | None) -> np.ndarray:
-            return known.places(features(text)).astype(np.int32)
+        at = dict(zip(sent.value.tolist(), range(len(sent.value)), strict=True))
+        known = _Known(lambda w: tuple(at[h] for h in word_features(w) if h in at))
+        pairs = Counterfactuals(known.__getitem__)
 
         def work(rows: dict) -> dict:
-            out: dict[str, list] = {"toxic": [], "row": [], "left": [], "right": []}
-
-            def add(toxic, row, left, right) -> None:
-                for k, x in zip(out, (toxic, row, left, right), strict=True):
-                    out[k].append(x)
-
-            for text, toxic in zip(rows["text"], rows["toxic"], strict=True):
-                add(toxic, places(text), None, None)
-                pairs = counterfactuals(text)
-                if not pairs:  # a term set into a sentence that names no group
-                    sentence = next((s for s in _SENTENCE.split(text or "") if s.split()), "")
-                    seed = xxhash.xxh3_64_intdigest(sentence.encode())
-                    term = terms[seed % len(terms)]
-                    pairs = [(f"{sentence} {term}", f"{sentence} {o}") for o in _SWAPS[term]]
-                    pairs.append((f"{sentence} {term}", sentence))
-                for a, b in pairs:
-                    add(None, None, places(a), places(b))
-            return out
+            found: Counter = Counter()
+            packed = []
+            for text in rows["text"]:
+                places = set(itertools.chain.from_iterable(map(known.__getitem__, set((text or "").split()))))
+                packed.append(np.array(sorted(places), dtype="<i4").tobytes())
+                found.update(pairs.count(text))
+            n, none = len(packed), [None] * len(packed)
+            return {
+                "toxic": [*rows["toxic"], *[None] * len(found)], "row": [*packed, *[None] * len(found)],
+                "left": [*none, *(a for a, _ in found)], "right": [*none, *(b for _, b in found)],
+                "n": [*[None] * n, *found.values()],
+            }
 
         return work
 
-    schema = "toxic boolean, row array<int>, left array<int>, right array<int>"
+    schema = "toxic boolean, row binary, left array<int>, right array<int>, n long"
     found = checkpointed(map_rows(train, make, schema))
     rows = found.where("toxic is not null").select("toxic", "row").collect()  # TRAIN_DOCUMENTS in expectation
-    pairs = found.where("toxic is null").select("left", "right").distinct()
-    n = pairs.count()
-    if n > PAIRS:
-        pairs = pairs.where(F.pmod(F.xxhash64("left", "right"), F.lit(1_000_000)) < int(PAIRS / n * 1_000_000))
-    both = [(np.array(r.left, dtype=np.int64), np.array(r.right, dtype=np.int64)) for r in pairs.collect()]
+    # differences of terms: their number depends on the lists of terms, not on the texts
+    both = found.where("toxic is null").groupBy("left", "right").agg(F.sum("n").alias("n")).orderBy("left", "right").collect()
     weights, bias = fit(
-        [np.array(r.row, dtype=np.int64) for r in rows], np.array([r.toxic for r in rows], dtype=bool), both, len(keys), fairness
+        [np.frombuffer(r.row, dtype="<i4").astype(np.int64) for r in rows],
+        np.array([r.toxic for r in rows], dtype=bool),
+        [(np.array(r.left, dtype=np.int64), np.array(r.right, dtype=np.int64), r.n) for r in both if r.left or r.right],
+        len(keys),
+        fairness,
     )
     return Model(keys, weights, bias)
 
@@ -280,11 +331,10 @@ def toxicity(docs: DataFrame, model: Model) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        model = sent.value
+        logit = sent.value.scorer()
 
         def work(rows: dict) -> dict:
-            scores = [model.score(t) for t in rows["text"]]
-            return {"doc_id": rows["doc_id"], "score": scores}
+            return {"doc_id": rows["doc_id"], "score": [probability(logit(t)) for t in rows["text"]]}
 
         return work
 
