@@ -43,6 +43,7 @@ from ferry.sources.derived import (
     events_time_envelope,
     orders_typed_envelope,
 )
+from ferry.sources.offset_index import read_after, update_index
 from ferry.sources.replay import read_replay, read_table, stream_table
 from ferry.streaming.jobs import (
     RelayTables,
@@ -52,12 +53,14 @@ from ferry.streaming.jobs import (
     start_publish,
     start_relay,
 )
+from ferry.streaming.read_once import read_once
 from ferry.streaming.resume import frozen_marks, resume_replay
 from ferry.streaming.sinks import FileSink
 
 # Fixed values of the registered queries.
 EMPLOYEE_TOPIC = "employees"
 EVENTS_OUT_TOPIC = "events_out"
+UNMARKED_PARTITION = 1
 DEAD_LETTER_TOPIC = "employees_dead_letter"
 EVENT_RECORD = "k string"
 TIMED_RECORD = "id string, at timestamp"
@@ -199,6 +202,18 @@ def read_after_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_text(after_committed(messages, committed)).select("topic", "partition", "offset", "value")
 
 
+def read_after_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: messages after the committed offsets, from the files of a replay folder
+    that an index says can hold one; one partition has no mark, so all of it stays."""
+    root, messages = fresh_dir(spark, "read_after_index"), _events(spark, sf_dir)
+    messages.repartitionByRange("offset").write.parquet(f"{root}/landing")
+    index = update_index(spark, f"{root}/landing", f"{root}/index", messages.schema)
+    committed = max_offsets(messages.filter(F.col("timestamp") < F.lit(COMMITTED_BEFORE).cast("timestamp")))
+    marks = committed.where(F.col("partition") != UNMARKED_PARTITION)
+    found = read_after(spark, f"{root}/landing", index, marks, messages.schema)
+    return _with_text(found).select("topic", "partition", "offset", "value")
+
+
 # --- streaming queries ------------------------------------------------------
 
 
@@ -304,6 +319,21 @@ def stream_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("topic", "key", "value", header("reason").alias("reason"), *source)
 
 
+def stream_read_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O2: the published customer messages arrive twice, as after a replayed
+    batch; a stream over both arrivals gives each message once."""
+    root = fresh_dir(spark, "stream_read_once")
+    sent = publish_envelope(_classified_customers(spark, sf_dir), EMPLOYEE_TOPIC, source_headers=True)
+    sink = FileSink(f"{root}/out")
+    for _ in range(2):
+        sent.write.mode("append").parquet(f"{root}/topic")
+        arrived = read_replay(spark, f"{root}/topic", PUBLISHED_WITH_HEADERS)
+        writer = sink.write_stream(read_once(arrived)).option("checkpointLocation", f"{root}/checkpoint")
+        writer.trigger(**AVAILABLE_NOW).start().awaitTermination()
+    source = [header(f"src_{c}").alias(f"src_{c}") for c in ("topic", "partition", "offset")]
+    return sink.read(spark, PUBLISHED_WITH_HEADERS).select("topic", "key", "value", *source)
+
+
 def _relay_customers(spark: SparkSession, sf_dir: str, name: str) -> tuple[RelayTables, FileSink]:
     """Run the foreachBatch job over the customer stream; return its tables and sink."""
     root = fresh_dir(spark, name)
@@ -370,6 +400,7 @@ QUERIES: dict[str, Query] = {
     "partition_max_offset": partition_max_offset,
     "partition_record_count": partition_record_count,
     "read_after_committed": read_after_committed,
+    "read_after_index": read_after_index,
     "stream_publish": stream_publish,
     "stream_resume": stream_resume,
     "stream_offsets": stream_offsets,
@@ -378,6 +409,7 @@ QUERIES: dict[str, Query] = {
     "stream_relay_publish": stream_relay_publish,
     "stream_resume_table": stream_resume_table,
     "stream_dead_letter": stream_dead_letter,
+    "stream_read_once": stream_read_once,
 }
 
 
@@ -606,6 +638,11 @@ WHERE status <> 'ok' GROUP BY topic, status""",
     + """SELECT e.topic, e."partition", e."offset", e.value
 FROM events_env e LEFT JOIN committed c ON e.topic = c.topic AND e."partition" = c."partition"
 WHERE e."offset" > coalesce(c.committed, -1)""",
+    "read_after_index": _EVENTS_ENV
+    + _COMMITTED
+    + f"""SELECT e.topic, e."partition", e."offset", e.value
+FROM events_env e LEFT JOIN committed c ON e.topic = c.topic AND e."partition" = c."partition"
+WHERE e."partition" = {UNMARKED_PARTITION} OR e."offset" > coalesce(c.committed, -1)""",
     "stream_publish": _CLASSIFIED + _PUBLISHED,
     "stream_resume": _EVENTS_PUBLISHED,
     "stream_offsets": _MAX_OFFSET,
@@ -620,4 +657,7 @@ WHERE e."offset" > coalesce(c.committed, -1)""",
 UNION ALL
 SELECT '{DEAD_LETTER_TOPIC}', NULL, value, status, topic, CAST("partition" AS VARCHAR), CAST("offset" AS VARCHAR)
 FROM classified WHERE status <> 'ok'""",
+    "stream_read_once": _CLASSIFIED
+    + f"""SELECT '{EMPLOYEE_TOPIC}' AS topic, CAST(NULL AS VARCHAR) AS key, {_SERIALIZED} AS value,
+       topic AS src_topic, CAST("partition" AS VARCHAR) AS src_partition, CAST("offset" AS VARCHAR) AS src_offset FROM parsed""",
 }
