@@ -29,7 +29,7 @@ import public_tokenizers
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from ferry.llm.common import map_rows, table, worker_cache
+from ferry.llm.common import map_rows, quoted, table, worker_cache
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # Pre-tokens a worker remembers before it starts anew: bounds its memory.
@@ -289,9 +289,9 @@ def encode_digests(docs: DataFrame, path: str | None = None, pattern: str | None
 def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
     """``docs`` without its text, with ``ids`` (array of int) and ``n_tokens``."""
     path, pattern = _paths(path, pattern)
-    rest = [c for c in docs.columns if c not in ("text", "ids", "n_tokens")]
+    rest = [c for c in docs.columns if c.lower() not in ("text", "ids", "n_tokens")]
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    schema = ", ".join([f"`{c}` {kinds[c]}" for c in rest] + ["n_tokens long", "ids array<int>"])
+    schema = ", ".join([f"{quoted(c)} {kinds[c]}" for c in rest] + ["n_tokens long", "ids array<int>"])
 
     def make():
         e = encoder(path, pattern)
@@ -306,7 +306,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | No
 
         return work
 
-    return map_rows(docs.select(*[f"`{c}`" for c in rest], "text"), make, schema, TEXT_BYTES)
+    return map_rows(docs.select(*map(quoted, rest), "text"), make, schema, TEXT_BYTES)
 
 
 def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:

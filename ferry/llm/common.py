@@ -25,6 +25,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def quoted(name: str) -> str:
+    """A column's name as SQL takes it, whatever its characters."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def unused(taken: list[str], *names: str) -> list[str]:
+    """The names, each lengthened until no taken one equals it (case aside)."""
+    seen, out = {t.lower() for t in taken}, []
+    for name in names:
+        while name.lower() in seen:
+            name += "_"
+        seen.add(name.lower())
+        out.append(name)
+    return out
+
+
 def words_of(text: Column) -> Column:
     """Words of a text as an array (null text: no words)."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_BREAK), lambda w: w != F.lit(""))
@@ -71,20 +87,25 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[dict], dict]], schema:
     lists to a dict of output column lists (in the order of ``schema``).
     """
     from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
+    from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
-    arrow = to_arrow_schema(_parse_datatype_string(schema))
+    given = _parse_datatype_string(schema)
+    arrow, names = to_arrow_schema(given), df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for chunk in chunks(batches, limit):
-            out = work(chunk.to_pydict())
+            out = work(dict(zip(names, (c.to_pylist() for c in chunk.columns), strict=True)))
             if out is not None:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow
-                )
-
-    return df.mapInArrow(run, schema)
+                yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in arrow], names=sent)
+
+    sent = given.names
+    if all(n.isidentifier() for n in names):
+        return df.mapInArrow(run, schema)
+    # mapInArrow looks its columns up by name, which dots and backticks defeat
+    sent = [f"c{i}" for i in range(len(sent))]
+    numbered = StructType([StructField(n, f.dataType) for n, f in zip(sent, given.fields, strict=True)])
+    return df.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(run, numbered).toDF(*given.names)
 
 
 def chunks(batches: Iterator[pa.RecordBatch], limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferry.llm.common import map_rows, table, worker_cache
+from ferry.llm.common import map_rows, quoted, table, worker_cache
 
 MIN_MATCH = 5
 MIN_COVERAGE = 0.6
@@ -283,7 +283,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     out = docs
     for items in _blocks(benchmark, BLOCK_WORDS):
         sent = docs.sparkSession.sparkContext.broadcast(items)
-        names, schema = docs.columns, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+        names, schema = docs.columns, ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in docs.schema.fields)
 
         def make(sent=sent):
             block = _item_block(sent, MIN_MATCH)

@@ -49,7 +49,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferry.llm.common import checkpointed, components, map_rows, release, table, worker_cache
+from ferry.llm.common import checkpointed, components, map_rows, release, table, unused, worker_cache
 
 SHINGLE = 5
 PERCENT = 75
@@ -516,8 +516,10 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One document of each group stays, in the columns of ``docs``: the one
     with the smallest doc_id; of rows with that doc_id, one. Rows without a
     doc_id are linked with nothing and stay."""
-    kept = near_duplicates(docs.select("doc_id", "text")).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    out = docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"])
+    kept = near_duplicates(docs.select("doc_id", "text")).where("kept")
+    (mine,) = unused(docs.columns, "_kept")
+    kept = kept.select(F.col("doc_id").alias(mine)).distinct()
+    out = docs.join(kept, F.col("doc_id") == F.col(mine), "left_semi").dropDuplicates(["doc_id"])
     return out.unionByName(docs.where("doc_id is null"))
 
 

@@ -19,7 +19,7 @@ import functools
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferry.llm.common import BREAK, WORD, let, table, words_of
+from ferry.llm.common import BREAK, WORD, let, quoted, table, words_of
 
 # Fixed values of the query's contract.
 SYMBOLS = "#*$%&|<>"
@@ -35,11 +35,17 @@ PUNCTUATION = "[.,;:!?\\u2026\\u3002\\u060c\\u061f\\u0964\\uff0c]"
 NAVIGATION = "[|\\u00bb\\u203a\\u2022\\u00b7]"
 NAV_MARKS = 3  # navigation marks, with at most NAV_WORDS words for each
 NAV_WORDS = 4
-# Lower-case phrases; a line that holds one fails.
+# Lower-case phrases in the corpus's languages. A line of at most
+# BOILERPLATE_WORDS words that holds one fails; a longer one is a paragraph that
+# mentions it.
 BOILERPLATE = (
     "accept cookies", "cookie policy", "privacy policy", "terms of use", "all rights reserved",
     "click here", "read more", "subscribe to", "enable javascript", "lorem ipsum",
+    "cookies akzeptieren", "datenschutzerklärung", "alle rechte vorbehalten", "hier klicken", "weiterlesen",
+    "accepter les cookies", "politique de confidentialité", "tous droits réservés", "cliquez ici", "lire la suite",
+    "aceptar cookies", "política de privacidad", "todos los derechos reservados", "haga clic aquí", "leer más",
 )
+BOILERPLATE_WORDS = 20
 # Share of the characters of lines with words that may go before the document does.
 MAX_LOSS_PERCENT = 50
 
@@ -69,7 +75,7 @@ def line_fails(line: Column, symbols: Column, boilerplate: Column) -> Column:
         | (line.contains("!!") & (100 * shouts >= SHOUT_PERCENT * words))
         | (~line.rlike(PUNCTUATION) & (words >= LONG_LINE))
         | (line.rlike(NAVIGATION) & (marks >= NAV_MARKS) & (words <= NAV_WORDS * marks))
-        | (boilerplate & has_boilerplate(line))
+        | (boilerplate & (words <= BOILERPLATE_WORDS) & has_boilerplate(line))
     )
 
 
@@ -120,7 +126,9 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     """``docs`` with the base measures, the line measures, ``cleaned`` (the text
     without failing lines; null stays null), ``base_failed`` and ``kept``."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    kept_columns = [c for c in docs.columns if c not in _ADDED]
+    # the input in one column, so that no name of its columns meets one of these
+    passed = [c for c in docs.columns if c.lower() not in _ADDED]
+    kept_columns = [F.col(f"_in.{quoted(c)}").alias(c) for c in passed]
 
     def verdicts(lines: Column, symbols: Column, boilerplate: Column) -> Column:
         with_words = F.filter(lines, lambda x: x.rlike(WORD))
@@ -154,7 +162,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
         lambda w: F.struct(F.size(w).cast("long").alias("n"), repeated_words(w).alias("rep")),
     )
     wide = docs.select(
-        *kept_columns,
+        F.struct(*[F.col(quoted(c)) for c in passed]).alias("_in"),
         words.alias("_w"),
         let(whole, judged).alias("_t"),
         (F.length(text) - F.regexp_count(text, F.lit(BREAK))).cast("long").alias("word_chars"),
@@ -170,7 +178,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
         F.col("_w.rep").alias("n_repeat_words"),
         F.col("_l.n_lines_removed").alias("n_lines_removed"),
         F.col("_l.n_chars_removed").alias("n_chars_removed"),
-        F.when(F.col("text").isNotNull(), F.col("_l.cleaned")).alias("cleaned"),
+        F.when(F.col("_in.text").isNotNull(), F.col("_l.cleaned")).alias("cleaned"),
         base_failed.alias("base_failed"),
         kept.alias("kept"),
     )
@@ -189,10 +197,10 @@ def _chars(lines: Column) -> Column:
 def clean_documents(docs: DataFrame) -> DataFrame:
     """The kept documents with their failing lines removed, in the columns of
     ``docs``; ``n_chars`` follows the text where the column exists."""
-    out = quality_rules(docs.select("text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")))
+    out = quality_rules(docs.select("text", F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("_doc")))
     new = {"text": F.col("cleaned"), "n_chars": F.length("cleaned").cast("long")}
     return out.where("kept").select(
-        *[new[c].alias(c) if c in new else F.col(f"_doc.`{c}`").alias(c) for c in docs.columns]
+        *[new[c].alias(c) if c in new else F.col(f"_doc.{quoted(c)}").alias(c) for c in docs.columns]
     )
 
 
@@ -216,7 +224,7 @@ l AS (SELECT doc_id, l, len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS nw,
 f AS (SELECT doc_id, l, (100 * sy > 5 * length(l)) OR (sh > 0 AND 100 * sh >= 30 * nw)
         OR (nw >= 5 AND NOT regexp_matches(l, '[.,;:!?\x{2026}\x{3002}\x{060c}\x{061f}\x{0964}\x{ff0c}]'))
         OR (mk >= 3 AND nw <= 4 * mk)
-        OR list_bool_or([contains(lower(l), b) FOR b IN ['accept cookies', 'cookie policy', 'privacy policy', 'terms of use', 'all rights reserved', 'click here', 'read more', 'subscribe to', 'enable javascript', 'lorem ipsum']]) AS bad
+        OR (nw <= $WORDS AND list_bool_or([contains(lower(l), b) FOR b IN [$PHRASES]])) AS bad
       FROM l WHERE nw > 0),
 g AS (SELECT doc_id, count(*) - count(DISTINCT l) AS dup, sum(bad::INT) AS nbad,
              sum(CASE WHEN bad THEN length(l) ELSE 0 END) AS cbad, sum(length(l)) AS call FROM f GROUP BY 1),
@@ -231,4 +239,4 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
        n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
        NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND 100 * n_chars_removed <= 50 * call AS kept
 FROM b
-"""
+""".replace("$WORDS", str(BOILERPLATE_WORDS)).replace("$PHRASES", ", ".join(f"'{b}'" for b in BOILERPLATE))

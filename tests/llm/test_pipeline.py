@@ -41,6 +41,8 @@ def test_against_brute_force(spark):
 def test_stages_keep_the_columns(spark, make_docs):
     docs = make_docs([(d, f"A sentence with number {d}, and some more words, so that it is long enough to be kept by rules {d * 7}.") for d in range(30)])
     docs = docs.withColumn("kept", F.lit("mine")).withColumn("_row", F.lit(1))
+    for clash in ("_w", "_t", "_l", "_in", "_seed", "_Kept_id", "_kept", "_rank", "N_Words", "a`b", "a.b"):
+        docs = docs.withColumn(clash, F.lit("mine"))
     for name, stage in cp.STAGES[:-1]:
         out = stage(spark, docs, SF)
         assert out.columns == docs.columns and out.schema.simpleString() == docs.schema.simpleString(), name

@@ -101,3 +101,20 @@ def test_cases(spark, make_docs):
 def test_plan_has_no_python_and_no_shuffle(spark):
     plan = qr.op9_quality_rules(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "Exchange"))
+
+
+def test_a_phrase_fails_a_short_line_only(spark, make_docs):
+    """A paragraph may mention a phrase; each language's phrases count."""
+    words = "This long article has one line, and it goes on and on about many things, so that nobody would call it short. "
+    docs = make_docs([(1, words + "You can read more in the next issue."), (2, words + "\nLire la suite\nWeiterlesen.\nLeer más")])
+    out = {r.doc_id: r for r in qr.quality_rules(docs).collect()}
+    assert out[1].n_lines_removed == 0 and out[1].kept and out[1].cleaned.count("read more") == 1
+    assert out[2].n_lines_removed == 3 and out[2].kept
+
+
+def test_clashing_names(spark, make_docs):
+    docs = make_docs([(1, "One line with some words.")])
+    for name in ("_w", "_l", "_t", "_in", "a`b"):
+        docs = docs.withColumn(name, F.lit("mine"))
+    out = qr.quality_rules(docs.withColumn("N_Words", F.lit("mine"))).first()
+    assert out.n_words == 5 and [out[n] for n in ("_w", "_l", "_t", "_in", "a`b")] == ["mine"] * 5
