@@ -34,8 +34,10 @@ from ferry.schemas import EMPLOYEE, PUBLISHED_WITH_HEADERS
 from ferry.session import fresh_dir
 from ferry.sources.derived import (
     HOSTILE_PAYLOADS,
+    WRITTEN_NUMBERS,
     customer_bytes_envelope,
     customer_envelope,
+    customer_deep_envelope,
     customer_hostile_envelope,
     customer_long_number_envelope,
     documents_envelope,
@@ -125,11 +127,16 @@ def classify_hostile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parse_long_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbers of 39 to 60 digits in a string field."""
+    """Numbers in a string field stay as they are written."""
     classified = classify(customer_long_number_envelope(read_table(spark, sf_dir, "customer")), EMPLOYEE)
     return classified.select("topic", "partition", "offset", "status", F.col("record.id").alias("id"))
 
 
+def classify_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deep values of unknown keys are skipped, those of fields are too deep."""
+    return parsed_fields(classify(customer_deep_envelope(read_table(spark, sf_dir, "customer")), EMPLOYEE))
+
+
 def parse_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed fields take only what they hold without loss."""
     return parsed_fields(classify(orders_typed_envelope(read_table(spark, sf_dir, "orders")), TYPED_RECORD))
@@ -389,6 +396,7 @@ QUERIES: dict[str, Query] = {
     "classify_bytes": classify_bytes,
     "classify_hostile": classify_hostile,
     "parse_long_numbers": parse_long_numbers,
+    "classify_deep": classify_deep,
     "parse_typed": parse_typed,
     "parse_records": parse_records,
     "reject_records": reject_records,
@@ -554,14 +562,28 @@ SELECT topic, "partition", "offset", status,
        CASE WHEN status = 'ok' THEN json_extract_string(value, '$.id') END AS id
 FROM classified"""
 
-_LONG_NUMBERS = """
+_LONG_NUMBERS = f"""
 SELECT 'inputTopic' AS topic, CAST(c_custkey % 4 AS INTEGER) AS "partition",
        CAST(floor(c_custkey / 4) AS BIGINT) AS "offset",
-       CASE WHEN c_custkey % 10 = 3 THEN 'bad_field' ELSE 'ok' END AS status,
-       CASE WHEN c_custkey % 10 <> 3
-            THEN concat('1', lpad(CAST(c_custkey AS VARCHAR), CAST(38 + c_custkey % 22 AS INTEGER), '7')) END AS id
+       CASE WHEN c_custkey % 30 IN (20, 21) THEN 'bad_field' ELSE 'ok' END AS status,
+       CASE c_custkey % 30 {" ".join(f"WHEN {10 + i} THEN '{n}'" for i, n in enumerate(WRITTEN_NUMBERS))}
+            WHEN 20 THEN NULL WHEN 21 THEN NULL
+            WHEN 22 THEN concat('3.', lpad(CAST(c_custkey AS VARCHAR), CAST(43 + c_custkey % 22 AS INTEGER), '1'), '0')
+            ELSE concat('1', lpad(CAST(c_custkey AS VARCHAR), CAST(38 + c_custkey % 22 AS INTEGER), '7')) END AS id
 FROM customer"""
 
+_DEEP = """
+WITH deep AS (
+  SELECT *, CASE c_custkey % 6 WHEN 2 THEN 'too_deep' WHEN 3 THEN 'too_deep' WHEN 4 THEN 'malformed' ELSE 'ok' END AS status
+  FROM customer)
+SELECT 'inputTopic' AS topic, CAST(c_custkey % 4 AS INTEGER) AS "partition",
+       CAST(floor(c_custkey / 4) AS BIGINT) AS "offset", status,
+       CASE WHEN status = 'ok' THEN CAST(c_custkey AS VARCHAR) END AS id,
+       CASE WHEN status = 'ok' THEN c_name END AS name,
+       CASE WHEN status = 'ok' THEN c_mktsegment END AS "firstName",
+       CASE WHEN status = 'ok' AND c_acctbal >= 0 THEN concat('N', CAST(c_nationkey AS VARCHAR)) END AS "lastName"
+FROM deep"""
+
 _TYPED = """
 WITH typed AS (
   SELECT *, o_orderkey % 7 NOT IN (1, 2, 3, 4, 5) AND o_orderkey % 11 NOT IN (1, 2, 4, 5) AND o_orderkey % 13 NOT IN (1, 2) AS good
@@ -619,6 +641,7 @@ FROM customer_env""",
     "classify_bytes": _BYTES,
     "classify_hostile": _HOSTILE,
     "parse_long_numbers": _LONG_NUMBERS,
+    "classify_deep": _DEEP,
     "parse_typed": _TYPED,
     "parse_records": _CLASSIFIED + "SELECT * FROM parsed",
     "reject_records": _CLASSIFIED

@@ -154,10 +154,37 @@ def customer_hostile_envelope(customer: DataFrame) -> DataFrame:
     return _envelope(customer, CUSTOMER_TOPIC, partition, offset, value)
 
 
+# Numbers that a double or a decimal would say otherwise.
+WRITTEN_NUMBERS = ("1.50", "1e3", "1e400", "-0", "12.0", "-0.0", "1E-400", "7.00e+2")
+
+
 def customer_long_number_envelope(customer: DataFrame) -> DataFrame:
-    """``{"id": N}`` with a number of 39 to 60 digits; every tenth is out of range."""
-    value = """CASE WHEN c_custkey % 10 = 3 THEN '{"id":1e400}' ELSE
-        concat('{"id":', '1', lpad(CAST(c_custkey AS STRING), CAST(38 + c_custkey % 22 AS INT), '7'), '}') END"""
+    """``{"id": N}``: integers of 39 to 60 digits, decimals of 44 and more digits,
+    the numbers of ``WRITTEN_NUMBERS``, and literals that are no numbers."""
+    cases = " ".join(f"WHEN {10 + i} THEN '{{\"id\":{n}}}'" for i, n in enumerate(WRITTEN_NUMBERS))
+    value = f"""CASE c_custkey % 30 {cases} WHEN 20 THEN '{{"id":NaN}}' WHEN 21 THEN '{{"id":-Infinity}}'
+        WHEN 22 THEN concat('{{"id":', '3.', lpad(CAST(c_custkey AS STRING), CAST(43 + c_custkey % 22 AS INT), '1'), '0}}')
+        ELSE concat('{{"id":', '1', lpad(CAST(c_custkey AS STRING), CAST(38 + c_custkey % 22 AS INT), '7'), '}}') END"""
+    partition, offset = f"c_custkey % {CUSTOMER_PARTITIONS}", f"floor(c_custkey / {CUSTOMER_PARTITIONS})"
+    return _envelope(customer, CUSTOMER_TOPIC, partition, offset, value)
+
+
+# Fixed value: levels of nesting, more than a JSON reader takes by default.
+DEEP = 1100
+
+
+def customer_deep_envelope(customer: DataFrame) -> DataFrame:
+    """The customer messages with deep values: under an unknown key (arrays, or
+    objects around a string of brackets), under a field, unclosed, and none."""
+    arrays = f"concat(repeat('[', {DEEP}), repeat(']', {DEEP}))"
+    objects = f"""concat(repeat('{{"id":', {DEEP}), '"]}}"', repeat('}}', {DEEP}))"""
+    good = f"substring({_CUSTOMER_GOOD}, 2)"
+    value = f"""CASE c_custkey % 6 WHEN 0 THEN concat('{{"zzz":', {arrays}, ',', {good})
+        WHEN 1 THEN concat('{{"zzz":', {objects}, ',', {good})
+        WHEN 2 THEN concat('{{"firstName":', {arrays}, ',"id":"1"}}')
+        WHEN 3 THEN concat('{{"zzz":', {objects}, ',"name":', {objects}, '}}')
+        WHEN 4 THEN concat('{{"zzz":[', {arrays}, ',', {good})
+        ELSE concat('{{', {good}) END"""
     partition, offset = f"c_custkey % {CUSTOMER_PARTITIONS}", f"floor(c_custkey / {CUSTOMER_PARTITIONS})"
     return _envelope(customer, CUSTOMER_TOPIC, partition, offset, value)
 

@@ -21,7 +21,7 @@ FIELDS = ["id", "name", "firstName", "lastName"]
 # (payload, status, (id, name, firstName, lastName) when ok)
 GOLDEN = [
     (SAMPLE, "ok", ("1", "Mark", "Polosnikov", "Doyle")),
-    ('{"id":1,"name":true,"firstName":1.50,"lastName":null}', "ok", ("1", "true", "1.5", None)),
+    ('{"id":1,"name":true,"firstName":1.50,"lastName":null}', "ok", ("1", "true", "1.50", None)),
     ("{}", "ok", (None, None, None, None)),
     ('{"id":"1","zzz":5}', "ok", ("1", None, None, None)),
     ('{"ID":"1"}', "ok", (None, None, None, None)),
@@ -29,7 +29,7 @@ GOLDEN = [
     ('{"id":"{\\"a\\":1}"}', "ok", ('{"a":1}', None, None, None)),
     ("{'id':'1'}", "ok", ("1", None, None, None)),
     ('{"id":12345678901234567890123}', "ok", ("12345678901234567890123", None, None, None)),
-    ('{"id":1e3}', "ok", ("1000.0", None, None, None)),
+    ('{"id":1e3}', "ok", ("1e3", None, None, None)),
     ('{"zzz":{"a":[1]}}', "ok", (None, None, None, None)),
     ('{"id":{"a": 1}}', "nested_field", None),
     ('{"id":[1]}', "nested_field", None),
@@ -213,9 +213,11 @@ def test_fuzz_matches_strict_json(spark):
 
 def test_number_rendering_in_string_fields(spark):
     cases = {
-        "1.50": "1.5",
-        "12.0": "12",
-        "1e3": "1000.0",
+        "1.50": "1.50",
+        "12.0": "12.0",
+        "1e3": "1e3",
+        "-0": "-0",
+        "1E+2": "1E+2",
         "3.14159265358979323846": "3.14159265358979323846",
         "0.000001": "0.000001",
         "12345678901234567890123": "12345678901234567890123",
@@ -311,11 +313,61 @@ def test_long_strings_and_numbers(spark):
     digits = "7" * 1100
     rows = _run(spark, ['{"id":"1","zzz":%s}' % digits, '{"id":%s}' % digits, '{"id":-%s}' % digits[:40]], "id string")
     assert [(r["status"], r["id"]) for r in rows] == [("ok", "1"), ("ok", digits), ("ok", "-" + digits[:40])]
-    bad = ["1e400", "-1e400", "1e-400", "3." + "1" * 44]
-    rows = _run(spark, ['{"id":%s}' % x for x in bad], "id string")
-    assert [r["status"] for r in rows] == ["bad_field"] * 4
+    far = ["1e400", "-1e400", "1e-400", "3." + "1" * 44]
+    rows = _run(spark, ['{"id":%s}' % x for x in far], "id string")
+    assert [(r["status"], r["id"]) for r in rows] == [("ok", x) for x in far]
     rows = _run(spark, ['{"a":%s,"b":1e3}' % digits, '{"b":%s,"b":5}' % digits], "a string, b string")
-    assert [(r["a"], r["b"]) for r in rows] == [(digits, "1000.0"), (None, "5")]
+    assert [(r["a"], r["b"]) for r in rows] == [(digits, "1e3"), (None, "5")]
+
+
+def test_numbers_beside_strings_and_keys_like_numbers(spark):
+    payloads = {
+        '{"id":2.50,"id":"1.0"}': ("1.0", None),
+        '{"id":"1.0","id":2.50}': ("2.50", None),
+        '{"\\u0069d":7.10}': ("7.10", None),
+        '{"name":"a \\" 1.50 [,:","id":1.0}': ("1.0", 'a " 1.50 [,:'),
+        """{'name':'5 "1.0" 6','id':1.0}""": ("1.0", '5 "1.0" 6'),
+        '{"z":{"id":9.0},"id" : -0.0 , "y":[1.0,{"id":8.0}]}': ("-0.0", None),
+        '{"1.0":2.0,"id":3.0}': ("3.0", None),
+    }
+    rows = _run(spark, list(payloads), "id string, name string")
+    assert [(r["status"], r["id"], r["name"]) for r in rows] == [("ok", *v) for v in payloads.values()]
+    options = {"allowComments": "true", "allowUnquotedFieldNames": "true", "allowNumericLeadingZeros": "true"}
+    rows = _run(spark, ['{a1: 1.0, /* it\'s 5.0 "x */ id: 007} // 1.0'], "id string", json_options=options)
+    assert [(r["status"], r["id"]) for r in rows] == [("ok", "007")]
+
+
+def test_depth(spark):
+    """A value of an unknown key may be of any depth; a field's is too deep beyond 1,000
+    levels; broken payloads stay malformed however deep they are."""
+    arrays, objects = "[" * 1100 + "]" * 1100, '{"id":' * 1100 + "1.50" + "}" * 1100
+    far = "[" * 100_000 + "]" * 100_000
+    cases = [
+        ('{"id":1.50,"x":%s,"name":"q\\"[\\n"}' % arrays, "ok", ("1.50", 'q"[\n', None, None)),
+        ('{"x":%s,"id":"S5","name":7.0,"firstName":true,"lastName":null}' % objects, "ok", ("S5", "7.0", "true", None)),
+        ('{"x":%s,"id":"5","id":6.0}' % far, "ok", ("6.0", None, None, None)),
+        ("{'x':%s, 'id' : 'a\"b'}" % arrays, "ok", ('a"b', None, None, None)),
+        ('{"x":"%s","id":1.0}' % ("[1, " * 1000), "ok", ("1.0", None, None, None)),
+        ('{"x":[%s1],"id":1.0}' % ("[1]," * 2000), "ok", ("1.0", None, None, None)),
+        ('{"x":%s,"id":NaN}' % objects, "bad_field", None),
+        ('{"x":%s,"id":{"a":1}}' % objects, "nested_field", None),
+        ('{"id":%s}' % arrays, "too_deep", None),
+        ('{"name":"a","id":%s}' % objects, "too_deep", None),
+        ('{"id":%s}' % far, "too_deep", None),
+        ('{"id":%s' % far, "malformed", None),
+        ('{"x":%s,"id":"5"' % arrays, "malformed", None),
+        ('{"x":%s,"id":"5"} {"id":2}' % arrays, "malformed", None),
+        ('{"x":%s,"id":01}' % arrays, "malformed", None),
+        ('{"x":%s,1:2}' % arrays, "malformed", None),
+        (arrays, "malformed", None),
+        ("[%s]" % objects, "malformed", None),
+    ]
+    rows = _run(spark, [p for p, _, _ in cases])
+    got = [(r["status"], tuple(r[f] for f in FIELDS)) for r in rows]
+    assert got == [(s, f or (None,) * 4) for _, s, f in cases]
+    rows = _run(spark, ['{"z":%s,"n":7,"b":true,"d":"1.5","s":2.0}' % arrays, '{"z":%s,"n":"x"}' % arrays], "n int, b boolean, d double, s string")
+    assert (rows[0]["n"], rows[0]["b"], rows[0]["d"], rows[0]["s"]) == (7, True, 1.5, "2.0")
+    assert rows[1]["status"] == "bad_field"
 
 
 def test_typed_fields_take_only_what_they_hold(spark):
