@@ -30,6 +30,7 @@ apart by text checksum and row. Extra columns pass through
 from __future__ import annotations
 
 import itertools
+import math
 import re
 
 import numpy as np
@@ -47,9 +48,9 @@ LENGTH = 200.0
 # less than theirs that weight is set: the noise has a deviation of 1.3.
 GOOD_TAIL = 0.002
 SLACK = 5.0
-# Good documents the target model is counted from, at most (in expectation, by
-# a hash of the doc_id): bounds what is broadcast. The raw model has no bound.
-TARGET_DOCUMENTS = 200_000
+# Good documents up to which their ids are broadcast; more meet the texts in a
+# shuffle by doc_id. Either way all of them are counted.
+BROADCAST_IDS = 200_000
 # Added to each bucket of the raw counts (and in proportion to the target's).
 SMOOTHING = 1.0
 CACHE_ENTRIES = 150_000
@@ -87,12 +88,22 @@ def learning_part(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 != 0
 
 
+def with_good(rows: DataFrame, good: DataFrame, how: str) -> DataFrame:
+    """``rows`` joined with the good documents by doc_id."""
+    good = good.withColumnRenamed("doc_id", "_id")
+    if good.count() <= BROADCAST_IDS:
+        return rows.join(F.broadcast(good), F.col("doc_id") == F.col("_id"), how)
+    # null ids meet nothing: each row goes to a partition by its text
+    spread = F.when(F.col("doc_id").isNull(), F.pmod(F.xxhash64(*rows.columns), F.lit(1 << 16))).otherwise(-1)
+    rows, good = rows.withColumn("_spread", spread), good.withColumn("_at", F.lit(-1).cast("long"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_spread") == F.col("_at"))
+    return rows.join(good.hint("merge"), same, how)
+
+
 def count_models(docs: DataFrame, good: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Counts of all documents' and the good ones' n-grams, by bucket.
     ``good``: doc_id and n, how many good labels a document has."""
-    # TARGET_DOCUMENTS rows at most: the texts need not be shuffled to meet the labels
-    small = F.broadcast(good.select(F.col("doc_id").alias("_id"), "n"))
-    marked = docs.select("doc_id", "text").join(small, F.col("doc_id") == F.col("_id"), "left")
+    marked = with_good(docs.select("doc_id", "text"), good, "left")
     schema = "bucket long, raw long, target long"
 
     def run(batches):
@@ -153,21 +164,25 @@ def weights(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
     return map_rows(docs.select("doc_id", "text"), make, schema)
 
 
+def nth_weight(rows: DataFrame, share: float) -> float | None:
+    """The least log_weight that at least ``share`` of the rows don't exceed, exactly; of no rows, None."""
+    ranked = checkpointed(global_rank(rows, [F.col("log_weight")], "_rank"))
+    at = max(0, math.ceil(share * ranked.count()) - 1)
+    found = ranked.where(F.col("_rank") == at).first()
+    return None if found is None else found.log_weight
+
+
 def resample(docs: DataFrame, labels: DataFrame, good_tail: float = GOOD_TAIL, slack: float = SLACK) -> DataFrame:
     """Each row of ``docs``: doc_id, text_hash, n_grams, log_weight, sample_key, kept."""
     good = labels.where((F.col("quality") == 1) & learning_part(F.col("doc_id"))).groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n")
     )
-    n_good = good.count()
-    if n_good > TARGET_DOCUMENTS:
-        cut = int(TARGET_DOCUMENTS / n_good * 1_000_000)
-        good = good.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < cut)
     good = checkpointed(good)
     raw, target = count_models(docs, good)
     rows = weights(docs, log_ratio(raw, target)).withColumn("_row", F.monotonically_increasing_id())
     rows = checkpointed(rows)
-    known = rows.join(F.broadcast(good.select(F.col("doc_id").alias("_id"))), F.col("doc_id") == F.col("_id"), "left_semi")
-    bound = known.agg(F.percentile_approx("log_weight", good_tail, 10_000)).first()[0]
+    known = with_good(rows.select("doc_id", "log_weight"), good, "left_semi").where("log_weight is not null")
+    bound = nth_weight(known.select("log_weight"), good_tail)
     k = rows.where(F.lit(bound is None) | (F.col("log_weight") >= F.lit((bound or 0.0) - slack))).count()
     order = [F.col("sample_key").desc_nulls_last(), F.col("doc_id"), F.col("text_hash"), F.col("_row")]
     ranked = global_rank(rows, order, "_rank")

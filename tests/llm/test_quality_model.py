@@ -68,3 +68,25 @@ def test_without_labels_every_text_with_words_stays(spark, make_docs):
     none = spark.createDataFrame([], LABELS)
     assert sorted(r.doc_id for r in qm.keep_quality(make_docs(rows), none).collect()) == [1, 2]
     assert qm.keep_quality(make_docs([]).limit(0), none).collect() == []
+
+
+def test_all_good_documents_count_however_many(spark, make_docs, monkeypatch):
+    """Past the bound on broadcast ids the models and the threshold are of all documents all the same."""
+    rows = [(i % 290, f"good text {i} w{i % 7}") for i in range(300)] + [(None, "null id")] * 20 + [(i, f"bad {i}") for i in range(400, 500)]
+    labels = spark.createDataFrame([(i, int(i < 300), 0) for i in range(500)] + [(3, 1, 0)], LABELS)
+    docs = make_docs(rows).cache()
+    good = labels.where("quality = 1").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    want, kept = qm.count_models(docs, good), sorted(map(str, qm.resample(docs, labels).collect()))
+    for name in ("BROADCAST_IDS", "TARGET_DOCUMENTS"):
+        monkeypatch.setattr(qm, name, 20, raising=False)
+    got = qm.count_models(docs, good)
+    assert all((a == b).all() for a, b in zip(got, want, strict=True)) and want[1].sum()
+    assert sorted(map(str, qm.resample(docs, labels).collect())) == kept
+
+
+def test_threshold_is_exact(spark):
+    values = [float((i * 7919) % 30_011) for i in range(30_000)]
+    rows = spark.createDataFrame([(v,) for v in values], "log_weight double").repartition(5)
+    for share in (0.0, 0.002, 0.00213, 0.5, 1.0):
+        assert qm.nth_weight(rows, share) == sorted(values)[max(0, math.ceil(share * len(values)) - 1)]
+    assert qm.nth_weight(rows.limit(0), 0.5) is None
