@@ -72,6 +72,8 @@ DOCUMENT_RECORD = "doc_id string, lang string, source string, text string"
 # the boundary between the two arrivals of the resumed stream.
 COMMITTED_BEFORE = "2024-01-16 00:00:00"
 AVAILABLE_NOW = {"availableNow": True}
+# Partitions for each core where a small file's rows grow into large messages.
+DEAL = 3
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -134,7 +136,9 @@ def parse_long_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def classify_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deep values of unknown keys are skipped, those of fields are too deep."""
-    return parsed_fields(classify(customer_deep_envelope(read_table(spark, sf_dir, "customer")), EMPLOYEE))
+    # a message is 50 times its row and slow to read: the rows are dealt out before the messages are made
+    customer = read_table(spark, sf_dir, "customer").repartition(DEAL * spark.sparkContext.defaultParallelism)
+    return parsed_fields(classify(customer_deep_envelope(customer), EMPLOYEE))
 
 
 def parse_typed(spark: SparkSession, sf_dir: str) -> DataFrame:

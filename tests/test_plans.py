@@ -92,3 +92,13 @@ def test_streaming_publish_plan_is_one_stage(spark, scratch):
     assert plan.count("from_json(StructField(w,") == 1  # the wrapper; long numbers alone are read again
     assert "Exchange" not in plan
     assert "CollectMetrics" in plan
+
+
+def test_deep_messages_are_made_in_many_tasks(spark):
+    """A small file is one task; its rows are dealt out before they become large messages."""
+    from ferry.plans.catalog import DEAL, QUERIES
+
+    plan = QUERIES["classify_deep"](spark, SF_SMALL)
+    assert plan.rdd.getNumPartitions() == DEAL * spark.sparkContext.defaultParallelism
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning" in text and text.index("from_json") < text.index("RoundRobinPartitioning")
