@@ -1,7 +1,7 @@
 """Alignment of two tokenizers' ids over the same bytes.
 
-Both id lists of a text have cumulative byte ends. Two dictionaries map each
-list's ends to places; the ends in both key sets, in order, slice the lists
+Both id lists of a text have cumulative byte ends. Two dictionaries (arrays
+addressed by the end) map each list's ends to places; the ends in both key sets, in order, slice the lists
 into groups that cover the same bytes. Every id of a slice's one list is linked
 with every id of its other.
 
@@ -98,12 +98,18 @@ class Aligner:
 
 def slices(a_len: np.ndarray, b_len: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where the groups end in either list, from the tokens' lengths."""
-    a_at = dict(zip(np.cumsum(a_len).tolist(), range(1, len(a_len) + 1), strict=True))
-    b_at = dict(zip(np.cumsum(b_len).tolist(), range(1, len(b_len) + 1), strict=True))
-    # the keys of a dictionary are in the order of its ends
-    common = list(filter(b_at.__contains__, a_at))
-    a, b = (np.fromiter(map(at.__getitem__, common), dtype=np.int64, count=len(common)) for at in (a_at, b_at))
-    return a, b
+    a_ends, b_ends = np.cumsum(a_len), np.cumsum(b_len)
+    none = np.zeros(0, dtype=np.int64)
+    if not len(a_ends) or not len(b_ends):
+        return none, none
+    # dictionaries from ends to places, addressed by the end itself
+    a_at, b_at = (np.zeros(max(a_ends[-1], b_ends[-1]) + 1, dtype=np.int32) for _ in range(2))
+    a_at[a_ends] = np.arange(1, len(a_ends) + 1)
+    b_at[b_ends] = np.arange(1, len(b_ends) + 1)
+    common = a_ends[b_at[a_ends] > 0]
+    if len(common) > 1:  # tokens of no bytes share an end
+        common = common[np.append(common[1:] != common[:-1], True)]
+    return a_at[common].astype(np.int64), b_at[common].astype(np.int64)
 
 
 def _pack(arrays: list[np.ndarray]) -> bytes:
