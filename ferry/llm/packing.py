@@ -44,7 +44,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ferry.llm.byte_words import byte_words
-from ferry.llm.common import checkpointed, chunks, map_rows, table
+from ferry.llm.common import checkpointed, map_rows, table
 from ferry.session import fresh_dir
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -58,6 +58,8 @@ UNIT = 1 << 16
 CARRY_ROWS = 1_000_000
 # Cells (piece, queue) worked out at a time.
 CELLS = 1 << 21
+# Bytes of texts encoded at a time, about: their distinct words are encoded once.
+BLOCK_BYTES = 32 << 20
 
 _ENCODED_DDL = "part long, queue int, doc_id long, first long, n_tokens long, ids binary"
 _ENCODED = pa.schema(
@@ -158,22 +160,37 @@ def encode_queues(
         part, sums = TaskContext.get().partitionId(), {}
         words = byte_words(path, special=True)
         end, kind = np.array([end_id], dtype="<u4").tobytes(), _kind(path)
-        for rows in chunks(batches):
-            out: dict[str, list] = {f.name: [] for f in _ENCODED}
-            for doc, s, text in zip(*(rows.column(c).to_pylist() for c in ("doc_id", "queue", "text")), strict=True):
-                ids = words.encode(text or "") + end
-                n, k = len(ids) // 4, int(s) if shared else number[s]
-                first = sums.get(k, 0)
-                sums[k] = first + n
-                for name, value in zip(out, (part, k, doc, first, n, _narrow(ids, kind)), strict=True):
-                    out[name].append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in _ENCODED], schema=_ENCODED)
+        for rows in _blocks(batches):
+            ids, sizes = words.column(rows.column("text"), end, kind)
+            queues = [int(s) if shared else number[s] for s in rows.column("queue").to_pylist()]
+            firsts = []
+            for k, n in zip(queues, sizes.tolist(), strict=True):
+                firsts.append(sums.get(k, 0))
+                sums[k] = firsts[-1] + n
+            parts, row = np.full(len(sizes), part), _binaries(ids, sizes)
+            columns = [pa.array(parts), pa.array(queues, pa.int32()), rows.column("doc_id"), pa.array(firsts, pa.int64()), pa.array(sizes), row]
+            yield pa.RecordBatch.from_arrays(columns, schema=_ENCODED)
 
     rows = docs.select("doc_id", queue.alias("queue"), "text").mapInArrow(run, _ENCODED_DDL)
     rows.write.option("compression", "zstd").parquet(folder)
     return docs.sparkSession.read.schema(_ENCODED_DDL).parquet(folder), [] if shared else names
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of even numbers of rows, small ones put together."""
+    held, size = [], 0
+    for batch in batches:
+        step = max(1, -(-batch.num_rows // max(1, -(-batch.nbytes // BLOCK_BYTES))))
+        for at in range(0, batch.num_rows, step):
+            held.append(batch.slice(at, step))
+            size += held[-1].nbytes
+            if size >= BLOCK_BYTES // 2:
+                yield pa.concat_batches(held)
+                held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _kind(path: str) -> str:
     """Two bytes hold the ids of a vocabulary of up to 65,536."""
     from tokenizers import Tokenizer
@@ -181,8 +198,12 @@ def _kind(path: str) -> str:
     return "<u2" if max(Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values()) < 1 << 16 else "<u4"
 
 
-def _narrow(ids: bytes, kind: str) -> bytes:
-    return ids if kind == "<u4" else np.frombuffer(ids, dtype="<u4").astype(kind).tobytes()
+def _binaries(ids: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """The ids of each of the texts as bytes."""
+    ends = np.append(0, np.cumsum(sizes)) * ids.itemsize
+    if ends[-1] >= 1 << 31:  # offsets of 32 bits: only a text of over half a gigabyte
+        return pa.array([ids[a:b].tobytes() for a, b in zip(ends[:-1] // ids.itemsize, ends[1:] // ids.itemsize, strict=True)], pa.binary())
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(ids)])
 
 
 def pack(

@@ -8,6 +8,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -119,6 +120,48 @@ def test_empty_table_and_bad_length(spark, scratch):
         P.pack(make(spark, [(1, "x", "a")]), f"{scratch}/other", length=0)
 
 
+def test_a_word_is_encoded_once_and_with_others(spark, monkeypatch):
+    """Unseen words go to the model many at a time, each distinct one once: no call for a word."""
+    from ferry.llm.byte_words import ByteWords
+
+    tool = ByteWords(public_tokenizers.path(P.VOCABULARY), special=True)
+    calls, model, random_ = [], tool.model, random.Random(5)
+    monkeypatch.setattr(tool, "model", lambda s: calls.append(s) or model(s))
+    words = ["".join(random_.choices("abcdefghijklmnoé", k=9)) for _ in range(3_000)]
+    texts = [" ".join(random_.choices(words, k=200)) + "." for _ in range(100)]
+    ids, n = tool.column(pa.array(texts), np.array([1], dtype="<u4").tobytes(), "<u2")
+    assert ids.tolist() == [i for t in texts for i in ids_of(t)] and n.tolist() == [len(ids_of(t)) for t in texts]
+    assert len(calls) < 300
+
+
+@pytest.mark.parametrize("special", [True, False])
+@pytest.mark.parametrize("gather", [5, 1 << 18])
+def test_column_equals_library(special, gather, monkeypatch):
+    from ferry.llm import byte_words
+
+    monkeypatch.setattr(byte_words, "GATHER", gather)
+    tool = byte_words.ByteWords(public_tokenizers.path(P.VOCABULARY), special)
+    rng = random.Random(8)
+    pool = [*"abÉé .,'\n\t!?<|>12 \x00\x0b\x1c\x85\xa0ñß中́’ÿ\xad×²😀", "<|endoftext|>", "'s", "'ll", " the", " n'a\nÈ", "don't", "  ", " ", "x" * 70]
+    for k in range(600):
+        some = rng.sample(pool, 6) if k % 2 else pool
+        texts = [None if rng.random() < 0.05 else "".join(rng.choices(some, k=rng.randrange(25))) for _ in range(rng.randrange(12))]
+        want = [tool.library(t or "") + b"\7\0\0\0" for t in texts]
+        ids, n = tool.column(pa.array([None, *texts, "cut"], pa.string())[1:-1], b"\7\0\0\0")
+        assert ids.tobytes() == b"".join(want) and n.tolist() == [len(w) // 4 for w in want], texts
+    assert tool.column(pa.array(["a b", ""]))[1].tolist() == [2, 0]
+
+
+def test_blocks(monkeypatch):
+    monkeypatch.setattr(P, "BLOCK_BYTES", 1_000)
+    sizes = [3, 0, 700, 1, 1, 90, 400, 2]
+    batches = [pa.RecordBatch.from_pydict({"text": ["x" * 10] * n}, pa.schema([("text", pa.string())])) for n in sizes]
+    blocks = list(P._blocks(iter(batches)))
+    assert sum(b.num_rows for b in blocks) == sum(sizes) and all(b.nbytes <= 1_500 for b in blocks)
+    assert all(b.nbytes >= 500 for b in blocks[:-1])
+    assert list(P._blocks(iter([]))) == []
+
+
 def test_query_columns(spark, sf_dir):
     sf = sf_dir([(k, "some words " * k) for k in range(40)])
     df = P.op13_mixture_packing(spark, sf)
