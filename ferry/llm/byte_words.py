@@ -35,7 +35,7 @@ LONG = 64
 SLICE = 50_000
 # Pre-tokens that the model gets at a time: one call for many, and a short queue of merges.
 TOGETHER = 16
-# Words of a column cut, or put in a row, at a time.
+# Words of a column cut, encoded or put in a row at a time.
 GATHER = 1 << 18
 # ASCII marks that never join a Latin letter before them in one pre-token.
 TAIL = ".,;:!?&$%*#|"
@@ -206,7 +206,8 @@ class ByteWords:
             n.append(np.fromiter(map(len, some), dtype=np.int64, count=len(some)))
             cut.append(pa.array([p for parts in some for p in parts], pa.string()))
         parts = pa.concat_arrays([c.cast(pa.string()) for c in cut] or [pa.array([], pa.string())]).dictionary_encode()
-        row, size = self._together(parts.dictionary)
+        found = [self._together(parts.dictionary.slice(at, GATHER)) for at in range(0, max(1, len(parts.dictionary)), GATHER)]
+        row, size = (np.concatenate(x) for x in zip(*found, strict=True))
         index, n = parts.indices.to_numpy(), np.concatenate(n)
         upto = np.append(0, np.cumsum(size[index]))
         ends = np.cumsum(n)

@@ -59,7 +59,7 @@ CARRY_ROWS = 1_000_000
 # Cells (piece, queue) worked out at a time.
 CELLS = 1 << 21
 # Bytes of texts encoded at a time, about: their distinct words are encoded once.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 
 _ENCODED_DDL = "part long, queue int, doc_id long, first long, n_tokens long, ids binary"
 _ENCODED = pa.schema(
